@@ -149,6 +149,16 @@ def unsqueeze_sorted(b: bytes) -> np.ndarray:
     return np.cumsum(unsqueeze(b), dtype=np.uint64)
 
 
+def parts(body: bytes) -> list[bytes]:
+    """The byte strings, each after its length, that a body is made of."""
+    out, at = [], 0
+    while at < len(body):
+        n = int.from_bytes(body[at : at + 4], "little")
+        out.append(body[at + 4 : at + 4 + n])
+        at += 4 + n
+    return out
+
+
 # --- counting keys of blocks of documents over the whole corpus ----------------------------------------------------
 #
 # Each block of documents lists its distinct 64-bit keys once, sorted, with its own counts, cut into ranges of the key
@@ -189,14 +199,6 @@ def block_counts(blocks: DataFrame, keys: Callable, n_ranges: int, answer: Calla
                 out["body"].append(b"".join(len(x).to_bytes(4, "little") + x for x in body))
         return pa.table({"blk": pa.array(out["blk"], pa.int32()), "level": pa.array(out["level"], pa.int32()), "rng": pa.array(out["rng"], pa.int32()), "body": pa.array(out["body"], pa.binary())})
 
-    def parts(body: bytes) -> list[bytes]:
-        out, at = [], 0
-        while at < len(body):
-            n = int.from_bytes(body[at : at + 4], "little")
-            out.append(body[at + 4 : at + 4 + n])
-            at += 4 + n
-        return out
-
     def add(table: pa.Table) -> pa.Table:
         blk, level, rng = table.column("blk"), table.column("level")[0].as_py(), table.column("rng")[0].as_py()
         asked = [parts(x.as_py()) for x in table.column("body")]
