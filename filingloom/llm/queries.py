@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard_join, substring_dedup
+from . import jaccard_join, mixing, substring_dedup, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,8 +23,29 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.groups(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+URL_RULES = [
+    ("block", "com", "/en/"),
+    ("allow", "example.com", "/en/7"),
+    ("allow", "net", "/de/"),
+    ("block", "example.net", "/de/8"),
+    ("block", "org", "/es/"),
+]
+
+
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = url_filter.judge(_table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(_table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies", "rate")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_url_filter": op2_url_filter,
+    "op4_mixing": op4_mixing,
     "op6_jaccard_join": op6_jaccard_join,
 }
 
@@ -38,6 +59,14 @@ w AS (SELECT doc_id, k, ws[k] AS word FROM d, unnest(range(1, len(ws) + 1)) t(k)
 kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY k) AS s FROM w ANTI JOIN gone USING (doc_id, k) GROUP BY doc_id)
 SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(s, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (doc_id)
+""",
+    "op2_url_filter": r"""
+WITH rules(verdict, host, path) AS (VALUES ('block', 'com', '/en/'), ('allow', 'example.com', '/en/7'), ('allow', 'net', '/de/'), ('block', 'example.net', '/de/8'), ('block', 'org', '/es/')),
+p AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest, row_number() OVER () AS k FROM pages),
+a AS (SELECT page_id, k, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM p),
+f AS (SELECT k, r.host || r.path AS rule, r.verdict, row_number() OVER (PARTITION BY k ORDER BY length(r.host || r.path) DESC, r.host || r.path) AS rn
+      FROM a JOIN rules r ON (a.host = r.host OR ends_with(a.host, '.' || r.host)) AND starts_with(a.path, r.path))
+SELECT page_id, a.host, a.path, f.rule, coalesce(f.verdict, 'allow') AS verdict FROM a LEFT JOIN f ON f.k = a.k AND rn = 1
 """,
     "op6_jaccard_join": r"""
 WITH RECURSIVE
