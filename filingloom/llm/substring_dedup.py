@@ -30,7 +30,8 @@ _LAST = np.iinfo(np.int64).max
 _RUN = 256
 #: Super-k-mers that a map task remembers at most; it then starts anew, and may send one twice.
 _SENT = 1_000_000
-_MARKS = "key long, doc long, text_key long, first int, last int, packed binary"
+#: Bytes of super-k-mers that a map task gathers before it sends a row to each bucket.
+_HELD = 32 << 20
 
 
 def _slide_min(h: np.ndarray, w: int) -> np.ndarray:
@@ -105,111 +106,133 @@ def _heavy(docs: DataFrame, window: int, mini: int, share: int) -> tuple[list[in
         yield pa.record_batch({"k": pa.array(np.array([x for x, _ in kept], np.uint64).view(np.int64)), "n": pa.array([c for _, c in kept], pa.int64()), "total": pa.array([0] * len(kept), pa.int64()), "size": pa.array([0] * len(kept), pa.int64())})
         yield pa.record_batch({"k": pa.array([None], pa.int64()), "n": pa.array([0], pa.int64()), "total": pa.array([total], pa.int64()), "size": pa.array([size], pa.int64())})
 
-    sums = docs.mapInArrow(count, "k long, n long, total long, size long").groupBy("k").agg(*(F.sum(c).alias(c) for c in ("n", "total", "size")))
+    sums = C.cut(docs.mapInArrow(count, "k long, n long, total long, size long").groupBy("k").agg(*(F.sum(c).alias(c) for c in ("n", "total", "size"))))
     whole = sums.where("k is null").first()
     least = -(-(whole["total"] if whole else 0) // share)
     return [r[0] for r in sums.where(F.col("k").isNotNull() & (F.col("n") >= max(1, least))).select("k").collect()], whole["size"] if whole else 0
 
 
-def marked_spans(docs: DataFrame, window: int = 20, mini: int = 4, task_bytes: int = 64 << 20) -> DataFrame:
+def marked_spans(docs: DataFrame, window: int = 20, mini: int = 3, task_bytes: int = 24 << 20) -> DataFrame:
     """Runs of words that windows which occur earlier cover: doc_id (null is the largest long), text_key, first, last (word numbers, last excluded)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_key"))
     spark = docs.sparkSession
     hot, size = _heavy(docs, window, mini, 4 * C.partitions(spark))
-    hot = np.array(sorted(hot), np.int64).view(np.uint64)
-    hot.sort()
+    hot = np.sort(np.array(hot, np.int64).view(np.uint64))
     parts = max(C.partitions(spark), -(-size // task_bytes))
+    buckets = 3 * parts
 
     def send(batches):
         sent: dict[bytes, tuple[int, int]] = {}
+        held, size = [[] for _ in range(7)], 0
         for data, off, doc, key in _tables(batches):
             text, start, end, h, head, (row, first, n, low) = _super(data, off, window, mini)
             single = np.isin(low, hot)
-            if single.any():  # windows of heavy minimisers alone
+            if single.any():  # windows of heavy minimisers travel alone
                 many = np.where(single, n, 1)
-                base = np.cumsum(many) - many
-                step = np.arange(many.sum()) - np.repeat(base, many)
-                row, first, low, single = (np.repeat(x, many) for x in (row, first, low, single))
-                first, n = first + step * single, np.where(single, 1, np.repeat(n, many))
-                own = C.gram_hash(h, window)
-                low = np.where(single, own[first], low)
-            raw, a, b = text.tobytes(), start[first] if len(first) else first, end[first + n + window - 2] if len(first) else first
-            at = first - head[row]
-            out = {k: [] for k in ("key", "doc", "text_key", "first", "last", "packed")}
-            for lo, d, t, f, m, i, j in zip(low.view(np.int64).tolist(), doc[row].tolist(), key[row].tolist(), at.tolist(), n.tolist(), a.tolist(), b.tolist(), strict=True):
-                s = raw[i:j]
-                k = hashlib.blake2b(s, digest_size=16).digest()
-                old, was = sent.get(k), (d, f)
+                step = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+                row, first, n, low, single = (np.repeat(x, many) for x in (row, first, n, low, single))
+                first, n = first + step * single, np.where(single, 1, n)
+                low = np.where(single, C.gram_hash(h, window)[first], low)
+            last = first + n + window - 1
+            raw, at = text.tobytes(), first - head[row] if len(row) else first
+            keep = np.ones(len(row), bool)
+            bucket = (C.mix(low) % np.uint64(buckets)).astype(np.int32)
+            strings = []
+            spots = zip(doc[row].tolist(), at.tolist(), start[first].tolist(), end[last - 1].tolist(), strict=True)
+            for i, (d, f, x, y) in enumerate(spots):
+                s = raw[x:y]
+                k, was = hashlib.blake2b(s, digest_size=16).digest(), (d, f)
+                old = sent.get(k)
                 if old is not None and was > old:  # all its windows occur earlier in this task
-                    for name, v in zip(out, ((d * 1000003 ^ f) & _LAST, d, t, f, f + m + window - 1, None), strict=True):
-                        out[name].append(v)
+                    keep[i] = False
                     continue
                 if old is None or was < old:
                     if len(sent) >= _SENT:
                         sent.clear()
                     sent[k] = was
-                for name, v in zip(out, (lo, d, t, f, f + m + window - 1, s), strict=True):
-                    out[name].append(v)
-            yield pa.record_batch({"key": pa.array(out["key"], pa.int64()), "doc": pa.array(out["doc"], pa.int64()), "text_key": pa.array(out["text_key"], pa.int64()), "first": pa.array(out["first"], pa.int32()), "last": pa.array(out["last"], pa.int32()), "packed": pa.array(out["packed"], pa.binary())})
+                strings.append(s)
+                size += y - x
+            at, to = at.astype(np.int32), (at + n + window - 1).astype(np.int32)
+            marks = (doc[row[~keep]] % buckets).astype(np.int32)
+            for out, x in zip(held, (np.concatenate([bucket[keep], marks]), np.concatenate([np.ones(keep.sum(), bool), np.zeros(len(marks), bool)]), *(np.concatenate([v[keep], v[~keep]]) for v in (doc[row], key[row], at, to)), strings), strict=True):
+                out.append(x) if out is not held[6] else out.extend(x)
+            if size > _HELD:
+                yield _pack(held)
+                held, size = [[] for _ in range(7)], 0
+        if held[0]:
+            yield _pack(held)
 
     def settle(batches):
-        held = []
+        bodies: dict[int, list[bytes]] = {}
         for b in batches:
-            is_mark = b.column("packed").is_null()
-            yield b.filter(is_mark).select(["doc", "text_key", "first", "last"])
-            rest = b.filter(b.column("packed").is_valid())
-            if rest.num_rows:
-                held.append(rest)
-        if not held:
-            return
-        table = pa.Table.from_batches(held)
-        key = C.mix(table.column("key").to_numpy().view(np.uint64))
-        size = sum(b.column("packed").nbytes for b in held)
-        n = 1 + size // (2 * C.SLICE)
-        bucket = (key % np.uint64(n)).astype(np.int64)
-        order = np.argsort(bucket, kind="stable")
-        edge = np.searchsorted(bucket[order], np.arange(n + 1))
-        for i in range(n):
-            if edge[i] < edge[i + 1]:
-                yield _mark(table.take(pa.array(order[edge[i] : edge[i + 1]])), window)
-
-    sent = docs.mapInArrow(send, _MARKS).repartition(parts, "key")
+            for k, body in zip(b.column("bucket").to_pylist(), b.column("body").to_pylist(), strict=True):
+                bodies.setdefault(k, []).append(body)
+        for k in list(bodies):
+            whole = [_unpack(x) for x in bodies.pop(k)]
+            real, doc, key, first, last = (np.concatenate([x[i] for x in whole]) for i in range(5))
+            yield _spans(doc[~real], key[~real], first[~real], last[~real])
+            if real.any():
+                yield _mark(b" ".join(x[5] for x in whole if x[5]), doc[real], key[real], first[real], last[real], window)
+
+    sent = docs.mapInArrow(send, "bucket int, body binary").repartition(parts, "bucket")
     return sent.mapInArrow(settle, "doc long, text_key long, first int, last int").withColumnRenamed("doc", "doc_id")
 
 
-def _mark(t: pa.Table, window: int) -> pa.RecordBatch:
+def _spans(doc, key, first, last) -> pa.RecordBatch:
+    return pa.record_batch({"doc": pa.array(doc, pa.int64()), "text_key": pa.array(key, pa.int64()), "first": pa.array(first, pa.int32()), "last": pa.array(last, pa.int32())})
+
+
+def _pack(held: list) -> pa.RecordBatch:
+    """A row for each bucket: its super-k-mers' numbers, then their words joined by spaces, all compressed."""
+    bucket, real, *numbers = (np.concatenate(x) for x in held[:6])
+    strings = np.full(len(bucket), None, object)
+    strings[real] = held[6]
+    order = np.argsort(bucket, kind="stable")
+    edge = np.flatnonzero(np.diff(bucket[order], prepend=-1))
+    out = ([], [])
+    for i, j in zip(edge, [*edge[1:], len(order)], strict=True):
+        at = order[i:j]
+        text = b" ".join(strings[at[real[at]]].tolist())
+        parts = [C.squeeze(x[at]) for x in (real.astype(np.uint8), *numbers)] + [C.squeeze(np.frombuffer(text, np.uint8))]
+        out[0].append(int(bucket[at[0]]))
+        out[1].append(b"".join(len(x).to_bytes(4, "little") + x for x in parts))
+    return pa.record_batch({"bucket": pa.array(out[0], pa.int32()), "body": pa.array(out[1], pa.binary())})
+
+
+def _unpack(body: bytes) -> tuple:
+    real, doc, key, first, last, text = (C.unsqueeze(x) for x in C.parts(body))
+    return real.astype(bool), doc, key, first, last, text.tobytes()
+
+
+def _mark(text: bytes, doc, key, first, last, window: int) -> pa.RecordBatch:
     """Sort a bucket's windows; mark those that an equal one precedes."""
-    packed = t.column("packed").combine_chunks()
-    packed = (packed.chunk(0) if isinstance(packed, pa.ChunkedArray) else packed).cast(pa.large_binary())
-    off = np.frombuffer(packed.buffers()[1], np.int64)[packed.offset : packed.offset + len(packed) + 1]
-    data = np.frombuffer(packed.buffers()[2], np.uint8)[off[0] : off[-1]]
-    start, end, row = C.words(data, off - off[0])
+    data = np.frombuffer(text, np.uint8)
+    start, end, _ = C.words(data, np.array([0, len(data)]))
     h = C.gram_hash(C.word_hash(data, start, end), window)
+    n = (last - first).astype(np.int64)
+    row = np.repeat(np.arange(len(n)), n)
     at = np.flatnonzero(row[: len(h)] == row[window - 1 :])
+    pos = (np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n))[at] + first[row[at]]
     h, row = h[at], row[at]
-    head = np.searchsorted(row, np.arange(len(packed)))
-    doc, key = (t.column(c).to_numpy() for c in ("doc", "text_key"))
-    pos = t.column("first").to_numpy()[row] + np.arange(len(at)) - head[row]
     order = np.lexsort((pos, doc[row], h))
     h, row, pos, at = h[order], row[order], pos[order], at[order]
     same = np.zeros(len(h), bool)
     same[1:] = h[1:] == h[:-1]
     a, b = start[at], end[at + window - 1]
+    group = np.maximum.accumulate(np.where(same, 0, np.arange(len(h))))
     pairs = np.flatnonzero(same)
-    group = np.maximum.accumulate(np.where(same, 0, np.arange(len(h)))) if len(h) else np.zeros(0, np.int64)
     if len(pairs) and not _equal(data, a[pairs], b[pairs], a[group[pairs]], b[group[pairs]]):  # equal hashes of unequal windows: tell them apart by their bytes
-        raw, seen = data.tobytes(), {}
-        group = np.array([seen.setdefault(raw[x:y], i) for i, (x, y) in enumerate(zip(a.tolist(), b.tolist(), strict=True))])
-    later = (doc[row] != doc[row[group]]) | (pos != pos[group]) if len(h) else same
-    later = later & (group != np.arange(len(h)))
-    d, p, k = doc[row[later]], pos[later].astype(np.int64), key[row[later]]
+        seen: dict[bytes, int] = {}
+        group = np.array([seen.setdefault(text[x:y], i) for i, (x, y) in enumerate(zip(a.tolist(), b.tolist(), strict=True))])
+    later = (doc[row] != doc[row[group]]) | (pos != pos[group])
+    d, p, k = doc[row[later]], pos[later], key[row[later]]
     order = np.lexsort((p, k, d))
     d, p, k = d[order], p[order], k[order]
     new = np.ones(len(d), bool)
     new[1:] = (d[1:] != d[:-1]) | (k[1:] != k[:-1]) | (p[1:] - p[:-1] > 1)
     i = np.flatnonzero(new)
-    last = np.append(i[1:], len(d)) - 1
-    return pa.record_batch({"doc": pa.array(d[i]), "text_key": pa.array(k[i]), "first": pa.array(p[i].astype(np.int32)), "last": pa.array((p[last] + window).astype(np.int32) if len(i) else np.zeros(0, np.int32))})
+    final = p[np.append(i[1:], len(d)) - 1] + window if len(d) else p
+    return _spans(d[i], k[i], p[i], final)
 
 
 def _equal(data, a, b, c, d) -> bool:
@@ -226,27 +249,35 @@ def _equal(data, a, b, c, d) -> bool:
 def cut_repeats(docs: DataFrame, window: int = 20, mini: int = 4) -> DataFrame:
     """docs with spans (first, last: words that are covered by earlier windows), n_words, n_removed and kept_words (the words left, joined by one space)."""
     spans = marked_spans(docs, window, mini).groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
-    spans = spans.withColumnsRenamed({"doc_id": "_doc", "text_key": "_text", "spans": "spans"})
-    at = F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST))
-    keyed = docs.withColumns({"_id": at, "_key": F.xxhash64("text")})
-    joined = keyed.join(spans, (F.col("_id") == F.col("_doc")) & (F.col("_key") == F.col("_text")), "left").drop("_id", "_key", "_doc", "_text")
+    spans = spans.withColumnsRenamed({"doc_id": "_doc", "text_key": "_key"})
+    fields = docs.schema.fields
+    keyed = docs.withColumns({"_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)), "_text": F.xxhash64("text")})
+    packed = T.StructType([T.StructField(f.name, T.BinaryType()) if f.name == "text" else f for f in keyed.schema.fields])
+    joined = keyed.mapInArrow(_shrink, packed).join(spans, (F.col("_id") == F.col("_doc")) & (F.col("_text") == F.col("_key")), "left").drop("_id", "_text", "_doc", "_key")
 
     def cutting(batches):
         for b in batches:
-            names = b.schema.names
-            data, off = C.utf8(b.column(names.index("text")))
-            lists = b.column(names.index("spans"))
+            texts = [None if x is None else C.unsqueeze(x).tobytes() for x in b.column("text").to_pylist()]
             total, removed, kept = [], [], []
-            for i in range(b.num_rows):
-                got = data[off[i] : off[i + 1]].tobytes().split()
-                total.append(len(got))
+            for text, spans in zip(texts, b.column("spans").to_pylist(), strict=True):
+                got = (text or b"").split()
                 gone = np.zeros(len(got), bool)
-                for s in lists[i].as_py() or ():
-                    gone[s["first"] : s["last"]] = True
+                for x in spans or ():
+                    gone[x["first"] : x["last"]] = True
+                total.append(len(got))
                 removed.append(int(gone.sum()))
-                kept.append(b" ".join(got if not removed[-1] else [got[k] for k in np.flatnonzero(~gone)]).decode())
-            cols = [b.column(k) for k in range(b.num_columns)] + [pa.array(total, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string())]
-            yield pa.RecordBatch.from_arrays(cols, names=[*names, "n_words", "n_removed", "kept_words"])
+                kept.append(b" ".join([got[k] for k in np.flatnonzero(~gone)] if removed[-1] else got))
+            whole = {n: b.column(n) for n in b.schema.names} | {"text": pa.array(texts, pa.binary()).cast(pa.string())}
+            yield pa.record_batch(whole | {"n_words": pa.array(total, pa.int64()), "n_removed": pa.array(removed, pa.int64()), "kept_words": pa.array(kept, pa.binary()).cast(pa.string())})
+
+    own = [f for f in joined.schema.fields if f.name == "spans"]
+    more = [T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept_words", T.StringType())]
+    return joined.mapInArrow(cutting, T.StructType([*fields, *own, *more]))
 
-    schema = T.StructType([*joined.schema.fields, T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept_words", T.StringType())])
-    return joined.mapInArrow(cutting, schema)
+
+def _shrink(batches):
+    for b in batches:
+        data, off = C.utf8(b.column("text"))
+        valid = b.column("text").is_valid().to_pylist()
+        texts = [C.squeeze(data[i:j]) if v else None for i, j, v in zip(off[:-1], off[1:], valid, strict=True)]
+        yield pa.record_batch({n: b.column(n) for n in b.schema.names} | {"text": pa.array(texts, pa.binary())})
