@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard_join, mixing, substring_dedup, url_filter
+from . import common, decontaminate, jaccard_join, language_id, mixing, quality, substring_dedup, toxicity, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,10 +19,33 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_words").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = common.crc_bucket(F.col("doc_id"), 3) == 1
+    model = language_id.fit(docs, ~held_out)
+    found = language_id.predict(docs.select("doc_id", held_out.alias("held_out"), "text"), model)
+    return found.select("doc_id", "held_out", "lang_pred", "score", "rejected")
+
+
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.groups(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality.score(docs, quality.fit(docs)).select("doc_id", "quality", "keep")
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, _table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).drop("text")
+
+
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 URL_RULES = [
     ("block", "com", "/en/"),
     ("allow", "example.com", "/en/7"),
@@ -46,7 +69,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_url_filter": op2_url_filter,
     "op4_mixing": op4_mixing,
+    "op5_language_id": op5_language_id,
     "op6_jaccard_join": op6_jaccard_join,
+    "op7_quality": op7_quality,
+    "op9_toxicity": op9_toxicity,
+    "op10_decontamination": op10_decontamination,
 }
 
 ORACLE: dict[str, str] = {
