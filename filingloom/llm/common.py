@@ -166,12 +166,16 @@ def parts(body: bytes) -> list[bytes]:
 # block's order. A key travels once per block however frequent it is, so no key is hot; ranges of hashes are even.
 
 
-def blocked(docs: DataFrame, columns: list[Column], total_bytes: int, block_bytes: int = 8 << 20) -> tuple[DataFrame, int]:
-    """The columns with blk, a block number by hash of all columns; dealt by block. The number of blocks."""
+def blocked(docs: DataFrame, columns: list[Column], total_bytes: int, kind: str | None = None, block_bytes: int = 8 << 20, body_bytes: int = 8 << 10) -> tuple[DataFrame, int]:
+    """The columns with blk, a block number by hash of all columns (rows of another `kind`, an int column, are in other
+    blocks); dealt by block. Then a number of ranges with which blocks times ranges stay in proportion to the input."""
     p = partitions(docs.sparkSession)
-    n = max(4 * p, -(-int(total_bytes) // block_bytes))
+    n = max(2 * p, -(-int(total_bytes) // block_bytes))
     df = docs.select(*columns)
-    return df.withColumn("blk", F.pmod(F.xxhash64(*df.columns), F.lit(n)).cast("int")).repartition(p, "blk"), n
+    blk = F.pmod(F.xxhash64(*df.columns), F.lit(n))
+    blk = blk if kind is None else F.col(kind) * n + blk
+    blocks = df.withColumn("blk", blk.cast("int")).repartition(p, "blk")
+    return blocks, max(1, min(3 * p, total_bytes // (n * body_bytes)))
 
 
 def ranges_of(keys: np.ndarray, n: int) -> np.ndarray:
@@ -183,7 +187,7 @@ def ranges_of(keys: np.ndarray, n: int) -> np.ndarray:
 def block_counts(blocks: DataFrame, keys: Callable, n_ranges: int, answer: Callable) -> tuple[DataFrame, Callable]:
     """keys(table) gives a block's levels: lists of (sorted distinct keys, counts of one or more kinds as rows).
     answer(totals) turns the totals of a range, kinds by keys, into the array that blocks get.
-    Returns rows (blk, level, rng, body), and a function that puts a block's bodies together."""
+    Returns rows (blk, level, rng, body; in one row of a range sums: the total of each kind and the keys that any has), and a function that puts a block's bodies together."""
 
     def ask(table: pa.Table) -> pa.Table:
         out = {"blk": [], "level": [], "rng": [], "body": []}
@@ -210,9 +214,8 @@ def block_counts(blocks: DataFrame, keys: Callable, n_ranges: int, answer: Calla
         ends = np.cumsum([len(x) for x in lists])
         bodies = [b"".join(len(y).to_bytes(4, "little") + y for y in (squeeze(a[where[e - len(x) : e]]) for a in got)) for x, e in zip(lists, ends, strict=True)]
         n = len(bodies)
-        sums = [int(t.sum()) for t in totals] + [0] * (2 - kinds)
-        return pa.table({"blk": blk.combine_chunks() if isinstance(blk, pa.ChunkedArray) else blk, "level": pa.array([level] * n, pa.int32()), "rng": pa.array([rng] * n, pa.int32()), "body": pa.array(bodies, pa.binary()),
-                         "total": pa.array([sums[0] + sums[1]] + [0] * (n - 1), pa.int64()), "types": pa.array([int((totals.sum(0) > 0).sum())] + [0] * (n - 1), pa.int64())})
+        sums = [[*(int(t.sum()) for t in totals), int((totals.sum(0) > 0).sum())], *[None] * (n - 1)]
+        return pa.table({"blk": blk.combine_chunks() if isinstance(blk, pa.ChunkedArray) else blk, "level": pa.array([level] * n, pa.int32()), "rng": pa.array([rng] * n, pa.int32()), "body": pa.array(bodies, pa.binary()), "sums": pa.array(sums, pa.list_(pa.int64()))})
 
     def join(table: pa.Table, level: int) -> list[np.ndarray]:
         rows = sorted((r, b) for r, b, x in zip(table.column("rng").to_pylist(), table.column("body").to_pylist(), table.column("level").to_pylist(), strict=True) if x == level)
@@ -221,7 +224,7 @@ def block_counts(blocks: DataFrame, keys: Callable, n_ranges: int, answer: Calla
 
     p = partitions(blocks.sparkSession)
     asked = blocks.groupBy("blk").applyInArrow(ask, "blk int, level int, rng int, body binary")
-    got = asked.repartition(p, "level", "rng").groupBy("level", "rng").applyInArrow(add, "blk int, level int, rng int, body binary, total long, types long")
+    got = asked.repartition(p, "level", "rng").groupBy("level", "rng").applyInArrow(add, "blk int, level int, rng int, body binary, sums array<long>")
     return got, join
 
 

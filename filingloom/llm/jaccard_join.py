@@ -72,17 +72,17 @@ def _rarity(totals: np.ndarray) -> list[np.ndarray]:
     return [np.where(df <= 128, df, 128 + np.minimum(127, np.ceil(4 * np.log2(np.maximum(df, 1) / 128)))).astype(np.uint8)]
 
 
-_SETS = "doc_id long, n int, sid long, sid2 long, typical double, bands array<long>, first int, post array<long>, elements binary"
+_SETS = "doc_id long, text_key long, n int, sid long, sid2 long, typical double, bands array<long>, first int, post array<long>, elements binary"
 
 
 def _suspects(docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
-    blocks, _ = C.blocked(docs, [F.col("doc_id").cast("long").alias("doc_id"), F.col("text")], C.text_bytes(docs))
+    blocks, ranges = C.blocked(docs, [F.col("doc_id").cast("long").alias("doc_id"), F.col("text"), F.xxhash64("text").alias("text_key")], C.text_bytes(docs))
 
     def keys(table):
         _, h = _block_sets(table.column("text"), size)
         return [(k, [c]) for k, c in [np.unique(h & _KEY, return_counts=True)]]
 
-    got, join = C.block_counts(blocks, keys, 3 * C.partitions(docs.sparkSession), _rarity)
+    got, join = C.block_counts(blocks, keys, ranges, _rarity)
 
     def build(table, answer):
         n_rows = table.num_rows
@@ -109,7 +109,7 @@ def _suspects(docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
             out["first"][i] = int(once[i])
             out["post"][i] = own[order].view(np.int64)
             out["elements"][i] = own.tobytes()
-        return pa.table({"doc_id": table.column("doc_id").cast(pa.int64()), "n": pa.array(n.astype(np.int32)), "sid": pa.array(sid.view(np.int64)), "sid2": pa.array(sid2.view(np.int64)),
+        return pa.table({"doc_id": table.column("doc_id").cast(pa.int64()), "text_key": table.column("text_key"), "n": pa.array(n.astype(np.int32)), "sid": pa.array(sid.view(np.int64)), "sid2": pa.array(sid2.view(np.int64)),
                          "typical": pa.array(out["typical"], pa.float64()), "bands": pa.array(out["bands"], pa.list_(pa.int64())), "first": pa.array(out["first"], pa.int32()), "post": pa.array(out["post"], pa.list_(pa.int64())), "elements": pa.array(out["elements"], pa.binary())})
 
     answers = got.select("blk", "level", "rng", "body").repartition(C.partitions(docs.sparkSession), "blk")
@@ -137,7 +137,7 @@ def compare(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def groups(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """doc_id, n_shingles and component_id for each row; sets link where den * shared >= num * union."""
+    """doc_id, n_shingles, component_id and text_key (a hash of the text) for each row; sets link where den * shared >= num * union."""
     sets = C.cut(_suspects(docs, size, num, den))
     order = F.coalesce("doc_id", F.lit(int(np.iinfo(np.int64).max))).alias("order")
     best = F.min(F.struct(order, "n", "typical", "bands", "first", "post", "elements")).alias("x")
@@ -184,6 +184,6 @@ def groups(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> Dat
     whole = nodes.select("node", "sid", "sid2", "order").join(root, "node").join(joined, "root", "left").withColumn("last", F.coalesce("last", "root"))
     least = whole.groupBy("last").agg(F.min("order").alias("component_id"))
     named = whole.join(least, "last").select("sid", "sid2", "component_id")
-    out = sets.select("doc_id", "n", "sid", "sid2").join(named, ["sid", "sid2"], "left")
+    out = sets.select("doc_id", "text_key", "n", "sid", "sid2").join(named, ["sid", "sid2"], "left")
     known_id = F.coalesce(F.col("component_id"), F.col("doc_id"))
-    return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(known_id == int(np.iinfo(np.int64).max), F.lit(None)).otherwise(known_id).alias("component_id"))
+    return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(known_id == int(np.iinfo(np.int64).max), F.lit(None)).otherwise(known_id).alias("component_id"), "text_key")
