@@ -1,12 +1,64 @@
-"""Stages that turn documents into a training mix."""
+"""From documents to a training mix: each stage works on what the stage before it kept.
+
+1. language: documents whose language can't be told go.
+2. near_duplicates: one document of each group of similar ones stays, the one with the smallest doc_id.
+3. repeated_passages: words of passages that stand earlier go from the texts.
+4. benchmark: documents that leak a benchmark item go.
+5. mix: all documents, with the copies that bring each source to its target.
+
+The first four return the columns of documents. Rows that share a doc_id count as separate documents; equal rows count
+once from the second stage on. Columns whose names the operators use are taken from documents alone.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from filingloom.llm import decontaminate, jaccard_join, language_id, mixing, substring_dedup
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    model = language_id.fit(docs, F.lit(True))
+    return language_id.predict(docs, model).where("not rejected").select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    found = jaccard_join.groups(docs.select("doc_id", "text"))
+    alone = F.when(F.col("component_id").isNull(), F.col("text_key"))
+    best = found.groupBy("component_id", alone.alias("alone")).agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key")).alias("x"))
+    kept = best.select(F.col("x.doc_id").alias("_id"), F.col("x.text_key").alias("_kept"))
+    keyed = docs.withColumn("_key", F.xxhash64("text"))
+    kept = keyed.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_kept")), "left_semi")
+    return kept.dropDuplicates(["doc_id", "_key"]).select(*docs.columns)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    cut = substring_dedup.cut_repeats(docs)
+    text = F.when(F.col("n_removed") > 0, F.col("kept_words")).otherwise(F.col("text"))
+    return cut.withColumn("text", text).withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
+
+
+def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    keyed = docs.withColumn("_key", F.xxhash64("doc_id", "text"))
+    mixed = mixing.mix(keyed, carry=("_key",)).drop("doc_id", "source").dropDuplicates(["_key"])
+    return keyed.join(mixed, "_key").drop("_key")
+
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = []
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("language", language),
+    ("near_duplicates", near_duplicates),
+    ("repeated_passages", repeated_passages),
+    ("benchmark", benchmark),
+    ("mix", mix),
+]
+#: The trained and balanced stages have no SQL; tests/llm/test_pipeline.py holds each stage against plain Python.
 ORACLE_SQL = None
 
 

@@ -74,9 +74,9 @@ def _tilts(sizes: DataFrame, sources: DataFrame, most: float) -> DataFrame:
     return state.select("s", "tilt", "scale")
 
 
-def mix(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, most: int = 2, chunk: int = 4096) -> DataFrame:
-    """A row for each document: doc_id, source, size, source_size, target, rate, copies, taken (size times copies)."""
-    sized = C.cut(docs.select("doc_id", "source", C.n_words(F.col("text")).alias("size")))
+def mix(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, most: int = 2, chunk: int = 4096, carry: tuple[str, ...] = ()) -> DataFrame:
+    """A row for each document: the columns named in carry, doc_id, source, size, source_size, target, rate, copies, taken (size times copies)."""
+    sized = C.cut(docs.select(*carry, "doc_id", "source", C.n_words(F.col("text")).alias("size")))
     sizes = C.cut(sized.groupBy("source", "size").agg(F.count("*").alias("n")))
     sources = sizes.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"), F.sum("n").alias("documents"))
     goal = C.cut(targets(sources, weights, share, most))
@@ -93,4 +93,4 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float =
     start = F.pmod(F.xxhash64("source", "_chunk"), F.lit(_ONE))
     rows = rows.withColumn("_upto", upto + start)
     rows = rows.withColumn("copies", F.shiftright("_upto", 32) - F.shiftright(F.col("_upto") - F.col("_r"), 32))
-    return rows.select("doc_id", "source", "size", "source_size", "target", "rate", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+    return rows.select(*carry, "doc_id", "source", "size", "source_size", "target", "rate", "copies", (F.col("copies") * F.col("size")).alias("taken"))

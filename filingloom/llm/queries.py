@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, decontaminate, jaccard_join, language_id, mixing, quality, substring_dedup, toxicity, url_filter
+from . import common, decontaminate, jaccard_join, language_id, lm_score, media, mixing, quality, substring_dedup, toxicity, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,7 +28,7 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.groups(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return jaccard_join.groups(_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text_key")
 
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,6 +36,11 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, quality.fit(docs)).select("doc_id", "quality", "keep")
 
 
+def op8_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stored = media.store(_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+    return media.facts(stored)
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit(docs, _table(spark, sf_dir, "labels"))
@@ -60,6 +65,12 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    tenth = common.crc_bucket(F.col("doc_id"), 10)
+    return lm_score.score(docs, training=tenth != 0, tuning=tenth == 1)
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(_table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies", "rate")
@@ -68,10 +79,12 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_url_filter": op2_url_filter,
+    "op3_lm_score": op3_lm_score,
     "op4_mixing": op4_mixing,
     "op5_language_id": op5_language_id,
     "op6_jaccard_join": op6_jaccard_join,
     "op7_quality": op7_quality,
+    "op8_media": op8_media,
     "op9_toxicity": op9_toxicity,
     "op10_decontamination": op10_decontamination,
 }
