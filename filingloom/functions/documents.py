@@ -24,7 +24,7 @@ def file_name_type(name: Column) -> Column:
 
 
 def name_from_url(url: Column) -> Column:
-    name = F.element_at(F.split(F.url_decode(F.replace(urls.path(url), F.lit("+"), F.lit("%2B"))), "/"), -1)
+    name = F.element_at(F.split(urls.unquoted(urls.path(url)), "/"), -1)
     name = F.regexp_replace(F.regexp_replace(name, "[-_]", " "), r"(?i)\.(pdf|xlsx?|pptx?|docx?)$", "")
     name = squeezed(F.regexp_replace(name, r"(?i)\b[a-f0-9]{32,}\b", ""))
     return F.when(name == "", "Financial Document").otherwise(name)

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import rules as R
-from .text import any_in, joined
+from .text import any_in, first_class, joined, let
 
 
 def keywords(intent: Column) -> Column:
@@ -96,31 +96,29 @@ def is_investor_intent(words: Column, expanded: Column) -> Column:
 
 def refined(url: Column, text: Column) -> Column:
     """The intent that a link gets by rules."""
-    of, case = {"url": F.lower(url), "text": F.lower(text)}, None
-    for where, words, says in R.REFINED_INTENTS:
-        case = F.when(any_in(of[where], words), says) if case is None else case.when(any_in(of[where], words), says)
-    return case.otherwise(R.REFINED_OTHER)
+
+    def case(x: Column) -> Column:
+        out = None
+        for where, words, says in R.REFINED_INTENTS:
+            out = F.when(any_in(x[where], words), says) if out is None else out.when(any_in(x[where], words), says)
+        return out.otherwise(R.REFINED_OTHER)
+
+    return let(F.struct(F.lower(url).alias("url"), F.lower(text).alias("text")), case)
 
 
 def heuristic(url: Column, text: Column, types: list[str], root: str) -> Column:
-    both = F.concat(F.lower(text), F.lower(url))
-    case = None
-    for kind, words, says in R.HEURISTIC_INTENTS:
-        if kind in types:
-            case = F.when(any_in(both, words), says + root) if case is None else case.when(any_in(both, words), says + root)
     other = F.concat(F.lit("Explore '"), F.lower(text), F.lit(f"' to find content relevant to: {root}"))
-    return other if case is None else case.otherwise(other)
+    rules = [(says + root, words) for kind, words, says in R.HEURISTIC_INTENTS if kind in types]
+    return first_class(F.concat(F.lower(text), F.lower(url)), rules, other) if rules else other
 
 
 def section(text: Column, marker: str, end: str | None = None) -> Column:
     """What follows a marker, up to the end marker or the end of the text; null if it isn't there."""
-    return F.nullif(F.trim(F.regexp_extract(text, rf"(?is){marker}:\s*(.+?)(?:{end + ':|' if end else ''}$)", 1)), F.lit(""))
+    found = F.regexp_extract(text, rf"(?is){marker}:\s*(.+?)(?:{end + ':|' if end else ''}$)", 1)
+    return F.nullif(F.regexp_replace(found, r"^\s+|\s+$", ""), F.lit(""))
 
 
 def page_type(title: Column, headings: Column, documents: Column, tables: Column, internal: Column) -> Column:
     """headings: array of text; the last three are counts."""
-    whole = joined(title, F.array_join(headings, " "))
-    case = None
-    for name, words in R.PAGE_TYPES:
-        case = F.when(any_in(whole, words), name) if case is None else case.when(any_in(whole, words), name)
-    return case.when(documents > 5, "document_library").when(tables > 3, "data_page").when(internal > 20, "navigation_hub").otherwise("content_page")
+    by_count = F.when(documents > 5, "document_library").when(tables > 3, "data_page").when(internal > 20, "navigation_hub").otherwise("content_page")
+    return first_class(joined(title, F.array_join(headings, " ")), R.PAGE_TYPES, by_count)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from functools import reduce
+import re
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -13,37 +14,47 @@ def joined(*parts: Column | str) -> Column:
     return F.lower(F.concat_ws(" ", *(F.coalesce(F.col(p) if isinstance(p, str) else p, F.lit("")) for p in parts)))
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with value computed once a row however often it is used: repeated in place, long rules outgrow what
+    one generated method may hold."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def any_in(text: Column, words: list[str]) -> Column:
     """Whether any word is a substring; an empty list is never."""
-    return reduce(lambda a, b: a | b, (text.contains(w) for w in words), F.lit(False))
+    return text.rlike("|".join(map(re.escape, words))) if words else F.lit(False)
 
 
 def hits(text: Column, words: list[str]) -> Column:
     """How many of the words are substrings."""
-    return sum((text.contains(w.lower()).cast("int") for w in words), F.lit(0))
+    return let(text, lambda t: sum((t.contains(w.lower()).cast("int") for w in words), F.lit(0))) if words else F.lit(0)
 
 
 def matched(text: Column, words: list[str]) -> Column:
     """The words that are substrings, in the list's order."""
-    return F.filter(F.array(*map(F.lit, words)), lambda w: text.contains(F.lower(w))) if words else F.array().cast("array<string>")
+    return let(text, lambda t: F.filter(F.array(*map(F.lit, words)), lambda w: t.contains(F.lower(w)))) if words else F.array().cast("array<string>")
 
 
 def weight(text: Column, weights: list[tuple[str, int]]) -> Column:
     """Sum of the weights of the patterns that are substrings."""
-    return sum((F.when(text.contains(p), w).otherwise(0) for p, w in weights), F.lit(0))
+    return let(text, lambda t: sum((F.when(t.contains(p), w).otherwise(0) for p, w in weights), F.lit(0)))
 
 
 def matched_weights(text: Column, weights: list[tuple[str, int]], label: str = "") -> Column:
     listed = F.array(*(F.lit(p) for p, _ in weights))
-    return F.transform(F.filter(listed, lambda p: text.contains(p)), lambda p: F.concat(F.lit(label), p))
+    return let(text, lambda t: F.transform(F.filter(listed, lambda p: t.contains(p)), lambda p: F.concat(F.lit(label), p)))
 
 
 def first_class(text: Column, classes: list[tuple[str, list[str]]], other: Column | str) -> Column:
     """The name of the first class with a word in the text."""
-    case = None
-    for name, words in classes:
-        case = F.when(any_in(text, words), name) if case is None else case.when(any_in(text, words), name)
-    return case.otherwise(F.lit(other) if isinstance(other, str) else other)
+
+    def case(t: Column) -> Column:
+        out = None
+        for name, words in classes:
+            out = F.when(any_in(t, words), name) if out is None else out.when(any_in(t, words), name)
+        return out.otherwise(F.lit(other) if isinstance(other, str) else other)
+
+    return let(text, case)
 
 
 def squeezed(text: Column) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from . import rules as R
-from .text import any_in
+from .text import any_in, first_class, let
 
 
 def without_query(url: Column) -> Column:
@@ -41,6 +41,16 @@ def path_depth(url: Column) -> Column:
     return F.size(F.filter(F.split(path(F.lower(url)), "/"), lambda p: p != ""))
 
 
+def decoded(text: Column) -> Column:
+    """Percent escapes resolved and `+` as a blank; what is no valid escape stays as it is."""
+    return F.coalesce(F.try_url_decode(text), text)
+
+
+def unquoted(text: Column) -> Column:
+    """As decoded, but `+` stays."""
+    return decoded(F.replace(text, F.lit("+"), F.lit("%2B")))
+
+
 def canonical(url: Column) -> Column:
     """Scheme and host in lower case, path without trailing slashes (`/` if empty), parameters sorted by name with blank
     ones dropped and values re-encoded, no fragment. A parameter's values keep their order."""
@@ -49,9 +59,8 @@ def canonical(url: Column) -> Column:
     place = F.when(place == "", "/").otherwise(place)
     query = F.regexp_extract(url, r"^[^?#]*\?([^#]*)", 1)
     pairs = F.filter(F.split(query, "&"), lambda p: p.rlike("^[^=]*=.+"))
-    keyed = F.transform(pairs, lambda p, i: F.struct(F.url_decode(F.substring_index(p, "=", 1)).alias("k"), i.alias("i"), F.url_decode(F.regexp_extract(p, "^[^=]*=(.*)$", 1)).alias("v")))
-    first = F.transform(keyed, lambda x: F.struct(x["k"].alias("k"), x["i"].alias("i"), x["v"].alias("v")))
-    text = F.array_join(F.transform(F.array_sort(first), lambda x: F.concat(F.url_encode(x["k"]), F.lit("="), F.url_encode(x["v"]))), "&")
+    keyed = F.transform(pairs, lambda p, i: F.struct(decoded(F.substring_index(p, "=", 1)).alias("k"), i.alias("i"), decoded(F.regexp_extract(p, "^[^=]*=(.*)$", 1)).alias("v")))
+    text = F.array_join(F.transform(F.array_sort(keyed), lambda x: F.concat(F.url_encode(x["k"]), F.lit("="), F.url_encode(x["v"]))), "&")
     return F.concat(scheme, F.lit("://"), host(url), place, F.when(text == "", "").otherwise(F.concat(F.lit("?"), text)))
 
 
@@ -95,12 +104,16 @@ def is_investor_site(url: Column) -> Column:
 
 def on_company_site(url: Column, root: Column) -> Column:
     """Whether a link is on the company's domain, an investor host, or one of the names built from the domain."""
-    low, base = F.lower(url), F.substring_index(root, ".", 1)
-    ok = low.contains(root) | any_in(low, R.INVESTOR_HOSTS)
-    for pattern in R.OTHER_SITES:
-        before, after = pattern.split("{base}")
-        ok = ok | low.contains(F.concat(F.lit(before), base, F.lit(after)))
-    return ok
+    base = F.substring_index(root, ".", 1)
+
+    def test(low: Column) -> Column:
+        ok = low.contains(root) | any_in(low, R.INVESTOR_HOSTS)
+        for pattern in R.OTHER_SITES:
+            before, after = pattern.split("{base}")
+            ok = ok | low.contains(F.concat(F.lit(before), base, F.lit(after)))
+        return ok
+
+    return let(F.lower(url), test)
 
 
 def profile_ticker(url: Column) -> Column:
@@ -111,15 +124,12 @@ def profile_ticker(url: Column) -> Column:
 
 def extension(url: Column) -> Column:
     """The first listed extension that the URL contains, else .unknown."""
-    low, case = F.lower(url), None
-    for e in R.FILE_EXTENSIONS:
-        case = F.when(low.contains(e), e) if case is None else case.when(low.contains(e), e)
-    return case.otherwise(".unknown")
+    return first_class(F.lower(url), [(e, [e]) for e in R.FILE_EXTENSIONS], ".unknown")
 
 
 def file_extension(url: Column, mime: Column | None = None) -> Column:
     """The path's suffix of at most 6 characters, else by MIME type, else .bin."""
-    name = F.element_at(F.split(F.url_decode(F.replace(path(url), F.lit("+"), F.lit("%2B"))), "/"), -1)
+    name = F.element_at(F.split(unquoted(path(url)), "/"), -1)
     suffix = F.regexp_extract(name, r"^.*[^.].*(\.[^.]*)$", 1)
     kind = F.trim(F.substring_index(mime if mime is not None else F.lit(""), ";", 1))
     by_mime = F.coalesce(F.element_at(F.create_map(*(F.lit(x) for pair in R.MIME_EXTENSIONS for x in pair)), kind), F.lit(".bin"))

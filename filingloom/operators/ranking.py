@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import rules as R
 from ..functions import urls
+from ..functions.text import any_in, let
 from .filters import ranked
 
 
@@ -92,10 +93,12 @@ def path_search(edges: DataFrame, starts: DataFrame, depth: int = 3, branch: int
 
 def link_value(url: Column, text: Column, company: Column, ticker: Column) -> Column:
     """How much following a link is worth on the way to a company's investor page."""
-    u, t, names = F.lower(url), F.lower(text), (F.lower(company), F.lower(ticker))
+    return let(F.struct(F.lower(url).alias("u"), F.lower(text).alias("t")), lambda x: _link_value(x["u"], x["t"], (F.lower(company), F.lower(ticker))))
 
+
+def _link_value(u: Column, t: Column, names: tuple[Column, Column]) -> Column:
     def either(words):
-        return sum((u.contains(w).cast("int") + t.contains(w).cast("int") for w in words), F.lit(0)) > 0
+        return any_in(u, words) | any_in(t, words)
 
     own = u.contains(names[0]) | u.contains(names[1])
     investor = either(["investor", "ir/", "investors", "investor-relations", "stockholder"])
@@ -106,7 +109,11 @@ def link_value(url: Column, text: Column, company: Column, ticker: Column) -> Co
 
 def search_score(url: Column, text: Column, company: Column, ticker: Column) -> Column:
     """Score of a link for the path search."""
-    u, t = F.lower(url), F.lower(text)
+    lows = F.struct(F.lower(url).alias("u"), F.lower(text).alias("t"), url.alias("url"), text.alias("text"))
+    return let(lows, lambda x: _search_score(x["u"], x["t"], x["url"], x["text"], company, ticker))
+
+
+def _search_score(u: Column, t: Column, url: Column, text: Column, company: Column, ticker: Column) -> Column:
     score = F.lit(0)
     for w in ["investor", "investors", "ir", "shareholders", "financials", "stock"]:
         score = score + F.when(u.contains(w), 3).otherwise(0) + F.when(t.contains(w), 2).otherwise(0)

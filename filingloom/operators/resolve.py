@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import rules as R
 from ..functions import urls
-from ..functions.text import any_in, hits
+from ..functions.text import any_in, hits, let
 
 
 def name_words(name: Column) -> Column:
@@ -18,7 +18,10 @@ def name_words(name: Column) -> Column:
 
 def website_score(url: Column, text: Column, name: Column, ticker: Column) -> Column:
     """How likely a link is the company's own site; -1000 for hosts of others."""
-    domain = F.lower(urls.bare_host(url))
+    return let(F.lower(urls.bare_host(url)), lambda domain: _site_score(domain, url, text, name, ticker))
+
+
+def _site_score(domain: Column, url: Column, text: Column, name: Column, ticker: Column) -> Column:
     dots = F.length(domain) - F.length(F.replace(domain, F.lit("."), F.lit("")))
     named = F.size(F.filter(name_words(name), lambda w: (F.length(w) > 3) & domain.contains(w)))
     score = F.when(domain.contains(F.lower(ticker)), 100).otherwise(0) + 50 * named + F.when(any_in(F.lower(url), R.SITE_URL_HINTS), 30).otherwise(0)
@@ -67,7 +70,7 @@ def resolve(companies: DataFrame, pages: DataFrame, links: DataFrame) -> DataFra
     reachable = pages.where(is_investor_page(F.col("html"))).select("url").distinct()
     probed = candidates(companies.select("ticker", "company_website")).join(reachable, "url", "left_semi").groupBy("ticker").agg(F.min_by("url", "ord").alias("probed"))
     root = urls.root_domain(urls.bare_host(F.col("company_website")))
-    scored = links.join(companies.select("ticker", "company_website"), "ticker").withColumn("score", site_score(F.col("url"), F.col("text"), F.col("title")))
+    scored = links.join(companies.where("company_website is not null").select("ticker", "company_website"), "ticker").withColumn("score", site_score(F.col("url"), F.col("text"), F.col("title")))
     scored = scored.where((F.col("score") > 0) & urls.on_company_site(F.col("url"), root)).groupBy("ticker").agg(F.max_by("url", F.struct("score", -F.col("ord"))).alias("scored"))
     whole = companies.join(probed, "ticker", "left").join(scored, "ticker", "left")
     found = F.when(known, F.col("investor_relations_url")).otherwise(F.coalesce("probed", "scored", "company_website"))

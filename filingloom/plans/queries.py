@@ -84,7 +84,8 @@ def normalize_url_doc(s, d):
 
 
 def normalize_url_crawl(s, d):
-    return view(s, d, "v_links").where("url like '%://%'").select("ord", U.canonical(_c("url")).alias("address"))
+    both = view(s, d, "v_links").where("url like '%://%'").select("ord", "url").unionByName(view(s, d, "v_docs").select("ord", "url"))
+    return both.select("ord", U.canonical(_c("url")).alias("address"))
 
 
 def domain_info(s, d):

@@ -50,7 +50,7 @@ VIEWS: dict[str, tuple[list[tuple[str, str]], str]] = {
         ("investor_relations_url", "CASE s_suppkey % 4 WHEN 0 THEN NULL WHEN 1 THEN concat('https://www.', lower(replace(n_name, ' ', '')), '.com') ELSE concat('https://investor.', lower(replace(n_name, ' ', '')), '.com/') END"),
     ], "supplier JOIN nation ON s_nationkey = n_nationkey"),
     "v_metrics": ([
-        ("ord", "(l_orderkey * 10 + l_linenumber) * 1000000 + l_partkey"), ("text", "concat(" + _case("l_orderkey", 6, ["Total revenue: $", "Net income $", "Revenue ", "Earnings: ", "revenue, which grew, profit ", "Nothing about "]) + ", CAST(CAST(l_quantity AS BIGINT) AS STRING), ',500.25 million. ', " + _case("l_linenumber", 4, ["Profit 7.5", "net income: $1,234", "EARNINGS 9", "end"]) + ")"),
+        ("ord", "(l_orderkey * 10 + l_linenumber) * 100000000 + l_partkey * 1000 + l_suppkey"), ("text", "concat(" + _case("l_orderkey", 6, ["Total revenue: $", "Net income $", "Revenue ", "Earnings: ", "revenue, which grew, profit ", "Nothing about "]) + ", CAST(CAST(l_quantity AS BIGINT) AS STRING), ',500.25 million. ', " + _case("l_linenumber", 4, ["Profit 7.5", "net income: $1,234", "EARNINGS 9", "end"]) + ")"),
     ], "lineitem"),
     "v_files": ([
         ("file_name", "concat(" + _case("p_partkey", 7, ["Form_10-K_", "quarterly-", "Proxy ", "press_", "Presentation Q", "other_", "10-q_"]) + ", CASE WHEN p_partkey % 3 = 0 THEN '2023' ELSE '' END, '_Q', CAST(p_partkey % 6 AS STRING), '.pdf')"),

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import documents as D
+from ..functions import urls as U
 
 METADATA = "struct<ticker:string,company_name:string,cnbc_url:string,company_website:string,extraction_method:string,timestamp:string>"
 COMPANY = f"ticker string, company_name string, investor_relations_url string, cnbc_url string, company_website string, url string, type string, title string, metadata {METADATA}"
@@ -53,16 +54,33 @@ def report_folder(spark: SparkSession, path: str) -> DataFrame:
     """The PDF files below `<ticker> - <company>` folders, with the folder's metadata file and what the names say."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.pdf").option("recursiveFileLookup", "true").load(path).select("path", "length")
     folder, name = F.element_at(F.split("path", "/"), -2), F.element_at(F.split("path", "/"), -1)
-    clean = F.url_decode(F.replace(folder, F.lit("+"), F.lit("%2B")))
-    files = files.select(F.col("path").alias("file_path"), F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B"))).alias("file_name"), (F.col("length") / (1024 * 1024)).alias("file_size_mb"), clean.alias("folder"))
-    notes = spark.read.format("binaryFile").option("pathGlobFilter", "_metadata.json").option("recursiveFileLookup", "true").load(path)
-    notes = notes.select(F.url_decode(F.replace(F.element_at(F.split("path", "/"), -2), F.lit("+"), F.lit("%2B"))).alias("folder"), F.col("content").cast("string").alias("metadata"))
-    whole = files.join(notes, "folder", "left")
+    clean = U.unquoted(folder)
+    files = files.select(F.col("path").alias("file_path"), U.unquoted(name).alias("file_name"), (F.col("length") / (1024 * 1024)).alias("file_size_mb"), clean.alias("folder"))
+    folders = [r[0] for r in files.select(F.regexp_replace("file_path", "/[^/]*$", "").alias("f")).distinct().collect()]
+    notes = _notes(spark, folders)
+    whole = files.join(F.broadcast(notes), F.regexp_replace("file_path", "/[^/]*$", "") == F.col("at"), "left")
     company = F.trim(F.regexp_extract("folder", "^.*? - (.*)$", 1))
     return whole.select("file_path", "file_name", "file_size_mb", F.trim(F.split("folder", " - ")[0]).alias("ticker"), F.when(company == "", F.col("folder")).otherwise(company).alias("company_name"), "metadata",
                         D.file_name_type(F.col("file_name")).alias("document_type"), D.file_year(F.col("file_name")).alias("extracted_year"), D.file_quarter(F.col("file_name")).alias("extracted_quarter"))
 
 
+def _notes(spark: SparkSession, folders: list[str], name: str = "_metadata.json") -> DataFrame:
+    """The metadata file of each folder: at, metadata. Spark's readers pass over names that begin with `_`, so these files, one
+    a company, are read through the file system itself."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    rows = []
+    for folder in folders:
+        file = jvm.org.apache.hadoop.fs.Path(folder, name)
+        fs = file.getFileSystem(conf)
+        if fs.exists(file):
+            stream = fs.open(file)
+            try:
+                rows.append((folder, bytes(jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode("utf-8", "replace")))
+            finally:
+                stream.close()
+    return spark.createDataFrame(rows, "at string, metadata string")
+
+
 def crawl_state(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(STATE).option("multiLine", True).json(path)
 
