@@ -4,8 +4,8 @@
 its spectral band, at its successive-approximation step, to the components' coefficient arrays; the arrays are
 dequantised and inverse-transformed in numpy, chroma is repeated to full resolution, and the result is an RGB tensor.
 
-`encode` writes coefficient arrays as such a file: a scan of all DC coefficients, then for each component two spectral
-bands, each first without the lowest bit and then that bit. A table made for the scan holds just the symbols it uses, so
+`encode` writes coefficient arrays as such a file: a scan of all DC coefficients, then two spectral bands of luma and one of
+each chroma, each first without the lowest bit and then that bit. A table made for the scan holds just the symbols it uses, so
 where a band's coefficients all have one size, a scan is a string of equal steps, which is read and written as an array;
 refining bits after an end-of-band run are an array as well. Other streams are read symbol by symbol.
 
@@ -29,8 +29,8 @@ from pyspark.sql import types as T
 #: Where the zigzag order visits an 8 x 8 block.
 ZIGZAG = np.array(sorted(range(64), key=lambda i: (i // 8 + i % 8, i // 8 if (i // 8 + i % 8) % 2 else i % 8)))
 _COSINE = np.array([[np.cos((2 * x + 1) * u * np.pi / 16) * (np.sqrt(1 / 8) if u == 0 else 0.5) for x in range(8)] for u in range(8)], np.float32)
-#: Spectral bands of the AC scans.
-BANDS = ((1, 5), (6, 63))
+#: Spectral bands of the AC scans, of luma and of chroma.
+BANDS, CHROMA_BANDS = ((1, 5), (6, 63)), ((1, 63),)
 
 
 class Damaged(ValueError):
@@ -43,11 +43,12 @@ class Damaged(ValueError):
 class _Bits:
     def __init__(self, data: bytes) -> None:
         self.raw = data.replace(b"\xff\x00", b"\xff")
-        self.bits = np.unpackbits(np.frombuffer(self.raw, np.uint8))
+        self.n = 8 * len(self.raw)
+        self.unpacked: np.ndarray | None = None
         self.at = 0
 
     def take(self, n: int) -> int:
-        if self.at + n > len(self.bits):
+        if self.at + n > self.n:
             raise Damaged("a scan ends early")
         first, last = self.at >> 3, (self.at + n + 7) >> 3
         value = int.from_bytes(self.raw[first:last], "big") >> (8 * last - self.at - n)
@@ -55,10 +56,12 @@ class _Bits:
         return value & ((1 << n) - 1)
 
     def array(self, n: int) -> np.ndarray:
-        if self.at + n > len(self.bits):
+        if self.at + n > self.n:
             raise Damaged("a scan ends early")
+        if self.unpacked is None:
+            self.unpacked = np.unpackbits(np.frombuffer(self.raw, np.uint8))
         self.at += n
-        return self.bits[self.at - n : self.at]
+        return self.unpacked[self.at - n : self.at]
 
 
 class _Table:
@@ -72,6 +75,17 @@ class _Table:
                 code, k = code + 1, k + 1
             code <<= 1
         self.write = {s: lc for lc, s in self.codes.items()}
+        self.longest = max((n for n, _ in self.codes), default=1)
+        self.look: list[tuple[int, int] | None] | None = None
+
+    def looked_up(self) -> list[tuple[int, int] | None]:
+        """Length and symbol by the next `longest` bits."""
+        if self.look is None:
+            self.look = [None] * (1 << self.longest)
+            for (length, code), symbol in self.codes.items():
+                free = self.longest - length
+                self.look[code << free : (code + 1) << free] = [(length, symbol)] * (1 << free)
+        return self.look
 
     def read(self, bits: _Bits) -> int:
         code = 0
@@ -177,44 +191,68 @@ def _scan(data: bytes, at: int, head: bytes, parts, mcus, dc, ac, restart) -> in
         end = next_
         break
     if n > 1:
-        units = [(p, t, y * p["v"] + v, x * p["h"] + h) for y in range(mcus[0]) for x in range(mcus[1]) for p, t, _ in chosen for v in range(p["v"]) for h in range(p["h"])]
-        step = restart * sum(p["h"] * p["v"] for p, _, _ in chosen)
+        places = [(p, t, v * p["c"].shape[1] + h) for p, t, _ in chosen for v in range(p["v"]) for h in range(p["h"])]
+        total = mcus[0] * mcus[1]
     else:
         p, t, _ = chosen[0]
         rows, columns = p["own"]
-        units, step = rows * columns, restart
-    total = len(units) if n > 1 else units
-    step = step or total
+        places, total = [(p, t, 0)], rows * columns
+    step = restart or total
     for i, piece in enumerate(pieces):
         a, b = i * step, min(total, (i + 1) * step)
         if a >= b:
             break
-        bits = _Bits(piece)
+        bits, k = _Bits(piece), np.arange(a, b)
         if lo == 0:
-            one = units[a:b] if n > 1 else [(p, t, k // columns, k % columns) for k in range(a, b)]
-            _dc(bits, one, dc, high, low)
+            if n > 1:
+                index = [(k // mcus[1] * p["v"]) * p["c"].shape[1] + k % mcus[1] * p["h"] + first for p, _, first in places]
+            else:
+                index = [k // columns * p["c"].shape[1] + k % columns]
+            _dc(bits, [(p, None if high else dc[t], f) for p, t, f in places], index, high, low)
         else:
-            grid = p["c"][:rows, :columns].reshape(-1, 64)[a:b] if p["c"].shape[1] == columns else p["c"][:rows, :columns].reshape(rows * columns, 64)[a:b].copy()
+            whole = p["c"].shape[1] == columns
+            grid = p["c"].reshape(-1, 64)[a:b] if whole else p["c"][k // columns, k % columns]
             (_ac_refine if high else _ac_first)(bits, grid, ac[chosen[0][2]], lo, hi, low)
-            if not np.shares_memory(grid, p["c"]):
-                k = np.arange(a, b)
+            if not whole:
                 p["c"][k // columns, k % columns] = grid
     return end
 
 
-def _dc(bits: _Bits, units, tables, high: int, low: int) -> None:
+def _differences(bits: _Bits, tables: list[_Table], n: int) -> list[int]:
+    """n coded differences, the tables taken in turn."""
+    raw, at, out = bits.raw + bytes(8), bits.at, []
+    looks = [(t.looked_up(), 48 - t.longest, (1 << t.longest) - 1) for t in tables]
+    turns = len(looks)
+    for i in range(n):
+        look, shift, mask = looks[i % turns]
+        word, skip = int.from_bytes(raw[at >> 3 : (at >> 3) + 6], "big"), at & 7
+        found = look[word >> (shift - skip) & mask]
+        if found is None:
+            raise Damaged("no such code")
+        length, size = found
+        v = word >> (48 - skip - length - size) & ((1 << size) - 1)
+        out.append(v if not size or v >> (size - 1) else v - (1 << size) + 1)
+        at += length + size
+        if at > bits.n:
+            raise Damaged("a scan ends early")
+    bits.at = at
+    return out
+
+
+def _dc(bits: _Bits, places: list[tuple[dict, _Table | None, int]], index: list[np.ndarray], high: int, low: int) -> None:
+    """places: component and table of each block of a unit; index: for each of them its block's number in every unit."""
+    n, turns = len(index[0]), len(places)
     if high:
-        for (p, _, y, x), bit in zip(units, bits.array(len(units)).tolist(), strict=True):
-            p["c"][y, x, 0] |= bit << low
-        return
-    last: dict[int, int] = {}
-    for p, t, y, x in units:
-        size = tables[t].read(bits)
-        v = bits.take(size) if size else 0
-        if size and v < 1 << (size - 1):
-            v -= (1 << size) - 1
-        last[id(p)] = last.get(id(p), 0) + v
-        p["c"][y, x, 0] = last[id(p)] << low
+        got = bits.array(n * turns).astype(np.int32).reshape(n, turns) << low
+    else:
+        got = np.array(_differences(bits, [t for _, t, _ in places], n * turns), np.int64).reshape(n, turns)
+        for part in {id(p) for p, _, _ in places}:
+            own = [k for k, (p, _, _) in enumerate(places) if id(p) == part]
+            got[:, own] = np.cumsum(got[:, own].ravel()).reshape(n, -1)
+        got <<= low
+    for k, (p, _, _) in enumerate(places):
+        flat = p["c"].reshape(-1, 64)
+        flat[index[k], 0] = flat[index[k], 0] | got[:, k] if high else got[:, k]
 
 
 def _ac_first(bits: _Bits, grid: np.ndarray, table: _Table, lo: int, hi: int, low: int) -> None:
@@ -252,6 +290,9 @@ def _ac_refine(bits: _Bits, grid: np.ndarray, table: _Table, lo: int, hi: int, l
 
     def correct(cells: np.ndarray) -> np.ndarray:
         """The cells, those not zero moved away from zero by their bits."""
+        if cells.all():
+            move = bits.array(len(cells)).astype(np.int32) * (one * ((np.abs(cells) & one) == 0))
+            return cells + np.where(cells > 0, move, -move)
         some = np.flatnonzero(cells)
         if len(some):
             value = cells[some]
@@ -355,16 +396,20 @@ def encode(size: tuple[int, int], parts: list[dict]) -> bytes:
 
     hm, vm = max(p["h"] for p in parts), max(p["v"] for p in parts)
     own = [_own(size, p, hm, vm) for p in parts]
-    for i, p in enumerate(parts):  # DC, one component a scan
-        dc = p["c"][: own[i][0], : own[i][1], 0].ravel()
-        step = np.diff(dc, prepend=0)
-        sizes = _size(step)
-        table = table_for(sorted(set(sizes.tolist())))
-        writer = _Writer()
-        writer.bits.append(_codes(step, sizes, table))
-        scan([i], table, 0, 0, 0, 0, 0, writer)
-    for lo, hi in BANDS:
-        for i, p in enumerate(parts):
+    steps = []  # DC of all components in one scan, unit by unit
+    for p in parts:
+        rows, columns = p["c"].shape[:2] if len(parts) > 1 else own[0]
+        v, h = (p["v"], p["h"]) if len(parts) > 1 else (1, 1)
+        dc = p["c"][:rows, :columns, 0].reshape(rows // v, v, columns // h, h).swapaxes(1, 2).reshape(-1, v * h)
+        steps.append(np.diff(dc.ravel(), prepend=0).reshape(dc.shape))
+    step = np.hstack(steps).ravel()
+    sizes = _size(step)
+    table = table_for(np.unique(sizes).tolist())
+    writer = _Writer()
+    writer.bits.append(_codes(step, sizes, table))
+    scan(list(range(len(parts))), table, 0, 0, 0, 0, 0, writer)
+    for i, p in enumerate(parts):
+        for lo, hi in CHROMA_BANDS if i else BANDS:
             grid = p["c"][: own[i][0], : own[i][1]].reshape(-1, 64)[:, lo : hi + 1]
             first = np.sign(grid) * (np.abs(grid) >> 1)
             writer, table = _band_first(first)
