@@ -27,12 +27,11 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = jaccard_join.groups(docs.select("doc_id", "text"))
-    alone = F.when(F.col("component_id").isNull(), F.col("text_key"))
-    best = found.groupBy("component_id", alone.alias("alone")).agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key")).alias("x"))
-    kept = best.select(F.col("x.doc_id").alias("_id"), F.col("x.text_key").alias("_kept"))
-    keyed = docs.withColumn("_key", F.xxhash64("text"))
-    kept = keyed.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_kept")), "left_semi")
-    return kept.dropDuplicates(["doc_id", "_key"]).select(*docs.columns)
+    best = found.groupBy("group_key").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key")).alias("x"))
+    kept = best.select(F.col("x.doc_id").alias("__fl_id"), F.col("x.text_key").alias("__fl_kept"))
+    keyed = docs.withColumn("__fl_key", F.xxhash64("text"))
+    kept = keyed.join(kept, F.col("doc_id").eqNullSafe(F.col("__fl_id")) & (F.col("__fl_key") == F.col("__fl_kept")), "left_semi")
+    return kept.dropDuplicates(["doc_id", "__fl_key"]).select(*docs.columns)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,9 +45,9 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    keyed = docs.withColumn("_key", F.xxhash64("doc_id", "text"))
-    mixed = mixing.mix(keyed, carry=("_key",)).drop("doc_id", "source").dropDuplicates(["_key"])
-    return keyed.join(mixed, "_key").drop("_key")
+    keyed = docs.withColumn("__fl_key", F.xxhash64("doc_id", "text"))
+    mixed = mixing.mix(keyed, carry=("__fl_key",)).drop("doc_id", "source").dropDuplicates(["__fl_key"])
+    return keyed.join(mixed, "__fl_key").drop("__fl_key")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

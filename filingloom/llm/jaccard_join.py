@@ -137,7 +137,8 @@ def compare(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def groups(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """doc_id, n_shingles, component_id and text_key (a hash of the text) for each row; sets link where den * shared >= num * union."""
+    """doc_id, n_shingles, component_id, text_key (a hash of the text) and group_key (a number for each group, apart even
+    where groups share a doc_id) for each row; sets link where den * shared >= num * union."""
     sets = C.cut(_suspects(docs, size, num, den))
     order = F.coalesce("doc_id", F.lit(int(np.iinfo(np.int64).max))).alias("order")
     best = F.min(F.struct(order, "n", "typical", "bands", "first", "post", "elements")).alias("x")
@@ -183,7 +184,7 @@ def groups(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> Dat
     joined = components(between).select(F.col("node").alias("root"), F.col("root").alias("last"))
     whole = nodes.select("node", "sid", "sid2", "order").join(root, "node").join(joined, "root", "left").withColumn("last", F.coalesce("last", "root"))
     least = whole.groupBy("last").agg(F.min("order").alias("component_id"))
-    named = whole.join(least, "last").select("sid", "sid2", "component_id")
+    named = whole.join(least, "last").select("sid", "sid2", "component_id", "last")
     out = sets.select("doc_id", "text_key", "n", "sid", "sid2").join(named, ["sid", "sid2"], "left")
     known_id = F.coalesce(F.col("component_id"), F.col("doc_id"))
-    return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(known_id == int(np.iinfo(np.int64).max), F.lit(None)).otherwise(known_id).alias("component_id"), "text_key")
+    return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(known_id == int(np.iinfo(np.int64).max), F.lit(None)).otherwise(known_id).alias("component_id"), "text_key", F.coalesce("last", F.xxhash64("doc_id", "text_key")).alias("group_key"))

@@ -125,6 +125,8 @@ def score(docs: DataFrame, training: Column, tuning: Column, order: int = 2, ste
 
     tuned = blocks.where(F.col("part") == TUNE).groupBy("blk").cogroup(answers.groupBy("blk")).applyInArrow(observe, "body binary")
     weights = learn(C.cut(tuned), order, total[0], types, steps)
+    if not total[1]:
+        weights = np.array([1.0, *[0.0] * order])[:, None].repeat(_BUCKETS, 1)
 
     def rate(table, answer):
         n_rows = table.num_rows

@@ -28,7 +28,7 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.groups(_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text_key")
+    return jaccard_join.groups(_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text_key", "group_key")
 
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

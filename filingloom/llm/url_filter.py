@@ -72,10 +72,10 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]], default: str = "a
         found = index.collect()
         listed = F.array(*(F.struct(F.lit(-len(r["rule"])).alias("k"), F.lit(r["rule"]).alias("rule"), F.lit(r["verdict"]).alias("verdict"), F.lit(r["token"]).alias("token"), F.lit(r["pattern"]).alias("pattern")) for r in found))
         best = F.array_min(F.filter(listed, lambda r: F.array_contains(tokens(F.col("host"), F.col("path")), r["token"]) & F.regexp_like(address, r["pattern"])))
-        return pages.withColumn("_best", best).withColumns({"rule": F.col("_best.rule"), "verdict": F.coalesce("_best.verdict", F.lit(default))}).drop("_best")
+        return pages.withColumn("__fl_best", best).withColumns({"rule": F.col("__fl_best.rule"), "verdict": F.coalesce("__fl_best.verdict", F.lit(default))}).drop("__fl_best")
     index = C.cut(index)
     index = F.broadcast(index) if len(rows) <= BROADCAST else index
     asked = pages.where("host <> ''").select("host", "path").distinct().select("host", "path", F.explode(tokens(F.col("host"), F.col("path"))).alias("token"))
     fits = asked.join(index, "token").where(F.regexp_like(address, F.col("pattern")))
-    best = C.cut(fits.groupBy("host", "path").agg(F.min(F.struct((-F.length("rule")).alias("k"), "rule", "verdict")).alias("_best")))
-    return pages.join(best, ["host", "path"], "left").withColumns({"rule": F.col("_best.rule"), "verdict": F.coalesce("_best.verdict", F.lit(default))}).drop("_best")
+    best = C.cut(fits.groupBy("host", "path").agg(F.min(F.struct((-F.length("rule")).alias("k"), "rule", "verdict")).alias("__fl_best")))
+    return pages.join(best, ["host", "path"], "left").withColumns({"rule": F.col("__fl_best.rule"), "verdict": F.coalesce("__fl_best.verdict", F.lit(default))}).drop("__fl_best")
