@@ -107,7 +107,7 @@ class Seeds:
             for i in range(0, lines.shape[1], 20_000):
                 best.append(self._verify(h, head, count, *lines[:, i : i + 20_000]))
         best = np.concatenate(best, 1)
-        order = np.lexsort((best[2], -best[4], best[1], best[0]))
+        order = np.lexsort((best[3], best[2], -best[4], best[1], best[0]))
         best = best[:, order]
         pair = best[0] * n_items + best[1]
         return list(best[:, np.diff(pair, prepend=-1) != 0])

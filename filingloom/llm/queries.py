@@ -119,5 +119,17 @@ edge AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
 reach AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT reach.a, edge.b FROM reach JOIN edge ON edge.a = reach.b)
 SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, low AS component_id
 FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT a, min(b) AS low FROM reach GROUP BY a) r ON r.a = d.doc_id
+""",
+    "op10_decontamination": r"""
+WITH d AS (SELECT doc_id, k, ws[k] AS word, len(ws) AS n FROM (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents), unnest(range(1, len(ws) + 1)) t(k)),
+i AS (SELECT item_id, k, ws[k] AS word, len(ws) AS n FROM (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM benchmark), unnest(range(1, len(ws) + 1)) t(k)),
+eq AS (SELECT doc_id, item_id, d.k - i.k AS shift, i.k AS q, d.n AS dn, i.n AS size, least(13, i.n) AS w, CASE WHEN i.n < 13 THEN 0 ELSE 2 END AS miss FROM d JOIN i USING (word)),
+diag AS (SELECT doc_id, item_id, shift, any_value(dn) AS dn, any_value(size) AS size, any_value(w) AS w, any_value(miss) AS miss FROM eq GROUP BY doc_id, item_id, shift HAVING count(*) >= any_value(w - miss)),
+near AS (SELECT eq.doc_id, eq.item_id, eq.shift, eq.q FROM eq JOIN diag USING (doc_id, item_id, shift)),
+win AS (SELECT doc_id, item_id, shift, s, w, miss FROM diag, unnest(range(1, size - w + 2)) t(s) WHERE s + shift >= 1 AND s + shift + w - 1 <= dn),
+good AS (SELECT doc_id, item_id, shift, s, w FROM win JOIN near USING (doc_id, item_id, shift) WHERE q BETWEEN s AND s + w - 1 GROUP BY doc_id, item_id, shift, s, w, miss HAVING count(*) >= w - miss),
+span AS (SELECT doc_id, item_id, shift, min(s) AS a, max(s + w) AS b FROM good GROUP BY doc_id, item_id, shift),
+leak AS (SELECT doc_id, item_id, any_value(a + shift - 1) AS first, any_value(b - a) AS words, count(*) AS matched FROM span JOIN near USING (doc_id, item_id, shift) WHERE q >= a AND q < b GROUP BY doc_id, item_id, shift)
+SELECT doc_id, item_id, CAST(first AS INTEGER) AS first, CAST(words AS INTEGER) AS words, CAST(matched AS INTEGER) AS matched FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY matched DESC, first, words) AS k FROM leak) WHERE k = 1
 """,
 }
