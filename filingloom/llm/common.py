@@ -130,7 +130,7 @@ def squeeze(a: np.ndarray) -> bytes:
     """Numbers as compressed bytes, equal bytes of all numbers side by side."""
     a = np.ascontiguousarray(a)
     raw = np.ascontiguousarray(a.view(np.uint8).reshape(len(a), a.itemsize).T).tobytes()
-    return a.dtype.str.encode().ljust(4) + len(a).to_bytes(8, "little") + (pa.compress(raw, codec="zstd", asbytes=True) if raw else b"")
+    return a.dtype.str.encode().ljust(4) + len(a).to_bytes(8, "little") + (pa.Codec("zstd", compression_level=3).compress(raw, asbytes=True) if raw else b"")
 
 
 def unsqueeze(b: bytes) -> np.ndarray:

@@ -9,7 +9,8 @@ of heavy hitters; their windows travel one by one to buckets by the window's own
 
 Defined cases: a null or empty text has no words (n_words 0, kept text empty). A null doc_id counts as later than any
 number. Repeated rows (equal doc_id and text) are one document. Rows that share a doc_id with different texts are
-separate documents, and neither is earlier at the same start. Only doc_id and text are read.
+separate documents, and neither is earlier at the same start. Only doc_id and text are read; other columns are kept, but
+for those of the result's names (names that begin with `__fl` are the operators' own).
 """
 
 from __future__ import annotations
@@ -32,6 +33,9 @@ _RUN = 256
 _SENT = 1_000_000
 #: Bytes of super-k-mers that a map task gathers before it sends a row to each bucket.
 _HELD = 32 << 20
+#: Spans that a task gathers before it sends a row to each part of the documents.
+_SPANS = 2_000_000
+_FAR = 1 << 31
 
 
 def _slide_min(h: np.ndarray, w: int) -> np.ndarray:
@@ -113,7 +117,7 @@ def _heavy(docs: DataFrame, window: int, mini: int, share: int) -> tuple[list[in
 
 
 def marked_spans(docs: DataFrame, window: int = 20, mini: int = 3, task_bytes: int = 24 << 20) -> DataFrame:
-    """Runs of words that windows which occur earlier cover: doc_id (null is the largest long), text_key, first, last (word numbers, last excluded)."""
+    """For each document with words that windows which occur earlier cover: doc_id (null is the largest long), text_key, spans (first and last word, last excluded)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_key"))
     spark = docs.sparkSession
     hot, size = _heavy(docs, window, mini, 4 * C.partitions(spark))
@@ -167,19 +171,55 @@ def marked_spans(docs: DataFrame, window: int = 20, mini: int = 3, task_bytes: i
         for b in batches:
             for k, body in zip(b.column("bucket").to_pylist(), b.column("body").to_pylist(), strict=True):
                 bodies.setdefault(k, []).append(body)
+        spans, size = [], 0
         for k in list(bodies):
             whole = [_unpack(x) for x in bodies.pop(k)]
             real, doc, key, first, last = (np.concatenate([x[i] for x in whole]) for i in range(5))
-            yield _spans(doc[~real], key[~real], first[~real], last[~real])
+            spans.append((doc[~real], key[~real], first[~real], last[~real]))
             if real.any():
-                yield _mark(b" ".join(x[5] for x in whole if x[5]), doc[real], key[real], first[real], last[real], window)
+                spans.append(_mark(b" ".join(x[5] for x in whole if x[5]), doc[real], key[real], first[real], last[real], window))
+            size += sum(len(x[0]) for x in spans[-2:])
+            if size > _SPANS:
+                yield _by_document(spans, parts)
+                spans, size = [], 0
+        yield _by_document(spans, parts)
+
+    def gather(batches):
+        """All spans of each document in one row, joined where they touch."""
+        bodies = [C.parts(x) for b in batches for x in b.column("body").to_pylist()]
+        doc, key, first, last = (np.concatenate([np.zeros(0, np.int64), *(C.unsqueeze(x[i]).astype(np.int64) for x in bodies)]) for i in range(4))
+        order = np.lexsort((first, key, doc))
+        doc, key, first, last = doc[order], key[order], first[order], last[order]
+        begins = np.ones(len(doc), bool)
+        begins[1:] = (doc[1:] != doc[:-1]) | (key[1:] != key[:-1])
+        at = np.flatnonzero(begins)
+        which = np.cumsum(begins) - 1
+        reach = np.maximum.accumulate(last + which * _FAR) - which * _FAR if len(doc) else last  # the furthest end so far in the document
+        apart = begins.copy()
+        apart[1:] |= first[1:] > reach[:-1]
+        i = np.flatnonzero(apart)
+        ends = reach[np.append(i[1:], len(doc)) - 1] if len(doc) else last
+        lists = pa.ListArray.from_arrays(pa.array(np.append(np.searchsorted(i, at), len(i)).astype(np.int32)), pa.StructArray.from_arrays([pa.array(first[i].astype(np.int32)), pa.array(ends.astype(np.int32))], names=["first", "last"]))
+        yield pa.record_batch({"doc_id": pa.array(doc[at]), "text_key": pa.array(key[at]), "spans": lists})
 
     sent = docs.mapInArrow(send, "bucket int, body binary").repartition(parts, "bucket")
-    return sent.mapInArrow(settle, "doc long, text_key long, first int, last int").withColumnRenamed("doc", "doc_id")
+    marked = sent.mapInArrow(settle, "part int, body binary").repartition(parts, "part")
+    return marked.mapInArrow(gather, "doc_id long, text_key long, spans array<struct<first:int,last:int>>")
 
 
-def _spans(doc, key, first, last) -> pa.RecordBatch:
-    return pa.record_batch({"doc": pa.array(doc, pa.int64()), "text_key": pa.array(key, pa.int64()), "first": pa.array(first, pa.int32()), "last": pa.array(last, pa.int32())})
+def _by_document(spans: list, parts: int) -> pa.RecordBatch:
+    """A row for each part of the documents, by hash: its spans, compressed."""
+    doc, key, first, last = (np.concatenate([np.zeros(0, np.int64), *(np.asarray(x[i], np.int64) for x in spans)]) for i in range(4))
+    part = (C.mix(doc.view(np.uint64) + np.uint64(1)) % np.uint64(2 * parts)).astype(np.int32)
+    order = np.argsort(part, kind="stable")
+    edge = np.flatnonzero(np.diff(part[order], prepend=-1))
+    out = ([], [])
+    for i, j in zip(edge, [*edge[1:], len(order)][: len(edge)], strict=True):
+        at = order[i:j]
+        body = [C.squeeze(x) for x in (doc[at], key[at], first[at].astype(np.int32), last[at].astype(np.int32))]
+        out[0].append(int(part[at[0]]))
+        out[1].append(b"".join(len(x).to_bytes(4, "little") + x for x in body))
+    return pa.record_batch({"part": pa.array(out[0], pa.int32()), "body": pa.array(out[1], pa.binary())})
 
 
 def _pack(held: list) -> pa.RecordBatch:
@@ -190,7 +230,7 @@ def _pack(held: list) -> pa.RecordBatch:
     order = np.argsort(bucket, kind="stable")
     edge = np.flatnonzero(np.diff(bucket[order], prepend=-1))
     out = ([], [])
-    for i, j in zip(edge, [*edge[1:], len(order)], strict=True):
+    for i, j in zip(edge, [*edge[1:], len(order)][: len(edge)], strict=True):
         at = order[i:j]
         text = b" ".join(strings[at[real[at]]].tolist())
         parts = [C.squeeze(x[at]) for x in (real.astype(np.uint8), *numbers)] + [C.squeeze(np.frombuffer(text, np.uint8))]
@@ -204,7 +244,7 @@ def _unpack(body: bytes) -> tuple:
     return real.astype(bool), doc, key, first, last, text.tobytes()
 
 
-def _mark(text: bytes, doc, key, first, last, window: int) -> pa.RecordBatch:
+def _mark(text: bytes, doc, key, first, last, window: int) -> tuple:
     """Sort a bucket's windows; mark those that an equal one precedes."""
     data = np.frombuffer(text, np.uint8)
     start, end, _ = C.words(data, np.array([0, len(data)]))
@@ -232,7 +272,7 @@ def _mark(text: bytes, doc, key, first, last, window: int) -> pa.RecordBatch:
     new[1:] = (d[1:] != d[:-1]) | (k[1:] != k[:-1]) | (p[1:] - p[:-1] > 1)
     i = np.flatnonzero(new)
     final = p[np.append(i[1:], len(d)) - 1] + window if len(d) else p
-    return _spans(d[i], k[i], p[i], final)
+    return d[i], k[i], p[i], final
 
 
 def _equal(data, a, b, c, d) -> bool:
@@ -248,12 +288,13 @@ def _equal(data, a, b, c, d) -> bool:
 
 def cut_repeats(docs: DataFrame, window: int = 20, mini: int = 4) -> DataFrame:
     """docs with spans (first, last: words that are covered by earlier windows), n_words, n_removed and kept_words (the words left, joined by one space)."""
-    spans = marked_spans(docs, window, mini).groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
-    spans = spans.withColumnsRenamed({"doc_id": "_doc", "text_key": "_key"})
+    docs = docs.drop("spans", "n_words", "n_removed", "kept_words")
+    spans = marked_spans(docs, window, mini)
+    spans = spans.withColumnsRenamed({"doc_id": "__fl_doc", "text_key": "__fl_key"})
     fields = docs.schema.fields
-    keyed = docs.withColumns({"_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)), "_text": F.xxhash64("text")})
+    keyed = docs.withColumns({"__fl_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)), "__fl_text": F.xxhash64("text")})
     packed = T.StructType([T.StructField(f.name, T.BinaryType()) if f.name == "text" else f for f in keyed.schema.fields])
-    joined = keyed.mapInArrow(_shrink, packed).join(spans, (F.col("_id") == F.col("_doc")) & (F.col("_text") == F.col("_key")), "left").drop("_id", "_text", "_doc", "_key")
+    joined = keyed.mapInArrow(_shrink, packed).join(spans, (F.col("__fl_id") == F.col("__fl_doc")) & (F.col("__fl_text") == F.col("__fl_key")), "left").drop("__fl_id", "__fl_text", "__fl_doc", "__fl_key")
 
     def cutting(batches):
         for b in batches:
