@@ -12,16 +12,17 @@ def components(edges: DataFrame) -> DataFrame:
     """edges: a, b (long). Returns node and root, the smallest node that it reaches, for each node of an edge.
 
     Each step joins every node's neighbours to the smallest of them; the number of steps grows as the logarithm of the
-    largest component, and the table never grows. Self-loops and repeated edges do no harm; nulls are not nodes; no
+    largest component, and the table never grows. The smallest neighbours are written before they are joined, so that a
+    node with very many edges can be split over tasks. Self-loops and repeated edges do no harm; nulls are not nodes; no
     edges give no rows.
     """
     e = C.cut(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     stamp = None
     while True:
         both = e.union(e.select("b", "a"))
-        low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+        low = C.cut(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")))
         large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
+        low = C.cut(large.groupBy("a").agg(F.min("b").alias("m")))
         pairs = large.join(low, "a")
         small = pairs.select(F.col("b").alias("a"), F.col("m").alias("b")).union(pairs.select("a", F.col("m").alias("b"))).where("a <> b").distinct()
         e = C.cut(small)

@@ -147,7 +147,7 @@ def groups(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> Dat
 
     # Relations: each node and the hubs of its bands.
     banded = nodes.select("node", "typical", F.posexplode("bands").alias("band", "low"))
-    hubs = banded.groupBy("band", "low").agg(F.min(F.struct((-F.col("typical")).alias("t"), F.col("node").alias("hub"))).alias("x"), F.count("*").alias("c")).where("c > 1").select("band", "low", "x.hub")
+    hubs = C.cut(banded.groupBy("band", "low").agg(F.min(F.struct((-F.col("typical")).alias("t"), F.col("node").alias("hub"))).alias("x"), F.count("*").alias("c")).where("c > 1").select("band", "low", "x.hub"))
     pairs = banded.join(hubs, ["band", "low"]).where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
     star = C.cut(compare(pairs, nodes).where(linked).withColumn("near", F.col("shared") / (F.col("na") + F.col("nb") - F.col("shared"))))
     roots = components(star.select("a", "b"))

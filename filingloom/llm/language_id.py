@@ -5,7 +5,7 @@ inside) are hashed to a vector. TF-IDF vectors of unit length are compared by co
 language, found by spherical k-means. A text whose best cosine is below that centroid's limit is rejected.
 
 Inverse document frequencies come from all training rows. Centroids and limits are fitted on at most `per_language`
-training rows of each language, those of the smallest hash of doc_id.
+training rows of each of the `most_languages` languages with the most such rows, those of the smallest hash of doc_id.
 
 Defined cases: a null text, or one without letters, is `und` with score 0 and rejected. Rows without language aren't
 learned from. Without training rows all texts are `und`. Ties go to the language that sorts first. Each row is judged on
@@ -95,10 +95,10 @@ def _centroids(v: np.ndarray, k: int) -> np.ndarray:
     return c[size >= min(max(3, 0.02 * len(v)), size.max())]
 
 
-def fit(docs: DataFrame, training: Column, per_language: int = 400, clusters: int = 4) -> dict:
+def fit(docs: DataFrame, training: Column, per_language: int = 400, clusters: int = 4, most_languages: int = 1000) -> dict:
     """Learn from the training rows of docs (doc_id, text, lang)."""
     train = docs.where(training & F.col("text").isNotNull() & F.col("lang").isNotNull()).select("doc_id", "text", "lang")
-    sizes = {r["lang"]: r["count"] for r in train.groupBy("lang").count().collect()}
+    sizes = {r["lang"]: r["count"] for r in train.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_languages).collect()}
 
     def frequencies(batches):
         seen, n = np.zeros(DIMENSIONS, np.int64), 0
@@ -114,9 +114,8 @@ def fit(docs: DataFrame, training: Column, per_language: int = 400, clusters: in
     idf = (np.log((1 + df[0]) / (1 + df[1:])) + 0.1).astype(np.float32)
 
     order = F.xxhash64(F.col("doc_id").cast("string"), F.lit("sample"))
-    share = F.lit(0.0)
-    for lang, n in sizes.items():
-        share = F.when(F.col("lang") == lang, F.lit(min(1.0, 1.3 * per_language / n + 20 / n))).otherwise(share)
+    shares = [F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, (1.3 * per_language + 20) / n))]
+    share = F.element_at(F.create_map(*shares), F.col("lang")) if shares else F.lit(0.0)
     chosen = train.withColumn("order", order).where(F.pmod("order", F.lit(1 << 40)) < share * (1 << 40))
 
     def vectors(batches):
