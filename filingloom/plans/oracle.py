@@ -142,6 +142,8 @@ ORACLE: dict[str, str] = {
         "SELECT ticker, document_type, ord, extracted_year, extracted_quarter FROM (SELECT f.*, row_number() OVER (PARTITION BY ticker ORDER BY extracted_quarter IS NOT NULL DESC, coalesce(extracted_year, 0) DESC, coalesce(extracted_quarter, 0) DESC, k, relevance_score DESC, ord) AS rn "
         "FROM featured f JOIN p USING (document_type)) WHERE rn = 1", "v_docs"),
     "classify_documents": _with(f"SELECT ord, {_TYPE} AS document_type FROM v_docs", "v_docs"),
+    "document_features": _with("u AS (SELECT ord, title, url, title || ' ' || url AS t FROM v_docs)," + _year("u", "ord, title, url, t", "t") + f""" SELECT ord, substr(title, 1, 200) AS title, string_split(string_split(url, '#')[1], '?')[1] AS normalized_url, {_TYPE} AS document_type, {_first('t', R.DATE_PATTERNS)} AS publication_date,
+        {_EXT} AS file_extension, substr(title, 1, 150) AS content_preview, {_TYPE} AS subsection, year AS extracted_year, {_QUARTER.format(t='t')} AS extracted_quarter FROM dated""", "v_docs"),
     "classify_filenames": _with(f"SELECT ord, {_FILE_TYPE} AS document_type, 2000 + TRY_CAST(regexp_extract(file_name, '20(\\d{{2}})', 1) AS INTEGER) AS year, TRY_CAST(regexp_extract(file_name, '[Qq]([1-4])', 1) AS INTEGER) AS quarter FROM v_files", "v_files"),
     "extract_year_strict": _with(_year("v_docs", "ord", "title") + " SELECT ord, year FROM dated", "v_docs"),
     "extract_year_extended": _with("u AS (SELECT ord, url || ' ' || title AS t FROM v_docs)," + _year("u", "ord", "t") + rf""", z AS (SELECT ord, year, coalesce(TRY_CAST(regexp_extract(clean, '(?:[1-4]q|q[1-4])\s*(\d{{2}})(?:\D|$)', 1, 'i') AS INTEGER), TRY_CAST(regexp_extract(clean, '(?:^|\D)(\d{{2}})\s*$', 1) AS INTEGER)) AS short,

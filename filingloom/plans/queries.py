@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import documents as D
 from ..functions import intents as I
 from ..functions import urls as U
-from ..operators import filters, html, ranking, resolve, scorers, summaries
+from ..operators import discovery, filters, html, ranking, resolve, scorers, summaries
 from ..streaming import crawl as crawling
 from ..streaming import events
 from .views import AS_OF, view
@@ -39,6 +39,11 @@ def classify_documents(s, d):
     return _featured(s, d).select("ord", "document_type")
 
 
+def document_features(s, d):
+    info = discovery.document_info(view(s, d, "v_docs").select("ord", "url", _c("title").alias("text")), AS_OF)
+    return info.select("ord", "title", "normalized_url", "document_type", "publication_date", "file_extension", "content_preview", "subsection", "extracted_year", "extracted_quarter")
+
+
 def classify_filenames(s, d):
     return view(s, d, "v_files").select("ord", D.file_name_type(_c("file_name")).alias("document_type"), D.file_year(_c("file_name")).alias("year"), D.file_quarter(_c("file_name")).alias("quarter"))
 
@@ -455,7 +460,7 @@ def ranked_links_global(s, d):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        latest_doc_per_type, latest_quarterly_report, classify_documents, classify_filenames, extract_year_strict, extract_year_extended, extract_quarter, extract_date_text, file_extension, generate_filename, filename_from_url, sanitize_company, financial_metrics,
+        latest_doc_per_type, latest_quarterly_report, classify_documents, document_features, classify_filenames, extract_year_strict, extract_year_extended, extract_quarter, extract_date_text, file_extension, generate_filename, filename_from_url, sanitize_company, financial_metrics,
         normalize_url_doc, normalize_url_crawl, domain_info, direct_file_filter, valid_ir_url, valid_ir_domain, keyword_filter_docs, keyword_filter_links, keyword_filter_paragraphs_top20, keyword_filter_images_top10, keyword_filter_headings, keyword_filter_tables,
         ir_link_score, ir_link_score_ext, ir_doc_score, table_company_links, link_priority, refined_intent, intent_keywords, intent_targets, intent_strategy, intent_sections, page_type, page_anchors, page_titles, page_headings, page_links_parsed, page_paragraphs, page_tables,
         page_documents, page_images, page_metadata, content_summary, section_discovery, website_score, best_website_and_ir, ir_candidates, resolve_ir, review_split, enrich_companies, evaluate_link_value, search_link_score, href_forms, company_info_direct, global_url_dedup,
