@@ -12,7 +12,7 @@ from .filters import ranked
 
 
 def latest_per_type(df: DataFrame, group: tuple[str, ...] = ("ticker", "document_type"), year: str = "extracted_year", quarter: str = "extracted_quarter", score: str = "relevance_score") -> DataFrame:
-    """Of each group the latest row: dated rows first, by year, quarter (none is lowest) and score; undated ones and ties by ord."""
+    """Of each group the latest row (pass only the columns that are wanted: all of them travel): dated rows first, by year, quarter (none is lowest) and score; undated ones and ties by ord."""
     dated = F.col(year).isNotNull()
     key = F.max_by(F.struct(*df.columns), F.struct(dated, F.coalesce(F.col(year), F.lit(0)), F.when(dated, F.coalesce(F.col(quarter), F.lit(-1))).otherwise(-1), F.when(dated, F.col(score)).otherwise(0), -F.col("ord")))
     return df.groupBy(*group).agg(key.alias("_x")).select("_x.*")

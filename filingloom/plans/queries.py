@@ -28,11 +28,13 @@ def _featured(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def latest_doc_per_type(s, d):
-    return ranking.latest_per_type(_featured(s, d)).select("ticker", "document_type", "ord", "title", "url", "extracted_year", "extracted_quarter")
+    docs = _featured(s, d).select("ticker", "document_type", "ord", "title", "url", "relevance_score", "extracted_year", "extracted_quarter")
+    return ranking.latest_per_type(docs).select("ticker", "document_type", "ord", "title", "url", "extracted_year", "extracted_quarter")
 
 
 def latest_quarterly_report(s, d):
-    return ranking.latest_quarterly(_featured(s, d)).select("ticker", "document_type", "ord", "extracted_year", "extracted_quarter")
+    docs = _featured(s, d).select("ticker", "document_type", "ord", "relevance_score", "extracted_year", "extracted_quarter")
+    return ranking.latest_quarterly(docs).select("ticker", "document_type", "ord", "extracted_year", "extracted_quarter")
 
 
 def classify_documents(s, d):
