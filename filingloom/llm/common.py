@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Bytes that separate words: tab to carriage return, and the space.
 _SPACE = np.zeros(256, bool)
@@ -45,7 +46,10 @@ def n_words(text: Column) -> Column:
 
 
 def utf8(texts) -> tuple[np.ndarray, np.ndarray]:
-    """The UTF-8 bytes of an Arrow string column, and the rows' offsets in them; nulls are empty."""
+    """The UTF-8 bytes of an Arrow string column, or of one that shrunk() made, and the rows' offsets in them; nulls are empty."""
+    if pa.types.is_binary(texts.type):
+        rows = [unsqueeze(x) if x else np.zeros(0, np.uint8) for x in texts.to_pylist()]
+        return np.concatenate([np.zeros(0, np.uint8), *rows]), np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int64)
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
     if isinstance(texts, pa.ChunkedArray):
@@ -149,6 +153,19 @@ def unsqueeze_sorted(b: bytes) -> np.ndarray:
     return np.cumsum(unsqueeze(b), dtype=np.uint64)
 
 
+def shrunk(df: DataFrame) -> DataFrame:
+    """df with each text compressed, for exchanges of whole texts; utf8() reads it."""
+
+    def run(batches):
+        for b in batches:
+            data, off = utf8(b.column("text"))
+            valid = b.column("text").is_valid().to_pylist()
+            texts = [squeeze(data[i:j]) if v else None for i, j, v in zip(off[:-1].tolist(), off[1:].tolist(), valid, strict=True)]
+            yield pa.record_batch({n: b.column(n) for n in b.schema.names} | {"text": pa.array(texts, pa.binary())})
+
+    return df.mapInArrow(run, T.StructType([T.StructField(f.name, T.BinaryType()) if f.name == "text" else f for f in df.schema.fields]))
+
+
 def parts(body: bytes) -> list[bytes]:
     """The byte strings, each after its length, that a body is made of."""
     out, at = [], 0
@@ -166,16 +183,17 @@ def parts(body: bytes) -> list[bytes]:
 # block's order. A key travels once per block however frequent it is, so no key is hot; ranges of hashes are even.
 
 
-def blocked(docs: DataFrame, columns: list[Column], total_bytes: int, kind: str | None = None, block_bytes: int = 8 << 20, body_bytes: int = 8 << 10) -> tuple[DataFrame, int]:
+def blocked(docs: DataFrame, columns: list[Column], total_bytes: int, kind: str | None = None, block_bytes: int = 8 << 20, body_bytes: int = 8 << 10, task_bytes: int = 64 << 20) -> tuple[DataFrame, int, int]:
     """The columns with blk, a block number by hash of all columns (rows of another `kind`, an int column, are in other
-    blocks); dealt by block. Then a number of ranges with which blocks times ranges stay in proportion to the input."""
-    p = partitions(docs.sparkSession)
+    blocks); dealt by block. Then a number of ranges with which blocks times ranges stay in proportion to the input, and
+    the number of partitions, which grows with it."""
+    p = max(partitions(docs.sparkSession), -(-int(total_bytes) // task_bytes))
     n = max(2 * p, -(-int(total_bytes) // block_bytes))
     df = docs.select(*columns)
     blk = F.pmod(F.xxhash64(*df.columns), F.lit(n))
     blk = blk if kind is None else F.col(kind) * n + blk
-    blocks = df.withColumn("blk", blk.cast("int")).repartition(p, "blk")
-    return blocks, max(1, min(3 * p, total_bytes // (n * body_bytes)))
+    blocks = shrunk(df.withColumn("blk", blk.cast("int"))).repartition(p, "blk")
+    return blocks, max(1, min(3 * p, total_bytes // (n * body_bytes))), p
 
 
 def ranges_of(keys: np.ndarray, n: int) -> np.ndarray:
@@ -184,7 +202,7 @@ def ranges_of(keys: np.ndarray, n: int) -> np.ndarray:
     return np.concatenate([[0], np.searchsorted(keys, edges, "left"), [len(keys)]]).astype(np.int64)
 
 
-def block_counts(blocks: DataFrame, keys: Callable, n_ranges: int, answer: Callable) -> tuple[DataFrame, Callable]:
+def block_counts(blocks: DataFrame, keys: Callable, n_ranges: int, answer: Callable, p: int) -> tuple[DataFrame, Callable]:
     """keys(table) gives a block's levels: lists of (sorted distinct keys, counts of one or more kinds as rows).
     answer(totals) turns the totals of a range, kinds by keys, into the array that blocks get.
     Returns rows (blk, level, rng, body; in one row of a range sums: the total of each kind and the keys that any has), and a function that puts a block's bodies together."""
@@ -222,7 +240,6 @@ def block_counts(blocks: DataFrame, keys: Callable, n_ranges: int, answer: Calla
         columns = [[unsqueeze(y) for y in parts(b)] for _, b in rows]
         return [np.concatenate(x) for x in zip(*columns, strict=True)]
 
-    p = partitions(blocks.sparkSession)
     asked = blocks.groupBy("blk").applyInArrow(ask, "blk int, level int, rng int, body binary")
     got = asked.repartition(p, "level", "rng").groupBy("level", "rng").applyInArrow(add, "blk int, level int, rng int, body binary, sums array<long>")
     return got, join

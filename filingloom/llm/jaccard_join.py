@@ -76,13 +76,13 @@ _SETS = "doc_id long, text_key long, n int, sid long, sid2 long, typical double,
 
 
 def _suspects(docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
-    blocks, ranges = C.blocked(docs, [F.col("doc_id").cast("long").alias("doc_id"), F.col("text"), F.xxhash64("text").alias("text_key")], C.text_bytes(docs))
+    blocks, ranges, parts = C.blocked(docs, [F.col("doc_id").cast("long").alias("doc_id"), F.col("text"), F.xxhash64("text").alias("text_key")], C.text_bytes(docs))
 
     def keys(table):
         _, h = _block_sets(table.column("text"), size)
         return [(k, [c]) for k, c in [np.unique(h & _KEY, return_counts=True)]]
 
-    got, join = C.block_counts(blocks, keys, ranges, _rarity)
+    got, join = C.block_counts(blocks, keys, ranges, _rarity, parts)
 
     def build(table, answer):
         n_rows = table.num_rows
@@ -112,7 +112,7 @@ def _suspects(docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
         return pa.table({"doc_id": table.column("doc_id").cast(pa.int64()), "text_key": table.column("text_key"), "n": pa.array(n.astype(np.int32)), "sid": pa.array(sid.view(np.int64)), "sid2": pa.array(sid2.view(np.int64)),
                          "typical": pa.array(out["typical"], pa.float64()), "bands": pa.array(out["bands"], pa.list_(pa.int64())), "first": pa.array(out["first"], pa.int32()), "post": pa.array(out["post"], pa.list_(pa.int64())), "elements": pa.array(out["elements"], pa.binary())})
 
-    answers = got.select("blk", "level", "rng", "body").repartition(C.partitions(docs.sparkSession), "blk")
+    answers = got.select("blk", "level", "rng", "body").repartition(parts, "blk")
     return blocks.groupBy("blk").cogroup(answers.groupBy("blk")).applyInArrow(build, _SETS)
 
 

@@ -90,9 +90,8 @@ def _parts(counts, contexts, types: int) -> np.ndarray:
 
 def score(docs: DataFrame, training: Column, tuning: Column, order: int = 2, steps: int = 20) -> DataFrame:
     """doc_id, held_out (not training), n_tokens, n_known, train_tokens, base_score and score of each row. tuning: which training rows set the weights."""
-    spark = docs.sparkSession
     part = F.when(~training, HELD).when(tuning, TUNE).otherwise(TRAIN)
-    blocks, ranges = C.blocked(docs, [F.col("doc_id").cast("long").alias("doc_id"), F.col("text"), part.alias("part")], C.text_bytes(docs), kind="part")
+    blocks, ranges, parts = C.blocked(docs, [F.col("doc_id").cast("long").alias("doc_id"), F.col("text"), part.alias("part")], C.text_bytes(docs), kind="part")
 
     def keys(table):
         h, row = tokens(table.column("text"))
@@ -106,13 +105,13 @@ def score(docs: DataFrame, training: Column, tuning: Column, order: int = 2, ste
     def answer(totals):
         return [totals[0].astype(np.uint32), totals.sum(0).astype(np.uint32)]
 
-    got, join = C.block_counts(blocks, keys, ranges, answer)
+    got, join = C.block_counts(blocks, keys, ranges, answer, parts)
     got = C.cut(got)
     row = got.where("level = 0 and sums is not null").agg(*(F.coalesce(F.sum(F.col("sums")[k]), F.lit(0)) for k in range(3))).first()
     texts = dict(docs.where(training).groupBy(tuning.alias("t")).count().collect())
     texts = (texts.get(False, 0), sum(texts.values()))
     total, types = (row[0], row[0] + row[1]), row[2]
-    answers = got.select("blk", "level", "rng", "body").repartition(C.partitions(spark), "blk")
+    answers = got.select("blk", "level", "rng", "body").repartition(parts, "blk")
 
     def observe(table, answer):
         if not table.num_rows:

@@ -293,8 +293,7 @@ def cut_repeats(docs: DataFrame, window: int = 20, mini: int = 4) -> DataFrame:
     spans = spans.withColumnsRenamed({"doc_id": "__fl_doc", "text_key": "__fl_key"})
     fields = docs.schema.fields
     keyed = docs.withColumns({"__fl_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)), "__fl_text": F.xxhash64("text")})
-    packed = T.StructType([T.StructField(f.name, T.BinaryType()) if f.name == "text" else f for f in keyed.schema.fields])
-    joined = keyed.mapInArrow(_shrink, packed).join(spans, (F.col("__fl_id") == F.col("__fl_doc")) & (F.col("__fl_text") == F.col("__fl_key")), "left").drop("__fl_id", "__fl_text", "__fl_doc", "__fl_key")
+    joined = C.shrunk(keyed).join(spans, (F.col("__fl_id") == F.col("__fl_doc")) & (F.col("__fl_text") == F.col("__fl_key")), "left").drop("__fl_id", "__fl_text", "__fl_doc", "__fl_key")
 
     def cutting(batches):
         for b in batches:
@@ -314,11 +313,3 @@ def cut_repeats(docs: DataFrame, window: int = 20, mini: int = 4) -> DataFrame:
     own = [f for f in joined.schema.fields if f.name == "spans"]
     more = [T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept_words", T.StringType())]
     return joined.mapInArrow(cutting, T.StructType([*fields, *own, *more]))
-
-
-def _shrink(batches):
-    for b in batches:
-        data, off = C.utf8(b.column("text"))
-        valid = b.column("text").is_valid().to_pylist()
-        texts = [C.squeeze(data[i:j]) if v else None for i, j, v in zip(off[:-1], off[1:], valid, strict=True)]
-        yield pa.record_batch({n: b.column(n) for n in b.schema.names} | {"text": pa.array(texts, pa.binary())})
