@@ -30,9 +30,9 @@ _LAST = np.iinfo(np.int64).max
 #: Windows of a super-k-mer at most; a longer run is cut, which loses nothing.
 _RUN = 256
 #: Super-k-mers that a map task remembers at most; it then starts anew, and may send one twice.
-_SENT = 1_000_000
+_SENT = 300_000
 #: Bytes of super-k-mers that a map task gathers before it sends a row to each bucket.
-_HELD = 32 << 20
+_HELD = 16 << 20
 #: Spans that a task gathers before it sends a row to each part of the documents.
 _SPANS = 2_000_000
 _FAR = 1 << 31
