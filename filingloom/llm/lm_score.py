@@ -123,7 +123,7 @@ def score(docs: DataFrame, training: Column, tuning: Column, order: int = 2, ste
         return pa.table({"body": pa.array([b"".join(len(x).to_bytes(4, "little") + x for x in map(C.squeeze, [*seen, n]))], pa.binary())})
 
     tuned = blocks.where(F.col("part") == TUNE).groupBy("blk").cogroup(answers.groupBy("blk")).applyInArrow(observe, "body binary")
-    weights = learn(C.cut(tuned), order, total[0], types, steps)
+    weights = learn(C.cut(tuned).coalesce(max(8, parts // 8)), order, total[0], types, steps)
     if not total[1]:
         weights = np.array([1.0, *[0.0] * order])[:, None].repeat(_BUCKETS, 1)
 

@@ -4,8 +4,9 @@ Each document gets a rate of copies between 0 and `most`. Among all rates that m
 takes those that stay closest (in relative entropy) to the uniform choice: rate / (most - rate) = exp(lambda * size), an
 exponential tilt of the odds, with one multiplier a source. The multipliers solve a convex dual problem; each Newton
 iteration is one aggregation over a table of (source, size, documents), kept inside a bracket that bisection halves when
-a step leaves it. Rates become whole copies by systematic rounding in order of size within chunks of about `chunk`
-documents of a source, so a chunk errs by less than one document and a large source is never one task's work.
+a step leaves it. Rates become whole copies by systematic rounding from the largest document down within chunks of about
+`chunk` documents of a source: the copies so far never differ by one from the rates so far, and a large source is never
+one task's work.
 
 Targets: `share` of all sizes, dealt by the weights; a source stops at `most` times its size, and the excess is dealt
 again until none is above.
@@ -89,8 +90,8 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float =
     mixed = F.xxhash64(F.col("doc_id").cast("string"), F.lit("order"))
     rows = rows.withColumns({"rate": rate, "_k": mixed, "_chunk": F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("chunk")), F.ceil(F.col("documents") / chunk))})
     rows = rows.withColumn("_r", F.round(F.col("rate") * _ONE).cast("long"))
-    upto = F.sum("_r").over(Window.partitionBy("source", "_chunk").orderBy("size", "_k", "doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    start = F.pmod(F.xxhash64("source", "_chunk"), F.lit(_ONE))
+    upto = F.sum("_r").over(Window.partitionBy("source", "_chunk").orderBy(F.desc("size"), "_k", "doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    start = F.when(F.col("_chunk") == 0, F.lit(_ONE // 2)).otherwise(F.pmod(F.xxhash64("source", "_chunk"), F.lit(_ONE)))
     rows = rows.withColumn("_upto", upto + start)
     rows = rows.withColumn("copies", F.shiftright("_upto", 32) - F.shiftright(F.col("_upto") - F.col("_r"), 32))
     return rows.select(*carry, "doc_id", "source", "size", "source_size", "target", "rate", "copies", (F.col("copies") * F.col("size")).alias("taken"))
