@@ -17,7 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from filingloom.llm import decontaminate, jaccard_join, language_id, mixing, substring_dedup
+from filingloom.llm import common, decontaminate, jaccard_join, language_id, mixing, substring_dedup
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,9 +29,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     found = jaccard_join.groups(docs.select("doc_id", "text"))
     best = found.groupBy("group_key").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key")).alias("x"))
     kept = best.select(F.col("x.doc_id").alias("__fl_id"), F.col("x.text_key").alias("__fl_kept"))
-    keyed = docs.withColumn("__fl_key", F.xxhash64("text"))
+    keyed = common.shrunk(docs.withColumn("__fl_key", F.xxhash64("text")))
     kept = keyed.join(kept, F.col("doc_id").eqNullSafe(F.col("__fl_id")) & (F.col("__fl_key") == F.col("__fl_kept")), "left_semi")
-    return kept.dropDuplicates(["doc_id", "__fl_key"]).select(*docs.columns)
+    return common.unshrunk(kept.dropDuplicates(["doc_id", "__fl_key"])).select(*docs.columns)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -166,6 +166,17 @@ def shrunk(df: DataFrame) -> DataFrame:
     return df.mapInArrow(run, T.StructType([T.StructField(f.name, T.BinaryType()) if f.name == "text" else f for f in df.schema.fields]))
 
 
+def unshrunk(df: DataFrame) -> DataFrame:
+    """df as it was before shrunk()."""
+
+    def run(batches):
+        for b in batches:
+            texts = [None if x is None else unsqueeze(x).tobytes() for x in b.column("text").to_pylist()]
+            yield pa.record_batch({n: b.column(n) for n in b.schema.names} | {"text": pa.array(texts, pa.binary()).cast(pa.string())})
+
+    return df.mapInArrow(run, T.StructType([T.StructField(f.name, T.StringType()) if f.name == "text" else f for f in df.schema.fields]))
+
+
 def parts(body: bytes) -> list[bytes]:
     """The byte strings, each after its length, that a body is made of."""
     out, at = [], 0

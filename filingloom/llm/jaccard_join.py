@@ -33,6 +33,8 @@ from .components import components
 
 _BANDS = 6
 _MEMBERS = 64
+#: Pairs whose nodes are broadcast to pick out their sets; more are joined by a shuffle of all sets.
+_FEW = 50_000
 _KEY = np.uint64(0xFFFFFFFFFF000000)
 
 
@@ -108,7 +110,7 @@ def _suspects(docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
             out["bands"][i] = [int(C.mix(own ^ np.uint64(b + 1)).min() >> np.uint64(1)) for b in range(_BANDS)]
             out["first"][i] = int(once[i])
             out["post"][i] = own[order].view(np.int64)
-            out["elements"][i] = own.tobytes()
+            out["elements"][i] = C.squeeze_sorted(own)
         return pa.table({"doc_id": table.column("doc_id").cast(pa.int64()), "text_key": table.column("text_key"), "n": pa.array(n.astype(np.int32)), "sid": pa.array(sid.view(np.int64)), "sid2": pa.array(sid2.view(np.int64)),
                          "typical": pa.array(out["typical"], pa.float64()), "bands": pa.array(out["bands"], pa.list_(pa.int64())), "first": pa.array(out["first"], pa.int32()), "post": pa.array(out["post"], pa.list_(pa.int64())), "elements": pa.array(out["elements"], pa.binary())})
 
@@ -118,7 +120,10 @@ def _suspects(docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
 
 def compare(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """pairs (a, b) with the sizes of their sets and of what these share: a, b, na, nb, shared."""
-    kept = nodes.select("node", "elements")
+    pairs = C.cut(pairs.select("a", "b"))
+    kept, ids = nodes.select("node", "elements"), pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    if pairs.count() <= _FEW:
+        kept = kept.join(F.broadcast(ids), "node", "left_semi")
     both = pairs.join(kept.withColumnsRenamed({"node": "a", "elements": "ea"}), "a").join(kept.withColumnsRenamed({"node": "b", "elements": "eb"}), "b")
 
     def run(batches):
@@ -126,7 +131,7 @@ def compare(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
             a, b = batch.column("ea"), batch.column("eb")
             size = ([], [], [])
             for i in range(batch.num_rows):
-                x, y = np.frombuffer(a[i].as_buffer(), np.uint64), np.frombuffer(b[i].as_buffer(), np.uint64)
+                x, y = C.unsqueeze_sorted(a[i].as_py()), C.unsqueeze_sorted(b[i].as_py())
                 z = np.concatenate([x, y])
                 z.sort()
                 for k, v in zip(size, (len(x), len(y), int((z[1:] == z[:-1]).sum())), strict=True):
