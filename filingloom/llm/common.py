@@ -106,14 +106,18 @@ def _draws(seed: int, n: int) -> np.ndarray:
 
 
 def word_hash(data: np.ndarray, start: np.ndarray, end: np.ndarray, seed: int = 1) -> np.ndarray:
-    """A 64-bit hash of each word's bytes."""
-    if not len(start):
-        return np.zeros(0, np.uint64)
+    """A 64-bit hash of each word's bytes; done in slices, as it takes many times their size."""
     size = end - start
-    at = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-    power = np.cumprod(np.full(int(size.max()), 0x9E3779B97F4A7C15 | 1, np.uint64))
-    value = _draws(seed, 256)[data[at + np.repeat(start, size)]] * power[at]
-    return mix(np.add.reduceat(value, np.cumsum(size) - size) + size.astype(np.uint64))
+    upto = np.concatenate([[0], np.cumsum(size)])
+    out, letters = np.zeros(len(start), np.uint64), _draws(seed, 256)
+    for i, j in slices(upto):
+        n, first = size[i:j], upto[i:j] - upto[i]
+        at = np.arange(upto[j] - upto[i]) - np.repeat(first, n)
+        power = np.cumprod(np.full(int(n.max()), 0x9E3779B97F4A7C15, np.uint64))
+        value = letters[data[at + np.repeat(start[i:j], n)]]
+        value *= power[at]
+        out[i:j] = np.add.reduceat(value, first) + n.astype(np.uint64)
+    return mix(out)
 
 
 def gram_hash(h: np.ndarray, n: int, seed: int = 7) -> np.ndarray:
