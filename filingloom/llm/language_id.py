@@ -79,20 +79,45 @@ def _vectors(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     return v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-9)
 
 
+def _seeds(near: np.ndarray, k: int) -> list[int]:
+    """Rows to start k-means from, given the cosines of all rows: each serves best the rows that the ones before it serve
+    worst. A row doesn't count for itself, so one that is like no other is no seed, however far off it is."""
+    far = 1 - np.clip(near, 0, 1)
+    np.fill_diagonal(far, 1)
+    far **= 4
+    left, chosen = np.ones(len(far), far.dtype), []
+    while len(chosen) < k:
+        gain = np.maximum(left[:, None] - far, 0).sum(0)
+        gain[chosen] = -1
+        best = int(gain.argmax())
+        if chosen and gain[best] < 1e-3:
+            break
+        chosen.append(best)
+        left = np.minimum(left, far[:, best])
+        left[best] = 0
+    return chosen
+
+
 def _centroids(v: np.ndarray, k: int) -> np.ndarray:
-    """Spherical k-means from the mean and then the farthest vectors."""
-    c = v.mean(0, keepdims=True)
-    c /= max(np.linalg.norm(c), 1e-9)
-    while len(c) < min(k, len(v)):
-        c = np.vstack([c, v[np.argmin((v @ c.T).max(1))]])
-    for _ in range(12):
-        own = np.argmax(v @ c.T, 1)
-        for j in range(len(c)):
-            if (own == j).any():
-                m = v[own == j].mean(0)
-                c[j] = m / max(np.linalg.norm(m), 1e-9)
-    size = np.bincount(np.argmax(v @ c.T, 1), minlength=len(c))
-    return c[size >= min(max(3, 0.02 * len(v)), size.max())]
+    """Spherical k-means. A cluster of one or two rows is dropped together with its rows and the rest is seeded anew, so
+    that k clusters stay where there are rows for them, small ones too."""
+    near, rows = v @ v.T, np.arange(len(v))
+    while True:
+        u = v[rows]
+        c = u[_seeds(near[np.ix_(rows, rows)], min(k, max(1, len(rows) // 3)))]
+        for _ in range(12):
+            own = np.argmax(u @ c.T, 1)
+            for j in range(len(c)):
+                if (own == j).any():
+                    m = u[own == j].mean(0)
+                    c[j] = m / max(np.linalg.norm(m), 1e-9)
+        own = np.argmax(u @ c.T, 1)
+        size = np.bincount(own, minlength=len(c))
+        if size.min() >= 3 or size.max() < 3:
+            return c[size > 0]
+        if size.min() == 0:
+            k = len(c) - 1
+        rows = rows[size[own] >= 3]
 
 
 def fit(docs: DataFrame, training: Column, per_language: int = 400, clusters: int = 4, most_languages: int = 1000) -> dict:

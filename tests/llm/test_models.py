@@ -101,6 +101,26 @@ def test_languages_odd(spark):
     assert {r["lang_pred"] for r in language_id.predict(docs, language_id.fit(plain.none(spark), F.lit(True))).collect()} == {"und"}
 
 
+def _invented(rng, letters, n):
+    """n texts of words from letters, all of one invented vocabulary."""
+    words = ["".join(rng.choice(list(letters), rng.integers(2, 7))) for _ in range(60)]
+    return [" ".join(rng.choice(words, 40)) for _ in range(n)]
+
+
+def test_language_centroids(spark):
+    model = language_id.fit(spark.read.parquet(f"{DIR}/documents.parquet"), F.lit(True))
+    assert min(collections.Counter(model["names"]).values()) > 1
+
+
+def test_language_variant(spark):
+    rng = np.random.default_rng(3)
+    latin, cyrillic, other = _invented(rng, "aeioubdkmnst", 300), _invented(rng, "аеиоубдкмнст", 6), _invented(rng, "aeioyfghlprw", 300)
+    texts = [("sr", t) for t in latin + cyrillic[:5] + ["qqqq", "xxzz", "jjjj"]] + [("xx", t) for t in other]
+    model = language_id.fit(spark.createDataFrame([(i, t, lang) for i, (lang, t) in enumerate(texts)], "doc_id long, text string, lang string"), F.lit(True))
+    got = language_id.predict(spark.createDataFrame([(1, cyrillic[5])], "doc_id long, text string"), model).first()
+    assert (got["lang_pred"], got["rejected"]) == ("sr", False) and got["score"] > 0.5
+
+
 def test_quality(spark):
     labels = spark.read.parquet(f"{DIR}/labels.parquet").select("doc_id", F.col("quality").alias("given"))
     got = queries.op7_quality(spark, DIR).join(labels, "doc_id").groupBy("given").agg(F.avg(F.col("keep").cast("int")), F.avg("quality")).collect()
