@@ -2,7 +2,8 @@
 
 A text is lower-cased, all but letters become word boundaries, and its letter n-grams (1 to 3, not across a boundary
 inside) are hashed to a vector. TF-IDF vectors of unit length are compared by cosine with several centroids of each
-language, found by spherical k-means. A text whose best cosine is below that centroid's limit is rejected.
+language, found by spherical k-means. A text whose best cosine is below that centroid's limit is rejected; limits come
+from cosines with centroids that were fitted without the text, so training rows can fall below them too.
 
 Inverse document frequencies come from all training rows. Centroids and limits are fitted on at most `per_language`
 training rows of each of the `most_languages` languages with the most such rows, those of the smallest hash of doc_id.
@@ -120,6 +121,19 @@ def _centroids(v: np.ndarray, k: int) -> np.ndarray:
         rows = rows[size[own] >= 3]
 
 
+def _limits(v: np.ndarray, c: np.ndarray, k: int) -> np.ndarray:
+    """The least cosine that each of the centroids c accepts: 3/4 of the 1 % quantile of its own rows' cosines with centroids
+    fitted without them, or of that of all rows if less, as copies of a text say little of what else lies near them.
+    At least a quarter of the median, so that junk opens no gate where it is more than 1 % of the rows or has a centroid."""
+    own, held = np.argmax(v @ c.T, 1), (v @ c.T).max(1)
+    fold = np.arange(len(v)) % 4
+    if len(v) >= 12:
+        for f in range(4):
+            held[fold == f] = (v[fold == f] @ _centroids(v[fold != f], k).T).max(1)
+    low = [np.quantile(held[own == j], 0.01) if (own == j).any() else np.inf for j in range(len(c))]
+    return np.maximum(0.75 * np.minimum(low, np.quantile(held, 0.01)), np.median(held) / 4)
+
+
 def fit(docs: DataFrame, training: Column, per_language: int = 400, clusters: int = 4, most_languages: int = 1000) -> dict:
     """Learn from the training rows of docs (doc_id, text, lang)."""
     train = docs.where(training & F.col("text").isNotNull() & F.col("lang").isNotNull()).select("doc_id", "text", "lang")
@@ -155,10 +169,12 @@ def fit(docs: DataFrame, training: Column, per_language: int = 400, clusters: in
     names, centres, limits = [], [], []
     for lang in sorted(found):
         v = _vectors(np.stack([C.unsqueeze(x) for _, x in sorted(found[lang])[:per_language]]).astype(np.float32), idf)
+        if not len(v := v[v.any(1)]):
+            continue
         c = _centroids(v, clusters)
         names += [lang] * len(c)
         centres += list(c)
-        limits += [0.5 * float((v @ c.T).max(1).min())] * len(c)
+        limits += _limits(v, c, clusters).tolist()
     return {"idf": idf, "names": names, "centres": np.array(centres, np.float32), "limits": np.array(limits)}
 
 

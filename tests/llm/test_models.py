@@ -121,6 +121,24 @@ def test_language_variant(spark):
     assert (got["lang_pred"], got["rejected"]) == ("sr", False) and got["score"] > 0.5
 
 
+FOREIGN = [
+    "Nel mezzo del cammin di nostra vita mi ritrovai per una selva oscura, ché la diritta via era smarrita. Ahi quanto a dir qual era è cosa dura esta selva selvaggia e aspra e forte",
+    "O governo anunciou ontem que as novas medidas para a economia deverão entrar em vigor no início do próximo ano, embora muitos especialistas tenham manifestado dúvidas",
+    "De regering heeft gisteren aangekondigd dat de nieuwe maatregelen voor de economie begin volgend jaar van kracht zullen worden, hoewel veel deskundigen twijfels hebben",
+    "Hallitus ilmoitti eilen, että uudet talouden toimenpiteet tulevat voimaan ensi vuoden alussa, vaikka monet asiantuntijat ovat ilmaisseet epäilyksensä niiden vaikutuksista",
+]
+
+
+@pytest.mark.parametrize("junk", [1, 6])
+def test_languages_unlearned(spark, junk):
+    docs = spark.read.parquet(f"{DIR}/documents.parquet").select("doc_id", "text", "lang")
+    bad = [(-1 - i, t, lang) for lang in ("de", "en", "es", "fr") for i, t in enumerate(["qq", "Xzwk", "jjj", "vv kk", "Qxyz", "wq"][:junk])]
+    model = language_id.fit(docs.unionByName(spark.createDataFrame(bad, docs.schema)), F.lit(True))
+    got = language_id.predict(spark.createDataFrame(list(enumerate(FOREIGN)), "doc_id long, text string"), model).collect()
+    assert all(r["rejected"] for r in got)
+    assert language_id.predict(docs, model).where("rejected").count() < 0.02 * docs.count()
+
+
 def test_quality(spark):
     labels = spark.read.parquet(f"{DIR}/labels.parquet").select("doc_id", F.col("quality").alias("given"))
     got = queries.op7_quality(spark, DIR).join(labels, "doc_id").groupBy("given").agg(F.avg(F.col("keep").cast("int")), F.avg("quality")).collect()
