@@ -413,7 +413,7 @@ def crawl_admission(s, d):
 
 
 def crawl_frontier_exact(s, d):
-    edges = view(s, d, "v_edges").where("src <> dst").select("src", "dst", "ord", "score")
+    edges = view(s, d, "v_all_edges").where("src <> dst").select("src", "dst", "ord", "score")
 
     def address(c):
         return F.concat(F.lit("https://h"), (c % 17).cast("string"), F.lit(".example.com/"), c.cast("string"))
@@ -421,7 +421,7 @@ def crawl_frontier_exact(s, d):
     links = edges.groupBy("src", "dst").agg(F.min("ord").alias("ord"), F.max("score").alias("score")).select(address(_c("src")).alias("url"), "ord", address(_c("dst")).alias("child_url"), (_c("score") / 6).alias("priority"))
     pages = edges.select(address(_c("src")).alias("url")).where("length(url) % 5 > 0").distinct()
     files = pages.select("url", F.lit(0).alias("ord"), F.concat("url", F.lit(".pdf")).alias("file_url"), F.lit("PDF").alias("type"), F.lit("file").alias("title"))
-    done = crawling.Crawl(s, pages, links, files, crawling.CrawlConfig(max_depth=3, max_documents=12)).seed("https://h1.example.com/1").run()
+    done = crawling.Crawl(s, pages, links, files).seed("https://h1.example.com/1").run()
     return done.results.select("url", "found_on_page", "depth")
 
 

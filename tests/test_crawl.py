@@ -3,6 +3,7 @@
 import random
 from urllib.parse import urlsplit
 
+from filingloom.plans import queries
 from filingloom.streaming import crawl as C
 from filingloom.streaming import events
 
@@ -65,6 +66,22 @@ def test_crawl_matches_rules(spark, tmp_path):
         assert sorted(r["url"] for r in crawl.visited.collect()) == sorted(visited)
 
 
+def test_frontier_takes_all_edges(spark, tmp_path):
+    rng = random.Random(5)
+    hops = [(1, 3), (3, 5), (5, 7), (7, 9)] + [(rng.choice([1, 3, 5, 7, 9]), n) for n in range(10, 34)]
+    rows = [(k, 1 + k % 7, a, b, float(rng.choice([3, 4, 5, 6]))) for k, (a, b) in enumerate(hops)]
+    spark.createDataFrame(rows, "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double").write.parquet(str(tmp_path / "lineitem.parquet"))
+
+    def address(n):
+        return f"https://h{n % 17}.example.com/{n}"
+
+    links = [(address(a), k * 10 + line, address(b), q / 6) for k, line, a, b, q in rows]
+    pages = sorted({u for u, *_ in links if len(u) % 5})
+    results, visited = plain(pages, links, [(u, 0, u + ".pdf") for u in pages], C.CrawlConfig(), address(1))
+    got = queries.crawl_frontier_exact(spark, str(tmp_path)).collect()
+    assert sorted((r["url"], r["found_on_page"], r["depth"]) for r in got) == results and max(r["depth"] for r in got) == 4
+
+
 def test_config_text():
     c = C.CrawlConfig(max_depth=7)
     assert C.CrawlConfig.from_json(c.to_json()) == c
