@@ -7,7 +7,7 @@
 5. mix: all documents, with the copies that bring each source to its target.
 
 The first four return the columns of documents. Rows that share a doc_id count as separate documents; equal rows count
-once from the second stage on. Columns whose names the operators use are taken from documents alone.
+once from the second stage on. Each stage's result is written before the next reads it. Columns whose names the operators use are taken from documents alone.
 """
 
 from __future__ import annotations
@@ -63,6 +63,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    for k, (_, stage) in enumerate(STAGES):
+        docs = stage(spark, common.cut(docs) if k else docs, sf_dir)
     return docs

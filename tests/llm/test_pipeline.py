@@ -58,6 +58,19 @@ def test_stages(spark, tmp_path):
     assert texts[5] == texts[4] and all(abs(sums[r["source"]] - r["target"]) <= largest[r["source"]] + 1 for r in last)
 
 
+def test_run_cuts_between_stages(spark, monkeypatch):
+    read = []
+
+    def stage(spark, docs, sf_dir):
+        read.append(docs.inputFiles())
+        return docs.where("doc_id % 2 = 0")
+
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("a", stage), ("b", stage), ("c", stage)])
+    docs = spark.read.parquet(f"{DIR}/documents.parquet")
+    assert corpus_pipeline.run(spark, DIR).count() == docs.where("doc_id % 2 = 0").count()
+    assert read[0] and read[1:] == [[], []]
+
+
 def test_odd_rows(spark):
     df = plain.odd(spark).drop("size", "copies", "rate")
     for _, stage in corpus_pipeline.STAGES[:4]:
