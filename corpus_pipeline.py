@@ -4,7 +4,8 @@
 2. near_duplicates: one document of each group of similar ones stays, the one with the smallest doc_id.
 3. repeated_passages: words of passages that stand earlier go from the texts.
 4. benchmark: documents that leak a benchmark item go.
-5. mix: all documents, with the copies that bring each source to its target.
+5. mix: all documents, once each, with the copies that bring each source to its target. Whoever reads the mix has to
+   apply `copies`: leave out rows with 0 and repeat those with 2; the rows as they stand have the input's distribution.
 
 The first four return the columns of documents. Rows that share a doc_id count as separate documents; equal rows count
 once from the second stage on. Each stage's result is written before the next reads it. Columns whose names the operators use are taken from documents alone.
