@@ -1,6 +1,6 @@
 """Progressive JPEG columns.
 
-`decode` reads a progressive JPEG (8 bits, Huffman coded; one to three components, any sampling factors): each scan adds
+`decode` reads a progressive JPEG (8 bits, Huffman coded; one or three components, sampling factors that divide the largest): each scan adds
 its spectral band, at its successive-approximation step, to the components' coefficient arrays; the arrays are
 dequantised and inverse-transformed in numpy, chroma is repeated to full resolution, and the result is an RGB tensor.
 
