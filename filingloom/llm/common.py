@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +27,10 @@ def cut(df: DataFrame) -> DataFrame:
     """Write df to the session's checkpoint folder and read it back: later steps neither recompute it nor lose it with an executor."""
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="stage-"))
+        folder = sc.getConf().get("spark.checkpoint.dir")
+        if not folder and not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="stage-"))
     return df.checkpoint(eager=True)
 
 
@@ -196,68 +201,139 @@ def parts(body: bytes) -> list[bytes]:
 # Each block of documents lists its distinct 64-bit keys once, sorted, with its own counts, cut into ranges of the key
 # space. The task of a range adds the counts of all blocks and sends each block the totals of its own keys, in the
 # block's order. A key travels once per block however frequent it is, so no key is hot; ranges of hashes are even.
+#
+# A block can't be cut into ever more ranges, as their bodies would shrink to nothing. Where ranges would outgrow
+# `range_bytes`, the lists go by way of cells: a cell adds up one wide range of `fan` blocks, cuts it into `fan` narrower
+# ranges and asks on as a block of its own, and deals the answers to its blocks. So what a task holds is bounded at any
+# size of input: blocks, cells and ranges alike grow in number only.
+
+
+class Shape(NamedTuple):
+    """How an input is dealt: partitions, blocks, ranges that a block is cut into, and the fan of each turn of cells."""
+
+    parts: int
+    blocks: int
+    ranges: int
+    fans: tuple[int, ...]
+
 
+def shape(total_bytes: int, least: int, block_bytes: int = 8 << 20, body_bytes: int = 8 << 10, task_bytes: int = 64 << 20, range_bytes: int = 64 << 20, most_fan: int = 1024) -> Shape:
+    parts = max(least, -(-int(total_bytes) // task_bytes))
+    blocks = max(2 * parts, -(-int(total_bytes) // block_bytes))
+    ranges = max(1, min(3 * parts, int(total_bytes) // (blocks * body_bytes)))
+    fans, have = [], ranges
+    while total_bytes > have * range_bytes:
+        fans.append(min(most_fan, -(-int(total_bytes) // (have * range_bytes))))
+        have *= fans[-1]
+    return Shape(parts, blocks, ranges, tuple(fans))
 
-def blocked(docs: DataFrame, columns: list[Column], total_bytes: int, kind: str | None = None, block_bytes: int = 8 << 20, body_bytes: int = 8 << 10, task_bytes: int = 64 << 20) -> tuple[DataFrame, int, int]:
-    """The columns with blk, a block number by hash of all columns (rows of another `kind`, an int column, are in other
-    blocks); dealt by block. Then a number of ranges with which blocks times ranges stay in proportion to the input, and
-    the number of partitions, which grows with it."""
-    p = max(partitions(docs.sparkSession), -(-int(total_bytes) // task_bytes))
-    n = max(2 * p, -(-int(total_bytes) // block_bytes))
+
+def blocked(docs: DataFrame, columns: list[Column], total_bytes: int, **limits: int) -> tuple[DataFrame, Shape]:
+    """The columns with blk, a block number by hash of all columns; dealt by block. limits: those of shape()."""
+    own = shape(total_bytes, partitions(docs.sparkSession), **limits)
     df = docs.select(*columns)
-    blk = F.pmod(F.xxhash64(*df.columns), F.lit(n))
-    blk = blk if kind is None else F.col(kind) * n + blk
-    blocks = shrunk(df.withColumn("blk", blk.cast("int"))).repartition(p, "blk")
-    return blocks, max(1, min(3 * p, total_bytes // (n * body_bytes))), p
+    blk = F.pmod(F.xxhash64(*df.columns), F.lit(own.blocks)).cast("int")
+    return shrunk(df.withColumn("blk", blk)).repartition(own.parts, "blk"), own
 
 
-def ranges_of(keys: np.ndarray, n: int) -> np.ndarray:
-    """Where each of n ranges begins in the sorted keys, and the end."""
-    edges = np.array([(i << 64) // n for i in range(1, n)], np.uint64)
+def ranges_of(keys: np.ndarray, first: int, n: int, of: int) -> np.ndarray:
+    """Where each of n ranges, from number `first` of `of`, begins in the sorted keys, and the end."""
+    edges = np.array([(i << 64) // of for i in range(first + 1, first + n)], np.uint64)
     return np.concatenate([[0], np.searchsorted(keys, edges, "left"), [len(keys)]]).astype(np.int64)
 
 
-def block_counts(blocks: DataFrame, keys: Callable, n_ranges: int, answer: Callable, p: int) -> tuple[DataFrame, Callable]:
+def narrow(a: np.ndarray) -> np.ndarray:
+    """Whole numbers from 0 up in the smallest type that holds them."""
+    return a.astype(np.min_scalar_type(int(a.max()))) if len(a) else a.astype(np.uint8)
+
+
+def packed(*arrays: bytes) -> bytes:
+    """What parts() reads."""
+    return b"".join(len(x).to_bytes(4, "little") + x for x in arrays)
+
+
+_ASKED = "blk int, level int, rng int, body binary"
+_ANSWERED = _ASKED + ", sums array<long>"
+
+
+def _listed(keys: np.ndarray, counts: list[np.ndarray], first: int, n: int, of: int) -> Iterator[tuple[int, bytes]]:
+    at = ranges_of(keys, first, n, of)
+    for r in np.flatnonzero(np.diff(at)):
+        part = slice(at[r], at[r + 1])
+        yield first + int(r), packed(squeeze_sorted(keys[part]), *(squeeze(narrow(c[part])) for c in counts))
+
+
+def _added(bodies: list) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
+    """Each list's keys, the distinct keys, where each key of the lists is among them, and their counts, kinds by keys."""
+    asked = [parts(x.as_py()) for x in bodies]
+    lists = [unsqueeze_sorted(x[0]) for x in asked]
+    distinct, where = np.unique(np.concatenate(lists), return_inverse=True)
+    totals = np.stack([np.bincount(where, np.concatenate([unsqueeze(x[1 + k]) for x in asked]), len(distinct)).astype(np.int64) for k in range(len(asked[0]) - 1)])
+    return lists, distinct, where, totals
+
+
+def _dealt(table: pa.Table, lists: list[np.ndarray], where: np.ndarray, got: list[np.ndarray], rng: int, sums: list | None) -> pa.Table:
+    """A row for each row of the table: the answers to its keys; the sums in the first."""
+    n, ends = table.num_rows, np.cumsum([len(x) for x in lists])
+    bodies = [packed(*(squeeze(narrow(a[where[e - len(x) : e]])) for a in got)) for x, e in zip(lists, ends, strict=True)]
+    level = table.column("level")[0].as_py()
+    return pa.table({"blk": table.column("blk"), "level": pa.array([level] * n, pa.int32()), "rng": pa.array([rng] * n, pa.int32()), "body": pa.array(bodies, pa.binary()), "sums": pa.array([sums, *[None] * (n - 1)], pa.list_(pa.int64()))})
+
+
+def block_counts(blocks: DataFrame, keys: Callable, own: Shape, answer: Callable) -> DataFrame:
     """keys(table) gives a block's levels: lists of (sorted distinct keys, counts of one or more kinds as rows).
-    answer(totals) turns the totals of a range, kinds by keys, into the array that blocks get.
-    Returns rows (blk, level, rng, body; in one row of a range sums: the total of each kind and the keys that any has), and a function that puts a block's bodies together."""
+    answer(totals) turns the totals of a range, kinds by keys, into the arrays of whole numbers that blocks get.
+    Returns rows (blk, level, rng, body; in one row of a range sums: the total of each kind and the keys that any has),
+    dealt by blk; answers_of() reads a block's."""
 
     def ask(table: pa.Table) -> pa.Table:
         out = {"blk": [], "level": [], "rng": [], "body": []}
         blk = table.column("blk")[0].as_py()
         for level, (ks, counts) in enumerate(keys(table)):
-            at = ranges_of(ks, n_ranges)
-            for r in np.flatnonzero(np.diff(at)):
-                part = slice(at[r], at[r + 1])
-                body = [squeeze_sorted(ks[part]), *(squeeze(c[part].astype(np.uint32)) for c in counts)]
-                out["blk"].append(blk)
-                out["level"].append(level)
-                out["rng"].append(int(r))
-                out["body"].append(b"".join(len(x).to_bytes(4, "little") + x for x in body))
-        return pa.table({"blk": pa.array(out["blk"], pa.int32()), "level": pa.array(out["level"], pa.int32()), "rng": pa.array(out["rng"], pa.int32()), "body": pa.array(out["body"], pa.binary())})
+            for r, body in _listed(ks, counts, 0, own.ranges, own.ranges):
+                for x, v in zip(out.values(), (blk, level, r, body), strict=True):
+                    x.append(v)
+        return pa.table(out, pa.schema([("blk", pa.int32()), ("level", pa.int32()), ("rng", pa.int32()), ("body", pa.binary())]))
 
     def add(table: pa.Table) -> pa.Table:
-        blk, level, rng = table.column("blk"), table.column("level")[0].as_py(), table.column("rng")[0].as_py()
-        asked = [parts(x.as_py()) for x in table.column("body")]
-        lists = [unsqueeze_sorted(x[0]) for x in asked]
-        distinct, where = np.unique(np.concatenate(lists), return_inverse=True)
-        kinds = len(asked[0]) - 1
-        totals = np.stack([np.bincount(where, np.concatenate([unsqueeze(x[1 + k]) for x in asked]), len(distinct)).astype(np.int64) for k in range(kinds)])
-        got = answer(totals)
-        ends = np.cumsum([len(x) for x in lists])
-        bodies = [b"".join(len(y).to_bytes(4, "little") + y for y in (squeeze(a[where[e - len(x) : e]]) for a in got)) for x, e in zip(lists, ends, strict=True)]
-        n = len(bodies)
-        sums = [[*(int(t.sum()) for t in totals), int((totals.sum(0) > 0).sum())], *[None] * (n - 1)]
-        return pa.table({"blk": blk.combine_chunks() if isinstance(blk, pa.ChunkedArray) else blk, "level": pa.array([level] * n, pa.int32()), "rng": pa.array([rng] * n, pa.int32()), "body": pa.array(bodies, pa.binary()), "sums": pa.array(sums, pa.list_(pa.int64()))})
-
-    def join(table: pa.Table, level: int) -> list[np.ndarray]:
-        rows = sorted((r, b) for r, b, x in zip(table.column("rng").to_pylist(), table.column("body").to_pylist(), table.column("level").to_pylist(), strict=True) if x == level)
-        columns = [[unsqueeze(y) for y in parts(b)] for _, b in rows]
-        return [np.concatenate(x) for x in zip(*columns, strict=True)]
-
-    asked = blocks.groupBy("blk").applyInArrow(ask, "blk int, level int, rng int, body binary")
-    got = asked.repartition(p, "level", "rng").groupBy("level", "rng").applyInArrow(add, "blk int, level int, rng int, body binary, sums array<long>")
-    return got, join
+        lists, _, where, totals = _added(table.column("body"))
+        sums = [*(int(t.sum()) for t in totals), int((totals.sum(0) > 0).sum())]
+        return _dealt(table, lists, where, answer(totals), table.column("rng")[0].as_py(), sums)
+
+    def settled(asked: DataFrame, have: int, fans: tuple[int, ...]) -> DataFrame:
+        if not fans:
+            return asked.repartition(own.parts, "level", "rng").groupBy("level", "rng").applyInArrow(add, _ANSWERED)
+        fan, cell = fans[0], ["level", "rng", "cell"]
+
+        def merge(table: pa.Table) -> pa.Table:
+            _, distinct, _, totals = _added(table.column("body"))
+            level, rng, cell = (table.column(c)[0].as_py() for c in ("level", "rng", "cell"))
+            rows = list(_listed(distinct, list(totals), rng * fan, fan, have * fan))
+            n = len(rows)
+            return pa.table({"blk": pa.array([cell] * n, pa.int32()), "level": pa.array([level] * n, pa.int32()), "rng": pa.array([r for r, _ in rows], pa.int32()), "body": pa.array([b for _, b in rows], pa.binary())})
+
+        def spread(table: pa.Table, got: pa.Table) -> pa.Table:
+            lists, _, where, _ = _added(table.column("body"))
+            sums = [x for x in got.column("sums").to_pylist() if x is not None]
+            return _dealt(table, lists, where, answers_of(got), table.column("rng")[0].as_py(), [sum(x) for x in zip(*sums, strict=True)] if sums else None)
+
+        cells = asked.withColumn("cell", F.floor(F.col("blk") / fan).cast("int")).repartition(own.parts, *cell)
+        answers = settled(cells.groupBy(*cell).applyInArrow(merge, _ASKED), have * fan, fans[1:])
+        back = answers.withColumnsRenamed({"blk": "cell", "rng": "part"}).withColumn("rng", F.floor(F.col("part") / fan).cast("int"))
+        back = back.select("cell", "level", "rng", "part", "body", "sums").repartition(own.parts, *cell)
+        return cells.groupBy(*cell).cogroup(back.groupBy(*cell)).applyInArrow(spread, _ANSWERED)
+
+    asked = blocks.groupBy("blk").applyInArrow(ask, _ASKED)
+    return settled(asked, own.ranges, own.fans).repartition(own.parts, "blk")
+
+
+def answers_of(got: pa.Table, level: int | None = None) -> list[np.ndarray]:
+    """A block's or cell's answers put together, of one level or of all rows."""
+    order = got.column("part" if level is None else "rng").to_pylist()
+    levels = got.column("level").to_pylist()
+    rows = sorted((r, k) for k, (r, x) in enumerate(zip(order, levels, strict=True)) if level is None or x == level)
+    columns = [[unsqueeze(y) for y in parts(got.column("body")[k].as_py())] for _, k in rows]
+    return [np.concatenate(x) for x in zip(*columns, strict=True)]
 
 
 def text_bytes(docs: DataFrame) -> int:

@@ -71,20 +71,20 @@ def _block_sets(texts, size: int) -> tuple[np.ndarray, np.ndarray]:
 def _rarity(totals: np.ndarray) -> list[np.ndarray]:
     """Document frequency up to 128 exactly, then by quarter powers of two."""
     df = totals[0]
-    return [np.where(df <= 128, df, 128 + np.minimum(127, np.ceil(4 * np.log2(np.maximum(df, 1) / 128)))).astype(np.uint8)]
+    return [np.where(df <= 128, df, 128 + np.minimum(127, np.ceil(4 * np.log2(np.maximum(df, 1) / 128)))).astype(np.int64)]
 
 
 _SETS = "doc_id long, text_key long, n int, sid long, sid2 long, typical double, bands array<long>, first int, post array<long>, elements binary"
 
 
 def _suspects(docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
-    blocks, ranges, parts = C.blocked(docs, [F.col("doc_id").cast("long").alias("doc_id"), F.col("text"), F.xxhash64("text").alias("text_key")], C.text_bytes(docs))
+    blocks, own = C.blocked(docs, [F.col("doc_id").cast("long").alias("doc_id"), F.col("text"), F.xxhash64("text").alias("text_key")], C.text_bytes(docs))
 
     def keys(table):
         _, h = _block_sets(table.column("text"), size)
         return [(k, [c]) for k, c in [np.unique(h & _KEY, return_counts=True)]]
 
-    got, join = C.block_counts(blocks, keys, ranges, _rarity, parts)
+    answers = C.block_counts(blocks, keys, own, _rarity)
 
     def build(table, answer):
         n_rows = table.num_rows
@@ -93,7 +93,7 @@ def _suspects(docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
         code = np.zeros(0, np.uint8)
         if len(h):
             where = np.unique(key, return_inverse=True)[1]
-            code = join(answer, 0)[0][where]
+            code = C.answers_of(answer, 0)[0][where]
         n = np.bincount(row, minlength=n_rows)
         edge = np.concatenate([[0], np.cumsum(n)])
         once = np.bincount(row, code == 1, n_rows).astype(np.int64)
@@ -114,7 +114,6 @@ def _suspects(docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
         return pa.table({"doc_id": table.column("doc_id").cast(pa.int64()), "text_key": table.column("text_key"), "n": pa.array(n.astype(np.int32)), "sid": pa.array(sid.view(np.int64)), "sid2": pa.array(sid2.view(np.int64)),
                          "typical": pa.array(out["typical"], pa.float64()), "bands": pa.array(out["bands"], pa.list_(pa.int64())), "first": pa.array(out["first"], pa.int32()), "post": pa.array(out["post"], pa.list_(pa.int64())), "elements": pa.array(out["elements"], pa.binary())})
 
-    answers = got.select("blk", "level", "rng", "body").repartition(parts, "blk")
     return blocks.groupBy("blk").cogroup(answers.groupBy("blk")).applyInArrow(build, _SETS)
 
 

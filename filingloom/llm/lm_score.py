@@ -3,8 +3,9 @@
 A token's probability mixes the maximum-likelihood estimates of its k-grams, k from `order` down to 1, and the uniform
 one. The mixture weights depend on how often the longest context occurs (buckets by powers of two). They are learned by
 expectation-maximisation on the counts of the tuning documents, against estimates from the other training documents;
-the final estimates come from all training documents. Counts cover every document and are exact (64-bit hashes of the
-grams); each block of documents asks for the totals of its own distinct grams.
+the final estimates come from all training documents. Counts cover every document. Words are counted by 64-bit hashes,
+longer grams by as many bits as make it under one in 20,000 that shares its key; each block of documents asks for the
+totals of its own distinct grams, and keeps the counts of its tokens, from which weights and scores are taken.
 
 A text's tokens are its words with A-Z lower-cased, then one end. A first token's context is the start, which occurs once
 a training document.
@@ -56,18 +57,6 @@ def grams(h: np.ndarray, row: np.ndarray, order: int) -> list[np.ndarray]:
     return out
 
 
-def _looked_up(table: pa.Table, answer: pa.Table, join, order: int):
-    """Row of each token, whether it is a text's first, and for each k the counts (estimate, all) of its k-gram."""
-    h, row = tokens(table.column("text"))
-    counts = []
-    for level, g in enumerate(grams(h, row, order)):
-        where = np.unique(g, return_inverse=True)[1]
-        counts.append([x.astype(np.int64)[where] for x in join(answer, level)])
-    first = np.ones(len(h), bool)
-    first[1:] = row[1:] != row[:-1]
-    return row, first, counts
-
-
 def _contexts(counts: list[np.ndarray], first: np.ndarray, tokens_total: int, texts_total: int) -> list[np.ndarray]:
     """For each k how often the context of the k-gram occurs."""
     out = [np.full(len(first), tokens_total, np.int64)]
@@ -88,57 +77,85 @@ def _parts(counts, contexts, types: int) -> np.ndarray:
     return np.stack([np.full(len(counts[0]), 1 / (types + 1)), *(c / np.maximum(x, 1) for c, x in zip(counts, contexts, strict=True))])
 
 
-def score(docs: DataFrame, training: Column, tuning: Column, order: int = 2, steps: int = 20) -> DataFrame:
-    """doc_id, held_out (not training), n_tokens, n_known, train_tokens, base_score and score of each row. tuning: which training rows set the weights."""
+def _key_mask(total_bytes: int) -> np.uint64:
+    """The bits that keys of longer grams keep: 12 more than the number of bytes takes, so that under one gram in 20,000
+    shares its key with another at any size of corpus."""
+    return np.uint64((1 << 64) - (1 << 64 - min(64, 12 + max(28, int(total_bytes).bit_length()))))
+
+
+def score(docs: DataFrame, training: Column, tuning: Column, order: int = 3, steps: int = 20, **limits: int) -> DataFrame:
+    """doc_id, held_out (not training), n_tokens, n_known, train_tokens, base_score and score of each row. tuning: which
+    training rows set the weights; limits: those of common.shape()."""
+    size = C.text_bytes(docs)
     part = F.when(~training, HELD).when(tuning, TUNE).otherwise(TRAIN)
-    blocks, ranges, parts = C.blocked(docs, [F.col("doc_id").cast("long").alias("doc_id"), F.col("text"), part.alias("part")], C.text_bytes(docs), kind="part")
+    blocks, own = C.blocked(docs, [F.col("doc_id").cast("long").alias("doc_id"), F.col("text"), part.alias("part")], size, **limits)
+    mask = _key_mask(size)
 
-    def keys(table):
+    def keyed(table) -> tuple[np.ndarray, list[np.ndarray]]:
         h, row = tokens(table.column("text"))
-        kind = table.column("part")[0].as_py()
-        out = []
-        for g in grams(h, row, order):
-            distinct, n = np.unique(g, return_counts=True)
-            out.append((distinct, [n * (kind == TRAIN), n * (kind == TUNE)]))
-        return out
-
-    def answer(totals):
-        return [totals[0].astype(np.uint32), totals.sum(0).astype(np.uint32)]
-
-    got, join = C.block_counts(blocks, keys, ranges, answer, parts)
-    got = C.cut(got)
-    row = got.where("level = 0 and sums is not null").agg(*(F.coalesce(F.sum(F.col("sums")[k]), F.lit(0)) for k in range(3))).first()
-    texts = dict(docs.where(training).groupBy(tuning.alias("t")).count().collect())
-    texts = (texts.get(False, 0), sum(texts.values()))
-    total, types = (row[0], row[0] + row[1]), row[2]
-    answers = got.select("blk", "level", "rng", "body").repartition(parts, "blk")
-
-    def observe(table, answer):
-        if not table.num_rows:
-            return pa.table({"body": pa.array([], pa.binary())})
-        _, first, counts = _looked_up(table, answer, join, order)
-        counts = [c[0] for c in counts]
-        seen = np.stack([*counts, *_contexts(counts, first, total[0], texts[0])[1:]])
-        seen, n = np.unique(seen, axis=1, return_counts=True)
-        return pa.table({"body": pa.array([b"".join(len(x).to_bytes(4, "little") + x for x in map(C.squeeze, [*seen, n]))], pa.binary())})
-
-    tuned = blocks.where(F.col("part") == TUNE).groupBy("blk").cogroup(answers.groupBy("blk")).applyInArrow(observe, "body binary")
-    weights = learn(C.cut(tuned).coalesce(max(8, parts // 8)), order, total[0], types, steps)
-    if not total[1]:
-        weights = np.array([1.0, *[0.0] * order])[:, None].repeat(_BUCKETS, 1)
-
-    def rate(table, answer):
-        n_rows = table.num_rows
-        row, first, counts = _looked_up(table, answer, join, order)
-        counts = [c[1] for c in counts]
-        contexts = _contexts(counts, first, total[1], texts[1])
-        p = (weights[:, _bucket(contexts[-1])] * _parts(counts, contexts, types)).sum(0)
-        base = np.log10((counts[0] + 0.1) / (total[1] + 0.1 * (types + 1)))
-        sums = [np.bincount(row, x, n_rows) for x in (np.ones(len(row)), counts[0] > 0, base, np.log10(p))]
-        return pa.table({"doc_id": table.column("doc_id").cast(pa.int64()), "held_out": pa.array(np.array(table.column("part")) == HELD), "n_tokens": pa.array(sums[0].astype(np.int64)), "n_known": pa.array(sums[1].astype(np.int64)),
-                         "train_tokens": pa.array(np.full(n_rows, total[1], np.int64)), "base_score": pa.array(sums[2]), "score": pa.array(sums[3])})
-
-    return blocks.groupBy("blk").cogroup(answers.groupBy("blk")).applyInArrow(rate, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+        return row, [g & mask if k else g for k, g in enumerate(grams(h, row, order))]
+
+    def keys(table):
+        row, levels = keyed(table)
+        kind = np.array(table.column("part"))[row]
+        for g in levels:
+            distinct, where = np.unique(g, return_inverse=True)
+            yield distinct, [np.bincount(where[kind == k], minlength=len(distinct)) for k in (TRAIN, TUNE)]
+
+    def look(table, answer):
+        """A block's documents, and the counts of its tokens' grams: of all training rows, and for tuning rows without them."""
+        row, levels = keyed(table)
+        kind = np.array(table.column("part"))
+        tuned = kind[row] == TUNE
+        every, rest = [], []
+        for level, g in enumerate(levels):
+            train, tune = (x.astype(np.int64) for x in C.answers_of(answer, level))
+            where = np.unique(g, return_inverse=True)[1]
+            every.append(C.squeeze(C.narrow((train + tune)[where])))
+            rest.append(C.squeeze(C.narrow(train[where[tuned]])))
+        ids = table.column("doc_id")
+        body = C.packed(C.squeeze(ids.fill_null(0).to_numpy()), C.squeeze(ids.is_null().to_numpy()), C.squeeze(kind), C.squeeze(np.bincount(row, minlength=len(kind))), *every, *rest)
+        sums = [x for x, k in zip(answer.column("sums").to_pylist(), answer.column("level").to_pylist(), strict=True) if x is not None and k == 0]
+        sums = [sum(x) for x in zip(*sums, strict=True)] or [0, 0, 0]
+        return pa.table({"texts": pa.array([[int((kind == k).sum()) for k in (TRAIN, TUNE)]]), "sums": pa.array([sums]), "body": pa.array([body], pa.binary())})
+
+    answers = C.block_counts(blocks, keys, own, lambda totals: list(totals))
+    looked = C.cut(blocks.groupBy("blk").cogroup(answers.groupBy("blk")).applyInArrow(look, "texts array<long>, sums array<long>, body binary"))
+    row = looked.agg(*(F.coalesce(F.sum(F.col("texts")[k]), F.lit(0)) for k in range(2)), *(F.coalesce(F.sum(F.col("sums")[k]), F.lit(0)) for k in range(3))).first()
+    texts, total, types = (row[0], row[0] + row[1]), (row[2], row[2] + row[3]), row[4]
+
+    def observe(batches):
+        for b in batches:
+            for body in b.column("body").to_pylist():
+                _, _, kind, n, *counts = map(C.unsqueeze, C.parts(body))
+                counts = [c.astype(np.int64) for c in counts[order:]]
+                first = np.zeros(len(counts[0]), bool)
+                first[np.cumsum(n[kind == TUNE]) - n[kind == TUNE]] = True
+                seen = np.stack([*counts, *_contexts(counts, first, total[0], texts[0])[1:]])
+                seen, times = np.unique(seen, axis=1, return_counts=True)
+                yield pa.record_batch({"body": pa.array([C.packed(*(C.squeeze(C.narrow(x)) for x in (*seen, times)))], pa.binary())})
+
+    weights = np.array([1.0, *[0.0] * order])[:, None].repeat(_BUCKETS, 1)
+    if total[1]:
+        tuned = C.cut(looked.where(F.col("texts")[1] > 0).select("body").mapInArrow(observe, "body binary"))
+        weights = learn(tuned.coalesce(max(8, own.parts // 8)), order, total[0], types, steps)
+
+    def rate(batches):
+        for b in batches:
+            for body in b.column("body").to_pylist():
+                ids, null, kind, n, *counts = map(C.unsqueeze, C.parts(body))
+                counts = [c.astype(np.int64) for c in counts[:order]]
+                row = np.repeat(np.arange(len(n)), n)
+                first = np.zeros(len(row), bool)
+                first[np.cumsum(n) - n] = True
+                contexts = _contexts(counts, first, total[1], texts[1])
+                p = (weights[:, _bucket(contexts[-1])] * _parts(counts, contexts, types)).sum(0)
+                base = np.log10((counts[0] + 0.1) / (total[1] + 0.1 * (types + 1)))
+                known, base, model = (np.bincount(row, x, len(n)) for x in (counts[0] > 0, base, np.log10(p)))
+                yield pa.record_batch({"doc_id": pa.array(ids, pa.int64(), mask=null), "held_out": pa.array(kind == HELD), "n_tokens": pa.array(n, pa.int64()), "n_known": pa.array(known.astype(np.int64)),
+                                       "train_tokens": pa.array(np.full(len(n), total[1], np.int64)), "base_score": pa.array(base), "score": pa.array(model)})
+
+    return looked.select("body").mapInArrow(rate, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
 def learn(tuned: DataFrame, order: int, total: int, types: int, steps: int) -> np.ndarray:

@@ -5,6 +5,7 @@ import math
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import plain
 import pytest
 from pyspark.sql import functions as F
@@ -27,48 +28,72 @@ def test_base_scores(spark):
     assert sorted((r["doc_id"], r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 6)) for r in got) == want
 
 
-@pytest.mark.parametrize("order", [2, 3])
-def test_interpolated_scores(spark, order):
-    rng = np.random.default_rng(1)
-    rows = [(i, " ".join(f"w{x}" for x in rng.zipf(1.6, rng.integers(1, 30)) if x < 200)) for i in range(120)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
-    tenth = common.crc_bucket(F.col("doc_id"), 10)
-    weights = {}
-    whole = lm_score.learn
-
-    def learn(*a):
-        weights["w"] = whole(*a)
-        return weights["w"]
-
-    lm_score.learn = learn
-    try:
-        got = {r["doc_id"]: r["score"] for r in lm_score.score(docs, tenth != 0, tenth == 1, order).collect()}
-    finally:
-        lm_score.learn = whole
-    w = weights["w"]
-    assert np.allclose(w.sum(0), 1)
-    grams = collections.Counter()
+#: Limits that deal a small input by way of two turns of cells.
+CELLS = {"block_bytes": 400, "body_bytes": 40, "task_bytes": 1 << 20, "range_bytes": 150, "most_fan": 3}
+
+
+def _plain_model(rows, order, steps=20):
+    """Scores by deleted interpolation, from the contract alone: {id: log10 probability}."""
     part = {i: zlib.crc32(str(i).encode()) % 10 for i, _ in rows}
     token = {i: [*plain.words(t), "</s>"] for i, t in rows}
 
     def gram(t, i, k):
         return tuple((["<s>"] * k + t)[i + 1 : i + 1 + k])
 
-    for i, t in token.items():
-        if part[i]:
-            for j in range(len(t)):
-                for k in range(1, order + 1):
-                    grams[gram(t, j, k)] += 1
-    n, texts = sum(v for g, v in grams.items() if len(g) == 1), sum(map(bool, part.values()))
-    types = sum(len(g) == 1 for g in grams)
-    for i, t in token.items():
-        total = 0.0
-        for j in range(len(t)):
-            context = [n] + [grams[gram(t, j - 1, k - 1)] if j else texts for k in range(2, order + 1)]
-            b = min(lm_score._BUCKETS - 1, math.ceil(math.log2(context[-1] + 1)))
-            p = w[0, b] / (types + 1) + sum(w[k, b] * grams[gram(t, j, k)] / max(1, context[k - 1]) for k in range(1, order + 1))
-            total += math.log10(p)
-        assert abs(total - got[i]) < 1e-6 * max(1, abs(total))
+    def counted(ids):
+        c = collections.Counter(gram(token[i], j, k) for i in ids for j in range(len(token[i])) for k in range(1, order + 1))
+        return c, sum(v for g, v in c.items() if len(g) == 1), len(ids)
+
+    def estimates(t, j, counts, n, texts, types):
+        context = [n] + [counts[gram(t, j - 1, k - 1)] if j else texts for k in range(2, order + 1)]
+        bucket = min(lm_score._BUCKETS - 1, math.ceil(math.log2(context[-1] + 1)))
+        return bucket, np.array([1 / (types + 1)] + [counts[gram(t, j, k)] / max(1, context[k - 1]) for k in range(1, order + 1)])
+
+    every, rest = counted([i for i in part if part[i]]), counted([i for i in part if part[i] > 1])
+    types = sum(len(g) == 1 for g in every[0])
+    seen = [estimates(token[i], j, *rest, types) for i in part if part[i] == 1 for j in range(len(token[i]))]
+    weights = np.full((lm_score._BUCKETS, order + 1), 1 / (order + 1))
+    for _ in range(steps):
+        sums = np.zeros_like(weights)
+        for b, p in seen:
+            sums[b] += weights[b] * p / (weights[b] * p).sum()
+        now = np.where(sums.sum(1, keepdims=True) > 0, np.maximum(sums / np.maximum(sums.sum(1, keepdims=True), 1e-300), 1e-9), 1 / (order + 1))
+        now /= now.sum(1, keepdims=True)
+        moved, weights = np.abs(now - weights).max(), now
+        if moved < 1e-4:
+            break
+    return {i: sum(math.log10((weights[b] * p).sum()) for j in range(len(t)) for b, p in [estimates(t, j, *every, types)]) for i, t in token.items()}
+
+
+@pytest.mark.parametrize(("order", "limits"), [(2, {}), (3, {}), (3, CELLS)])
+def test_interpolated_scores(spark, order, limits):
+    rng = np.random.default_rng(1)
+    rows = [(i, " ".join(f"w{x}" for x in rng.zipf(1.6, rng.integers(1, 30)) if x < 200)) for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    tenth = common.crc_bucket(F.col("doc_id"), 10)
+    got = {r["doc_id"]: r["score"] for r in lm_score.score(docs, tenth != 0, tenth == 1, order, **limits).collect()}
+    want = _plain_model(rows, order)
+    assert set(got) == set(want) and all(abs(got[i] - want[i]) < 1e-6 * max(1, abs(want[i])) for i in want)
+
+
+def test_ranges_stay_small():
+    """What a range, a cell, a block holds, and the number of bodies a block sends, from a megabyte to an exabyte."""
+    for size in (10**k * m for k in range(6, 19) for m in (1, 3)):
+        own = common.shape(size, 8)
+        ranges = own.ranges * math.prod(own.fans)
+        assert size / ranges <= 64 << 20 and size / own.blocks <= 8 << 20 and own.ranges <= 1024 and all(2 <= f <= 1024 for f in own.fans)
+        asked, wide = own.blocks, own.ranges
+        for fan in own.fans:  # a cell: one range of `fan` lists
+            assert fan * size / asked / wide <= 16 << 20
+            asked, wide = asked / fan, wide * fan
+    assert common.shape(30 * 10**9, 1000).fans == () and len(common.shape(10**14, 100_000).fans) == 2
+
+
+def test_counts_beyond_32_bits():
+    body = common.packed(common.squeeze_sorted(np.array([5, 9], np.uint64)), common.squeeze(common.narrow(np.array([5_000_000_000, 1]))))
+    lists, distinct, where, totals = common._added(pa.array([body, body]))
+    got = common._dealt(pa.table({"blk": [0, 1], "level": [0, 0]}), lists, where, list(totals), 0, None).column("body").to_pylist()
+    assert [common.unsqueeze(common.parts(x)[0]).tolist() for x in got] == [[10_000_000_000, 2]] * 2
 
 
 def test_lm_odd(spark):
@@ -81,7 +106,9 @@ def test_lm_odd(spark):
 
 def test_model_beats_base(spark):
     got = queries.op3_lm_score(spark, DIR).where("held_out").agg(F.sum("score"), F.sum("base_score")).first()
-    assert got[0] > got[1]
+    tenth = common.crc_bucket(F.col("doc_id"), 10)
+    pairs = lm_score.score(spark.read.parquet(f"{DIR}/documents.parquet").select("doc_id", "text"), tenth != 0, tenth == 1, order=2).where("held_out").agg(F.sum("score")).first()
+    assert got[0] > pairs[0] > got[1]
 
 
 def test_languages(spark):
