@@ -74,11 +74,11 @@ def _rarity(totals: np.ndarray) -> list[np.ndarray]:
     return [np.where(df <= 128, df, 128 + np.minimum(127, np.ceil(4 * np.log2(np.maximum(df, 1) / 128)))).astype(np.int64)]
 
 
-_SETS = "doc_id long, text_key long, n int, sid long, sid2 long, typical double, bands array<long>, first int, post array<long>, elements binary"
+_SETS = "doc_id long, text_key long, n int, sid long, sid2 long, uid long, typical double, bands array<long>, first int, post array<long>, elements binary"
 
 
-def _suspects(docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
-    blocks, own = C.blocked(docs, [F.col("doc_id").cast("long").alias("doc_id"), F.col("text"), F.xxhash64("text").alias("text_key")], C.text_bytes(docs))
+def _suspects(docs: DataFrame, size: int, num: int, den: int, limits: dict) -> DataFrame:
+    blocks, own = C.blocked(docs, [F.col("doc_id").cast("long").alias("doc_id"), F.col("text"), F.xxhash64("text").alias("text_key")], C.text_bytes(docs), **limits)
 
     def keys(table):
         _, h = _block_sets(table.column("text"), size)
@@ -111,7 +111,8 @@ def _suspects(docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
             out["first"][i] = int(once[i])
             out["post"][i] = own[order].view(np.int64)
             out["elements"][i] = C.squeeze_sorted(own)
-        return pa.table({"doc_id": table.column("doc_id").cast(pa.int64()), "text_key": table.column("text_key"), "n": pa.array(n.astype(np.int32)), "sid": pa.array(sid.view(np.int64)), "sid2": pa.array(sid2.view(np.int64)),
+        uid = (table.column("blk")[0].as_py() << 32) + np.arange(n_rows)
+        return pa.table({"doc_id": table.column("doc_id").cast(pa.int64()), "text_key": table.column("text_key"), "n": pa.array(n.astype(np.int32)), "sid": pa.array(sid.view(np.int64)), "sid2": pa.array(sid2.view(np.int64)), "uid": pa.array(uid),
                          "typical": pa.array(out["typical"], pa.float64()), "bands": pa.array(out["bands"], pa.list_(pa.int64())), "first": pa.array(out["first"], pa.int32()), "post": pa.array(out["post"], pa.list_(pa.int64())), "elements": pa.array(out["elements"], pa.binary())})
 
     return blocks.groupBy("blk").cogroup(answers.groupBy("blk")).applyInArrow(build, _SETS)
@@ -140,13 +141,13 @@ def compare(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return both.select("a", "b", "ea", "eb").mapInArrow(run, "a long, b long, na long, nb long, shared long")
 
 
-def groups(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+def groups(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100, **limits: int) -> DataFrame:
     """doc_id, n_shingles, component_id, text_key (a hash of the text) and group_key (a number for each group, apart even
-    where groups share a doc_id) for each row; sets link where den * shared >= num * union."""
-    sets = C.cut(_suspects(docs, size, num, den))
+    where groups share a doc_id) for each row; sets link where den * shared >= num * union. limits: those of common.shape()."""
+    sets = C.cut(_suspects(docs, size, num, den, limits))
     order = F.coalesce("doc_id", F.lit(int(np.iinfo(np.int64).max))).alias("order")
-    best = F.min(F.struct(order, "n", "typical", "bands", "first", "post", "elements")).alias("x")
-    nodes = C.cut(sets.where("elements is not null").groupBy("sid", "sid2").agg(best).select("sid", "sid2", F.xxhash64("sid", "sid2").alias("node"), "x.*"))
+    first = C.cut(sets.where("elements is not null").groupBy("sid", "sid2").agg(F.min(order).alias("order"), F.min("uid").alias("uid")).select("uid", "order", F.xxhash64("sid", "sid2").alias("node")))
+    nodes = C.cut(sets.drop("doc_id", "text_key").where("elements is not null").join(first, "uid").drop("uid"))
     linked = F.expr(f"{den} * shared >= {num} * (na + nb - shared)")
 
     # Relations: each node and the hubs of its bands.

@@ -6,27 +6,31 @@ fits gets the default verdict.
 
 A rule's literal tokens are its host labels and the path segments that a slash ends; an address that it fits has them
 all. Tokens are counted over all addresses, each rule is listed under its rarest one, an address fetches the rules
-listed under its own tokens, and only these run their regular expression.
+listed under its own tokens by a join, and only these run their regular expression. The rule index is broadcast if its
+rows are few, else the join deals both sides by token; nothing else depends on the number of rules.
 
 Defined cases: a null url, or one without `://`, has an empty host and path and fits no rule. Rows are judged one by
-one, so repeats and null ids stay as they are. No rules: all rows get the default. Columns of pages are kept; one named
-host, path, rule or verdict is replaced.
+one, so repeats and null ids stay as they are. No rules: all rows get the default. Of rules with the same host and path
+the last one given counts, whatever the verdicts. A rule's host is compared without A-Z case; one without a host fits
+nothing. Columns of pages are kept; one named host, path, rule or verdict is replaced.
 """
 
 from __future__ import annotations
 
+import json
 import re
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import common as C
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Rules that are tested within the row; more are joined.
-INLINE = 64
 #: Rows of the rule index that are broadcast; more are joined by a shuffle.
 BROADCAST = 200_000
+#: Stands between host and path where a rule's pattern runs; neither can hold it.
+_END = "?"
+_RULES = "rank:long,host:string,path:string,rule:string,verdict:string,pattern:string"
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -45,37 +49,37 @@ def tokens(host: Column, path: Column) -> Column:
 
 
 def pattern(host: str, path: str) -> str:
-    return r"(?s)^(?:[^/]*\.)?" + re.escape(host.translate(str.maketrans(_UPPER, _LOWER)) + path)
+    """Runs over host, `?` and path: the host or a subdomain, whole, then a path that starts so."""
+    return r"(?s)^(?:[^?]*\.)?" + re.escape(host + _END + path)
+
+
+def rule_table(spark: SparkSession, rules: list[tuple[str, str, str]]) -> DataFrame:
+    """The rules as rows that the JVM reads from one literal; of those that fit an address, the lowest rank decides."""
+    lowered = str.maketrans(_UPPER, _LOWER)
+    last = {(h.translate(lowered), p): v for v, h, p in rules if h}
+    order = sorted(last, key=lambda x: (-len(x[0] + x[1]), x[0] + x[1], last[x]))
+    rows = [{"rank": k, "host": h, "path": p, "rule": h + p, "verdict": last[h, p], "pattern": pattern(h, p)} for k, (h, p) in enumerate(order)]
+    return spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(rows)), f"array<struct<{_RULES}>>")))
 
 
 def rule_index(rules: DataFrame, addresses: DataFrame) -> DataFrame:
-    """rules (rule, verdict, pattern, tokens) under the token that fewest of the addresses (tokens) have."""
-    listed = rules.select("*", F.explode("tokens").alias("token"))
+    """rules (rank, host, path, rule, verdict, pattern) under the token that fewest of the addresses (tokens) have."""
+    listed = rules.withColumn("token", F.explode(tokens(F.col("host"), F.col("path"))))
     seen = addresses.select(F.explode("tokens").alias("token")).join(listed.select("token").distinct(), "token", "left_semi").groupBy("token").count()
-    rank = Window.partitionBy("rule").orderBy(F.coalesce("count", F.lit(0)), "token")
-    return listed.join(seen, "token", "left").withColumn("k", F.row_number().over(rank)).where("k = 1").select("token", "rule", "verdict", "pattern")
+    rank = Window.partitionBy("rank").orderBy(F.coalesce("count", F.lit(0)), "token")
+    return listed.join(seen, "token", "left").withColumn("k", F.row_number().over(rank)).where("k = 1").select("token", "rank", "rule", "verdict", "pattern")
 
 
-def judge(pages: DataFrame, rules: list[tuple[str, str, str]], default: str = "allow", inline: int = INLINE) -> DataFrame:
-    """pages with host, path, rule and verdict; rules: (verdict, host, path)."""
-    spark = pages.sparkSession
+def judge(pages: DataFrame, rules: list[tuple[str, str, str]], default: str = "allow", most: int = BROADCAST) -> DataFrame:
+    """pages with host, path, rule and verdict; rules: (verdict, host, path). most: rules whose index is broadcast."""
     host, path = host_and_path(F.col("url"))
     pages = pages.drop("rule", "verdict").withColumns({"host": host, "path": path})
-    if not rules:
-        return pages.withColumns({"rule": F.lit(None).cast("string"), "verdict": F.lit(default)})
-    rows = list({h.translate(str.maketrans(_UPPER, _LOWER)) + p: (h.translate(str.maketrans(_UPPER, _LOWER)) + p, v, pattern(h, p), h.translate(str.maketrans(_UPPER, _LOWER)), p) for v, h, p in rules}.values())
-    table = spark.createDataFrame(rows, "rule string, verdict string, pattern string, host string, path string").withColumn("tokens", tokens(F.col("host"), F.col("path"))).drop("host", "path")
-    addresses = pages.where("host <> ''").select(tokens(F.col("host"), F.col("path")).alias("tokens"))
-    index = rule_index(table, addresses)
-    address = F.concat("host", "path")
-    if len(rows) <= inline:
-        found = index.collect()
-        listed = F.array(*(F.struct(F.lit(-len(r["rule"])).alias("k"), F.lit(r["rule"]).alias("rule"), F.lit(r["verdict"]).alias("verdict"), F.lit(r["token"]).alias("token"), F.lit(r["pattern"]).alias("pattern")) for r in found))
-        best = F.array_min(F.filter(listed, lambda r: F.array_contains(tokens(F.col("host"), F.col("path")), r["token"]) & F.regexp_like(address, r["pattern"])))
-        return pages.withColumn("__fl_best", best).withColumns({"rule": F.col("__fl_best.rule"), "verdict": F.coalesce("__fl_best.verdict", F.lit(default))}).drop("__fl_best")
-    index = C.cut(index)
-    index = F.broadcast(index) if len(rows) <= BROADCAST else index
-    asked = pages.where("host <> ''").select("host", "path").distinct().select("host", "path", F.explode(tokens(F.col("host"), F.col("path"))).alias("token"))
-    fits = asked.join(index, "token").where(F.regexp_like(address, F.col("pattern")))
-    best = C.cut(fits.groupBy("host", "path").agg(F.min(F.struct((-F.length("rule")).alias("k"), "rule", "verdict")).alias("__fl_best")))
-    return pages.join(best, ["host", "path"], "left").withColumns({"rule": F.col("__fl_best.rule"), "verdict": F.coalesce("__fl_best.verdict", F.lit(default))}).drop("__fl_best")
+    address = pages.where("host <> ''").select("host", "path").withColumn("tokens", tokens(F.col("host"), F.col("path")))
+    index = C.cut(rule_index(rule_table(pages.sparkSession, rules), address))
+    index = F.broadcast(index) if len(rules) <= most else index
+    fetched = address.select("host", "path", F.explode("tokens").alias("token")).join(index, "token")
+    fits = fetched.where(F.regexp_like(F.concat("host", F.lit(_END), "path"), F.col("pattern")))
+    best = fits.groupBy("host", "path").agg(F.min("rank").alias("__fl_rank"))
+    chosen = index.select(F.col("rank").alias("__fl_rank"), "rule", "verdict")
+    judged = pages.join(best, ["host", "path"], "left").join(F.broadcast(chosen) if len(rules) <= most else chosen, "__fl_rank", "left")
+    return judged.withColumn("verdict", F.coalesce("verdict", F.lit(default))).select(*pages.columns, "rule", "verdict")

@@ -73,10 +73,10 @@ def test_equal_hashes_are_told_apart():
     assert not substring_dedup._equal(buffer, np.array([0]), np.array([5]), np.array([12]), np.array([17]))
 
 
-@pytest.mark.parametrize("seed", [4, 5])
-def test_groups(spark, seed):
+@pytest.mark.parametrize(("seed", "limits"), [(4, {}), (5, {"block_bytes": 2000, "body_bytes": 200, "task_bytes": 1 << 20, "range_bytes": 700, "most_fan": 3})])
+def test_groups(spark, seed, limits):
     rows = made(seed)
-    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.groups(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()}
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.groups(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), **limits).collect()}
     assert got == {d: x for (d, _), x in zip(rows, plain.groups(rows), strict=True)}
 
 

@@ -273,18 +273,35 @@ def fits(url, rules, default="allow"):
     return host, path, best and best[1], best[2] if best else default
 
 
-@pytest.mark.parametrize("inline", [64, 0])
-def test_url_rules(spark, inline):
-    rows = [(i, u) for i, u in enumerate(URLS * 2)] + [(None, URLS[0])]
-    for rules in (queries.URL_RULES, [*queries.URL_RULES, ("block", "example.com", ""), ("block", "a.com", "/e")]):
-        got = url_filter.judge(spark.createDataFrame(rows, "page_id long, url string").withColumn("rule", F.lit("old")), rules, inline=inline).collect()
-        assert sorted([(r["page_id"], r["host"], r["path"], r["rule"], r["verdict"]) for r in got], key=repr) == sorted([(i, *fits(u, rules)) for i, u in rows], key=repr)
+#: The first two and two more of the same host and path with contrary verdicts; rules of a host alone.
+MORE_RULES = [*queries.URL_RULES, ("block", "example.com", ""), ("block", "a.com", "/e"), ("block", "com", ""), ("block", "B.net", "/de"), ("allow", "b.net", "/de"), ("block", "", "/x")]
+
+
+@pytest.mark.parametrize("most", [url_filter.BROADCAST, 0])
+def test_url_rules(spark, most):
+    rows = [(i, u) for i, u in enumerate([*URLS, "http://com.evil.org/x", "http://example.com.evil.org/en/7", "http://a.comx/e", "http://com"] * 2)] + [(None, URLS[0])]
+    for rules in (queries.URL_RULES, MORE_RULES):
+        last = [(v, h, p) for (h, p), v in {(h.lower(), p): v for v, h, p in rules if h}.items()]
+        got = url_filter.judge(spark.createDataFrame(rows, "page_id long, url string").withColumn("rule", F.lit("old")), rules, most=most).collect()
+        assert sorted([(r["page_id"], r["host"], r["path"], r["rule"], r["verdict"]) for r in got], key=repr) == sorted([(i, *fits(u, last)) for i, u in rows], key=repr)
     nothing = spark.createDataFrame([], "page_id long, url string")
-    assert url_filter.judge(nothing, queries.URL_RULES, inline=inline).count() == 0
+    assert url_filter.judge(nothing, queries.URL_RULES, most=most).count() == 0
     assert {r["verdict"] for r in url_filter.judge(spark.createDataFrame(rows, "page_id long, url string"), []).collect()} == {"allow"}
 
 
+def test_url_rules_many(spark):
+    """A thousand rules, fetched by token; no Python worker in the plan."""
+    rng = np.random.default_rng(5)
+    rules = [("block" if k % 3 else "allow", f"h{rng.integers(200)}.example", f"/p{rng.integers(30)}/" * int(rng.integers(0, 3))) for k in range(1000)]
+    rows = [(i, f"http://www.h{rng.integers(220)}.example/p{rng.integers(30)}/p{rng.integers(30)}/x") for i in range(300)]
+    last = [(v, h, p) for (h, p), v in {(h, p): v for v, h, p in rules}.items()]
+    judged = url_filter.judge(spark.createDataFrame(rows, "page_id long, url string"), rules)
+    assert {(r["page_id"], r["rule"], r["verdict"]) for r in judged.collect()} == {(i, *fits(u, last)[2:]) for i, u in rows}
+    plan = queries.op2_url_filter(spark, DIR)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
 def test_rarest_token(spark):
-    table = spark.createDataFrame([("com/en/", "block", "p", ["com.", "/en/"])], "rule string, verdict string, pattern string, tokens array<string>")
+    table = url_filter.rule_table(spark, [("block", "com", "/en/")])
     seen = spark.createDataFrame([(["com.", "/en/"],), (["com."],)], "tokens array<string>")
     assert url_filter.rule_index(table, seen).first()["token"] == "/en/"
