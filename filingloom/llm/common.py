@@ -47,6 +47,12 @@ def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit("[^ \\t-\\r]+")), F.lit(0)).cast("long")
 
 
+def row_key(df: DataFrame) -> Column:
+    """A hash of all of a row's columns but maps and variants, which have none: rows that share it are as good as equal."""
+    named = [f.name for f in df.schema.fields if not re.search(r'"(type": ?"map|variant)"', f.dataType.json())]
+    return F.xxhash64(*(F.col(f"`{n}`") for n in named), F.lit("row"))
+
+
 # --- vectorised text -------------------------------------------------------------------------------------------------
 
 

@@ -252,9 +252,34 @@ def test_mixing_meets_the_dual(spark):
     assert all(abs(r["got"] / r["target"] - 1) < 1e-6 for r in sums)
 
 
+@pytest.mark.parametrize("share", [0.05, 0.7, 1.0, 1.5, 1.97])
+def test_mixing_rates_are_tilted(spark, share):
+    """The rates are exp(lambda * size) up to the cap, with the lambda that bisection finds."""
+    sizes = np.random.default_rng(9).integers(1, 400, 500)
+    docs = spark.createDataFrame([(i, "w " * int(n), "a") for i, n in enumerate(sizes)], "doc_id long, text string, source string")
+    got = {r["doc_id"]: r["rate"] for r in mixing.mix(docs, share=share).collect()}
+    lo, hi = -10.0, 10.0
+    for _ in range(200):
+        mid = (lo + hi) / 2
+        if (sizes * np.exp(np.minimum(mid * sizes, math.log(2)))).sum() < share * sizes.sum():
+            lo = mid
+        else:
+            hi = mid
+    assert np.allclose([got[i] for i in range(500)], np.exp(np.minimum(lo * sizes, math.log(2))), rtol=1e-6)
+
+
+def test_mixing_order(spark):
+    """Null and repeated ids of one size: the copies follow the rows, however these are ordered."""
+    rows = [(d, f"{'w ' * 40}x{k}", "ab"[k % 2]) for d in (None, 7) for k in range(50)] + [(8, "one more " * 9, "a")]
+    found = [sorted((repr(r["doc_id"]), r["text"], r["copies"]) for r in mixing.mix(spark.createDataFrame(x, "doc_id long, text string, source string").repartition(n)).collect()) for x, n in ((rows, 3), (rows[::-1], 5))]
+    assert found[0] == found[1] and {c for _, _, c in found[0]} == {1, 2}
+
+
 def test_mixing_odd(spark):
-    got = mixing.mix(plain.odd(spark), carry=("host",))
-    assert got.count() == len(plain.ODD) and got.where("size = 0 and taken > 0").count() == 0 and mixing.mix(plain.none(spark)).count() == 0
+    odd = plain.odd(spark)
+    got = mixing.mix(odd)
+    assert set(got.columns) == set(odd.columns) | set(mixing.RESULT) and [r["host"] for r in got.collect()] == ["host"] * len(plain.ODD)
+    assert got.where("size = 0 and taken > 0").count() == 0 and mixing.mix(plain.none(spark)).count() == 0
     empty = spark.createDataFrame([(1, None, "a"), (2, "", None)], "doc_id long, text string, source string")
     assert [(r["target"], r["taken"]) for r in mixing.mix(empty).collect()] == [(0, 0), (0, 0)]
 
