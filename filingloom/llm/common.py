@@ -21,6 +21,7 @@ _LOWER[65:91] += 32
 WORD = r"[^\x20\x09-\x0D]+"
 #: Text bytes handled at once by the vectorised code; one longer document is handled alone.
 SLICE = 1 << 20
+_SAMPLE = 1 << 40
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -53,6 +54,14 @@ def row_key(df: DataFrame) -> Column:
     return F.xxhash64(*(F.col(f"`{n}`") for n in named), F.lit("row"))
 
 
+def sampled(df: DataFrame, n: int) -> DataFrame:
+    """About n different rows of df and never many more, those of the smallest hashes, with the hash as __fl_k; all rows
+    if there are fewer. Equal rows count as one."""
+    keyed = df.withColumn("__fl_k", F.pmod(row_key(df), F.lit(_SAMPLE)))
+    total = keyed.agg(F.approx_count_distinct("__fl_k")).first()[0]
+    return keyed.where(F.col("__fl_k") < F.lit(int(min(1.0, (1.2 * n + 50) / max(total, 1)) * _SAMPLE))).dropDuplicates(["__fl_k"])
+
+
 # --- vectorised text -------------------------------------------------------------------------------------------------
 
 

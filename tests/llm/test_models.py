@@ -191,20 +191,84 @@ def test_accuracies_are_learned():
 
 
 def test_toxicity(spark):
-    labels = spark.read.parquet(f"{DIR}/labels.parquet").select("doc_id", F.col("toxic").alias("given"))
-    listed = spark.read.parquet(f"{DIR}/documents.parquet").select("doc_id", F.lower("text").rlike("|".join(w for ws in toxicity.LISTS for w in ws)).alias("listed"))
-    got = queries.op9_toxicity(spark, DIR).join(labels, "doc_id").join(listed, "doc_id").collect()
-    caught = [r["toxic"] for r in got if r["given"] and r["listed"]]
-    assert sum(caught) > 0.95 * len(caught) > 20 and sum(r["toxic"] for r in got if not r["given"]) <= 0.01 * len(got)
+    """Recall over all labelled rows, by models that have seen the other three quarters of them."""
+    large = "/root/testdata/sf0.1"
+    docs, labels = spark.read.parquet(f"{large}/documents.parquet").select("doc_id", "text"), spark.read.parquet(f"{large}/labels.parquet")
+    part, counts = common.crc_bucket(F.col("doc_id"), 4), collections.Counter()
+    for f in range(4):
+        got = toxicity.score(docs, toxicity.fit(docs, labels.where(part != f))).join(labels.where(part == f).select("doc_id", F.col("toxic").alias("given")), "doc_id")
+        counts.update({(r["given"], r["toxic"]): r["count"] for r in got.groupBy("given", "toxic").count().collect()})
+    assert counts[1, True] >= 0.88 * (counts[1, True] + counts[1, False]) and counts[0, True] <= 0.005 * counts[0, False]
+
+
+def _invented_toxic(n=600):
+    """Texts as lists of words, toxic, low quality; four toxic words in two groups, which never meet."""
+    rng = np.random.default_rng(8)
+    rows = []
+    for i in range(n):
+        w = [f"c{k}" for k in rng.integers(0, 80, 25)]
+        toxic = int(i % 5 == 0)
+        if toxic:
+            w[3:3] = [["t0", "t1"], ["t2", "t3"]][i % 2][: 1 + int(rng.integers(0, 2))]
+        low = int(rng.random() < 0.2)
+        rows.append((w + ["###"] * low + ["zz"] * low, toxic, low if i % 7 else None))
+    return rows
+
+
+def _hashed(rows):
+    return [(np.unique(np.concatenate([w for _, _, _, w in toxicity._present(pa.array([" ".join(ws)]))])), y, low) for ws, y, low in rows]
+
+
+def test_toxicity_chain_by_hand():
+    rows = _invented_toxic()
+    model = toxicity.learn(_hashed(rows), 200, 2)
+    sets, y = [{w for w in ws if w != "###"} for ws, _, _ in rows], np.array([r[1] for r in rows], float)
+    seen = {w: [sum(w in s for s, t in zip(sets, y) if t == c) for c in (0, 1)] for w in set().union(*sets)}
+
+    def ratio(b, a):
+        e = (a + b) * y.mean()
+        return 2 * sum(n * math.log(n / m) for n, m in ((a, e), (b, a + b - e)) if n) if a > e else 0
+
+    assert {w for w, (b, a) in seen.items() if ratio(b, a) > 12} == {"t0", "t1", "t2", "t3"}
+    of = {w: int(toxicity._present(pa.array([w])).__next__()[3][0]) for w in ("t0", "t1", "t2", "t3")}
+    assert sorted(sorted(w for w in of if of[w] in group) for group in model["words"]) == [["t0", "t1"], ["t2", "t3"]]
+    order = sorted(of, key=of.get)
+    x = np.array([[w in s for w in order] for s in sets], float)
+    groups = [{w for w in of if of[w] in g} for g in model["words"]]
+    targets = [[r[2] for r in rows], *([int(t and bool(s & g)) for s, t in zip(sets, y)] for g in groups), y.tolist()]
+    for k, target in enumerate(targets):
+        known = [i for i, t in enumerate(target) if t is not None]
+        t = np.array([target[i] for i in known], float)
+        assert np.allclose(model["models"][k], linear.fit_logistic(x[known], t, toxicity._RIDGE), atol=1e-6)
+        out = np.zeros(len(rows))
+        for f in range(5):
+            rest = [j for j, i in enumerate(known) if i % 5 != f]
+            w = linear.fit_logistic(x[[known[j] for j in rest]], t[rest], toxicity._RIDGE)
+            for i in range(f, len(rows), 5):
+                out[i] = linear.sigmoid(x[i] @ w[:-1] + w[-1])
+        x = np.hstack([x, out[:, None]])
+
+
+def test_toxicity_vocabulary(spark):
+    """Other words in the same places: the same probabilities and flags."""
+    rows = _invented_toxic()
+    swapped = [([f"{w[::-1]}ж" if w != "###" else w for w in ws], y, low) for ws, y, low in rows]
+    found = []
+    for x in (rows, swapped):
+        docs = spark.createDataFrame([(i, " ".join(ws)) for i, (ws, _, _) in enumerate(x)], "doc_id long, text string")
+        found.append([tuple(r) for r in toxicity.score(docs, toxicity.learn(_hashed(x), 200, 2)).drop("text").orderBy("doc_id").collect()])
+    assert np.allclose(*[[r[1:-1] for r in f] for f in found], atol=1e-6) and [r[-1] for r in found[0]] == [r[-1] for r in found[1]] == [bool(y) for _, y, _ in rows]
 
 
 def test_toxicity_odd(spark):
-    labels = spark.createDataFrame([(1, 1), (6, 0), (7, None), (None, 1), (8, 0)], "doc_id long, toxic int")
+    labels = spark.createDataFrame([(1, 1, 1), (6, 0, 0), (7, None, 1), (None, 1, 0), (8, 0, None)], "doc_id long, toxic int, quality int")
     model = toxicity.fit(plain.odd(spark), labels)
     got = toxicity.score(plain.odd(spark), model)
-    assert got.count() == len(plain.ODD) and {"p_insult", "p_contempt", "p_toxic", "toxic"} <= set(got.columns)
+    assert got.count() == len(plain.ODD) and {"p_low_quality", "p_group_1", "p_group_2", "p_toxic", "toxic"} <= set(got.columns)
     assert toxicity.fit(plain.odd(spark), labels.where("false")) is None
     assert not any(r["toxic"] for r in toxicity.score(plain.odd(spark), None).collect()) and toxicity.score(plain.none(spark), model).count() == 0
+    again = spark.createDataFrame([(1, "a b")] * 3000 + [(2, "c d")] * 3000, "doc_id long, text string")
+    assert toxicity.fit(again, spark.createDataFrame([(1, 1, 1), (2, 0, 1)], labels.schema), sample=10) is not None
 
 
 def test_logistic():
