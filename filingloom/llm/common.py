@@ -262,6 +262,15 @@ def narrow(a: np.ndarray) -> np.ndarray:
     return a.astype(np.min_scalar_type(int(a.max()))) if len(a) else a.astype(np.uint8)
 
 
+def by_rank(a: np.ndarray) -> tuple[bytes, bytes]:
+    """Whole numbers of which few are frequent: the different ones, the most frequent first, and each one's rank there."""
+    values, where, times = np.unique(a, return_inverse=True, return_counts=True)
+    order = np.argsort(-times, kind="stable")
+    rank = np.empty(len(values), np.int64)
+    rank[order] = np.arange(len(values))
+    return squeeze(narrow(values[order])), squeeze(narrow(rank[where]))
+
+
 def packed(*arrays: bytes) -> bytes:
     """What parts() reads."""
     return b"".join(len(x).to_bytes(4, "little") + x for x in arrays)

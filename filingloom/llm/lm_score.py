@@ -3,8 +3,8 @@
 A token's probability mixes the maximum-likelihood estimates of its k-grams, k from `order` down to 1, and the uniform
 one. The mixture weights depend on how often the longest context occurs (buckets by powers of two). They are learned by
 expectation-maximisation on the counts of the tuning documents, against estimates from the other training documents;
-the final estimates come from all training documents. Counts cover every document. Words are counted by 64-bit hashes,
-longer grams by as many bits as make it under one in 20,000 that shares its key; each block of documents asks for the
+the final estimates come from all training documents. Counts cover every document. Words and longer grams are
+counted by hashes of as many bits as the size of the corpus asks for (_key_masks); each block of documents asks for the
 totals of its own distinct grams, and keeps the counts of its tokens, from which weights and scores are taken.
 
 A text's tokens are its words with A-Z lower-cased, then one end. A first token's context is the start, which occurs once
@@ -77,10 +77,11 @@ def _parts(counts, contexts, types: int) -> np.ndarray:
     return np.stack([np.full(len(counts[0]), 1 / (types + 1)), *(c / np.maximum(x, 1) for c, x in zip(counts, contexts, strict=True))])
 
 
-def _key_mask(total_bytes: int) -> np.uint64:
-    """The bits that keys of longer grams keep: 12 more than the number of bytes takes, so that under one gram in 20,000
-    shares its key with another at any size of corpus."""
-    return np.uint64((1 << 64) - (1 << 64 - min(64, 12 + max(28, int(total_bytes).bit_length()))))
+def _key_masks(total_bytes: int, order: int) -> list[np.uint64]:
+    """The bits that keys keep, by what the number of bytes takes: 12 more for longer grams, so that under one in 20,000
+    shares its key with another at any size of corpus; 24 more for words, up to all 64, so that hardly any two do."""
+    size = max(28, int(total_bytes).bit_length())
+    return [np.uint64((1 << 64) - (1 << 64 - min(64, size + (12 if k else 24)))) for k in range(order)]
 
 
 def score(docs: DataFrame, training: Column, tuning: Column, order: int = 3, steps: int = 20, **limits: int) -> DataFrame:
@@ -89,11 +90,11 @@ def score(docs: DataFrame, training: Column, tuning: Column, order: int = 3, ste
     size = C.text_bytes(docs)
     part = F.when(~training, HELD).when(tuning, TUNE).otherwise(TRAIN)
     blocks, own = C.blocked(docs, [F.col("doc_id").cast("long").alias("doc_id"), F.col("text"), part.alias("part")], size, **limits)
-    mask = _key_mask(size)
+    masks = _key_masks(size, order)
 
     def keyed(table) -> tuple[np.ndarray, list[np.ndarray]]:
         h, row = tokens(table.column("text"))
-        return row, [g & mask if k else g for k, g in enumerate(grams(h, row, order))]
+        return row, [g & mask for g, mask in zip(grams(h, row, order), masks, strict=True)]
 
     def keys(table):
         row, levels = keyed(table)
@@ -111,7 +112,7 @@ def score(docs: DataFrame, training: Column, tuning: Column, order: int = 3, ste
         for level, g in enumerate(levels):
             train, tune = (x.astype(np.int64) for x in C.answers_of(answer, level))
             where = np.unique(g, return_inverse=True)[1]
-            every.append(C.squeeze(C.narrow((train + tune)[where])))
+            every += C.by_rank((train + tune)[where])
             rest.append(C.squeeze(C.narrow(train[where[tuned]])))
         ids = table.column("doc_id")
         body = C.packed(C.squeeze(ids.fill_null(0).to_numpy()), C.squeeze(ids.is_null().to_numpy()), C.squeeze(kind), C.squeeze(np.bincount(row, minlength=len(kind))), *every, *rest)
@@ -128,7 +129,7 @@ def score(docs: DataFrame, training: Column, tuning: Column, order: int = 3, ste
         for b in batches:
             for body in b.column("body").to_pylist():
                 _, _, kind, n, *counts = map(C.unsqueeze, C.parts(body))
-                counts = [c.astype(np.int64) for c in counts[order:]]
+                counts = [c.astype(np.int64) for c in counts[2 * order :]]
                 first = np.zeros(len(counts[0]), bool)
                 first[np.cumsum(n[kind == TUNE]) - n[kind == TUNE]] = True
                 seen = np.stack([*counts, *_contexts(counts, first, total[0], texts[0])[1:]])
@@ -144,7 +145,7 @@ def score(docs: DataFrame, training: Column, tuning: Column, order: int = 3, ste
         for b in batches:
             for body in b.column("body").to_pylist():
                 ids, null, kind, n, *counts = map(C.unsqueeze, C.parts(body))
-                counts = [c.astype(np.int64) for c in counts[:order]]
+                counts = [counts[2 * k][counts[2 * k + 1]].astype(np.int64) for k in range(order)]
                 row = np.repeat(np.arange(len(n)), n)
                 first = np.zeros(len(row), bool)
                 first[np.cumsum(n) - n] = True
