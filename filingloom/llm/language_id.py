@@ -5,27 +5,34 @@ inside) are hashed to a vector. TF-IDF vectors of unit length are compared by co
 language, found by spherical k-means. A text whose best cosine is below that centroid's limit is rejected; limits come
 from cosines with centroids that were fitted without the text, so training rows can fall below them too.
 
-Inverse document frequencies come from all training rows. Centroids and limits are fitted on at most `per_language`
-training rows of each of the `most_languages` languages with the most such rows, those of the smallest hash of doc_id.
+Inverse document frequencies come from all training rows. Centroids and limits of each language are fitted by one task on
+at most `per_language` of its different training rows, those of the smallest hash of doc_id and text. The model is a
+table of centroids; any number of languages is learned, and texts are held against them `block` languages at a time.
 
 Defined cases: a null text, or one without letters, is `und` with score 0 and rejected. Rows without language aren't
-learned from. Without training rows all texts are `und`. Ties go to the language that sorts first. Each row is judged on
-its text alone, so repeats and null ids stay as they are; columns of docs are kept, but for those of the result's names.
+learned from; equal rows count as one in the sample. Without training rows all texts are `und`. Ties go to the language
+that sorts first. A text of over a million characters is counted piece by piece, cut between words (a longer run of
+letters is cut where the piece ends). Each row is judged on its text alone, so repeats and null ids stay as they are;
+columns of docs are kept, but for those of the result's names.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from . import common as C
 
 DIMENSIONS = 4096
 #: Rows of a dense matrix.
 _ROWS = 512
+_KEYS = 1 << 40
+#: Languages whose shares of the sample are broadcast; more are joined by a shuffle.
+BROADCAST = 10_000
 
 
 def grams(texts: list[str]) -> np.ndarray:
@@ -60,19 +67,35 @@ def grams(texts: list[str]) -> np.ndarray:
     return out.reshape(len(low), DIMENSIONS)
 
 
-def _batches(texts, data_limit: int = C.SLICE):
-    """Lists of row numbers and texts, nulls left out."""
+def _pieces(text: str, most: int = C.SLICE) -> Iterator[str]:
+    """The text in pieces of at most `most` characters, cut between words."""
+    at = 0
+    while at < len(text):
+        end = k = min(len(text), at + most)
+        while end < len(text) and k > at and text[k - 1].isalpha():
+            k -= 1
+        yield text[at : k if k > at else end]
+        at = k if k > at else end
+
+
+def counted(texts, most: int = C.SLICE) -> Iterator[tuple[list[int], np.ndarray]]:
+    """Row numbers and their n-gram counts, nulls left out."""
     rows, held, size = [], [], 0
-    for i, t in enumerate(texts.to_pylist()):
-        if t is not None:
-            rows.append(i)
-            held.append(t)
-            size += len(t)
-        if len(held) >= _ROWS or size > data_limit:
-            yield rows, held
+    for i in range(len(texts)):
+        t = texts[i].as_py()
+        if t is None:
+            continue
+        if len(t) > most:
+            yield [i], sum(grams([x]).astype(np.float64) for x in _pieces(t, most)).astype(np.float32)
+            continue
+        rows.append(i)
+        held.append(t)
+        size += len(t)
+        if len(held) >= _ROWS or size > most:
+            yield rows, grams(held)
             rows, held, size = [], [], 0
     if held:
-        yield rows, held
+        yield rows, grams(held)
 
 
 def _vectors(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
@@ -134,17 +157,19 @@ def _limits(v: np.ndarray, c: np.ndarray, k: int) -> np.ndarray:
     return np.maximum(0.75 * np.minimum(low, np.quantile(held, 0.01)), np.median(held) / 4)
 
 
-def fit(docs: DataFrame, training: Column, per_language: int = 400, clusters: int = 4, most_languages: int = 1000) -> dict:
-    """Learn from the training rows of docs (doc_id, text, lang)."""
-    train = docs.where(training & F.col("text").isNotNull() & F.col("lang").isNotNull()).select("doc_id", "text", "lang")
-    sizes = {r["lang"]: r["count"] for r in train.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_languages).collect()}
+def fit(docs: DataFrame, training: Column, per_language: int = 400, clusters: int = 4) -> dict:
+    """Learn from the training rows of docs (doc_id, text, lang): idf, and a table of centroids."""
+    key = F.pmod(F.xxhash64("doc_id", "text"), F.lit(_KEYS)).alias("key")
+    train = docs.where(training & F.col("text").isNotNull() & F.col("lang").isNotNull()).select("lang", "text", key)
+    sizes = C.cut(train.groupBy("lang").agg(F.approx_count_distinct("key").alias("n")))
+    languages = sizes.count()
 
     def frequencies(batches):
         seen, n = np.zeros(DIMENSIONS, np.int64), 0
         for b in batches:
-            for _, texts in _batches(b.column("text")):
-                seen += (grams(texts) > 0).sum(0)
-                n += len(texts)
+            for rows, counts in counted(b.column("text")):
+                seen += (counts > 0).sum(0)
+                n += len(rows)
         yield pa.record_batch({"k": pa.array(range(-1, DIMENSIONS), pa.int32()), "n": pa.array([n, *seen.tolist()], pa.int64())})
 
     df = np.zeros(DIMENSIONS + 1)
@@ -152,54 +177,51 @@ def fit(docs: DataFrame, training: Column, per_language: int = 400, clusters: in
         df[k + 1] = n
     idf = (np.log((1 + df[0]) / (1 + df[1:])) + 0.1).astype(np.float32)
 
-    order = F.xxhash64(F.col("doc_id").cast("string"), F.lit("sample"))
-    shares = [F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, (1.3 * per_language + 20) / n))]
-    share = F.element_at(F.create_map(*shares), F.col("lang")) if shares else F.lit(0.0)
-    chosen = train.withColumn("order", order).where(F.pmod("order", F.lit(1 << 40)) < share * (1 << 40))
+    shares = sizes.select("lang", F.least(F.lit(1.0), (1.3 * per_language + 20) / F.col("n")).alias("share"))
+    chosen = train.join(F.broadcast(shares) if languages <= BROADCAST else shares, "lang").where(F.col("key") < F.col("share") * _KEYS).drop("share")
 
     def vectors(batches):
         for b in batches:
-            for rows, texts in _batches(b.column("text")):
+            for rows, counts in counted(b.column("text")):
                 at = pa.array(rows, pa.int64())
-                yield pa.record_batch({"lang": b.column("lang").take(at), "order": b.column("order").take(at), "v": pa.array([C.squeeze(x.astype(np.uint32)) for x in grams(texts)], pa.binary())})
-
-    found: dict[str, list] = {}
-    for r in chosen.select("text", "lang", "order").mapInArrow(vectors, "lang string, order long, v binary").collect():
-        found.setdefault(r["lang"], []).append((r["order"] % (1 << 40), bytes(r["v"])))
-    names, centres, limits = [], [], []
-    for lang in sorted(found):
-        v = _vectors(np.stack([C.unsqueeze(x) for _, x in sorted(found[lang])[:per_language]]).astype(np.float32), idf)
-        if not len(v := v[v.any(1)]):
-            continue
-        c = _centroids(v, clusters)
-        names += [lang] * len(c)
-        centres += list(c)
-        limits += _limits(v, c, clusters).tolist()
-    return {"idf": idf, "names": names, "centres": np.array(centres, np.float32), "limits": np.array(limits)}
+                yield pa.record_batch({"lang": b.column("lang").take(at), "key": b.column("key").take(at), "v": pa.array([C.squeeze(x.astype(np.uint32)) for x in counts], pa.binary())})
 
+    def centroids(table):
+        order = np.argsort(table.column("key").to_numpy(), kind="stable")[:per_language]
+        v = _vectors(np.stack([C.unsqueeze(table.column("v")[k].as_py()) for k in order.tolist()]).astype(np.float32), idf)
+        v = v[v.any(1)]
+        c = _centroids(v, clusters) if len(v) else v
+        limits = _limits(v, c, clusters) if len(v) else []
+        return pa.table({"lang": pa.array([table.column("lang")[0].as_py()] * len(c), pa.string()), "centre": pa.array([x.astype(np.float32).tobytes() for x in c], pa.binary()), "least": pa.array(limits, pa.float64())})
 
-def predict(docs: DataFrame, model: dict) -> DataFrame:
-    """docs with lang_pred, score (best cosine) and rejected."""
-    names, idf, limits = model["names"], model["idf"], model["limits"]
-    centres = np.ascontiguousarray(model["centres"].T) if names else None
-    kept = docs.drop("lang_pred", "score", "rejected")
+    sample = chosen.select("text", "lang", "key").mapInArrow(vectors, "lang string, key long, v binary").dropDuplicates(["lang", "key"])
+    return {"idf": idf, "languages": languages, "table": C.cut(sample.groupBy("lang").applyInArrow(centroids, "lang string, centre binary, least double"))}
 
-    def run(batches):
-        for b in batches:
-            lang, score, out = ["und"] * b.num_rows, np.zeros(b.num_rows), np.ones(b.num_rows, bool)
-            for rows, texts in _batches(b.column("text")) if names else ():
-                counts = grams(texts)
-                near = _vectors(counts, idf) @ centres
-                best = near.argmax(1)
-                some = counts.any(1)
-                for i, j, ok in zip(rows, best.tolist(), some.tolist(), strict=True):
-                    if ok:
-                        lang[i] = names[j]
-                top = near[np.arange(len(best)), best]
-                score[rows] = np.where(some, np.clip(top, 0, 1), 0)
-                out[rows] = ~some | (top < limits[best])
-            whole = {n: b.column(n) for n in b.schema.names}
-            yield pa.record_batch(whole | {"lang_pred": pa.array(lang), "score": pa.array(score), "rejected": pa.array(out)})
-
-    more = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("rejected", T.BooleanType())]
-    return kept.mapInArrow(run, T.StructType([*kept.schema.fields, *more]))
+
+def predict(docs: DataFrame, model: dict, block: int = 256) -> DataFrame:
+    """docs with lang_pred, score (best cosine) and rejected."""
+    idf, kept = model["idf"], docs.drop("lang_pred", "score", "rejected")
+    blocks = max(1, -(-model["languages"] // block))
+    found = kept.withColumns({"lang_pred": F.lit("und"), "score": F.lit(0.0), "rejected": F.lit(True)})
+    for k in range(blocks):
+        rows = sorted((r["lang"], bytes(r["centre"]), r["least"]) for r in model["table"].where(F.pmod(F.xxhash64("lang"), F.lit(blocks)) == k).collect())
+        if not rows:
+            continue
+        names, limits = [r[0] for r in rows], np.array([r[2] for r in rows])
+        centres = np.ascontiguousarray(np.stack([np.frombuffer(r[1], np.float32) for r in rows]).T)
+
+        def run(batches, names=names, limits=limits, centres=centres):
+            for b in batches:
+                lang, score, out = b.column("lang_pred").to_pylist(), b.column("score").to_numpy().copy(), b.column("rejected").to_numpy(zero_copy_only=False).copy()
+                for rows, counts in counted(b.column("text")):
+                    near = _vectors(counts, idf) @ centres
+                    best, some = near.argmax(1), counts.any(1)
+                    top = np.clip(near[np.arange(len(best)), best], 0, 1)
+                    for i, j, v, ok in zip(rows, best.tolist(), top.tolist(), some.tolist(), strict=True):
+                        if ok and (lang[i] == "und" or v > score[i] or (v == score[i] and names[j] < lang[i])):
+                            lang[i], score[i], out[i] = names[j], v, v < limits[j]
+                whole = {n: b.column(n) for n in b.schema.names}
+                yield pa.record_batch(whole | {"lang_pred": pa.array(lang, pa.string()), "score": pa.array(score), "rejected": pa.array(out)})
+
+        found = found.mapInArrow(run, found.schema)
+    return found

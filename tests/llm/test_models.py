@@ -136,7 +136,37 @@ def _invented(rng, letters, n):
 
 def test_language_centroids(spark):
     model = language_id.fit(spark.read.parquet(f"{DIR}/documents.parquet"), F.lit(True))
-    assert min(collections.Counter(model["names"]).values()) > 1
+    assert min(r["count"] for r in model["table"].groupBy("lang").count().collect()) > 1
+
+
+def test_language_blocks(spark):
+    """Forty languages, held against the texts in blocks of three: as in one block, and as a plain restatement has it."""
+    rng = np.random.default_rng(11)
+    texts = [(f"l{k:02}", t) for k in range(40) for t in _invented(rng, list("abcdefghijklmnopqrstuvwxyz"[k % 13 :: 2]) + [chr(0x430 + k % 7)], 8)]
+    docs = spark.createDataFrame([(i, t, lang) for i, (lang, t) in enumerate(texts)], "doc_id long, text string, lang string")
+    model = language_id.fit(docs, F.lit(True))
+    one, many = ([tuple(r) for r in language_id.predict(docs, model, block).orderBy("doc_id").collect()] for block in (256, 3))
+    assert [(*r[:4], r[5]) for r in one] == [(*r[:4], r[5]) for r in many] and np.allclose([r[4] for r in one], [r[4] for r in many], atol=1e-6) and model["languages"] == 40
+    rows = sorted((r["lang"], bytes(r["centre"]), r["least"]) for r in model["table"].collect())
+    for i, (lang, t) in enumerate(texts[::17]):
+        count = collections.Counter()
+        for w in "".join(c if c.isalpha() else " " for c in t.lower()).split():
+            for n in (1, 2, 3):
+                padded = w if n == 1 else f"_{w}_"
+                count.update(padded[k : k + n] for k in range(len(padded) - n + 1))
+        assert language_id.grams([t]).sum() == sum(count.values())
+        v = np.log1p(language_id.grams([t])[0]) * model["idf"]
+        near = [(float(v @ np.frombuffer(c, np.float32)) / np.linalg.norm(v), name) for name, c, _ in rows]
+        best = max(near, key=lambda x: (x[0], [-ord(c) for c in x[1]]))
+        got = next(r for r in one if r[1] == t)
+        assert got[3] == best[1] and abs(got[4] - best[0]) < 1e-5
+
+
+def test_language_pieces():
+    text = "ein zwei drei, vier fünf! sechs 7 acht " * 50 + "x" * 300
+    whole = language_id.grams([text])[0]
+    cut = next(language_id.counted(pa.array([text]), 350))[1][0]
+    assert np.array_equal(whole, cut) and [len(x) for x in language_id._pieces("abcdef gh", 4)] == [4, 3, 2]
 
 
 def test_language_variant(spark):
