@@ -92,6 +92,18 @@ def slices(off: np.ndarray, most: int = SLICE) -> Iterator[tuple[int, int]]:
         a = min(b, n)
 
 
+def pieces(data: np.ndarray, most: int = SLICE) -> Iterator[tuple[int, int]]:
+    """Where the parts of a text of at most `most` bytes begin and end, cut after white space; a longer run of other bytes
+    is cut where the part ends."""
+    at = 0
+    while at < len(data):
+        end = min(len(data), at + most)
+        if end < len(data) and len(blank := np.flatnonzero(_SPACE[data[at:end]])):
+            end = at + int(blank[-1]) + 1
+        yield at, end
+        at = end
+
+
 def words(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start, end and row of each word of the rows."""
     n = len(data)
