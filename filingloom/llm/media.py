@@ -10,10 +10,12 @@ where a band's coefficients all have one size, a scan is a string of equal steps
 refining bits after an end-of-band run are an array as well. Other streams are read symbol by symbol.
 
 Payloads: a byte is stored as a coefficient with a fixed number of bits, 64 bytes as one 8 x 8 block, so the bytes that
-are read back are exact.
+are read back are exact. A long payload is a file of several images, one after another, which are written and read one by
+one: what a task works with is bounded, beside the text, file and tensor themselves.
 
-Defined cases: `pack` of a null text is that of the empty text, one block of zeros. `tensors` of a null, empty or damaged
-file has null tensor and an error text. Rows are judged one by one, so repeats and null ids stay as they are.
+Defined cases: `pack` of a null text is that of the empty text, one block of zeros. `tensors` and `facts` of a null, empty
+or damaged file have nulls and an error text. Rows are judged one by one, so repeats and null ids stay as they are; columns
+are kept, but for those of the result's names.
 """
 
 from __future__ import annotations
@@ -21,14 +23,20 @@ from __future__ import annotations
 import hashlib
 import zlib
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 #: Where the zigzag order visits an 8 x 8 block.
 ZIGZAG = np.array(sorted(range(64), key=lambda i: (i // 8 + i % 8, i // 8 if (i // 8 + i % 8) % 2 else i % 8)))
 _COSINE = np.array([[np.cos((2 * x + 1) * u * np.pi / 16) * (np.sqrt(1 / 8) if u == 0 else 0.5) for x in range(8)] for u in range(8)], np.float32)
+#: Bytes of a payload that one image holds; a longer payload is a file of several images.
+TILE = 1 << 20
 #: Spectral bands of the AC scans, of luma and of chroma.
 BANDS, CHROMA_BANDS = ((1, 5), (6, 63)), ((1, 63),)
 
@@ -116,15 +124,30 @@ def _extend(v, size):
 
 
 def coefficients(data: bytes) -> tuple[tuple[int, int], list[dict]]:
-    """Height and width, and for each component its sampling factors, quantisation and coefficients (rows, columns, 64 in zigzag order)."""
-    if data[:2] != b"\xff\xd8":
+    """Height and width, and for each component its sampling factors, quantisation and coefficients (rows, columns, 64 in
+    zigzag order) of the first image."""
+    return _image(data, 0)[:2]
+
+
+def images(data: bytes) -> Iterator[tuple[tuple[int, int], list[dict]]]:
+    """The images that stand one after another in a file, one at a time."""
+    at = 0
+    while at < len(data) or not at:
+        size, parts, at = _image(data, at)
+        yield size, parts
+
+
+def _image(data: bytes, at: int) -> tuple[tuple[int, int], list[dict], int]:
+    """What coefficients() gives for the image that begins here, and where it ends."""
+    if data[at : at + 2] != b"\xff\xd8":
         raise Damaged("no start of image")
-    quant, dc, ac, parts, size, restart, at = {}, {}, {}, [], None, 0, 2
-    while at + 4 <= len(data):
+    quant, dc, ac, parts, size, restart, at = {}, {}, {}, [], None, 0, at + 2
+    while at + 2 <= len(data):
         if data[at] != 0xFF:
             raise Damaged("no marker")
         kind = data[at + 1]
         if kind == 0xD9:
+            at += 2
             break
         end = at + 2 + int.from_bytes(data[at + 2 : at + 4], "big")
         body, at = data[at + 4 : end], end
@@ -159,7 +182,7 @@ def coefficients(data: bytes) -> tuple[tuple[int, int], list[dict]]:
         raise Damaged("no frame")
     for p in parts:
         p["quant"] = quant[p["q"]]
-    return size, parts
+    return size, parts, at
 
 
 def _own(size: tuple[int, int], part: dict, hm: int, vm: int) -> tuple[int, int]:
@@ -349,7 +372,8 @@ def rgb(size: tuple[int, int], parts: list[dict]) -> np.ndarray:
 
 
 def decode(data: bytes) -> np.ndarray:
-    return rgb(*coefficients(data))
+    """The tensor of a file; those of several images of one width stand below one another."""
+    return np.concatenate([rgb(*image) for image in images(data)])
 
 
 # --- writing ---------------------------------------------------------------------------------------------------------
@@ -514,14 +538,16 @@ def payload(text: bytes) -> bytes:
     return text + bytes(-len(text) % 64 or (0 if text else 64))
 
 
-def pack(data: bytes) -> bytes:
-    """A file whose coefficients are the bytes; their number is a multiple of 64. Four blocks of luma to one of each chroma."""
-    n = len(data) // 64
-    mcus = max(1, -(-n // 6))
-    across = min(mcus, 255 if mcus <= 255 * 4095 else 4095)
-    down = -(-mcus // across)
-    if down > 4095:
-        raise ValueError("a payload is larger than an image can be")
+def pack(data: bytes, most: int = TILE, widest: int = 255) -> bytes:
+    """A file whose coefficients are the bytes; their number is a multiple of 64. Four blocks of luma to one of each
+    chroma; after as many full rows as `most` bytes make, another image of the same width begins."""
+    across = max(1, min(widest, -(-len(data) // 384)))
+    full = max(1, most // (384 * across)) * 384 * across
+    return b"".join(_packed(data[i : i + full], across) for i in range(0, max(1, len(data)), full))
+
+
+def _packed(data: bytes, across: int) -> bytes:
+    down = max(1, -(-len(data) // (384 * across)))
     blocks = np.zeros((6 * across * down, 64), np.uint8)
     blocks.reshape(-1)[: len(data)] = np.frombuffer(data, np.uint8)
     c = blocks.astype(np.int32)
@@ -542,64 +568,107 @@ def unpack(parts: list[dict], n: int) -> bytes:
     return out.astype(np.uint8).tobytes()[:n]
 
 
+def _runs_of(sizes: list[int], rows: int, most: int = 2 * TILE) -> Iterator[tuple[int, int]]:
+    """Runs of rows, at most so many and of about `most` bytes."""
+    a, held = 0, 0
+    for k, n in enumerate(sizes):
+        if k > a and (k - a >= rows or held + n > most):
+            yield a, k
+            a, held = k, 0
+        held += n
+    if a < len(sizes):
+        yield a, len(sizes)
+
+
+def _lengths(column) -> list[int]:
+    return [n or 0 for n in pc.binary_length(column).to_pylist()]
+
+
 def store(docs: DataFrame) -> DataFrame:
     """docs with media (a file of the whole text's payload) and n_bytes (of the text)."""
     kept = docs.drop("media", "n_bytes")
 
     def run(batches):
         for b in batches:
-            texts = [(x or "").encode() for x in b.column("text").to_pylist()]
-            for i in range(0, len(texts), 256):
-                part = texts[i : i + 256]
-                whole = b.slice(i, 256)
-                yield pa.record_batch({n: whole.column(n) for n in whole.schema.names} | {"media": pa.array([pack(payload(x)) for x in part], pa.binary()), "n_bytes": pa.array([len(x) for x in part], pa.int64())})
+            sizes = _lengths(b.column("text"))
+            for i, j in _runs_of(sizes, 256):
+                whole = b.slice(i, j - i)
+                files = [pack(payload((whole.column("text")[k].as_py() or "").encode())) for k in range(j - i)]
+                yield pa.record_batch({n: whole.column(n) for n in whole.schema.names} | {"media": pa.array(files, pa.binary()), "n_bytes": pa.array(sizes[i:j], pa.int64())})
 
     return kept.mapInArrow(run, T.StructType([*kept.schema.fields, T.StructField("media", T.BinaryType()), T.StructField("n_bytes", T.LongType())]))
 
 
+_UNREAD = (Damaged, KeyError, IndexError, ValueError)
+_TENSOR = {"height": T.IntegerType(), "width": T.IntegerType(), "rgb": T.BinaryType(), "error": T.StringType()}
+
+
+def _fields(kinds: dict) -> list[T.StructField]:
+    return [T.StructField(n, t) for n, t in kinds.items()]
+
+
+def _columns(rows: list[tuple], kinds: dict) -> dict:
+    return {n: pa.array([r[k] for r in rows], to_arrow_type(t)) for k, (n, t) in enumerate(kinds.items())}
+
+
 def tensors(media: DataFrame, column: str = "media") -> DataFrame:
     """media with height, width, rgb (bytes, row by row, three a pixel) and error."""
     kept = media.drop("height", "width", "rgb", "error")
 
+    def read(data: bytes | None) -> tuple:
+        try:
+            t = decode(data or b"")
+            return t.shape[0], t.shape[1], t.tobytes(), None
+        except _UNREAD as e:
+            return None, None, None, f"{type(e).__name__}: {e}"
+
     def run(batches):
         for b in batches:
-            for i in range(0, b.num_rows, 64):
-                whole, out = b.slice(i, 64), {"height": [], "width": [], "rgb": [], "error": []}
-                for data in whole.column(column).to_pylist():
-                    try:
-                        t = decode(data or b"")
-                        row = (t.shape[0], t.shape[1], t.tobytes(), None)
-                    except (Damaged, KeyError, IndexError, ValueError) as e:
-                        row = (None, None, None, f"{type(e).__name__}: {e}")
-                    for k, v in zip(out.values(), row, strict=True):
-                        k.append(v)
-                kinds = (pa.int32(), pa.int32(), pa.binary(), pa.string())
-                yield pa.record_batch({n: whole.column(n) for n in whole.schema.names} | {n: pa.array(v, t) for (n, v), t in zip(out.items(), kinds, strict=True)})
-
-    more = [T.StructField("height", T.IntegerType()), T.StructField("width", T.IntegerType()), T.StructField("rgb", T.BinaryType()), T.StructField("error", T.StringType())]
-    return kept.mapInArrow(run, T.StructType([*kept.schema.fields, *more]))
-
-
-_FACTS = "payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
+            for i, j in _runs_of(_lengths(b.column(column)), 64):
+                whole = b.slice(i, j - i)
+                yield pa.record_batch({n: whole.column(n) for n in whole.schema.names} | _columns([read(x.as_py()) for x in whole.column(column)], _TENSOR))
+
+    return kept.mapInArrow(run, T.StructType([*kept.schema.fields, *_fields(_TENSOR)]))
+
+
+_FACTS = {"payload_bytes": T.LongType(), "payload_sha256": T.StringType(), "tail_crc32": T.LongType(), "media_bytes": T.LongType(), "media_sha256": T.StringType(), "feature": T.StringType()}
+
+
+def _fact(data: bytes | None, n: int | None) -> tuple:
+    """A file's facts, its tensor, and what is wrong with it; image by image."""
+    digest, left, tail, tensor, sums, width = hashlib.sha256(), max(64, -(-(n or 0) // 64) * 64), b"", [], np.zeros(3, np.int64), None
+    size, own = (None, None) if data is None else (len(data), hashlib.sha256(data).hexdigest())
+    done = 0
+    try:
+        for shape, parts in images(data or b""):
+            back = unpack(parts, left - done)
+            digest.update(back)
+            done, tail = done + len(back), back[-64:] or tail
+            t = rgb(shape, parts)
+            if shape[1] != (width := width or shape[1]):
+                raise Damaged("images of several widths")
+            sums += t.reshape(-1, 3).sum(0, dtype=np.int64)
+            tensor.append(t)
+        t = tensor[0] if len(tensor) == 1 else np.concatenate(tensor)
+        raw = t.tobytes()
+        feature = f"{t.shape[0]}x{width}:{'/'.join(map(str, sums.tolist()))}:{zlib.crc32(raw):08x}"
+        return done, digest.hexdigest(), zlib.crc32(tail), size, own, feature, t.shape[0], width, raw, None
+    except _UNREAD as e:
+        return None, None, None, size, own, None, None, None, None, f"{type(e).__name__}: {e}"
 
 
 def facts(media: DataFrame) -> DataFrame:
-    """media (media, n_bytes, other columns) without media, with digests of what the files hold when read back, and a feature of the decoded tensor."""
-    kept = media.drop("media")
+    """media (media, n_bytes, other columns) without media, with digests of what the files hold when read back, a feature
+    of the decoded tensor, and the tensor as tensors() gives it. A null or damaged file has nulls and an error text."""
+    added = _FACTS | _TENSOR
+    kept = media.drop("media", *added).schema.fields
+    names = [f.name for f in kept]
 
     def run(batches):
         for b in batches:
-            rows = []
-            for data, n in zip(b.column("media").to_pylist(), b.column("n_bytes").to_pylist(), strict=True):
-                size, parts = coefficients(data)
-                back = unpack(parts, max(64, -(-n // 64) * 64))
-                t = rgb(size, parts)
-                mean = t.reshape(-1, 3).sum(0, dtype=np.int64)
-                feature = f"{size[0]}x{size[1]}:{'/'.join(map(str, mean.tolist()))}:{zlib.crc32(t.tobytes()):08x}"
-                rows.append((len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-64:]), len(data), hashlib.sha256(data).hexdigest(), feature))
-            kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
-            names = [x.split()[0] for x in _FACTS.split(", ")]
-            cols = {n: pa.array([r[k] for r in rows], t) for k, (n, t) in enumerate(zip(names, kinds, strict=True))}
-            yield pa.record_batch({n: b.column(n) for n in b.schema.names if n != "media"} | cols)
-
-    return media.mapInArrow(run, T.StructType([*kept.schema.fields, *T.StructType.fromDDL(_FACTS).fields]))
+            for i, j in _runs_of(_lengths(b.column("media")), 64):
+                whole = b.slice(i, j - i)
+                rows = [_fact(x.as_py(), n) for x, n in zip(whole.column("media"), whole.column("n_bytes").to_pylist(), strict=True)]
+                yield pa.record_batch({n: whole.column(n) for n in names} | _columns(rows, added))
+
+    return media.mapInArrow(run, T.StructType([*kept, *_fields(added)]))

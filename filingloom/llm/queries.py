@@ -38,7 +38,7 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = media.store(_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
-    return media.facts(stored)
+    return media.facts(stored)  # the digests, and the tensor itself
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

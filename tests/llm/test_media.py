@@ -91,3 +91,22 @@ def test_damaged(spark):
     files = [None, b"", b"no", good[:100], good[:-40], bytes(good).replace(b"\xff\xc2", b"\xff\xc0")]
     got = media.tensors(spark.createDataFrame([(i, f) for i, f in enumerate(files)], "i int, media binary")).collect()
     assert all(r["rgb"] is None and r["error"] for r in got)
+
+
+def test_files_of_several_images():
+    data = media.payload(np.random.default_rng(3).integers(0, 256, 5000, dtype=np.uint8).tobytes())
+    file = media.pack(data, 768, widest=2)
+    found = list(media.images(file))
+    assert len(found) == -(-len(data) // 768) and len({size[1] for size, _ in found}) == 1
+    assert b"".join(media.unpack(parts, 768) for _, parts in found)[: len(data)] == data
+    assert media.decode(file).shape == (sum(size[0] for size, _ in found), found[0][0][1], 3)
+    got = media._fact(file, 5000)
+    assert got[:3] == (len(data), hashlib.sha256(data).hexdigest(), zlib.crc32(data[-64:])) and got[9] is None
+
+
+def test_facts_of_bad_files(spark):
+    good = media.pack(media.payload(b"some text"))
+    rows = [(1, good, 9, "x"), (2, None, 9, "x"), (3, b"", 0, "x"), (4, good[:-40], 9, "x"), (5, b"\xff\xd8\xff", 1, "x"), (6, good, None, "x")]
+    got = {r["id"]: r for r in media.facts(spark.createDataFrame(rows, "id long, media binary, n_bytes long, rgb string")).collect()}
+    assert all((got[i]["payload_sha256"] is None) == (got[i]["error"] is not None) == (i in (2, 3, 4, 5)) for i in got)
+    assert got[1]["rgb"] == got[6]["rgb"] and len(got[1]["rgb"]) == 3 * got[1]["height"] * got[1]["width"] and got[2]["media_bytes"] is None and got[3]["media_bytes"] == 0
