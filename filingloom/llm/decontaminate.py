@@ -9,12 +9,13 @@ item position), and each diagonal is verified by counting equal words in every w
 An item of fewer words than a window leaks only if all its words stand in a row. The benchmark is taken in blocks of at
 most `block_words` words, so that what a task gets has a fixed bound; all documents see all blocks.
 
-Defined cases: null and empty texts have no words, and such items leak nowhere. Repeated items and documents are reported
-for each id; a null doc_id or item_id is reported as null. An empty benchmark or table gives no rows.
+Defined cases: null and empty texts have no words, and such items leak nowhere. Items equal in id and text are one; other
+repeated items and documents are reported for each id; a null doc_id or item_id is reported as null. An empty benchmark or table gives no rows.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
@@ -25,6 +26,8 @@ from pyspark.sql import functions as F
 from . import common as C
 
 _TABLE = 22
+#: Diagonals that are held at once: seeds that many items share name very many.
+_LINES = 500_000
 _HITS = "doc_id long, item_id long, first int, words int, matched int"
 
 
@@ -54,6 +57,14 @@ def _masked(h: np.ndarray, mask: tuple[int, ...], salt: int) -> np.ndarray:
     return C.mix(out)
 
 
+def _different(lines: list[np.ndarray]) -> np.ndarray:
+    whole = np.concatenate(lines, 1)
+    whole = whole[:, np.lexsort(whole)]
+    new = np.ones(whole.shape[1], bool)
+    new[1:] = (whole[:, 1:] != whole[:, :-1]).any(0)
+    return whole[:, new]
+
+
 class Seeds:
     """The hashes of a block of items, and how documents are held against them."""
 
@@ -83,35 +94,57 @@ class Seeds:
         self.seen = np.zeros(1 << _TABLE, bool)
         self.seen[self.keys >> np.uint64(64 - _TABLE)] = True
 
-    def leaks(self, data: np.ndarray, off: np.ndarray) -> list[np.ndarray]:
-        """Document row, item, first word, words and equal words of the best leak of each pair."""
-        data = C.lower(data)
-        start, end, row = C.words(data, off)
-        h = C.word_hash(data, start, end)
-        n_rows, n_items = len(off) - 1, len(self.ids)
-        count = np.bincount(row, minlength=n_rows)
-        head = np.cumsum(count) - count
-        found = []
+    def _lines(self, h: np.ndarray, row: np.ndarray, done: np.ndarray | None) -> Iterator[np.ndarray]:
+        """Shift, item and document row of each diagonal that a seed names, about _LINES at a time; none of rows that are done."""
+        held, size = [], 0
         for s, mask in enumerate(self.masks):
             key = _masked(h, mask, s)
             pos = np.flatnonzero(self.seen[key >> np.uint64(64 - _TABLE)])
             pos = pos[row[pos] == row[pos + mask[-1]]]
             lo, hi = np.searchsorted(self.keys, key[pos], "left"), np.searchsorted(self.keys, key[pos], "right")
-            n = hi - lo
-            if n.any():
-                item = self.at[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)]
-                found.append(np.stack([np.repeat(pos, n) - item, self.row[item], np.repeat(row[pos], n)]))
+            pos, lo, n = pos[hi > lo], lo[hi > lo], (hi - lo)[hi > lo]
+            upto = np.concatenate([[0], np.cumsum(n)])
+            for i, j in C.slices(upto, _LINES):
+                k = np.arange(i, j)
+                if done is not None:
+                    k = k[~done[row[pos[k]]]]
+                m = n[k]
+                item = self.at[np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m) + np.repeat(lo[k], m)]
+                held.append(np.stack([np.repeat(pos[k], m) - item, self.row[item], np.repeat(row[pos[k]], m)]))
+                size += len(item)
+                if size >= _LINES:
+                    yield _different(held)
+                    held, size = [], 0
+        if size:
+            yield _different(held)
+
+    def _read(self, data: np.ndarray, off: np.ndarray):
+        start, end, row = C.words(data := C.lower(data), off)
+        count = np.bincount(row, minlength=len(off) - 1)
+        return C.word_hash(data, start, end), row, np.cumsum(count) - count, count
+
+    def leaks(self, data: np.ndarray, off: np.ndarray) -> list[np.ndarray]:
+        """Document row, item, first word, words and equal words of the best leak of each pair."""
+        h, row, head, count = self._read(data, off)
         best: list[np.ndarray] = [np.zeros((5, 0), np.int64)]
-        if found:
-            lines = np.unique(np.concatenate(found, 1), axis=1)
-            for i in range(0, lines.shape[1], 20_000):
-                best.append(self._verify(h, head, count, *lines[:, i : i + 20_000]))
+        for lines in self._lines(h, row, None):
+            best += [self._verify(h, head, count, *lines[:, i : i + 20_000]) for i in range(0, lines.shape[1], 20_000)]
         best = np.concatenate(best, 1)
         order = np.lexsort((best[3], best[2], -best[4], best[1], best[0]))
         best = best[:, order]
-        pair = best[0] * n_items + best[1]
+        pair = best[0] * len(self.ids) + best[1]
         return list(best[:, np.diff(pair, prepend=-1) != 0])
 
+    def leaking(self, data: np.ndarray, off: np.ndarray) -> np.ndarray:
+        """Whether each document leaks any item; what is known to leak is not looked at again."""
+        h, row, head, count = self._read(data, off)
+        done = np.zeros(len(off) - 1, bool)
+        for lines in self._lines(h, row, done):
+            for i in range(0, lines.shape[1], 20_000):
+                part = lines[:, i : i + 20_000]
+                done[self._verify(h, head, count, *part[:, ~done[part[2]]])[0]] = True
+        return done
+
     def _verify(self, h, head, count, shift, item, row) -> np.ndarray:
         """shift: word number in the documents less word number in the items."""
         i0, i1 = self.head[item], self.head[item] + self.size[item]
@@ -138,11 +171,11 @@ class Seeds:
         return np.stack([row[lines], item[lines], (a + shift - head[row])[lines] + x - base[lines], y - x, same[y] - same[x]])
 
 
-def blocks(bench: DataFrame, block_words: int, window: int, misses: int) -> list[Seeds]:
+def blocks(bench: DataFrame, block_words: int, window: int, misses: int) -> Iterator[Seeds]:
     """The benchmark's seeds, block by block."""
     size = bench.agg(F.sum(C.n_words(F.col("text")))).first()[0] or 0
     n = 1 + size // block_words
-    items = bench.select(F.col("item_id").cast("long").alias("item_id"), "text")
+    items = bench.select(F.col("item_id").cast("long").alias("item_id"), "text").distinct()
     for b in range(n):
         rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == b).collect()
         yield Seeds(sorted(((r[0], r[1]) for r in rows), key=lambda r: (r[0] is None, r[0] or 0, r[1] or "")), window, misses)
@@ -178,7 +211,7 @@ def clean(docs: DataFrame, bench: DataFrame, window: int = 13, misses: int = 2,
                 data, off = C.utf8(b.column("text"))
                 keep = np.ones(b.num_rows, bool)
                 for i, j in C.slices(off):
-                    keep[i + shared.value.leaks(data[off[i] : off[j]], off[i : j + 1] - off[i])[0]] = False
+                    keep[i:j] = ~shared.value.leaking(data[off[i] : off[j]], off[i : j + 1] - off[i])
                 yield b.filter(pa.array(keep))
 
         docs = docs.mapInArrow(run, docs.schema)

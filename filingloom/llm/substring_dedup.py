@@ -8,7 +8,7 @@ once, so copies of a document cost one row a task. Minimisers that would fill a
 of heavy hitters; their windows travel one by one to buckets by the window's own hash.
 
 Defined cases: a null or empty text has no words (n_words 0, kept text empty). A null doc_id counts as later than any
-number. Repeated rows (equal doc_id and text) are one document. Rows that share a doc_id with different texts are
+number; such rows are dealt out by their texts. Repeated rows (equal doc_id and text) are one document. Rows that share a doc_id with different texts are
 separate documents, and neither is earlier at the same start. Only doc_id and text are read; other columns are kept, but
 for those of the result's names (names that begin with `__fl` are the operators' own).
 """
@@ -116,7 +116,7 @@ def _heavy(docs: DataFrame, window: int, mini: int, share: int) -> tuple[list[in
     return [r[0] for r in sums.where(F.col("k").isNotNull() & (F.col("n") >= max(1, least))).select("k").collect()], whole["size"] if whole else 0
 
 
-def marked_spans(docs: DataFrame, window: int = 20, mini: int = 3, task_bytes: int = 24 << 20) -> DataFrame:
+def marked_spans(docs: DataFrame, window: int = 20, mini: int = 4, task_bytes: int = 24 << 20) -> DataFrame:
     """For each document with words that windows which occur earlier cover: doc_id (null is the largest long), text_key, spans (first and last word, last excluded)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_key"))
     spark = docs.sparkSession
@@ -157,7 +157,7 @@ def marked_spans(docs: DataFrame, window: int = 20, mini: int = 3, task_bytes: i
                 strings.append(s)
                 size += y - x
             at, to = at.astype(np.int32), (at + n + window - 1).astype(np.int32)
-            marks = (doc[row[~keep]] % buckets).astype(np.int32)
+            marks = (_dealt(doc[row[~keep]], key[row[~keep]]) % np.uint64(buckets)).astype(np.int32)
             for out, x in zip(held, (np.concatenate([bucket[keep], marks]), np.concatenate([np.ones(keep.sum(), bool), np.zeros(len(marks), bool)]), *(np.concatenate([v[keep], v[~keep]]) for v in (doc[row], key[row], at, to)), strings), strict=True):
                 out.append(x) if out is not held[6] else out.extend(x)
             if size > _HELD:
@@ -207,10 +207,15 @@ def marked_spans(docs: DataFrame, window: int = 20, mini: int = 3, task_bytes: i
     return marked.mapInArrow(gather, "doc_id long, text_key long, spans array<struct<first:int,last:int>>")
 
 
+def _dealt(doc: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """A hash of id and text, so that rows without an id are dealt out too."""
+    return C.mix(C.mix(doc.view(np.uint64) + np.uint64(1)) ^ key.view(np.uint64))
+
+
 def _by_document(spans: list, parts: int) -> pa.RecordBatch:
     """A row for each part of the documents, by hash: its spans, compressed."""
     doc, key, first, last = (np.concatenate([np.zeros(0, np.int64), *(np.asarray(x[i], np.int64) for x in spans)]) for i in range(4))
-    part = (C.mix(doc.view(np.uint64) + np.uint64(1)) % np.uint64(2 * parts)).astype(np.int32)
+    part = (_dealt(doc, key) % np.uint64(2 * parts)).astype(np.int32)
     order = np.argsort(part, kind="stable")
     edge = np.flatnonzero(np.diff(part[order], prepend=-1))
     out = ([], [])

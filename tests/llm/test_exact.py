@@ -3,6 +3,7 @@
 import random
 
 import plain
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -63,6 +64,14 @@ def test_cut_repeats_odd(spark):
     assert got[0]["host"] == "host" and substring_dedup.cut_repeats(plain.none(spark)).count() == 0
 
 
+def test_null_ids_are_dealt_out():
+    import numpy as np
+
+    key = np.arange(4000)
+    part = substring_dedup._dealt(np.full(4000, substring_dedup._LAST), key) % np.uint64(16)
+    assert np.bincount(part.astype(int), minlength=16).max() < 2 * 4000 / 16
+
+
 def test_equal_hashes_are_told_apart():
     data = b"a b c a b c x y z"
     import numpy as np
@@ -153,6 +162,23 @@ def test_leaks(spark, block_words):
     assert {r["doc_id"] for r in decontaminate.clean(docs, table, block_words=block_words).collect()} == {d for d, _ in rows} - {d for d, _ in want}
 
 
+def test_leaks_of_a_template(spark, monkeypatch):
+    """Many items that begin alike, in many small batches of candidates; items given twice."""
+    rng = random.Random(3)
+    head = [f"h{k}" for k in range(15)]
+    items = [(i, " ".join(head + [f"t{rng.randrange(40)}" for _ in range(12)])) for i in range(120)]
+    rows = [(d, " ".join([f"x{rng.randrange(40)}" for _ in range(30)] + (head[: rng.randrange(16)] if d % 2 else []) + items[d][1].split()[rng.randrange(15) :] + ["end"])) for d in range(20)]
+    docs, table = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items + items[:30], "item_id long, text string")
+    want = plain.leaks(rows, items)
+    seeds = decontaminate.Seeds(items, 13, 2)
+    monkeypatch.setattr(decontaminate, "_LINES", 7)
+    data, off = common.utf8(pa.array([t for _, t in rows]))
+    got = seeds.leaks(data, off)
+    assert len(want) > 1000 and sorted(zip(got[0].tolist(), got[1].tolist())) == sorted(want)
+    assert [d for d, x in enumerate(seeds.leaking(data, off)) if x] == sorted({d for d, _ in want})
+    assert sorted((r["doc_id"], r["item_id"]) for r in decontaminate.leaks(docs, table).collect()) == sorted(want)
+
+
 def test_leaks_odd(spark):
     items = spark.createDataFrame([(1, "One TWO three"), (2, None), (None, "no id at all"), (4, "")], "item_id long, text string")
     got = sorted(((r["doc_id"], r["item_id"]) for r in decontaminate.leaks(plain.odd(spark), items).collect()), key=repr)
