@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Callable
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import rules as R
@@ -89,6 +92,39 @@ def strategy(intent: Column, has_documents: Column, has_tables: Column, internal
     return F.struct(whole.alias("expanded_intent"), content_words(intent).alias("keywords"), types.alias("target_content_types"), numbered.alias("filtering_steps"), nexts.alias("next_actions"))
 
 
+SECTIONS = ("EXPANDED_INTENT", "KEYWORDS", "TARGET_CONTENT_TYPES", "FILTERING_STEPS", "RELEVANCE_CRITERIA", "NEXT_ACTIONS")
+
+
+def parsed_strategy(reply: Column, intent: Column, most: int = 15) -> Column:
+    """The strategy that a reply of six labelled sections states; a section that is missing is taken from the rules."""
+
+    def part(k: int) -> Column:
+        return section(reply, SECTIONS[k], SECTIONS[k + 1] if k + 1 < len(SECTIONS) else None)
+
+    def listed(text: Column, by: str) -> Column:
+        return F.filter(F.transform(F.split(text, by), lambda x: F.trim(F.regexp_replace(x, r"^[\s\-*]+", ""))), lambda x: x != "")
+
+    return F.struct(
+        F.coalesce(part(0), F.trim(intent)).alias("expanded_intent"), F.slice(F.coalesce(listed(part(1), "[,\n]"), content_words(intent)), 1, most).alias("keywords"), F.coalesce(listed(F.lower(part(2)), "[,\n]"), strategy_types(intent)).alias("target_content_types"),
+        F.coalesce(listed(part(3), "\n"), F.array(F.lit("keyword_matching"))).alias("filtering_steps"), F.coalesce(part(4), F.lit("keyword_presence")).alias("relevance_criteria"), F.coalesce(listed(part(5), "\n"), F.array(F.lit("follow_relevant_links"))).alias("next_actions"),
+    )
+
+
+def with_strategy(df: DataFrame, intent: str, propose: Callable[[pd.Series], pd.Series] | None = None) -> DataFrame:
+    """df with strategy: of complex intents as an injected function replies (six labelled sections), of others, and where it
+    returns null, by the rules."""
+    rules = parsed_strategy(F.lit(None).cast("string"), F.col(intent))
+    if propose is None:
+        return df.withColumn("strategy", rules)
+
+    @F.pandas_udf("string")
+    def run(texts: pd.Series) -> pd.Series:
+        return propose(texts)
+
+    asked = df.withColumn("__reply", F.when(is_complex(F.col(intent)), run(F.col(intent))))
+    return asked.withColumn("strategy", F.when(F.col("__reply").isNotNull(), parsed_strategy(F.col("__reply"), F.col(intent))).otherwise(rules)).drop("__reply")
+
+
 def is_investor_intent(words: Column, expanded: Column) -> Column:
     low = F.lower(expanded)
     return F.arrays_overlap(F.transform(words, F.lower), F.array(*map(F.lit, R.INVESTOR_INTENT))) | any_in(low, R.INVESTOR_INTENT)

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -22,7 +22,7 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
 
 def any_in(text: Column, words: list[str]) -> Column:
     """Whether any word is a substring; an empty list is never."""
-    return text.rlike("|".join(map(re.escape, words))) if words else F.lit(False)
+    return reduce(lambda a, b: a | b, (text.contains(w) for w in words), F.lit(False)) if len(words) != 1 else text.contains(words[0])
 
 
 def hits(text: Column, words: list[str]) -> Column:
@@ -47,14 +47,19 @@ def matched_weights(text: Column, weights: list[tuple[str, int]], label: str = "
 
 def first_class(text: Column, classes: list[tuple[str, list[str]]], other: Column | str) -> Column:
     """The name of the first class with a word in the text."""
+    return let(text, lambda t: _case(t, classes, other))
 
-    def case(t: Column) -> Column:
-        out = None
-        for name, words in classes:
-            out = F.when(any_in(t, words), name) if out is None else out.when(any_in(t, words), name)
-        return out.otherwise(F.lit(other) if isinstance(other, str) else other)
 
-    return let(text, case)
+def _case(t: Column, classes: list[tuple[str, list[str]]], other: Column | str) -> Column:
+    out = None
+    for name, words in classes:
+        out = F.when(any_in(t, words), name) if out is None else out.when(any_in(t, words), name)
+    return out.otherwise(F.lit(other) if isinstance(other, str) else other)
+
+
+def with_class(df: DataFrame, name: str, text: Column, classes: list[tuple[str, list[str]]], other: Column | str) -> DataFrame:
+    """df with first_class() as a column; the text is a step of its own, so all runs as generated code."""
+    return df.withColumn("__text", text).withColumn(name, _case(F.col("__text"), classes, other)).drop("__text")
 
 
 def squeezed(text: Column) -> Column:

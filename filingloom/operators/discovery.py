@@ -19,9 +19,10 @@ def document_info(links: DataFrame, as_of: int) -> DataFrame:
     text = F.trim(F.coalesce("text", F.lit("")))
     title = F.when(F.length(text) < 5, D.name_from_url(F.col("url"))).otherwise(text)
     whole = F.concat_ws(" ", "_title", "url")
-    info = links.withColumn("_title", title).withColumns({
-        "normalized_url": urls.without_query(F.col("url")), "document_type": D.document_type(F.col("url"), F.col("_title"), F.lit("")), "publication_date": D.date_text(whole), "file_extension": urls.extension(F.col("url")),
-        "relevance_score": F.lit(100.0), "content_preview": F.substring("_title", 1, 150), "is_direct_file": F.lit(True), "extracted_year": D.year(whole, as_of), "extracted_quarter": D.quarter(whole), "title": F.substring("_title", 1, 200),
+    info = D.with_document_type(links.withColumn("_title", title), "document_type", F.col("url"), F.col("_title"), F.lit(""))
+    info = D.with_year(info, "extracted_year", whole, as_of).withColumns({
+        "normalized_url": urls.without_query(F.col("url")), "publication_date": D.date_text(whole), "file_extension": urls.extension(F.col("url")),
+        "relevance_score": F.lit(100.0), "content_preview": F.substring("_title", 1, 150), "is_direct_file": F.lit(True), "extracted_quarter": D.quarter(whole), "title": F.substring("_title", 1, 200),
     })
     return info.withColumn("subsection", F.col("document_type")).drop("_title")
 

@@ -28,6 +28,7 @@ KINDS = {
     "links": "array<struct<category:string,url:string,href:string,text:string,title:string>>",
     "documents": "array<struct<url:string,text:string,type:string>>",
     "images": "array<struct<url:string,alt:string,title:string>>",
+    "index": "array<struct<symbol:string,company:string,url:string>>",
     "tables": "array<struct<headers:array<array<string>>,body:array<array<string>>,footer:array<array<string>>,links:array<struct<url:string,text:string,title:string,is_company_profile:boolean>>,row_count:int,column_count:int>>",
 }
 
@@ -195,8 +196,9 @@ def _rows(part: Node | None) -> list[list[str]]:
     return [c for r in part.all("tr") if (c := _cells(r))] if part is not None else []
 
 
-def table(t: Node, base: str) -> dict:
-    head, body, foot = t.first("thead"), t.first("tbody"), t.first("tfoot")
+def _body(t: Node) -> tuple[list, list[Node]]:
+    """Cells of a table's header rows, and its other rows."""
+    head, body = t.first("thead"), t.first("tbody")
     headers = _rows(head)
     if head is None:
         for r in t.all("tr")[:3]:
@@ -204,13 +206,22 @@ def table(t: Node, base: str) -> dict:
                 break
             headers.append(_cells(r))
     if body is not None:
-        rows = [r for r in body.all("tr") if _cells(r)]
-    else:
-        own = [r for r in t.children if isinstance(r, Node) and r.tag == "tr"]
-        rows = [r for r in own if not (r.first("th") is not None and r.first("td") is None) and (c := _cells(r)) and c not in headers]
+        return headers, [r for r in body.all("tr") if _cells(r)]
+    own = [r for r in t.children if isinstance(r, Node) and r.tag == "tr"]
+    return headers, [r for r in own if not (r.first("th") is not None and r.first("td") is None) and (c := _cells(r)) and c not in headers]
+
+
+def table(t: Node, base: str) -> dict:
+    headers, rows = _body(t)
     found = [{"url": u, "text": n.text(), "title": n.attrs.get("title", ""), "is_company_profile": "/quotes/" in u.lower() or "symbol" in u.lower()} for r in rows for n, _, u in _anchors(r, base)]
     cells = [_cells(r) for r in rows]
-    return {"headers": headers, "body": cells, "footer": _rows(foot), "links": found, "row_count": len(cells), "column_count": len((headers or cells or [[]])[0])}
+    return {"headers": headers, "body": cells, "footer": _rows(t.first("tfoot")), "links": found, "row_count": len(cells), "column_count": len((headers or cells or [[]])[0])}
+
+
+def index(t: Node, base: str) -> list[dict]:
+    """For each link of a row of at least two cells, below the header row: the first two cells as symbol and company."""
+    rows = [r for r in t.all("tr")[1:] if len(_cells(r)) > 1]
+    return [{"symbol": c[0].strip(), "company": c[1].strip(), "url": u} for r in rows for c in [_cells(r)] for _, _, u in _anchors(r, base)]
 
 
 def page(html: str | None, url: str | None, kinds: tuple[str, ...]) -> dict:
@@ -218,6 +229,7 @@ def page(html: str | None, url: str | None, kinds: tuple[str, ...]) -> dict:
     made = {
         "title": lambda: title(root), "metadata": lambda: metadata(root), "content": lambda: content(root), "headings": lambda: headings(root), "links": lambda: links(root, base), "documents": lambda: documents(root, base),
         "images": lambda: images(root, base), "tables": lambda: [table(t, base) for t in root.all("table")[:5]],
+        "index": lambda: [x for t in root.all("table") for x in index(t, base)],
     }
     return {k: made[k]() for k in kinds}
 
@@ -266,3 +278,9 @@ def index_rows(pages: DataFrame, origin: str) -> DataFrame:
     keys = [c for c in rows.columns if c not in ("links", "url")]
     links = exploded(rows, "links", *keys).where(F.lower("url").contains("/quotes/") | F.lower("url").contains("symbol"))
     return company_links(links.withColumn("url", urls.prefixed(F.col("url"), origin)))
+
+
+def index_cells(pages: DataFrame) -> DataFrame:
+    """Symbol and company of all table rows with links, by their first two cells: page columns, ord, symbol, company, url."""
+    rows = parsed(pages, "index")
+    return exploded(rows, "index", *(c for c in rows.columns if c not in ("index", "url"))).where("symbol <> '' and company <> ''")

@@ -259,7 +259,7 @@ ORACLE: dict[str, str] = {
     "crawl_admission": _with(f"""{_QUEUE}, ch AS (SELECT regexp_replace(url, '[0-9]/', '/', 'g') AS url, seq % 13 AS page_ord, seq AS ord FROM q), n AS (SELECT *, row_number() OVER (PARTITION BY url ORDER BY page_ord, ord) AS k FROM ch WHERE url NOT IN (SELECT url FROM seen) AND url NOT IN (SELECT url FROM q WHERE seq % 3 = 0))
         SELECT url, page_ord, ord FROM n WHERE k = 1 ORDER BY page_ord, ord LIMIT 400""", "v_links"),
     "path_search": "WITH RECURSIVE v AS (" + view_sql("v_edges") + """), g AS (SELECT src, dst, min(ord) AS ord, max(score) AS score FROM v GROUP BY src, dst), b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY src ORDER BY score DESC, ord) AS k FROM g WHERE score > 0) WHERE k <= 3),
-        r AS (SELECT DISTINCT src AS node, [src] AS path, CAST(2 AS BIGINT) AS score, 0 AS n FROM g WHERE src < 20 UNION ALL SELECT b.dst, list_append(path, b.dst), b.score, n + 1 FROM r JOIN b ON b.src = r.node WHERE r.score BETWEEN 2 AND 3 AND n < 3 AND NOT list_contains(path, b.dst))
+        r AS (SELECT DISTINCT src AS node, [src] AS path, CAST(2 AS BIGINT) AS score, 0 AS n FROM g UNION ALL SELECT b.dst, list_append(path, b.dst), b.score, n + 1 FROM r JOIN b ON b.src = r.node WHERE r.score BETWEEN 2 AND 3 AND n < 3 AND NOT list_contains(path, b.dst))
         SELECT array_to_string(path, '>') AS path, score AS confidence FROM r WHERE score >= 4""",
     "llm_filter_stub_docs": _with(f"""h AS (SELECT ticker, ord, {_hits(_DOC_TEXT, WORDS)} AS h, count(*) OVER (PARTITION BY ticker) AS n FROM v_docs), k AS (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY CASE WHEN n > 20 THEN h ELSE 0 END DESC, ord) AS k FROM h WHERE n <= 20 OR h > 0),
         s AS (SELECT ticker, ord, round(h / {len(WORDS)}.0, 4) AS relevance_score FROM k WHERE k <= 20 AND h / {len(WORDS)}.0 > 0.3) SELECT *, {_RANK.format(keys='ticker')} AS rank FROM s""", "v_docs"),

@@ -22,8 +22,9 @@ _c = F.col
 def _featured(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = view(spark, sf_dir, "v_docs")
     whole = F.concat_ws(" ", "title", "url")
+    docs = D.with_year(D.with_document_type(docs, "document_type", _c("url"), _c("title"), F.lit("")), "extracted_year", _c("title"), AS_OF)
     return docs.withColumns({
-        "document_type": D.document_type(_c("url"), _c("title"), F.lit("")), "extracted_year": D.year(_c("title"), AS_OF), "extracted_quarter": D.quarter(_c("title")), "file_extension": U.extension(_c("url")), "publication_date": D.date_text(whole),
+        "extracted_quarter": D.quarter(_c("title")), "file_extension": U.extension(_c("url")), "publication_date": D.date_text(whole),
     })
 
 
@@ -51,11 +52,11 @@ def classify_filenames(s, d):
 
 
 def extract_year_strict(s, d):
-    return view(s, d, "v_docs").select("ord", D.year(_c("title"), AS_OF).alias("year"))
+    return D.with_year(view(s, d, "v_docs"), "year", _c("title"), AS_OF).select("ord", "year")
 
 
 def extract_year_extended(s, d):
-    return view(s, d, "v_docs").select("ord", D.year_extended(F.concat("url", F.lit(" "), "title"), AS_OF).alias("year"))
+    return D.with_year_extended(view(s, d, "v_docs"), "year", F.concat("url", F.lit(" "), "title"), AS_OF).select("ord", "year")
 
 
 def extract_quarter(s, d):
@@ -71,7 +72,7 @@ def file_extension(s, d):
 
 
 def generate_filename(s, d):
-    return _featured(s, d).select("ord", D.target_name(_c("document_type"), _c("title"), _c("extracted_year"), _c("extracted_quarter"), _c("file_extension")).alias("file_name"))
+    return D.with_target_name(_featured(s, d), "file_name", _c("document_type"), _c("title"), _c("extracted_year"), _c("extracted_quarter"), _c("file_extension")).select("ord", "file_name")
 
 
 def filename_from_url(s, d):
@@ -192,8 +193,8 @@ def intent_sections(s, d):
 
 
 def page_type(s, d):
-    grouped = view(s, d, "v_links").groupBy("page_id").agg(F.array_sort(F.collect_list("text")).alias("h"), F.count_if(_c("url").contains(".pdf")).alias("docs"), F.count_if(_c("category") == "internal").alias("internal"))
-    return grouped.select("page_id", I.page_type(F.lit("Home"), F.slice("h", 1, 1), _c("docs"), F.lit(0), _c("internal")).alias("page_type"))
+    grouped = view(s, d, "v_links").groupBy("page_id").agg(F.min("text").alias("h"), F.count_if(_c("url").contains(".pdf")).alias("docs"), F.count_if(_c("category") == "internal").alias("internal"))
+    return grouped.select("page_id", I.page_type(F.lit("Home"), F.array("h"), _c("docs"), F.lit(0), _c("internal")).alias("page_type"))
 
 
 def _pages(s: SparkSession, d: str) -> DataFrame:
@@ -413,7 +414,7 @@ def crawl_admission(s, d):
 
 
 def crawl_frontier_exact(s, d):
-    edges = view(s, d, "v_all_edges").where("src <> dst").select("src", "dst", "ord", "score")
+    edges = view(s, d, "v_edges").where("src <> dst").select("src", "dst", "ord", "score")
 
     def address(c):
         return F.concat(F.lit("https://h"), (c % 17).cast("string"), F.lit(".example.com/"), c.cast("string"))
@@ -427,7 +428,7 @@ def crawl_frontier_exact(s, d):
 
 def path_search(s, d):
     edges = view(s, d, "v_edges").groupBy("src", "dst").agg(F.min("ord").alias("ord"), F.max("score").alias("score"))
-    starts = edges.select(_c("src").alias("node")).distinct().where("node < 20")
+    starts = edges.select(_c("src").alias("node")).distinct()
     return ranking.path_search(edges, starts).select(F.array_join("path", ">").alias("path"), "confidence")
 
 

@@ -59,8 +59,7 @@ VIEWS: dict[str, tuple[list[tuple[str, str]], str]] = {
     "v_intents": ([
         ("ord", "p_partkey"), ("intent", "concat(" + _case("p_partkey", 8, ["Find the investor relations page", "Download annual report documents", "Extract financial data tables", "Collect 10-K and 10-Q filings", "Get earnings transcript", "Read page", "locate news article, then summarize, and parse, text", "contact information"]) + ", ' for ', lower(p_brand))"),
     ], "part"),
-    "v_edges": ([("src", "l_partkey % 200"), ("dst", "l_suppkey % 200"), ("ord", "l_orderkey * 10 + l_linenumber"), ("score", "CAST(l_quantity AS BIGINT) % 7")], "lineitem WHERE l_linenumber <= 2"),
-    "v_all_edges": ([("src", "l_partkey % 200"), ("dst", "l_suppkey % 200"), ("ord", "l_orderkey * 10 + l_linenumber"), ("score", "CAST(l_quantity AS BIGINT) % 7")], "lineitem"),
+    "v_edges": ([("src", "l_partkey"), ("dst", "l_suppkey"), ("ord", "l_orderkey * 10 + l_linenumber"), ("score", "CAST(l_quantity AS BIGINT) % 7")], "lineitem"),
 }
 
 

@@ -114,6 +114,29 @@ def by_batch(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     df.write.mode(mode).partitionBy("batch").json(path)
 
 
+def by_batch_and_whole(df: DataFrame, root: str, mode: str = "errorifexists") -> None:
+    """A folder of JSON lines for each batch, and one of all rows."""
+    by_batch(df, f"{root}/batches", mode)
+    write_json(df.drop("batch"), f"{root}/combined", mode)
+
+
+def write_dated(companies: DataFrame, investor_pages: DataFrame, root: str, stamp: str) -> None:
+    """The two results of a crawl of companies, under a date; neither may be there yet."""
+    write_json(companies, f"{root}/companies_{stamp}")
+    write_json(investor_pages, f"{root}/ir_pages_{stamp}")
+
+
+def listed(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
+    """Files below a folder of any file system that Spark reads: path, size, modified."""
+    found = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(root)
+    return found.select("path", F.col("length").alias("size"), F.col("modificationTime").alias("modified"))
+
+
+def fetched_objects(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
+    """The files themselves: path, content."""
+    return spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(root).select("path", "content")
+
+
 def upload(df: DataFrame, root: str, stamp: str) -> None:
     """A dated copy, which must be new, and the latest one, which is replaced. root: any file system Spark writes to."""
     df.write.mode("errorifexists").json(f"{root}/{stamp}")
@@ -130,5 +153,5 @@ def manifests(documents: DataFrame, log: DataFrame) -> DataFrame:
 
 def target_paths(documents: DataFrame) -> DataFrame:
     """documents (company_name, document_type, title, url, …) with the folder and file that a download gets."""
-    name = D.target_name(F.col("document_type"), F.col("title"), F.col("extracted_year"), F.col("extracted_quarter"), F.col("file_extension"))
-    return documents.withColumns({"folder": F.concat_ws(" - ", "ticker", D.safe_company(F.col("company_name"))), "file_name": name})
+    named = D.with_target_name(documents, "file_name", F.col("document_type"), F.col("title"), F.col("extracted_year"), F.col("extracted_quarter"), F.col("file_extension"))
+    return named.withColumn("folder", F.concat_ws(" - ", "ticker", D.safe_company(F.col("company_name"))))

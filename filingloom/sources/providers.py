@@ -5,6 +5,7 @@ A provider fails by row: its row gets success false and an error text, and the j
 
 from __future__ import annotations
 
+import random
 import time
 from collections.abc import Callable
 
@@ -43,12 +44,28 @@ def stored(requests: DataFrame, pages: DataFrame) -> DataFrame:
     return whole.withColumns({"success": F.col("html").isNotNull(), "error": F.when(F.col("html").isNull(), "not stored")})
 
 
-def fetched(requests: DataFrame, fetch: Callable[[str], str], tries: int = 3, wait: Callable[[float], None] = time.sleep) -> DataFrame:
-    """Fetch by an injected function."""
+def throttled(work: Callable, least: float, most: float | None = None, wait: Callable[[float], None] = time.sleep, draw: Callable[[float, float], float] = random.uniform) -> Callable:
+    """work, with a pause of `least` to `most` seconds between calls, none before the first."""
+    began = False
+
+    def run(x):
+        nonlocal began
+        if began:
+            wait(least if most is None else draw(least, most))
+        began = True
+        return work(x)
+
+    return run
+
+
+def fetched(requests: DataFrame, fetch: Callable[[str], str], tries: int = 3, wait: Callable[[float], None] = time.sleep, pause: float = 0.0, workers: int | None = None) -> DataFrame:
+    """Fetch by an injected function, by at most `workers` tasks at once, each with a pause between its calls."""
     from pyspark.sql import types as T
 
+    requests = requests if workers is None else requests.coalesce(workers)
+
     def run(batches):
-        one = retried(fetch, tries, wait)
+        one = throttled(retried(fetch, tries, wait), pause, wait=wait) if pause else retried(fetch, tries, wait)
         for b in batches:
             got = [one(u) for u in b.column("url").to_pylist()]
             more = {"html": pa.array([g[0] for g in got], pa.string()), "success": pa.array([g[1] is None for g in got]), "error": pa.array([g[1] for g in got], pa.string()), "tries": pa.array([g[2] for g in got], pa.int32())}
@@ -80,6 +97,34 @@ def plain_text(content: bytes) -> dict:
     return {"text_content": content.decode("utf-8", "replace"), "tables": [], "metadata": {}, "elements": []}
 
 
+def first_of(*decoders: Callable[[bytes], dict], falls_back: Callable[[Exception], bool] = lambda e: True) -> Callable[[bytes], dict]:
+    """A decoder that tries the given ones in turn; an error for which falls_back is false ends it."""
+
+    def run(content: bytes) -> dict:
+        for k, decode in enumerate(decoders):
+            try:
+                return decode(content)
+            except Exception as e:
+                if k + 1 == len(decoders) or not falls_back(e):
+                    raise
+        raise ValueError("no decoder")
+
+    return run
+
+
+def company_info(df: DataFrame, text: str, ask: Callable[[pd.Series], pd.Series] | None = None) -> DataFrame:
+    """df with ticker: as an injected function of the text has it; by the rule where there is none or it returns null."""
+    rule = D.bracketed_ticker(F.col(text))
+    if ask is None:
+        return df.withColumn("ticker", rule)
+
+    @F.pandas_udf("string")
+    def run(texts: pd.Series) -> pd.Series:
+        return ask(texts)
+
+    return df.withColumn("ticker", F.coalesce(run(F.col(text)), rule))
+
+
 def extracted(files: DataFrame, decode: Callable[[bytes], dict] = plain_text) -> DataFrame:
     """files (content and others) with result: the decoded document, or success false and an error."""
 

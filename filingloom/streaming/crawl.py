@@ -66,10 +66,11 @@ def admit(children: DataFrame, queue: DataFrame, visited: DataFrame, room: int)
 
 
 class Crawl:
-    """links: url, ord, child_url, priority. files: url, ord, file_url, type, title. pages: url. Addresses are canonical."""
+    """links: url, ord, child_url, priority. files: url, ord, file_url, type, title. pages: url. Addresses are canonical.
+    goal (url, goal): scores of pages by which children are chosen (children_by_score); without it the rule chooses."""
 
-    def __init__(self, spark: SparkSession, pages: DataFrame, links: DataFrame, files: DataFrame, config: CrawlConfig = CrawlConfig()) -> None:  # noqa: B008
-        self.spark, self.config = spark, config
+    def __init__(self, spark: SparkSession, pages: DataFrame, links: DataFrame, files: DataFrame, config: CrawlConfig = CrawlConfig(), goal: DataFrame | None = None) -> None:  # noqa: B008
+        self.spark, self.config, self.goal = spark, config, goal
         self.pages, self.links, self.files = pages.select("url").distinct(), links, files
         self.clock, self.rounds, self.next = 0.0, 0, 0
         self.queue = spark.createDataFrame([], QUEUE)
@@ -104,7 +105,9 @@ class Crawl:
         ok = got.where("success").withColumn("path", F.concat("path", F.array("url")))
         found = ok.join(self.files, "url").select(F.col("file_url").alias("url"), "type", "title", F.col("url").alias("found_on_page"), "path", "depth")
         self.results = saved(self.results.unionByName(found))
-        deeper = ok.where(F.col("depth") < c.max_depth).join(self.links.where(F.col("priority") >= c.priority_threshold).withColumnRenamed("priority", "score"), "url")
+        deeper = ok.drop("priority").join(self.links, "url")
+        goal = self.spark.createDataFrame([], "url string, goal double") if self.goal is None else self.goal
+        deeper = children_by_score(deeper, goal, c).withColumnRenamed("priority", "score")
         children = deeper.select(F.col("child_url").alias("url"), (-F.col("score")).alias("priority"), (F.col("depth") + 1).alias("depth"), F.col("url").alias("parent_url"), "path", "page_ord", "ord")
         left = saved(left)
         new = saved(admit(children, left, self.visited, c.max_queue_size - left.count()))
@@ -124,15 +127,17 @@ class Crawl:
         return self
 
     def save(self, folder: str) -> None:
+        """Each state in a folder of its own; the row that names it comes last, so a state counts once it is whole. A folder is
+        for one crawl."""
         for name in ("queue", "visited", "results", "hosts"):
-            getattr(self, name).write.mode("overwrite").parquet(f"{folder}/{name}")
-        self.spark.createDataFrame([(self.clock, self.rounds, self.next, self.config.to_json())], "clock double, rounds int, next long, config string").write.mode("overwrite").parquet(f"{folder}/clock")
+            getattr(self, name).write.mode("overwrite").parquet(f"{folder}/round={self.rounds}/{name}")
+        self.spark.createDataFrame([(self.clock, self.rounds, self.next, self.config.to_json())], "clock double, rounds int, next long, config string").coalesce(1).write.mode("append").parquet(f"{folder}/clock")
 
     def resume(self, folder: str) -> Crawl:
-        """Go on from a saved state; the clock counts from the first start."""
+        """Go on from the last whole state; the clock counts from the first start."""
+        row = self.spark.read.parquet(f"{folder}/clock").orderBy(F.desc("rounds")).first()
         for name in ("queue", "visited", "results", "hosts"):
-            setattr(self, name, saved(self.spark.read.parquet(f"{folder}/{name}")))
-        row = self.spark.read.parquet(f"{folder}/clock").first()
+            setattr(self, name, saved(self.spark.read.parquet(f"{folder}/round={row['rounds']}/{name}")))
         self.clock, self.rounds, self.next = row["clock"], row["rounds"], row["next"]
         return self
 
