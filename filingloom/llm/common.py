@@ -35,6 +35,11 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def merged(df: DataFrame) -> DataFrame:
+    """df as a side of a join that is never broadcast, so that the driver doesn't build what grows with the data."""
+    return df.hint("merge")
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

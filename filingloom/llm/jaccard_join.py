@@ -124,7 +124,7 @@ def compare(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     kept, ids = nodes.select("node", "elements"), pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     if pairs.count() <= _FEW:
         kept = kept.join(F.broadcast(ids), "node", "left_semi")
-    both = pairs.join(kept.withColumnsRenamed({"node": "a", "elements": "ea"}), "a").join(kept.withColumnsRenamed({"node": "b", "elements": "eb"}), "b")
+    both = pairs.join(C.merged(kept.withColumnsRenamed({"node": "a", "elements": "ea"})), "a").join(C.merged(kept.withColumnsRenamed({"node": "b", "elements": "eb"})), "b")
 
     def run(batches):
         for batch in batches:
@@ -146,24 +146,24 @@ def groups(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100, **limi
     where groups share a doc_id) for each row; sets link where den * shared >= num * union. limits: those of common.shape()."""
     sets = C.cut(_suspects(docs, size, num, den, limits))
     order = F.coalesce("doc_id", F.lit(int(np.iinfo(np.int64).max))).alias("order")
-    first = C.cut(sets.where("elements is not null").groupBy("sid", "sid2").agg(F.min(order).alias("order"), F.min("uid").alias("uid")).select("uid", "order", F.xxhash64("sid", "sid2").alias("node")))
-    nodes = C.cut(sets.drop("doc_id", "text_key").where("elements is not null").join(first, "uid").drop("uid"))
+    first = sets.where("elements is not null").groupBy("sid", "sid2").agg(F.min(order).alias("order"), F.min("uid").alias("uid")).select("uid", "order", F.xxhash64("sid", "sid2").alias("node"))
+    nodes = C.cut(sets.drop("doc_id", "text_key").where("elements is not null").join(C.merged(first), "uid").drop("uid"))
     linked = F.expr(f"{den} * shared >= {num} * (na + nb - shared)")
 
     # Relations: each node and the hubs of its bands.
     banded = nodes.select("node", "typical", F.posexplode("bands").alias("band", "low"))
     hubs = C.cut(banded.groupBy("band", "low").agg(F.min(F.struct((-F.col("typical")).alias("t"), F.col("node").alias("hub"))).alias("x"), F.count("*").alias("c")).where("c > 1").select("band", "low", "x.hub"))
-    pairs = banded.join(hubs, ["band", "low"]).where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
+    pairs = banded.join(C.merged(hubs), ["band", "low"]).where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
     star = C.cut(compare(pairs, nodes).where(linked).withColumn("near", F.col("shared") / (F.col("na") + F.col("nb") - F.col("shared"))))
     roots = components(star.select("a", "b"))
     hub = star.groupBy("a").agg(F.max(F.struct("near", F.col("b").alias("hub"))).alias("x")).select(F.col("a").alias("node"), "x.near", "x.hub")
-    known = nodes.select("node", "n", "first", "post").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    known = nodes.select("node", "n", "first", "post").join(C.merged(roots), "node", "left").withColumn("root", F.coalesce("root", "node"))
 
     # Index lists of the elements that several groups share.
     posts = C.cut(known.select("node", "n", "root", "first", F.posexplode("post").alias("k", "element")).withColumn("pos", F.col("first") + F.col("k")).drop("first", "k"))
     shared = posts.groupBy("element").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("listed")).where("lo <> hi").select("element", "listed")
-    largest = posts.join(shared, "element").groupBy("element", "root", "listed").count().groupBy("element", "listed").agg(F.max(F.struct("count", "root")).alias("x")).select("element", "listed", F.col("x.root").alias("main"))
-    lists = C.cut(posts.join(largest, "element"))
+    largest = posts.join(C.merged(shared), "element").groupBy("element", "root", "listed").count().groupBy("element", "listed").agg(F.max(F.struct("count", "root")).alias("x")).select("element", "listed", F.col("x.root").alias("main"))
+    lists = C.cut(posts.join(C.merged(largest), "element"))
     step = float(np.log(den / num))
     classed = lists.withColumn("class", F.floor(F.log(F.col("n").cast("double")) / step).cast("int"))
     blocks = (
@@ -173,23 +173,23 @@ def groups(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100, **limi
     )
     probe = classed.where("root <> main").select("element", "main", F.col("node").alias("a"), F.col("n").alias("pn"), F.col("pos").alias("pp"), F.col("root").alias("proot"), F.explode(F.array(F.col("class") - 1, "class", F.col("class") + 1)).alias("class"))
     enough = f"least(pn - pp, {{rest}}) * {num + den} >= {num} * (pn + {{n}})"
-    hit = probe.join(blocks, ["element", "class"]).where(enough.format(rest="rest", n="small"))
+    hit = probe.join(C.merged(blocks), ["element", "class"]).where(enough.format(rest="rest", n="small"))
     hit = hit.select("a", "pn", "pp", "proot", "main", F.explode("members").alias("m"))
     pair = hit.where(f"m.root <> proot and (m.root = main or a < m.node) and least(pn, m.n) * {den} >= greatest(pn, m.n) * {num} and {enough.format(rest='m.n - m.pos', n='m.n')}")
     candidates = C.cut(pair.select("a", F.col("m.node").alias("b")).distinct())
 
     # Answers that follow from the hub's.
-    with_hub = candidates.join(hub.withColumnRenamed("node", "b"), "b", "left")
+    with_hub = candidates.join(C.merged(hub.withColumnRenamed("node", "b")), "b", "left")
     to_hub = compare(with_hub.where("hub is not null and hub <> a").select("a", F.col("hub").alias("b")).distinct(), nodes)
     to_hub = to_hub.select("a", F.col("b").alias("hub"), (F.col("shared") / (F.col("na") + F.col("nb") - F.col("shared"))).alias("far"))
-    left = with_hub.join(to_hub, ["a", "hub"], "left").where(f"far is null or (1 - far) - (1 - near) <= {1 - num / den + 1e-9}")
+    left = with_hub.join(C.merged(to_hub), ["a", "hub"], "left").where(f"far is null or (1 - far) - (1 - near) <= {1 - num / den + 1e-9}")
     more = compare(left.select("a", "b"), nodes).where(linked).select("a", "b")
     root = known.select("node", "root")
-    between = more.join(root.withColumnsRenamed({"node": "a", "root": "ra"}), "a").join(root.withColumnsRenamed({"node": "b", "root": "rb"}), "b").select(F.col("ra").alias("a"), F.col("rb").alias("b"))
+    between = more.join(C.merged(root.withColumnsRenamed({"node": "a", "root": "ra"})), "a").join(C.merged(root.withColumnsRenamed({"node": "b", "root": "rb"})), "b").select(F.col("ra").alias("a"), F.col("rb").alias("b"))
     joined = components(between).select(F.col("node").alias("root"), F.col("root").alias("last"))
-    whole = nodes.select("node", "sid", "sid2", "order").join(root, "node").join(joined, "root", "left").withColumn("last", F.coalesce("last", "root"))
+    whole = nodes.select("node", "sid", "sid2", "order").join(C.merged(root), "node").join(C.merged(joined), "root", "left").withColumn("last", F.coalesce("last", "root"))
     least = whole.groupBy("last").agg(F.min("order").alias("component_id"))
-    named = whole.join(least, "last").select("sid", "sid2", "component_id", "last")
-    out = sets.select("doc_id", "text_key", "n", "sid", "sid2").join(named, ["sid", "sid2"], "left")
+    named = whole.join(C.merged(least), "last").select("sid", "sid2", "component_id", "last")
+    out = sets.select("doc_id", "text_key", "n", "sid", "sid2").join(C.merged(named), ["sid", "sid2"], "left")
     known_id = F.coalesce(F.col("component_id"), F.col("doc_id"))
     return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(known_id == int(np.iinfo(np.int64).max), F.lit(None)).otherwise(known_id).alias("component_id"), "text_key", F.coalesce("last", F.xxhash64("doc_id", "text_key")).alias("group_key"))
