@@ -188,7 +188,7 @@ def groups(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100, **limi
     between = more.join(C.merged(root.withColumnsRenamed({"node": "a", "root": "ra"})), "a").join(C.merged(root.withColumnsRenamed({"node": "b", "root": "rb"})), "b").select(F.col("ra").alias("a"), F.col("rb").alias("b"))
     joined = components(between).select(F.col("node").alias("root"), F.col("root").alias("last"))
     whole = nodes.select("node", "sid", "sid2", "order").join(C.merged(root), "node").join(C.merged(joined), "root", "left").withColumn("last", F.coalesce("last", "root"))
-    least = whole.groupBy("last").agg(F.min("order").alias("component_id"))
+    least = C.cut(whole.groupBy("last").agg(F.min("order").alias("component_id")))  # written first, so that the join of a large group can be split
     named = whole.join(C.merged(least), "last").select("sid", "sid2", "component_id", "last")
     out = sets.select("doc_id", "text_key", "n", "sid", "sid2").join(C.merged(named), ["sid", "sid2"], "left")
     known_id = F.coalesce(F.col("component_id"), F.col("doc_id"))
