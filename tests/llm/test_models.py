@@ -261,10 +261,11 @@ def test_quality_by_hand(spark):
 
 
 def test_quality_pieces():
-    texts = pa.array([" ".join(TEXTS) * 3, "short text", "again " * 200 + "y" * 500])
+    texts = pa.array([" ".join(TEXTS) * 3, "short text", "again " * 200 + "y" * 250])
     whole, cut = list(quality.read(texts)), list(quality.read(texts, most=300))
     numbers = np.concatenate([x[2] for x in cut])
     assert np.array_equal(whole[0][2], numbers) and np.array_equal(whole[0][3], np.concatenate([x[3] for x in cut])) and np.allclose(whole[0][4], np.concatenate([x[4] for x in cut]))
+    assert [next(quality.read(pa.array(["a b " + "y" * 500]), most=m))[2][0, 1] for m in (1000, 300)] == [3, 4]  # a run without a blank is cut
     assert set(zip(whole[0][5], whole[0][6])) == {(a + int(x), y) for a, _, *_, row, f in cut for x, y in zip(row, f)}
 
 
