@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 import tempfile
 from collections.abc import Callable, Iterator
@@ -24,6 +25,18 @@ SLICE = 1 << 20
 _SAMPLE = 1 << 40
 
 
+def _lean() -> None:
+    """Have this process give arrays of a megabyte or more back to the system once they are freed. As it is, the C library
+    keeps blocks of up to 32 MB, and Arrow's own pool more, so that workers that wait for tasks hold what old ones took."""
+    pa.set_memory_pool(pa.system_memory_pool())
+    if put := getattr(ctypes.CDLL(None), "mallopt", None):  # in the GNU C library alone
+        for option in (-1, -3):  # M_TRIM_THRESHOLD, M_MMAP_THRESHOLD: setting them also ends their growth
+            put(option, SLICE)
+
+
+_lean()
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write df to the session's checkpoint folder and read it back: later steps neither recompute it nor lose it with an executor."""
     sc = df.sparkSession.sparkContext
