@@ -35,6 +35,10 @@ _SENT = 300_000
 _HELD = 16 << 20
 #: Spans that a task gathers before it sends a row to each part of the documents.
 _SPANS = 2_000_000
+#: Windows of a bucket that are sorted at once, but for those of one hash.
+_TURN = 250_000
+#: Rows whose texts are cut at once.
+_ROWS = 1000
 _FAR = 1 << 31
 
 
@@ -126,7 +130,7 @@ def marked_spans(docs: DataFrame, window: int = 20, mini: int = 4, task_bytes: i
     buckets = 3 * parts
 
     def send(batches):
-        sent: dict[bytes, tuple[int, int]] = {}
+        sent: dict[bytes, int] = {}  # a number for doc_id and start together, in their order
         held, size = [[] for _ in range(7)], 0
         for data, off, doc, key in _tables(batches):
             text, start, end, h, head, (row, first, n, low) = _super(data, off, window, mini)
@@ -145,7 +149,7 @@ def marked_spans(docs: DataFrame, window: int = 20, mini: int = 4, task_bytes: i
             spots = zip(doc[row].tolist(), at.tolist(), start[first].tolist(), end[last - 1].tolist(), strict=True)
             for i, (d, f, x, y) in enumerate(spots):
                 s = raw[x:y]
-                k, was = hashlib.blake2b(s, digest_size=16).digest(), (d, f)
+                k, was = hashlib.blake2b(s, digest_size=16).digest(), (d << 32) + f
                 old = sent.get(k)
                 if old is not None and was > old:  # all its windows occur earlier in this task
                     keep[i] = False
@@ -177,7 +181,9 @@ def marked_spans(docs: DataFrame, window: int = 20, mini: int = 4, task_bytes: i
             real, doc, key, first, last = (np.concatenate([x[i] for x in whole]) for i in range(5))
             spans.append((doc[~real], key[~real], first[~real], last[~real]))
             if real.any():
-                spans.append(_mark(b" ".join(x[5] for x in whole if x[5]), doc[real], key[real], first[real], last[real], window))
+                text = b" ".join(x[5] for x in whole if x[5])
+                del whole
+                spans.append(_mark(text, doc[real], key[real], first[real], last[real], window))
             size += sum(len(x[0]) for x in spans[-2:])
             if size > _SPANS:
                 yield _by_document(spans, parts)
@@ -250,15 +256,35 @@ def _unpack(body: bytes) -> tuple:
 
 
 def _mark(text: bytes, doc, key, first, last, window: int) -> tuple:
-    """Sort a bucket's windows; mark those that an equal one precedes."""
+    """Sort a bucket's windows; mark those that an equal one precedes. Windows are sorted in turns by their hash, so that
+    a turn has few of them; equal windows share a turn."""
     data = np.frombuffer(text, np.uint8)
     start, end, _ = C.words(data, np.array([0, len(data)]))
     h = C.gram_hash(C.word_hash(data, start, end), window)
     n = (last - first).astype(np.int64)
-    row = np.repeat(np.arange(len(n)), n)
-    at = np.flatnonzero(row[: len(h)] == row[window - 1 :])
-    pos = (np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n))[at] + first[row[at]]
-    h, row = h[at], row[at]
+    row = np.repeat(np.arange(len(n), dtype=np.int32), n)
+    begin = np.cumsum(n) - n
+    places = np.flatnonzero(row[: len(h)] == row[window - 1 :]).astype(np.int32)
+    turns = -(-len(places) // _TURN)
+    turn = ((h >> np.uint64(32)) % np.uint64(max(1, turns))).astype(np.int32)[places]
+    found = [(row[:0], first[:0])]
+    for t in range(turns):
+        at = places[turn == t]
+        r = row[at]
+        found.append(_later(text, data, start, end, h[at], at, r, (at - begin[r] + first[r]).astype(np.int32), doc, window))
+    row, p = (np.concatenate(x) for x in zip(*found, strict=True))
+    d, k = doc[row], key[row]
+    order = np.lexsort((p, k, d))
+    d, p, k = d[order], p[order], k[order]
+    new = np.ones(len(d), bool)
+    new[1:] = (d[1:] != d[:-1]) | (k[1:] != k[:-1]) | (p[1:] - p[:-1] > 1)
+    i = np.flatnonzero(new)
+    final = p[np.append(i[1:], len(d)) - 1] + window if len(d) else p
+    return d[i], k[i], p[i], final
+
+
+def _later(text: bytes, data, start, end, h, at, row, pos, doc, window: int) -> tuple:
+    """Row and position of each of these windows (h: hash, at: first word) that an equal one precedes."""
     order = np.lexsort((pos, doc[row], h))
     h, row, pos, at = h[order], row[order], pos[order], at[order]
     same = np.zeros(len(h), bool)
@@ -270,23 +296,16 @@ def _mark(text: bytes, doc, key, first, last, window: int) -> tuple:
         seen: dict[bytes, int] = {}
         group = np.array([seen.setdefault(text[x:y], i) for i, (x, y) in enumerate(zip(a.tolist(), b.tolist(), strict=True))])
     later = (doc[row] != doc[row[group]]) | (pos != pos[group])
-    d, p, k = doc[row[later]], pos[later], key[row[later]]
-    order = np.lexsort((p, k, d))
-    d, p, k = d[order], p[order], k[order]
-    new = np.ones(len(d), bool)
-    new[1:] = (d[1:] != d[:-1]) | (k[1:] != k[:-1]) | (p[1:] - p[:-1] > 1)
-    i = np.flatnonzero(new)
-    final = p[np.append(i[1:], len(d)) - 1] + window if len(d) else p
-    return d[i], k[i], p[i], final
+    return row[later], pos[later]
 
 
 def _equal(data, a, b, c, d) -> bool:
     if not np.array_equal(b - a, d - c):
         return False
-    for i in range(0, len(a), 20_000):
-        size = (b - a)[i : i + 20_000]
+    for i in range(0, len(a), 4_000):
+        size = (b - a)[i : i + 4_000]
         at = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-        if not np.array_equal(data[at + np.repeat(a[i : i + 20_000], size)], data[at + np.repeat(c[i : i + 20_000], size)]):
+        if not np.array_equal(data[at + np.repeat(a[i : i + 4_000], size)], data[at + np.repeat(c[i : i + 4_000], size)]):
             return False
     return True
 
@@ -301,7 +320,7 @@ def cut_repeats(docs: DataFrame, window: int = 20, mini: int = 4) -> DataFrame:
     joined = C.shrunk(keyed).join(spans, (F.col("__fl_id") == F.col("__fl_doc")) & (F.col("__fl_text") == F.col("__fl_key")), "left").drop("__fl_id", "__fl_text", "__fl_doc", "__fl_key")
 
     def cutting(batches):
-        for b in batches:
+        for b in (x.slice(i, _ROWS) for x in batches for i in range(0, x.num_rows, _ROWS)):
             texts = [None if x is None else C.unsqueeze(x).tobytes() for x in b.column("text").to_pylist()]
             total, removed, kept = [], [], []
             for text, spans in zip(texts, b.column("spans").to_pylist(), strict=True):

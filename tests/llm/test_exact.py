@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import plain
 import pyarrow as pa
 import pytest
@@ -72,6 +73,18 @@ def test_null_ids_are_dealt_out():
     assert np.bincount(part.astype(int), minlength=16).max() < 2 * 4000 / 16
 
 
+def test_windows_are_sorted_in_turns(monkeypatch):
+    rng = np.random.default_rng(3)
+    words = [rng.integers(0, 3, n) for n in rng.integers(4, 60, 40)]
+    text = b" ".join(b" ".join(b"w%d" % x for x in w) for w in words)
+    doc, last = rng.integers(0, 9, 40), np.array([len(w) for w in words], np.int32)
+    found = []
+    for turn in (10**6, 100, 1):
+        monkeypatch.setattr(substring_dedup, "_TURN", turn)
+        found.append([x.tolist() for x in substring_dedup._mark(text, doc, doc, 0 * last, last, 4)])
+    assert found[0][0] and found[0] == found[1] == found[2]
+
+
 def test_equal_hashes_are_told_apart():
     data = b"a b c a b c x y z"
     import numpy as np
