@@ -122,13 +122,29 @@ def pieces(data: np.ndarray, most: int = SLICE) -> Iterator[tuple[int, int]]:
         at = end
 
 
-def words(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, end and row of each word of the rows."""
+def whole_words(data: np.ndarray, most: int = SLICE, blank: np.ndarray = _SPACE) -> Iterator[tuple[int, int]]:
+    """As pieces(), but never within a word: a part that has no blank goes on to the next one."""
+    at = 0
+    while at < len(data):
+        end = min(len(data), at + most)
+        if end < len(data):
+            if len(gaps := np.flatnonzero(blank[data[at:end]])):
+                end = at + int(gaps[-1]) + 1
+            else:
+                while end < len(data) and not len(gaps := np.flatnonzero(blank[data[end : end + most]])):
+                    end = min(len(data), end + most)
+                end = end + int(gaps[0]) + 1 if end < len(data) else end
+        yield at, end
+        at = end
+
+
+def words(data: np.ndarray, off: np.ndarray, blank: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and row of each word of the rows; blank: which bytes separate words."""
     n = len(data)
     if not n:
         z = np.zeros(0, np.int64)
         return z, z, z
-    word = ~_SPACE[data]
+    word = ~blank[data]
     before, after = np.zeros(n, bool), np.zeros(n, bool)
     before[1:], after[:-1] = word[:-1], word[1:]
     inner = off[1:-1]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, decontaminate, jaccard_join, language_id, lm_score, media, mixing, quality, substring_dedup, toxicity, url_filter
+from . import common, decontaminate, filter_audit, jaccard_join, language_id, lm_score, media, mixing, quality, substring_dedup, toxicity, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -76,6 +76,11 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies", "rate")
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = filter_audit.audit(_table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), _table(spark, sf_dir, "labels"))
+    return found.select("part", "filter_order", "step", *filter_audit.COUNTS, "shapley")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_url_filter": op2_url_filter,
@@ -87,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_media": op8_media,
     "op9_toxicity": op9_toxicity,
     "op10_decontamination": op10_decontamination,
+    "op11_filter_audit": op11_filter_audit,
 }
 
 ORACLE: dict[str, str] = {
@@ -131,5 +137,23 @@ good AS (SELECT doc_id, item_id, shift, s, w FROM win JOIN near USING (doc_id, i
 span AS (SELECT doc_id, item_id, shift, min(s) AS a, max(s + w) AS b FROM good GROUP BY doc_id, item_id, shift),
 leak AS (SELECT doc_id, item_id, any_value(a + shift - 1) AS first, any_value(b - a) AS words, count(*) AS matched FROM span JOIN near USING (doc_id, item_id, shift) WHERE q >= a AND q < b GROUP BY doc_id, item_id, shift)
 SELECT doc_id, item_id, CAST(first AS INTEGER) AS first, CAST(words AS INTEGER) AS words, CAST(matched AS INTEGER) AS matched FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY matched DESC, first, words) AS k FROM leak) WHERE k = 1
+""",
+    "op11_filter_audit": r"""
+WITH t AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+low AS (SELECT text, min(doc_id) AS low FROM t GROUP BY text),
+l AS (SELECT doc_id, max(CAST(coalesce(quality = 1, false) AS INT)) AS good, max(CAST(coalesce(toxic = 1, false) AS INT)) AS toxic FROM labels GROUP BY doc_id),
+f AS (SELECT t.part, coalesce(l.good, 0) AS good, coalesce(l.toxic, 0) AS toxic, [
+        len(ws) < 200, 100 * len(list_distinct(ws)) < 50 * len(ws), 100 * length(regexp_replace(t.text, '[^A-Z]', '', 'g')) > 3 * length(t.text), regexp_matches(t.text, '[#$%&*|]'), coalesce(low.low < t.doc_id, low.low IS NOT NULL)] AS fails
+      FROM t JOIN low USING (text) LEFT JOIN l ON l.doc_id = t.doc_id),
+x(k) AS (VALUES (1), (2), (3), (4), (5)),
+o AS (SELECT [a.k, b.k, c.k, d.k, e.k] AS ks, array_to_string(list_transform([a.k, b.k, c.k, d.k, e.k], lambda v: substr('ABCDE', v, 1)), '') AS filter_order
+      FROM x a, x b, x c, x d, x e WHERE len(list_distinct([a.k, b.k, c.k, d.k, e.k])) = 5),
+g AS (SELECT part, good, toxic, fails, count(*) AS n FROM f GROUP BY ALL),
+r AS (SELECT g.*, filter_order, ks, coalesce(list_position(list_transform(ks, lambda v: fails[v]), true), 6) AS first FROM g, o),
+z AS (SELECT part, filter_order, CAST(s AS INT) AS step, ks[s] AS k, sum(n) FILTER (first > s) AS kept, sum(n) FILTER (first = s) AS removed, sum(n) FILTER (fails[ks[s]] AND first < s) AS redundant,
+        sum(n) FILTER (fails[ks[s]] AND len(list_filter(fails, lambda v: v)) = 1) AS unique_fails, sum(n) FILTER (first = s AND good = 1) AS good_lost, sum(n) FILTER (first = s AND toxic = 1) AS toxic_lost
+      FROM r, unnest(range(1, 6)) u(s) GROUP BY ALL)
+SELECT part, filter_order, step, CAST(coalesce(kept, 0) AS BIGINT) AS kept, CAST(coalesce(removed, 0) AS BIGINT) AS removed, CAST(coalesce(redundant, 0) AS BIGINT) AS redundant, CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails,
+  CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost, CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost, CAST(coalesce(sum(removed) OVER (PARTITION BY part, k), 0) AS BIGINT) AS shapley FROM z
 """,
 }
