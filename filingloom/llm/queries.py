@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, decontaminate, filter_audit, jaccard_join, language_id, lm_score, media, mixing, quality, substring_dedup, toxicity, url_filter
+from . import bpe, common, decontaminate, filter_audit, jaccard_join, language_id, lexical_search, lm_score, media, mixing, quality, substring_dedup, toxicity, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -81,6 +82,16 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("part", "filter_order", "step", *filter_audit.COUNTS, "shapley")
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(lexical_search.index(_table(spark, sf_dir, "documents")), _table(spark, sf_dir, "benchmark"))
+
+
+def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    ids = bpe.encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), path, public_tokenizers.PATTERN)
+    return bpe.decode(ids, path).select("doc_id", F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_url_filter": op2_url_filter,
@@ -93,6 +104,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_toxicity": op9_toxicity,
     "op10_decontamination": op10_decontamination,
     "op11_filter_audit": op11_filter_audit,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_bpe": op13_bpe,
 }
 
 ORACLE: dict[str, str] = {
@@ -155,5 +168,15 @@ z AS (SELECT part, filter_order, CAST(s AS INT) AS step, ks[s] AS k, sum(n) FILT
       FROM r, unnest(range(1, 6)) u(s) GROUP BY ALL)
 SELECT part, filter_order, step, CAST(coalesce(kept, 0) AS BIGINT) AS kept, CAST(coalesce(removed, 0) AS BIGINT) AS removed, CAST(coalesce(redundant, 0) AS BIGINT) AS redundant, CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails,
   CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost, CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost, CAST(coalesce(sum(removed) OVER (PARTITION BY part, k), 0) AS BIGINT) AS shapley FROM z
+""",
+    "op12_lexical_search": r"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ws FROM documents),
+i AS (SELECT item_id, row_number() OVER () AS q, unnest(list_distinct(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))) AS term FROM (SELECT DISTINCT item_id, text FROM benchmark)),
+s AS (SELECT CAST(count(*) AS BIGINT) AS nd, CAST(sum(len(ws)) AS BIGINT) AS l FROM d WHERE len(ws) > 0),
+m AS (SELECT doc_id, r, 100 - 90 + (90 * len(ws) * nd) // l AS m FROM d, s WHERE len(ws) > 0),
+p AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(ws) AS term FROM d) GROUP BY r, term),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * nd + 2) / (2 * df + 1))) AS BIGINT) AS w FROM (SELECT term, count(*) AS df FROM p GROUP BY term), s),
+x AS (SELECT q, any_value(item_id) AS item_id, r, any_value(doc_id) AS doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score FROM i JOIN p USING (term) JOIN w USING (term) JOIN m USING (r) GROUP BY q, r)
+SELECT item_id, CAST(rank AS INT) AS rank, doc_id, score FROM (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id) AS rank FROM x WHERE score > 0) WHERE rank <= 10
 """,
 }
