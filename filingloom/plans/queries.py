@@ -11,8 +11,9 @@ from ..functions import documents as D
 from ..functions import intents as I
 from ..functions import urls as U
 from ..operators import discovery, filters, html, ranking, resolve, scorers, summaries
+from ..sources.stage import saved
 from ..streaming import crawl as crawling
-from ..streaming import events
+from ..streaming import crawls, events
 from .views import AS_OF, view
 
 WORDS = ["investor", "annual", "pdf", "10-k", "earnings"]
@@ -413,19 +414,33 @@ def crawl_admission(s, d):
     return crawling.admit(children, queue.where("seq % 3 = 0"), visited, 400).select("url", "page_ord", "ord")
 
 
-def crawl_frontier_exact(s, d):
-    edges = view(s, d, "v_edges").where("src <> dst").select("src", "dst", "ord", "score")
+def _address(c):
+    return F.concat(F.lit("https://h"), (c % 17).cast("string"), F.lit(".example.com/"), c.cast("string"))
 
-    def address(c):
-        return F.concat(F.lit("https://h"), (c % 17).cast("string"), F.lit(".example.com/"), c.cast("string"))
 
-    links = edges.groupBy("src", "dst").agg(F.min("ord").alias("ord"), F.max("score").alias("score")).select(address(_c("src")).alias("url"), "ord", address(_c("dst")).alias("child_url"), (_c("score") / 6).alias("priority"))
-    pages = edges.select(address(_c("src")).alias("url")).where("length(url) % 5 > 0").distinct()
+def _graph(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Pages, links and files: each part links to the numbers of its suppliers; most pages are stored, each with a file."""
+    edges = view(s, d, "v_edges").where("src <> dst").select("src", "dst", "ord", "score")
+    links = edges.groupBy("src", "dst").agg(F.min("ord").alias("ord"), F.max("score").alias("score")).select(_address(_c("src")).alias("url"), "ord", _address(_c("dst")).alias("child_url"), (_c("score") / 6).alias("priority"))
+    pages = edges.select(_address(_c("src")).alias("url")).where("length(url) % 5 > 0").distinct()
     files = pages.select("url", F.lit(0).alias("ord"), F.concat("url", F.lit(".pdf")).alias("file_url"), F.lit("PDF").alias("type"), F.lit("file").alias("title"))
-    done = crawling.Crawl(s, pages, links, files).seed("https://h1.example.com/1").run()
+    return pages, links, files
+
+
+def crawl_frontier_exact(s, d):
+    done = crawling.Crawl(s, *_graph(s, d)).seed("https://h1.example.com/1").run()
     return done.results.select("url", "found_on_page", "depth")
 
 
+def many_crawls(s, d):
+    """A crawl from each part of the first twentieth of the numbers, all in one run; its files with the paths to them."""
+    parts = view(s, d, "v_edges").select("src").distinct()
+    seeds = parts.where(_c("src") * 20 <= parts.agg(F.max("src")).first()[0]).select(_c("src").cast("string").alias("crawl"), _address(_c("src")).alias("url"))
+    config = crawling.CrawlConfig(max_documents=30, max_depth=3)
+    done = crawls.Crawls(s, *(saved(x) for x in _graph(s, d)), config).seed(seeds).run()
+    return done.results().join(done.paths(), ["crawl", "seq"]).select("crawl", "url", "found_on_page", "depth", F.array_join("path", " ").alias("path"))
+
+
 def path_search(s, d):
     edges = view(s, d, "v_edges").groupBy("src", "dst").agg(F.min("ord").alias("ord"), F.max("score").alias("score"))
     starts = edges.select(_c("src").alias("node")).distinct()
@@ -468,6 +483,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         ir_link_score, ir_link_score_ext, ir_doc_score, table_company_links, link_priority, refined_intent, intent_keywords, intent_targets, intent_strategy, intent_sections, page_type, page_anchors, page_titles, page_headings, page_links_parsed, page_paragraphs, page_tables,
         page_documents, page_images, page_metadata, content_summary, section_discovery, website_score, best_website_and_ir, ir_candidates, resolve_ir, review_split, enrich_companies, evaluate_link_value, search_link_score, href_forms, company_info_direct, global_url_dedup,
         distinct_companies, skip_existing_anti, ticker_semi, metadata_broadcast, sample_documents, per_group_sample, batch_slices, batch_last_wins, regroup_by_ticker, extraction_summary, download_stats_rollup, type_breakdown, depth_distribution, pdf_summary, resolution_summary,
-        crawl_summary, result_buckets, threshold_children, crawl_bfs_depth, crawl_rate_limited_batch, crawl_admission, crawl_frontier_exact, path_search, llm_filter_stub_docs, llm_filter_stub_links, llm_summary_stub, tumbling_events, sessions_events, ranked_links_global,
+        crawl_summary, result_buckets, threshold_children, crawl_bfs_depth, crawl_rate_limited_batch, crawl_admission, crawl_frontier_exact, many_crawls, path_search, llm_filter_stub_docs, llm_filter_stub_links, llm_summary_stub, tumbling_events, sessions_events, ranked_links_global,
     )
 }
