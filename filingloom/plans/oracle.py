@@ -258,6 +258,12 @@ ORACLE: dict[str, str] = {
         k AS (SELECT *, sum(CAST(bad AS INTEGER)) OVER (ORDER BY priority, depth, seq ROWS UNBOUNDED PRECEDING) AS n FROM b) SELECT seq, url, live AS taken FROM k WHERE n = 0""", "v_links"),
     "crawl_admission": _with(f"""{_QUEUE}, ch AS (SELECT regexp_replace(url, '[0-9]/', '/', 'g') AS url, seq % 13 AS page_ord, seq AS ord FROM q), n AS (SELECT *, row_number() OVER (PARTITION BY url ORDER BY page_ord, ord) AS k FROM ch WHERE url NOT IN (SELECT url FROM seen) AND url NOT IN (SELECT url FROM q WHERE seq % 3 = 0))
         SELECT url, page_ord, ord FROM n WHERE k = 1 ORDER BY page_ord, ord LIMIT 400""", "v_links"),
+    "stream_crawl": "WITH RECURSIVE g AS (SELECT src, dst, max(score) AS score FROM (" + view_sql("v_edges") + """) WHERE src <> dst GROUP BY src, dst),
+        a AS (SELECT DISTINCT src AS node FROM g WHERE length('https://h' || CAST(src % 997 AS VARCHAR) || '.example.com/' || CAST(src AS VARCHAR)) % 5 > 0),
+        l AS (SELECT src, dst FROM g JOIN a ON a.node = g.src WHERE score >= 3), r AS (SELECT CAST(1 AS BIGINT) AS node UNION SELECT dst FROM r JOIN l ON l.src = r.node)
+        SELECT 'https://h' || CAST(node % 997 AS VARCHAR) || '.example.com/' || CAST(node AS VARCHAR) AS url, 'h' || CAST(node % 997 AS VARCHAR) || '.example.com' AS host, node IN (SELECT node FROM a) AS success FROM r""",
+    "substring_join": _with("""x AS (SELECT ord, lower(concat_ws(' ', url, title)) AS text FROM v_docs), p AS (SELECT DISTINCT unnest(['/' || CAST(p_partkey AS VARCHAR) || '/', '/' || CAST(p_partkey * 7 AS VARCHAR) || '/doc_' || CAST(p_partkey % 50 AS VARCHAR),
+        '_' || CAST(p_partkey % 10 AS VARCHAR) || '.', p_name, lower(p_brand) || ' ' || lower(p_type), CAST(2000 + p_partkey % 100 AS VARCHAR)]) AS pattern FROM part) SELECT ord, pattern FROM x JOIN p ON contains(x.text, p.pattern)""", "v_docs"),
     "path_search": "WITH RECURSIVE v AS (" + view_sql("v_edges") + """), g AS (SELECT src, dst, min(ord) AS ord, max(score) AS score FROM v GROUP BY src, dst), b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY src ORDER BY score DESC, ord) AS k FROM g WHERE score > 0) WHERE k <= 3),
         r AS (SELECT DISTINCT src AS node, [src] AS path, CAST(2 AS BIGINT) AS score, 0 AS n FROM g UNION ALL SELECT b.dst, list_append(path, b.dst), b.score, n + 1 FROM r JOIN b ON b.src = r.node WHERE r.score BETWEEN 2 AND 3 AND n < 3 AND NOT list_contains(path, b.dst))
         SELECT array_to_string(path, '>') AS path, score AS confidence FROM r WHERE score >= 4""",

@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from ..functions import documents as D
 from ..functions import intents as I
 from ..functions import urls as U
-from ..operators import discovery, filters, html, ranking, resolve, scorers, summaries
-from ..sources.stage import saved
+from ..operators import discovery, filters, html, ranking, resolve, scorers, substrings, summaries
+from ..sources.stage import saved, scratch
 from ..streaming import crawl as crawling
-from ..streaming import crawls, events
+from ..streaming import crawls, events, host_crawl
 from .views import AS_OF, view
 
 WORDS = ["investor", "annual", "pdf", "10-k", "earnings"]
@@ -114,6 +114,14 @@ def valid_ir_domain(s, d):
     return view(s, d, "v_links").where(U.on_company_site(_c("url"), F.lit("building.com"))).select("ord", "url")
 
 
+def substring_join(s, d):
+    """Six patterns from each part (its number in several forms, its name, its brand and type) in all addresses and titles."""
+    forms = ["concat('/', CAST(p_partkey AS STRING), '/')", "concat('/', CAST(p_partkey * 7 AS STRING), '/doc_', CAST(p_partkey % 50 AS STRING))", "concat('_', CAST(p_partkey % 10 AS STRING), '.')", "p_name", "concat(lower(p_brand), ' ', lower(p_type))", "CAST(2000 + p_partkey % 100 AS STRING)"]
+    patterns = s.read.parquet(f"{d}/part.parquet").select(F.explode(F.array(*map(F.expr, forms))).alias("pattern"))
+    texts = view(s, d, "v_docs").select("ord", F.lower(F.concat_ws(" ", "url", "title")).alias("text"))
+    return substrings.matches(texts, ["ord"], "text", patterns)
+
+
 def keyword_filter_docs(s, d):
     docs = view(s, d, "v_docs").select("ticker", "ord", "url", _c("title").alias("text"))
     return filters.documents(docs, WORDS, ["ticker"]).select("ticker", "ord", "relevance_score", F.array_join("matched_keywords", ",").alias("matched"), "rank")
@@ -414,15 +422,16 @@ def crawl_admission(s, d):
     return crawling.admit(children, queue.where("seq % 3 = 0"), visited, 400).select("url", "page_ord", "ord")
 
 
-def _address(c):
-    return F.concat(F.lit("https://h"), (c % 17).cast("string"), F.lit(".example.com/"), c.cast("string"))
+def _address(c, hosts: int = 17):
+    return F.concat(F.lit("https://h"), (c % hosts).cast("string"), F.lit(".example.com/"), c.cast("string"))
 
 
-def _graph(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _graph(s: SparkSession, d: str, hosts: int = 17) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Pages, links and files: each part links to the numbers of its suppliers; most pages are stored, each with a file."""
     edges = view(s, d, "v_edges").where("src <> dst").select("src", "dst", "ord", "score")
-    links = edges.groupBy("src", "dst").agg(F.min("ord").alias("ord"), F.max("score").alias("score")).select(_address(_c("src")).alias("url"), "ord", _address(_c("dst")).alias("child_url"), (_c("score") / 6).alias("priority"))
-    pages = edges.select(_address(_c("src")).alias("url")).where("length(url) % 5 > 0").distinct()
+    links = edges.groupBy("src", "dst").agg(F.min("ord").alias("ord"), F.max("score").alias("score"))
+    links = links.select(_address(_c("src"), hosts).alias("url"), "ord", _address(_c("dst"), hosts).alias("child_url"), (_c("score") / 6).alias("priority"))
+    pages = edges.select(_address(_c("src"), hosts).alias("url")).where("length(url) % 5 > 0").distinct()
     files = pages.select("url", F.lit(0).alias("ord"), F.concat("url", F.lit(".pdf")).alias("file_url"), F.lit("PDF").alias("type"), F.lit("file").alias("title"))
     return pages, links, files
 
@@ -432,15 +441,32 @@ def crawl_frontier_exact(s, d):
     return done.results.select("url", "found_on_page", "depth")
 
 
+#: Hosts of the graph for crawls that go on side by side.
+_HOSTS = 997
+
+
 def many_crawls(s, d):
     """A crawl from each part of the first twentieth of the numbers, all in one run; its files with the paths to them."""
     parts = view(s, d, "v_edges").select("src").distinct()
-    seeds = parts.where(_c("src") * 20 <= parts.agg(F.max("src")).first()[0]).select(_c("src").cast("string").alias("crawl"), _address(_c("src")).alias("url"))
+    seeds = parts.where(_c("src") * 20 <= parts.agg(F.max("src")).first()[0]).select(_c("src").cast("string").alias("crawl"), _address(_c("src"), _HOSTS).alias("url"))
     config = crawling.CrawlConfig(max_documents=30, max_depth=3)
-    done = crawls.Crawls(s, *(saved(x) for x in _graph(s, d)), config).seed(seeds).run()
+    done = crawls.Crawls(s, *(saved(x) for x in _graph(s, d, _HOSTS)), config).seed(seeds).run()
     return done.results().join(done.paths(), ["crawl", "seq"]).select("crawl", "url", "found_on_page", "depth", F.array_join("path", " ").alias("path"))
 
 
+def stream_crawl(s, d):
+    """All that a crawl from part 1 reaches when nothing limits it, as a stream of hosts."""
+    root = scratch(s, "host-crawl")
+    pages, links, files = (saved(x) for x in _graph(s, d, _HOSTS))
+    host_crawl.request(s.createDataFrame([("1", "https://h1.example.com/1")], "crawl string, url string"), root)
+    stream = host_crawl.start(s, root, pages, links, files, crawling.CrawlConfig(rate_limit_delay=0.0, max_depth=10**6), every="0 seconds")
+    try:
+        host_crawl.until_quiet(stream, 1.0)
+    finally:
+        stream.stop()
+    return host_crawl.table(s, root, "visits").select("url", "host", "success")
+
+
 def path_search(s, d):
     edges = view(s, d, "v_edges").groupBy("src", "dst").agg(F.min("ord").alias("ord"), F.max("score").alias("score"))
     starts = edges.select(_c("src").alias("node")).distinct()
@@ -479,10 +505,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         latest_doc_per_type, latest_quarterly_report, classify_documents, document_features, classify_filenames, extract_year_strict, extract_year_extended, extract_quarter, extract_date_text, file_extension, generate_filename, filename_from_url, sanitize_company, financial_metrics,
-        normalize_url_doc, normalize_url_crawl, domain_info, direct_file_filter, valid_ir_url, valid_ir_domain, keyword_filter_docs, keyword_filter_links, keyword_filter_paragraphs_top20, keyword_filter_images_top10, keyword_filter_headings, keyword_filter_tables,
+        normalize_url_doc, normalize_url_crawl, domain_info, direct_file_filter, valid_ir_url, valid_ir_domain, substring_join, keyword_filter_docs, keyword_filter_links, keyword_filter_paragraphs_top20, keyword_filter_images_top10, keyword_filter_headings, keyword_filter_tables,
         ir_link_score, ir_link_score_ext, ir_doc_score, table_company_links, link_priority, refined_intent, intent_keywords, intent_targets, intent_strategy, intent_sections, page_type, page_anchors, page_titles, page_headings, page_links_parsed, page_paragraphs, page_tables,
         page_documents, page_images, page_metadata, content_summary, section_discovery, website_score, best_website_and_ir, ir_candidates, resolve_ir, review_split, enrich_companies, evaluate_link_value, search_link_score, href_forms, company_info_direct, global_url_dedup,
         distinct_companies, skip_existing_anti, ticker_semi, metadata_broadcast, sample_documents, per_group_sample, batch_slices, batch_last_wins, regroup_by_ticker, extraction_summary, download_stats_rollup, type_breakdown, depth_distribution, pdf_summary, resolution_summary,
-        crawl_summary, result_buckets, threshold_children, crawl_bfs_depth, crawl_rate_limited_batch, crawl_admission, crawl_frontier_exact, many_crawls, path_search, llm_filter_stub_docs, llm_filter_stub_links, llm_summary_stub, tumbling_events, sessions_events, ranked_links_global,
+        crawl_summary, result_buckets, threshold_children, crawl_bfs_depth, crawl_rate_limited_batch, crawl_admission, crawl_frontier_exact, many_crawls, stream_crawl, path_search, llm_filter_stub_docs, llm_filter_stub_links, llm_summary_stub, tumbling_events, sessions_events, ranked_links_global,
     )
 }

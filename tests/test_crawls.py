@@ -118,7 +118,7 @@ def test_query(spark, tmp_path):
     spark.createDataFrame(rows, "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double").write.parquet(str(tmp_path / "lineitem.parquet"))
 
     def address(n):
-        return f"https://h{n % 17}.example.com/{n}"
+        return f"https://h{n % 997}.example.com/{n}"
 
     links = {}
     for k, line, a, b, q in rows:
