@@ -11,6 +11,7 @@ from ..functions import documents as D
 from ..functions import intents as I
 from ..functions import urls as U
 from ..operators import discovery, filters, html, ranking, resolve, scorers, substrings, summaries
+from ..sources import files
 from ..sources.stage import saved, scratch
 from ..streaming import crawl as crawling
 from ..streaming import crawls, events, host_crawl
@@ -201,6 +202,15 @@ def intent_sections(s, d):
     return view(s, d, "v_intents").select("ord", I.section(text, "KEYWORDS", "TARGETS").alias("keywords"), I.section(text, "TARGETS").alias("targets"))
 
 
+def json_documents(s, d):
+    """All documents written as one JSON object in parts, and read back in ranges."""
+    docs = view(s, d, "v_docs").select("ticker", "ord", "title", "url", F.struct("ticker", _c("company_name").alias("company")).alias("metadata"))
+    latest = docs.groupBy("ticker").agg(F.max_by(F.struct("title", "url"), "ord").alias("x")).select("ticker", "x.*")
+    root = scratch(s, "documents")
+    files.write_document_map(docs, latest, root)
+    return files.documents(s, root, wrapped=True, together=True).select("ticker", "ord", "title", "url", "metadata.company")
+
+
 def page_type(s, d):
     grouped = view(s, d, "v_links").groupBy("page_id").agg(F.min("text").alias("h"), F.count_if(_c("url").contains(".pdf")).alias("docs"), F.count_if(_c("category") == "internal").alias("internal"))
     return grouped.select("page_id", I.page_type(F.lit("Home"), F.array("h"), _c("docs"), F.lit(0), _c("internal")).alias("page_type"))
@@ -506,7 +516,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         latest_doc_per_type, latest_quarterly_report, classify_documents, document_features, classify_filenames, extract_year_strict, extract_year_extended, extract_quarter, extract_date_text, file_extension, generate_filename, filename_from_url, sanitize_company, financial_metrics,
         normalize_url_doc, normalize_url_crawl, domain_info, direct_file_filter, valid_ir_url, valid_ir_domain, substring_join, keyword_filter_docs, keyword_filter_links, keyword_filter_paragraphs_top20, keyword_filter_images_top10, keyword_filter_headings, keyword_filter_tables,
-        ir_link_score, ir_link_score_ext, ir_doc_score, table_company_links, link_priority, refined_intent, intent_keywords, intent_targets, intent_strategy, intent_sections, page_type, page_anchors, page_titles, page_headings, page_links_parsed, page_paragraphs, page_tables,
+        ir_link_score, ir_link_score_ext, ir_doc_score, table_company_links, link_priority, refined_intent, intent_keywords, intent_targets, intent_strategy, intent_sections, json_documents, page_type, page_anchors, page_titles, page_headings, page_links_parsed, page_paragraphs, page_tables,
         page_documents, page_images, page_metadata, content_summary, section_discovery, website_score, best_website_and_ir, ir_candidates, resolve_ir, review_split, enrich_companies, evaluate_link_value, search_link_score, href_forms, company_info_direct, global_url_dedup,
         distinct_companies, skip_existing_anti, ticker_semi, metadata_broadcast, sample_documents, per_group_sample, batch_slices, batch_last_wins, regroup_by_ticker, extraction_summary, download_stats_rollup, type_breakdown, depth_distribution, pdf_summary, resolution_summary,
         crawl_summary, result_buckets, threshold_children, crawl_bfs_depth, crawl_rate_limited_batch, crawl_admission, crawl_frontier_exact, many_crawls, stream_crawl, path_search, llm_filter_stub_docs, llm_filter_stub_links, llm_summary_stub, tumbling_events, sessions_events, ranked_links_global,

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import documents as D
 from ..functions import urls as U
+from . import json_ranges
 
 METADATA = "struct<ticker:string,company_name:string,cnbc_url:string,company_website:string,extraction_method:string,timestamp:string>"
 COMPANY = f"ticker string, company_name string, investor_relations_url string, cnbc_url string, company_website string, url string, type string, title string, metadata {METADATA}"
@@ -22,9 +24,10 @@ STATE = (
 
 
 def companies(spark: SparkSession, path: str, start: int = 0, end: int | None = None) -> DataFrame:
-    """A JSON list of companies: ord, ticker, company_name, investor_relations_url. A record with metadata takes its
-    values from there and its url, another one from its own fields; no ticker is UNKNOWN."""
-    raw = spark.read.text(path, wholetext=True).select(F.posexplode(F.from_json("value", f"array<struct<{_ddl(COMPANY)}>>")).alias("ord", "c"))
+    """A JSON list of companies, however large, read in ranges: ord, ticker, company_name, investor_relations_url, cnbc_url,
+    company_website. A record with metadata takes its values from there and its url, another one from its own fields; no
+    ticker is UNKNOWN. Only objects are records."""
+    raw = json_ranges.objects(spark, path).select(F.col("ord"), F.from_json("value", T.StructType.fromDDL(COMPANY)).alias("c"))
     nested = F.col("c.metadata").isNotNull()
 
     def pick(a: str, b: str) -> Column:
@@ -35,18 +38,18 @@ def companies(spark: SparkSession, path: str, start: int = 0, end: int | None =
     return rows.where((F.col("ord") >= start) & (F.lit(True) if end is None else F.col("ord") < end))
 
 
-def _ddl(columns: str) -> str:
-    from pyspark.sql import types as T
-
-    return ",".join(f"{f.name}:{f.dataType.simpleString()}" for f in T.StructType.fromDDL(columns))
-
-
-def documents(spark: SparkSession, path: str, tickers: list[str] | None = None) -> DataFrame:
-    """A JSON object of documents by ticker, within all_documents or bare: ticker, ord, then the document's fields."""
-    raw = spark.read.text(path, wholetext=True)
-    kind = f"map<string,array<{DOCUMENT}>>"
-    inner = F.get_json_object("value", "$.all_documents")
-    rows = raw.select(F.explode(F.from_json(F.coalesce(inner, F.col("value")), kind)).alias("ticker", "docs")).select("ticker", F.posexplode("docs").alias("ord", "d")).select("ticker", "ord", "d.*")
+def documents(spark: SparkSession, path: str, tickers: list[str] | None = None, wrapped: bool | None = None, together: bool = False) -> DataFrame:
+    """A JSON object of documents by ticker, however large, read in ranges: ticker, ord, then the document's fields.
+    wrapped: the object stands within all_documents; unless it is said, the file is looked at. together: the parts of a
+    folder are one text, as write_document_map() leaves them."""
+    found = None
+    if wrapped is not False:
+        found = json_ranges.objects(spark, path, 3, together).where(F.get("keys", F.lit(1)) == '"all_documents"')
+        if wrapped is None and found.isEmpty():
+            found = None
+    key = F.lit(1 if found is None else 2)
+    found = json_ranges.objects(spark, path, 2, together) if found is None else found
+    rows = found.select(json_ranges.key_text(F.get("keys", key)).alias("ticker"), (F.col("ord") - F.col("first")).alias("ord"), F.from_json("value", DOCUMENT).alias("d")).select("ticker", "ord", "d.*")
     return rows if tickers is None else rows.where(F.col("ticker").isin(*tickers))
 
 
@@ -105,6 +108,30 @@ def document_map(documents: DataFrame, latest: DataFrame) -> DataFrame:
     return joined.agg(F.to_json(F.struct(F.map_from_entries(entries).alias("all_documents"), F.map_from_entries(lasts).alias("latest_quarterly_reports"))).alias("value"))
 
 
+def write_document_map(documents: DataFrame, latest: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """The text of document_map() as lines over many parts, which make it in the order of their names; no task or row has all
+    of it. documents (ticker, ord, fields), latest (ticker, fields), neither with a null ticker."""
+
+    def body(df: DataFrame) -> Column:
+        return F.to_json(F.struct(*(c for c in df.columns if c not in ("ticker", "ord"))))
+
+    def lines(df: DataFrame, section: int, kind: int, ord_: Column, line: Column) -> DataFrame:
+        return df.select(F.lit(section).alias("section"), F.col("ticker"), F.lit(kind).alias("kind"), ord_.cast("long").alias("ord"), line.alias("line"))
+
+    none, name = F.lit(None), F.regexp_replace(F.to_json(F.struct(F.col("ticker").alias("k"))), r'^\{"k":|\}$', "")
+    first = documents.groupBy("ticker").agg(F.min("ord").alias("low"))
+    lowest = [df.agg(F.min("ticker")).first()[0] for df in (first, latest)]
+    comma = [F.when(F.col("ticker") == (low if low is not None else ""), "").otherwise(",") for low in lowest]
+    docs = documents.join(first, "ticker")
+    edge = documents.sparkSession.createDataFrame([(0, '{"all_documents": {'), (2, '}, "latest_quarterly_reports": {'), (4, "}}")], "section int, line string")
+    whole = lines(first, 1, 0, none, F.concat(comma[0], name, F.lit(": ["))).unionByName(lines(first, 1, 2, none, F.lit("]")))
+    whole = whole.unionByName(lines(docs, 1, 1, F.col("ord"), F.concat(F.when(F.col("ord") == F.col("low"), "").otherwise(","), body(documents))))
+    whole = whole.unionByName(lines(latest, 3, 0, none, F.concat(comma[1], name, F.lit(": "), body(latest))))
+    whole = whole.unionByName(edge.select("section", none.cast("string").alias("ticker"), F.lit(0).alias("kind"), none.cast("long").alias("ord"), "line"))
+    order = ("section", "ticker", "kind", "ord")
+    whole.repartitionByRange(*order).sortWithinPartitions(*order).select("line").write.mode(mode).text(path)
+
+
 def by_ticker(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """A folder of JSON lines for each ticker."""
     df.repartition("ticker").write.mode(mode).partitionBy("ticker").json(path)
