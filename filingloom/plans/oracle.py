@@ -203,12 +203,19 @@ ORACLE: dict[str, str] = {
     "page_headings": r"SELECT page_id, CAST(0 AS INTEGER) AS ord, CAST(1 AS INTEGER) AS level, trim(replace(replace(replace(regexp_extract(html, '<h1>([^<]*)</h1>', 1), '&lt;', '<'), '&gt;', '>'), '&amp;', '&')) AS text FROM pages",
     "page_links_parsed": "WITH a AS (SELECT page_id, regexp_extract(url, '^[^:/?#]+://[^/?#]*') AS origin, regexp_extract_all(html, '<a href=\"([^\"]*)\">[^<]*</a>', 1) AS h, regexp_extract_all(html, '<a href=\"[^\"]*\">([^<]*)</a>', 1) AS t FROM pages) "
         "SELECT page_id, CAST(i - 1 AS INTEGER) AS ord, 'navigation' AS category, origin || h[i] AS url, h[i] AS href, trim(t[i]) AS text, '' AS title FROM a, unnest(range(1, len(h) + 1)) u(i)",
-    "page_tables": "SELECT page_id, CAST(0 AS INTEGER) AS ord, CAST(0 AS INTEGER) AS row_count, CAST(0 AS INTEGER) AS column_count FROM pages WHERE contains(html, '<table')",
-    "page_documents": "SELECT page_id, CAST(0 AS INTEGER) AS ord, '' AS url, '' AS text, '' AS type FROM pages WHERE regexp_matches(lower(html), 'href=\"[^\"]*\\.(pdf|docx?|xlsx?|pptx?|zip|csv)\"')",
-    "page_images": "SELECT page_id, CAST(0 AS INTEGER) AS ord, '' AS url, '' AS alt, '' AS title FROM pages WHERE contains(html, '<img')",
-    "page_metadata": "SELECT page_id, '{}' AS metadata FROM pages",
-    "content_summary": "SELECT page_id, CAST(0 AS INTEGER) AS table_count, CAST(0 AS INTEGER) AS document_count, CAST(0 AS INTEGER) AS internal_link_count, CAST(0 AS INTEGER) AS external_link_count, CAST(len(regexp_extract_all(html, '<a href=')) AS INTEGER) AS navigation_link_count, "
-        "CAST(len(regexp_extract_all(html, '<h[1-6]>')) AS INTEGER) AS heading_count, false AS has_tables, false AS has_documents, contains(html, '<a href=') AS has_navigation_links FROM pages",
+    "page_tables": _with("""SELECT page_id, CAST(0 AS INTEGER) AS ord, CAST(part_key % 4 AS INTEGER) AS row_count, CAST(2 AS INTEGER) AS column_count, 'Name|Brand' AS headers, array_to_string(list_transform(range(part_key % 4), lambda i: name || '|' || brand), '|') AS body,
+        'Sum|' || part_key AS footer, array_to_string(list_transform(range(part_key % 4), lambda i: origin || '/quotes/' || part_key || ' ' || name || ' true'), '|') AS links FROM v_wrapped
+        UNION ALL SELECT page_id, 1, 1, 1, 'Type', type, '', '' FROM v_wrapped WHERE part_key % 3 = 0 UNION ALL SELECT page_id, 0, 0, 0, '', '', '', '' FROM pages WHERE contains(html, '<table')""", "v_wrapped"),
+    "page_documents": _with(r"""SELECT page_id, CAST(0 AS INTEGER) AS ord, origin || '/files/' || part_key || '.pdf' AS url, 'Report on ' || name AS text, 'PDF' AS type FROM v_wrapped UNION ALL SELECT page_id, 1, origin || '/parts/' || part_key || '/data/' || part_key || '.CSV', 'Data', 'CSV' FROM v_wrapped
+        UNION ALL SELECT page_id, 0, '', '', '' FROM pages WHERE regexp_matches(lower(html), 'href="[^"]*\.(pdf|docx?|xlsx?|pptx?|zip|csv)"')""", "v_wrapped"),
+    "page_images": _with("SELECT page_id, CAST(i AS INTEGER) AS ord, origin || '/parts/' || part_key || '/i/' || part_key || '.png' AS url, name AS alt, brand AS title FROM v_wrapped, unnest(range(least(part_key % 25, 20))) t(i) UNION ALL SELECT page_id, 0, '', '', '' FROM pages WHERE contains(html, '<img')", "v_wrapped"),
+    "page_metadata": _with("""SELECT page_id, '{"description":"' || CASE WHEN part_key % 2 = 0 THEN 'later ' || name ELSE type || ' ' || brand END || '","og:title":"' || name || '"}' AS metadata FROM v_wrapped UNION ALL SELECT page_id, '{}' FROM pages""", "v_wrapped"),
+    "page_content": _with(r"""x AS (SELECT *, list_concat([name, 'All there is to say of', name, 'by ' || brand, type, 'Name', 'Brand'], flatten(list_transform(range(part_key % 4), lambda i: [name, brand])), ['Sum', CAST(part_key AS VARCHAR)], CASE WHEN part_key % 3 = 0 THEN ['Type', type] ELSE [] END,
+        ['Report on ' || name, 'Data', 'Other', 'Out', 'Mail']) AS parts FROM v_wrapped)
+        SELECT page_id, 'All there is to say of' || name || 'by ' || brand AS paragraphs, array_to_string(parts, chr(10)) AS full_text, CAST(len(regexp_extract_all(array_to_string(parts, ' '), '\S+')) AS INTEGER) AS word_count FROM x""", "v_wrapped"),
+    "content_summary": _with("""SELECT page_id, CAST(1 + CAST(part_key % 3 = 0 AS INTEGER) AS INTEGER) AS table_count, CAST(2 AS INTEGER) AS document_count, CAST(3 + part_key % 4 AS INTEGER) AS internal_link_count, CAST(1 AS INTEGER) AS external_link_count, CAST(1 AS INTEGER) AS navigation_link_count,
+        CAST(1 AS INTEGER) AS heading_count, true AS has_tables, true AS has_documents, true AS has_internal_links, true AS has_external_links, true AS has_navigation_links, 'CSV,PDF' AS document_types FROM v_wrapped
+        UNION ALL SELECT page_id, 0, 0, 0, 0, CAST(len(regexp_extract_all(html, '<a href=')) AS INTEGER), CAST(len(regexp_extract_all(html, '<h[1-6]>')) AS INTEGER), false, false, false, false, contains(html, '<a href='), '' FROM pages""", "v_wrapped"),
     "section_discovery": _with(_SECTION, "v_links"),
     "website_score": _with(f"{_WEB} SELECT ord, score FROM scored", "v_links"),
     "best_website_and_ir": _with(f"{_WEB}, b AS (SELECT ticker, arg_max(url, score * 1000000000 - ord) FILTER (is_ir) AS ir, arg_max(url, score * 1000000000 - ord) FILTER (NOT is_ir) AS web FROM scored WHERE score > 0 GROUP BY ticker) "

@@ -241,25 +241,38 @@ def page_paragraphs(s, d):
     return html.parsed(_pages(s, d), "content").select("page_id", F.explode("content.paragraphs").alias("text"))
 
 
+def _all_pages(s: SparkSession, d: str) -> DataFrame:
+    """The pages, and those made of the parts, which have tables, images, files and meta tags."""
+    return _pages(s, d).select("page_id", "url", "html").unionByName(view(s, d, "v_wrapped").select("page_id", "url", "html"))
+
+
 def page_tables(s, d):
-    return html.exploded(html.parsed(_pages(s, d), "tables"), "tables", "page_id").select("page_id", "ord", "row_count", "column_count")
+    cells = {c: F.array_join(F.flatten(c), "|") for c in ("headers", "body", "footer")}
+    linked = F.array_join(F.transform("links", lambda x: F.concat_ws(" ", x["url"], x["text"], x["is_company_profile"].cast("string"))), "|")
+    return html.exploded(html.parsed(_all_pages(s, d), "tables"), "tables", "page_id").select("page_id", "ord", "row_count", "column_count", *(c.alias(n) for n, c in cells.items()), linked.alias("links"))
 
 
 def page_documents(s, d):
-    return html.exploded(html.parsed(_pages(s, d), "documents"), "documents", "page_id")
+    return html.exploded(html.parsed(_all_pages(s, d), "documents"), "documents", "page_id")
 
 
 def page_images(s, d):
-    return html.exploded(html.parsed(_pages(s, d), "images"), "images", "page_id")
+    return html.exploded(html.parsed(_all_pages(s, d), "images"), "images", "page_id")
 
 
 def page_metadata(s, d):
-    return html.parsed(_pages(s, d), "metadata").select("page_id", F.to_json("metadata").alias("metadata"))
+    return html.parsed(_all_pages(s, d), "metadata").select("page_id", F.to_json("metadata").alias("metadata"))
+
+
+def page_content(s, d):
+    got = html.parsed(view(s, d, "v_wrapped").select("page_id", "url", "html"), "content")
+    return got.select("page_id", F.array_join("content.paragraphs", "|").alias("paragraphs"), "content.full_text", "content.word_count")
 
 
 def content_summary(s, d):
-    got = html.content_summary(html.parsed(_pages(s, d), "links", "documents", "tables", "headings", "content"))
-    return got.select("page_id", "table_count", "document_count", "internal_link_count", "external_link_count", "navigation_link_count", "heading_count", "has_tables", "has_documents", "has_navigation_links")
+    got = html.content_summary(html.parsed(_all_pages(s, d), "links", "documents", "tables", "headings", "content"))
+    return got.select("page_id", "table_count", "document_count", "internal_link_count", "external_link_count", "navigation_link_count", "heading_count", "has_tables", "has_documents", "has_internal_links", "has_external_links", "has_navigation_links",
+                      F.array_join("document_types", ",").alias("document_types"))
 
 
 def section_discovery(s, d):
@@ -516,7 +529,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         latest_doc_per_type, latest_quarterly_report, classify_documents, document_features, classify_filenames, extract_year_strict, extract_year_extended, extract_quarter, extract_date_text, file_extension, generate_filename, filename_from_url, sanitize_company, financial_metrics,
         normalize_url_doc, normalize_url_crawl, domain_info, direct_file_filter, valid_ir_url, valid_ir_domain, substring_join, keyword_filter_docs, keyword_filter_links, keyword_filter_paragraphs_top20, keyword_filter_images_top10, keyword_filter_headings, keyword_filter_tables,
-        ir_link_score, ir_link_score_ext, ir_doc_score, table_company_links, link_priority, refined_intent, intent_keywords, intent_targets, intent_strategy, intent_sections, json_documents, page_type, page_anchors, page_titles, page_headings, page_links_parsed, page_paragraphs, page_tables,
+        ir_link_score, ir_link_score_ext, ir_doc_score, table_company_links, link_priority, refined_intent, intent_keywords, intent_targets, intent_strategy, intent_sections, json_documents, page_type, page_anchors, page_titles, page_headings, page_links_parsed, page_paragraphs, page_content, page_tables,
         page_documents, page_images, page_metadata, content_summary, section_discovery, website_score, best_website_and_ir, ir_candidates, resolve_ir, review_split, enrich_companies, evaluate_link_value, search_link_score, href_forms, company_info_direct, global_url_dedup,
         distinct_companies, skip_existing_anti, ticker_semi, metadata_broadcast, sample_documents, per_group_sample, batch_slices, batch_last_wins, regroup_by_ticker, extraction_summary, download_stats_rollup, type_breakdown, depth_distribution, pdf_summary, resolution_summary,
         crawl_summary, result_buckets, threshold_children, crawl_bfs_depth, crawl_rate_limited_batch, crawl_admission, crawl_frontier_exact, many_crawls, stream_crawl, path_search, llm_filter_stub_docs, llm_filter_stub_links, llm_summary_stub, tumbling_events, sessions_events, ranked_links_global,

@@ -35,6 +35,18 @@ _LINK = _case("o_orderkey", 16, [
 ], quoted=False)
 _TEXT = _case("o_orderkey", 10, ["Investor Relations", "Annual Report", "Contact us", "Quarterly earnings presentation", "Stock information", "Press", "Download PDF", "Financial data table", "First aid", "SEC Filings"])
 
+_PART = "CAST(p_partkey AS STRING)"
+#: A part's own page: its words in meta tags, headings, a paragraph, tables, images and links to files.
+_PAGE = "concat(" + ", ".join([
+    "'<html><head><title>', p_name, '</title><meta name=\"description\" content=\"', p_type, ' ', p_brand, '\"><meta property=\"og:title\" content=\"', p_name, '\"><meta name=\"theme\" content=\"none\">'",
+    "CASE WHEN p_partkey % 2 = 0 THEN concat('<meta name=\"description\" content=\"later ', p_name, '\">') ELSE '' END",
+    "'</head><body><nav><a href=\"/home\">Home</a></nav><main><h1>', p_name, '</h1><p>All there is to say of <b>', p_name, '</b> by ', p_brand, '</p><p>', p_type, '</p>'",
+    f"'<table><thead><tr><th>Name</th><th>Brand</th></tr></thead><tbody>', repeat(concat('<tr><td><a href=\"/quotes/', {_PART}, '\">', p_name, '</a></td><td> ', p_brand, ' </td></tr>'), CAST(p_partkey % 4 AS INT)), '</tbody><tfoot><tr><td>Sum</td><td>', {_PART}, '</td></tr></tfoot></table>'",
+    "CASE WHEN p_partkey % 3 = 0 THEN concat('<table><tr><th>Type</th></tr><tr><td>', p_type, '</td></tr></table>') ELSE '' END",
+    f"repeat(concat('<img src=\"i/', {_PART}, '.png\" alt=\"', p_name, '\" title=\"', p_brand, '\">'), CAST(p_partkey % 25 AS INT))",
+    f"'<a href=\"/files/', {_PART}, '.pdf\">Report on ', p_name, '</a><a href=\"data/', {_PART}, '.CSV\">Data</a><a href=\"/files/', {_PART}, '.pdf?v=1\">Other</a><a href=\"https://other.example.org/\">Out</a><a href=\"mailto:a@example.org\">Mail</a></main></body></html>'",
+]) + ")"
+
 #: name -> (columns, FROM clause)
 VIEWS: dict[str, tuple[list[tuple[str, str]], str]] = {
     "v_docs": ([
@@ -59,6 +71,10 @@ VIEWS: dict[str, tuple[list[tuple[str, str]], str]] = {
     "v_intents": ([
         ("ord", "p_partkey"), ("intent", "concat(" + _case("p_partkey", 8, ["Find the investor relations page", "Download annual report documents", "Extract financial data tables", "Collect 10-K and 10-Q filings", "Get earnings transcript", "Read page", "locate news article, then summarize, and parse, text", "contact information"]) + ", ' for ', lower(p_brand))"),
     ], "part"),
+    "v_wrapped": ([
+        ("page_id", "p_partkey + 1000000000"), ("part_key", "p_partkey"), ("name", "p_name"), ("brand", "p_brand"), ("type", "p_type"), ("origin", "concat('https://shop', CAST(p_size % 5 AS STRING), '.example.com')"),
+        ("url", f"concat('https://shop', CAST(p_size % 5 AS STRING), '.example.com/parts/', {_PART}, '/index.html')"), ("html", _PAGE),
+    ], "part"),
     "v_edges": ([("src", "l_partkey"), ("dst", "l_suppkey"), ("ord", "l_orderkey * 10 + l_linenumber"), ("score", "CAST(l_quantity AS BIGINT) % 7")], "lineitem"),
 }
 
