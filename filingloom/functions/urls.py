@@ -53,15 +53,17 @@ def unquoted(text: Column) -> Column:
 
 def canonical(url: Column) -> Column:
     """Scheme and host in lower case, path without trailing slashes (`/` if empty), parameters sorted by name with blank
-    ones dropped and values re-encoded, no fragment. A parameter's values keep their order."""
-    scheme = F.lower(F.regexp_extract(url, "^([^:/?#]+)://", 1))
+    ones dropped and values re-encoded, no fragment. A parameter's values keep their order. An address without host, or
+    without scheme, gets none."""
+    scheme = F.lower(F.regexp_extract(url, "^([^:/?#]+:)", 1))
+    start = F.concat(scheme, F.when(url.rlike("^[^:/?#]+://"), F.concat(F.lit("//"), host(url))).otherwise(""))
     place = F.regexp_replace(path(url), "/+$", "")
     place = F.when(place == "", "/").otherwise(place)
     query = F.regexp_extract(url, r"^[^?#]*\?([^#]*)", 1)
     pairs = F.filter(F.split(query, "&"), lambda p: p.rlike("^[^=]*=.+"))
     keyed = F.transform(pairs, lambda p, i: F.struct(decoded(F.substring_index(p, "=", 1)).alias("k"), i.alias("i"), decoded(F.regexp_extract(p, "^[^=]*=(.*)$", 1)).alias("v")))
     text = F.array_join(F.transform(F.array_sort(keyed), lambda x: F.concat(F.url_encode(x["k"]), F.lit("="), F.url_encode(x["v"]))), "&")
-    return F.concat(scheme, F.lit("://"), host(url), place, F.when(text == "", "").otherwise(F.concat(F.lit("?"), text)))
+    return F.concat(start, place, F.when(text == "", "").otherwise(F.concat(F.lit("?"), text)))
 
 
 def prefixed(href: Column, origin: str) -> Column:

@@ -20,10 +20,11 @@ def latest_per_type(df: DataFrame, group: tuple[str, ...] = ("ticker", "document
 
 def latest_quarterly(df: DataFrame, group: tuple[str, ...] = ("ticker",), year: str = "extracted_year", quarter: str = "extracted_quarter", score: str = "relevance_score") -> DataFrame:
     """Of each group the latest quarterly report: rows with a quarter first, by year, quarter, type and score; ties by ord."""
-    names = [n for n, _ in R.QUARTERLY_PRIORITY]
     order = F.element_at(F.create_map(*(F.lit(x) for pair in R.QUARTERLY_PRIORITY for x in pair)), F.col("document_type"))
-    key = F.struct(F.col(quarter).isNotNull(), F.coalesce(F.col(year), F.lit(0)), F.coalesce(F.col(quarter), F.lit(0)), -order, F.col(score), -F.col("ord"))
-    return df.where(F.col("document_type").isin(*names)).groupBy(*group).agg(F.max_by(F.struct(*df.columns), key).alias("_x")).select("_x.*")
+    df = df.withColumn("__order", order)  # null for other types; a filter would take the type's long rule into the scan
+    key = F.struct(F.col(quarter).isNotNull(), F.coalesce(F.col(year), F.lit(0)), F.coalesce(F.col(quarter), F.lit(0)), -F.col("__order"), F.col(score), -F.col("ord"))
+    best = df.groupBy(*group).agg(F.max_by(F.struct(*df.drop("__order").columns), F.when(F.col("__order").isNotNull(), key)).alias("_x"))
+    return best.where(F.col("_x").isNotNull()).select("_x.*")
 
 
 def first_seen(df: DataFrame, key: Column, *order: str) -> DataFrame:

@@ -79,7 +79,7 @@ _PROFILE = "upper(string_split(string_split(CASE WHEN contains(url, '/quotes/')
 _IR = f"{_weight('lower(url)', R.LINK_URL_WEIGHTS)} + {_weight(_T := chr(39).join(['lower(text || ', ' ', ' || title)']), R.LINK_TEXT_WEIGHTS)} + {_weight(chr(39).join(['lower(text || ', ' ', ' || title || ', ' ', ' || url)']), R.LINK_DOCUMENT_WEIGHTS)}"
 _SITE = f"{_weight('lower(url)', R.SITE_URL_WEIGHTS)} + {_weight(_T, R.SITE_TEXT_WEIGHTS)}"
 _SPACED = r"trim(regexp_replace({s}, '\s+', ' ', 'g'))"
-_SENTENCES = "s AS (SELECT ord % 37 AS page_id, ord, text FROM v_metrics)"
+_SENTENCES = "s AS (SELECT ord // 100000000000 AS page_id, ord, text FROM v_metrics)"
 _WEBSITE = (
     f"CASE WHEN dom = '' OR {_any('dom', R.IGNORED_HOSTS)} THEN -1000 ELSE CASE WHEN contains(dom, lower(ticker)) THEN 100 ELSE 0 END "
     r"+ 50 * len(list_filter(string_split_regex(trim(regexp_replace(lower(company_name), '[^\w\s]', '', 'g')), '\s+'), "
@@ -98,7 +98,7 @@ def _on_site(u: str, r: str) -> str:
     return _ON_SITE.replace("{u}", u).replace("{r}", r)
 
 
-_QUEUE = "q AS (SELECT -(ord % 97) / 97.0 AS priority, url || '/' || ord AS url, ord % 4 AS depth, ord AS seq FROM v_links WHERE url LIKE 'http%'), seen AS (SELECT url FROM q WHERE seq % 4 = 0)"
+_QUEUE = "q AS (SELECT -(ord % 97) / 97.0 AS priority, url || '/' || ord AS url, ord % 4 AS depth, ord AS seq FROM v_links), seen AS (SELECT url FROM q WHERE seq % 4 = 0)"
 
 
 def _keyword_rank(name: str, text: str, words: list[str], most: int | None = None, order: str = "relevance_score DESC, ord") -> str:
@@ -159,8 +159,8 @@ ORACLE: dict[str, str] = {
     "sanitize_company": _with(r"SELECT ticker, trim(regexp_replace(regexp_replace(translate(company_name, '/\', '__'), '[^a-zA-Z0-9 .\-_&]', '', 'g'), '\s+', ' ', 'g')) AS folder FROM v_company", "v_company"),
     "financial_metrics": _with(f"SELECT ord, {_first('text', [n + R.AMOUNT for n in R.REVENUE_NAMES], 1)} AS revenue, {_first('text', [n + R.AMOUNT for n in R.PROFIT_NAMES], 1)} AS profit FROM v_metrics", "v_metrics"),
     "normalize_url_doc": _with("SELECT ord, string_split(string_split(url, '#')[1], '?')[1] AS address FROM v_docs", "v_docs"),
-    "normalize_url_crawl": _with(f"""u AS (SELECT ord, url FROM v_links WHERE url LIKE '%://%' UNION ALL SELECT ord, url FROM v_docs),
-        k AS (SELECT ord, lower(regexp_extract(url, '^([^:/?#]+)://', 1)) || '://' || {_HOST.format(u='url')} AS site, rtrim({_PATH.format(u='url')}, '/') AS path, list_filter(string_split(regexp_extract(url, '^[^?#]*\\?([^#]*)', 1), '&'), lambda p: regexp_matches(p, '^[^=]*=.+')) AS ps FROM u),
+    "normalize_url_crawl": _with(f"""u AS (SELECT ord, url FROM v_links UNION ALL SELECT ord, url FROM v_docs),
+        k AS (SELECT ord, lower(regexp_extract(url, '^([^:/?#]+:)', 1)) || CASE WHEN regexp_matches(url, '^[^:/?#]+://') THEN '//' || {_HOST.format(u='url')} ELSE '' END AS site, rtrim({_PATH.format(u='url')}, '/') AS path, list_filter(string_split(regexp_extract(url, '^[^?#]*\\?([^#]*)', 1), '&'), lambda p: regexp_matches(p, '^[^=]*=.+')) AS ps FROM u),
         o AS (SELECT ord, site, path, list_transform(list_sort(list_transform(range(1, len(ps) + 1), lambda i: {{'k': string_split(ps[i], '=')[1], 'i': i, 'p': ps[i]}})), lambda x: x.p) AS qs FROM k)
         SELECT ord, site || CASE WHEN path = '' THEN '/' ELSE path END || CASE WHEN len(qs) > 0 THEN '?' || array_to_string(qs, '&') ELSE '' END AS address FROM o""", "v_links", "v_docs"),
     "domain_info": _with(f"SELECT ord, {_HOST.format(u='url')} AS host, {_BARE.format(u='url')} AS bare, {_root(_BARE.format(u='url'))} AS root FROM v_links", "v_links"),
@@ -278,7 +278,7 @@ ORACLE: dict[str, str] = {
     "llm_filter_stub_docs": _with(f"""h AS (SELECT ticker, ord, {_hits(_DOC_TEXT, WORDS)} AS h, count(*) OVER (PARTITION BY ticker) AS n FROM v_docs), k AS (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY CASE WHEN n > 20 THEN h ELSE 0 END DESC, ord) AS k FROM h WHERE n <= 20 OR h > 0),
         s AS (SELECT ticker, ord, round(h / {len(WORDS)}.0, 4) AS relevance_score FROM k WHERE k <= 20 AND h / {len(WORDS)}.0 > 0.3) SELECT *, {_RANK.format(keys='ticker')} AS rank FROM s""", "v_docs"),
     "llm_filter_stub_links": _with(f"k AS (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY ord) AS k FROM v_links WHERE category = 'internal'), s AS (SELECT page_id, ord, {_hits(_LINK_TEXT, ['investor', 'com'])} / 2.0 AS relevance_score FROM k WHERE k <= 30) SELECT *, {_RANK.format(keys='page_id')} AS rank FROM s WHERE relevance_score > 0.4", "v_links"),
-    "llm_summary_stub": r"SELECT doc_id, CAST(length(array_to_string(string_split_regex(trim(substr(text, 1, 2000)), '\s+')[1:150], ' ')) AS INTEGER) AS length FROM documents WHERE doc_id IS NOT NULL",
+    "llm_summary_stub": r"SELECT doc_id, CAST(length(array_to_string(string_split_regex(trim(substr(text, 1, 2000)), '\s+')[1:150], ' ')) AS INTEGER) AS length FROM documents",
     "tumbling_events": "SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M') AS start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY date_trunc('hour', ts), event_type",
     "sessions_events": "WITH a AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER w < INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS new FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)), b AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM a) SELECT user_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS start, count(*) AS n FROM b GROUP BY user_id, k",
     "ranked_links_global": _with(f"f AS (SELECT page_id, ord, {_SITE} AS score FROM v_links) SELECT page_id, ord, score FROM (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY score DESC, ord) AS k FROM f) WHERE k = 1", "v_links"),

@@ -94,7 +94,7 @@ def normalize_url_doc(s, d):
 
 
 def normalize_url_crawl(s, d):
-    both = view(s, d, "v_links").where("url like '%://%'").select("ord", "url").unionByName(view(s, d, "v_docs").select("ord", "url"))
+    both = view(s, d, "v_links").select("ord", "url").unionByName(view(s, d, "v_docs").select("ord", "url"))
     return both.select("ord", U.canonical(_c("url")).alias("address"))
 
 
@@ -133,7 +133,8 @@ def keyword_filter_links(s, d):
 
 
 def _sentences(s, d) -> DataFrame:
-    return view(s, d, "v_metrics").select((_c("ord") % 37).alias("page_id"), "ord", "text")
+    """Sentences of pages of a hundred orders each."""
+    return view(s, d, "v_metrics").select(F.floor(_c("ord") / 100_000_000_000).alias("page_id"), "ord", "text")
 
 
 def keyword_filter_paragraphs_top20(s, d):
@@ -427,7 +428,7 @@ def crawl_bfs_depth(s, d):
 
 
 def _queue(s, d) -> tuple[DataFrame, DataFrame, DataFrame]:
-    links = view(s, d, "v_links").where("url like 'http%'")
+    links = view(s, d, "v_links")
     queue = links.select((-(_c("ord") % 97) / 97.0).alias("priority"), F.concat("url", F.lit("/"), _c("ord").cast("string")).alias("url"), (_c("ord") % 4).cast("int").alias("depth"), F.lit(None).cast("string").alias("parent_url"), F.array().cast("array<string>").alias("path"), _c("ord").alias("seq"))
     visited = queue.where("seq % 4 = 0").select("url")
     hosts = s.createDataFrame([("www.cnbc.com", 9.5), ("www.building.com", 1.0)], "host string, last double")
@@ -506,7 +507,7 @@ def llm_filter_stub_links(s, d):
 
 
 def llm_summary_stub(s, d):
-    docs = s.read.parquet(f"{d}/documents.parquet").where("doc_id is not null")
+    docs = s.read.parquet(f"{d}/documents.parquet")
     return scorers.summaries(docs, _c("text")).select("doc_id", F.length("summary").alias("length"))
 
 

@@ -22,7 +22,7 @@ def values(spark, column, rows, *names):
         (D.date_text, {"July 25, 2024 and q3 2024": "q3 2024", "2024Q1 x": "2024Q1", "FY2024 report": "FY20", "Mar 3 2021": "Mar 3 2021", "none": None}),
         (D.revenue, {"Total revenue: $81.4 billion": "81.4", "revenue, which grew": ",", "revenue grew 5": None}),
         (D.profit, {"Net income $1,234.5 million, profit 9": "1,234.5", "profit 7": "7"}),
-        (U.canonical, {"HTTPS://Ex.COM/a/b/?b=2&a=1#top": "https://ex.com/a/b?a=1&b=2", "https://ex.com": "https://ex.com/", "https://ex.com/A/?x=&y=1 2": "https://ex.com/A?y=1+2", "https://ex.com/p;v=1?z=%20&z=a": "https://ex.com/p;v=1?z=+&z=a", "http://h/?b=2&a=1&c=&a=0": "http://h/?a=1&a=0&b=2"}),
+        (U.canonical, {"HTTPS://Ex.COM/a/b/?b=2&a=1#top": "https://ex.com/a/b?a=1&b=2", "https://ex.com": "https://ex.com/", "https://ex.com/A/?x=&y=1 2": "https://ex.com/A?y=1+2", "https://ex.com/p;v=1?z=%20&z=a": "https://ex.com/p;v=1?z=+&z=a", "http://h/?b=2&a=1&c=&a=0": "http://h/?a=1&a=0&b=2", "MAILTO:a@b.c": "mailto:a@b.c", "/x/?b=&a=1": "/x?a=1"}),
         (U.without_query, {"https://a/B/?x=1#y": "https://a/B/", "https://a#y?z": "https://a"}),
         (U.host, {"https://A.com:80/x": "a.com:80", "nothing": ""}),
         (U.extension, {"https://a/b.XLSX": ".xlsx", "https://a/b.xls?x": ".xls", "https://a/b": ".unknown"}),
