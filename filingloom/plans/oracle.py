@@ -265,6 +265,9 @@ ORACLE: dict[str, str] = {
         k AS (SELECT *, sum(CAST(bad AS INTEGER)) OVER (ORDER BY priority, depth, seq ROWS UNBOUNDED PRECEDING) AS n FROM b) SELECT seq, url, live AS taken FROM k WHERE n = 0""", "v_links"),
     "crawl_admission": _with(f"""{_QUEUE}, ch AS (SELECT regexp_replace(url, '[0-9]/', '/', 'g') AS url, seq % 13 AS page_ord, seq AS ord FROM q), n AS (SELECT *, row_number() OVER (PARTITION BY url ORDER BY page_ord, ord) AS k FROM ch WHERE url NOT IN (SELECT url FROM seen) AND url NOT IN (SELECT url FROM q WHERE seq % 3 = 0))
         SELECT url, page_ord, ord FROM n WHERE k = 1 ORDER BY page_ord, ord LIMIT 400""", "v_links"),
+    "scorer_store": _with(f"SELECT ord, round({_hits('lower(title)', WORDS)} / {len(WORDS)}.0, 4) AS relevance_score FROM v_docs", "v_docs"),
+    "visit_calendar": _with(f"h AS (SELECT ord, {_HOST.format(u='url')} AS host FROM v_links) SELECT ord, host, 1.5 * (row_number() OVER (PARTITION BY host ORDER BY ord) - 1) AS slot FROM h", "v_links"),
+    "visited_filter": _with("SELECT page_id, ord, url FROM v_links WHERE ord % 4 > 0 AND url NOT IN (SELECT url FROM v_links WHERE ord % 4 = 0)", "v_links"),
     "json_documents": _with("SELECT ticker, row_number() OVER (PARTITION BY ticker ORDER BY ord) - 1 AS ord, title, url, company_name AS company FROM v_docs", "v_docs"),
     "stream_crawl": "WITH RECURSIVE g AS (SELECT src, dst, max(score) AS score FROM (" + view_sql("v_edges") + """) WHERE src <> dst GROUP BY src, dst),
         a AS (SELECT DISTINCT src AS node FROM g WHERE length('https://h' || CAST(src % 997 AS VARCHAR) || '.example.com/' || CAST(src AS VARCHAR)) % 5 > 0),

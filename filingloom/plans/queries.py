@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 from ..functions import documents as D
 from ..functions import intents as I
 from ..functions import urls as U
-from ..operators import discovery, filters, html, ranking, resolve, scorers, substrings, summaries
+from ..operators import answers, discovery, filters, html, ordinals, ranking, resolve, scorers, substrings, summaries, visited
 from ..sources import files
 from ..sources.stage import saved, scratch
 from ..streaming import crawl as crawling
-from ..streaming import crawls, events, host_crawl
+from ..streaming import crawls, events, host_crawl, owners
 from .views import AS_OF, view
 
 WORDS = ["investor", "annual", "pdf", "10-k", "earnings"]
@@ -339,6 +339,16 @@ def global_url_dedup(s, d):
     return ranking.owner_of_address(view(s, d, "v_docs")).select("ticker", "ord", U.without_query(_c("url")).alias("address"))
 
 
+def stream_latest(s, d):
+    """The latest document of each company and type among first owners, by a stream that gets the documents in three parts."""
+    root = scratch(s, "owners")
+    docs = _featured(s, d).select(*(_c(c.split()[0]).cast(c.split()[1]) for c in owners.DOCUMENT.split(", ")))
+    docs.repartition(3, F.xxhash64("ord")).write.parquet(f"{root}/in")
+    stream = owners.start(s.readStream.schema(owners.DOCUMENT).option("maxFilesPerTrigger", 1).parquet(f"{root}/in"), root)
+    stream.awaitTermination()
+    return owners.Sink(s, root).latest().select("ticker", "document_type", "ord", "extracted_year", "extracted_quarter")
+
+
 def distinct_companies(s, d):
     links = view(s, d, "v_links").withColumn("ticker", F.when(_c("ord") % 9 == 0, "").otherwise(_c("ticker")))
     return ranking.distinct_companies(links, "ticker", "url").select("ticker", "url", "ord")
@@ -511,6 +521,31 @@ def llm_summary_stub(s, d):
     return scorers.summaries(docs, _c("text")).select("doc_id", F.length("summary").alias("length"))
 
 
+def _overlap(texts):
+    """A scorer as callers bring them: from texts to numbers."""
+    return texts.str.lower().map(lambda t: sum(w in t for w in WORDS) / len(WORDS))
+
+
+def scorer_store(s, d):
+    """Two runs of a scorer over titles, the first over a part of the companies; the second asks for what is new."""
+    store = answers.Answers(s)
+    docs = view(s, d, "v_docs").select("ord", "company_ord", "title")
+    answers.scored(docs.where("company_ord % 2 = 0"), _c("title"), store, "overlap", _overlap)
+    return answers.scored(docs, _c("title"), store, "overlap", _overlap).select("ord", F.round("relevance_score", 4).alias("relevance_score"))
+
+
+def visit_calendar(s, d):
+    """When each link may be asked for, if a host is asked every second and a half."""
+    links = view(s, d, "v_links").select("ord", "url", U.host(_c("url")).alias("host"))
+    return ordinals.calendar(links, "host", ["ord"], 1.5).select("ord", "host", "slot")
+
+
+def visited_filter(s, d):
+    """The links that a fourth of all links doesn't know, by a filter and the exact join of what it lets through."""
+    links = view(s, d, "v_links").select("page_id", "ord", "url")
+    return visited.unvisited(links.where("ord % 4 > 0"), links.where("ord % 4 = 0"), ["url"]).select("page_id", "ord", "url")
+
+
 def tumbling_events(s, d):
     return events.tumbling(s.read.parquet(f"{d}/events.parquet")).select(F.date_format("start", "yyyy-MM-dd HH:mm").alias("start"), "event_type", "n", F.round("total", 4).alias("total"))
 
@@ -531,8 +566,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         latest_doc_per_type, latest_quarterly_report, classify_documents, document_features, classify_filenames, extract_year_strict, extract_year_extended, extract_quarter, extract_date_text, file_extension, generate_filename, filename_from_url, sanitize_company, financial_metrics,
         normalize_url_doc, normalize_url_crawl, domain_info, direct_file_filter, valid_ir_url, valid_ir_domain, substring_join, keyword_filter_docs, keyword_filter_links, keyword_filter_paragraphs_top20, keyword_filter_images_top10, keyword_filter_headings, keyword_filter_tables,
         ir_link_score, ir_link_score_ext, ir_doc_score, table_company_links, link_priority, refined_intent, intent_keywords, intent_targets, intent_strategy, intent_sections, json_documents, page_type, page_anchors, page_titles, page_headings, page_links_parsed, page_paragraphs, page_content, page_tables,
-        page_documents, page_images, page_metadata, content_summary, section_discovery, website_score, best_website_and_ir, ir_candidates, resolve_ir, review_split, enrich_companies, evaluate_link_value, search_link_score, href_forms, company_info_direct, global_url_dedup,
+        page_documents, page_images, page_metadata, content_summary, section_discovery, website_score, best_website_and_ir, ir_candidates, resolve_ir, review_split, enrich_companies, evaluate_link_value, search_link_score, href_forms, company_info_direct, global_url_dedup, stream_latest,
         distinct_companies, skip_existing_anti, ticker_semi, metadata_broadcast, sample_documents, per_group_sample, batch_slices, batch_last_wins, regroup_by_ticker, extraction_summary, download_stats_rollup, type_breakdown, depth_distribution, pdf_summary, resolution_summary,
-        crawl_summary, result_buckets, threshold_children, crawl_bfs_depth, crawl_rate_limited_batch, crawl_admission, crawl_frontier_exact, many_crawls, stream_crawl, path_search, llm_filter_stub_docs, llm_filter_stub_links, llm_summary_stub, tumbling_events, sessions_events, ranked_links_global,
+        crawl_summary, result_buckets, threshold_children, crawl_bfs_depth, crawl_rate_limited_batch, crawl_admission, crawl_frontier_exact, many_crawls, stream_crawl, path_search, llm_filter_stub_docs, llm_filter_stub_links, llm_summary_stub, scorer_store, visit_calendar, visited_filter, tumbling_events, sessions_events, ranked_links_global,
     )
 }
