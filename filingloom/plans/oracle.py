@@ -237,6 +237,10 @@ ORACLE: dict[str, str] = {
     "company_info_direct": _with(r"x AS (SELECT ticker, company_name || ' (' || upper(substr(ticker, 1, 4)) || ')' AS text FROM v_company) SELECT ticker, nullif(regexp_extract(text, '\(([A-Z]{1,5})\)', 1), '') AS found, trim(regexp_replace(text, '\([A-Z]{1,5}\)', '', 'g')) AS name FROM x", "v_company"),
     "global_url_dedup": _with(f"k AS (SELECT *, string_split(string_split(url, '#')[1], '?')[1] AS address FROM v_docs WHERE {_any('lower(url)', R.FILE_EXTENSIONS)} OR " + " OR ".join(f"regexp_matches(lower(url), {_text(p)})" for p in R.DELIVERY_PATTERNS)
         + ") SELECT ticker, ord, address FROM (SELECT *, row_number() OVER (PARTITION BY address ORDER BY company_ord, page_ord, ord) AS rn FROM k) WHERE rn = 1", "v_docs"),
+    "stream_latest": _with(_FEATURED + f", k AS (SELECT ord, string_split(string_split(url, '#')[1], '?')[1] AS address, company_ord, page_ord FROM v_docs WHERE {_any('lower(url)', R.FILE_EXTENSIONS)} OR " + " OR ".join(f"regexp_matches(lower(url), {_text(p)})" for p in R.DELIVERY_PATTERNS)
+        + "), o AS (SELECT ord FROM (SELECT ord, row_number() OVER (PARTITION BY address ORDER BY company_ord, page_ord, ord) AS rn FROM k) WHERE rn = 1) "
+        """SELECT ticker, document_type, ord, extracted_year, extracted_quarter FROM (SELECT f.*, row_number() OVER (PARTITION BY ticker, document_type ORDER BY extracted_year DESC NULLS LAST,
+        CASE WHEN extracted_year IS NOT NULL THEN coalesce(extracted_quarter, -1) ELSE -1 END DESC, CASE WHEN extracted_year IS NOT NULL THEN relevance_score ELSE 0 END DESC, f.ord) AS rn FROM featured f JOIN o USING (ord)) WHERE rn = 1""", "v_docs"),
     "distinct_companies": _with("SELECT ticker, url, min(ord) AS ord FROM v_links WHERE ord % 9 <> 0 GROUP BY ticker, url", "v_links"),
     "skip_existing_anti": _with("SELECT ord, url FROM v_docs WHERE url NOT IN (SELECT url FROM v_docs WHERE ord % 3 = 0)", "v_docs"),
     "ticker_semi": _with("SELECT ord, ticker FROM v_docs WHERE ticker IN (SELECT ticker FROM v_docs WHERE ord % 997 = 1)", "v_docs"),

@@ -345,7 +345,10 @@ def stream_latest(s, d):
     docs = _featured(s, d).select(*(_c(c.split()[0]).cast(c.split()[1]) for c in owners.DOCUMENT.split(", ")))
     docs.repartition(3, F.xxhash64("ord")).write.parquet(f"{root}/in")
     stream = owners.start(s.readStream.schema(owners.DOCUMENT).option("maxFilesPerTrigger", 1).parquet(f"{root}/in"), root)
-    stream.awaitTermination()
+    try:
+        host_crawl.until_quiet(stream, 0.0, batches=2)
+    finally:
+        stream.stop()
     return owners.Sink(s, root).latest().select("ticker", "document_type", "ord", "extracted_year", "extracted_quarter")
 
 

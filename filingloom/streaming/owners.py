@@ -24,6 +24,7 @@ from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 from ..functions import urls
 from ..operators import ranking
 from ..sources.log import Log
+from ..sources.stage import saved
 
 ORDER = ("company_ord", "page_ord", "ord")
 DOCUMENT = "ticker string, document_type string, ord long, company_ord long, page_ord long, title string, url string, relevance_score double, extracted_year int, extracted_quarter int"
@@ -95,17 +96,20 @@ class Sink:
         self.log.commit(batch=number)
 
 
-def start(documents: DataFrame, folder: str, keep: str = "30 days", **trigger) -> StreamingQuery:
+def start(documents: DataFrame, folder: str, keep: str = "30 days", every: str = "0 seconds") -> StreamingQuery:
     """The stream of documents into the tables of a folder that driver and executors share. Keyed state needs the RocksDB
-    store, which is set for the session."""
+    store, which is set for the session. State that expires has batches go on without documents: host_crawl.until_quiet()
+    tells when all are in."""
     spark = documents.sparkSession
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     writer = first_owners(documents, keep).writeStream.outputMode("update").foreachBatch(_into(folder))
-    return writer.option("checkpointLocation", f"{folder}/checkpoint").trigger(**(trigger or {"availableNow": True})).start()
+    return writer.option("checkpointLocation", f"{folder}/checkpoint").trigger(processingTime=every).start()
 
 
 def _into(folder: str) -> Callable[[DataFrame, int], None]:
     def run(batch: DataFrame, number: int) -> None:
-        Sink(batch.sparkSession, folder).upsert(batch, number)
+        came = saved(batch)
+        if not came.isEmpty():
+            Sink(batch.sparkSession, folder).upsert(came, number)
 
     return run
