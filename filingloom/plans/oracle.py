@@ -272,6 +272,9 @@ ORACLE: dict[str, str] = {
     "scorer_store": _with(f"SELECT ord, round({_hits('lower(title)', WORDS)} / {len(WORDS)}.0, 4) AS relevance_score FROM v_docs", "v_docs"),
     "visit_calendar": _with(f"h AS (SELECT ord, {_HOST.format(u='url')} AS host FROM v_links) SELECT ord, host, 1.5 * (row_number() OVER (PARTITION BY host ORDER BY ord) - 1) AS slot FROM h", "v_links"),
     "visited_filter": _with("SELECT page_id, ord, url FROM v_links WHERE ord % 4 > 0 AND url NOT IN (SELECT url FROM v_links WHERE ord % 4 = 0)", "v_links"),
+    "report_store": _with(f"SELECT ticker, 'Company ' || ticker AS company_name, ord || ' ' || file_name AS file_name, '{{\"ticker\":\"' || ticker || '\"}}' AS metadata, document_type, extracted_year, extracted_quarter, file_name AS content FROM "
+        f"(SELECT v_files.*, {_FILE_TYPE} AS document_type, CASE WHEN contains(file_name, '2023') THEN 2023 END AS extracted_year, nullif(TRY_CAST(regexp_extract(ord || ' ' || file_name, '[Qq]([1-4])', 1) AS INTEGER), 0) AS extracted_quarter FROM v_files)", "v_files"),
+    "page_store": "SELECT page_id, url, sha256(html) AS html_sha256 FROM pages",
     "json_documents": _with("SELECT ticker, row_number() OVER (PARTITION BY ticker ORDER BY ord) - 1 AS ord, title, url, company_name AS company FROM v_docs", "v_docs"),
     "stream_crawl": "WITH RECURSIVE g AS (SELECT src, dst, max(score) AS score FROM (" + view_sql("v_edges") + """) WHERE src <> dst GROUP BY src, dst),
         a AS (SELECT DISTINCT src AS node FROM g WHERE length('https://h' || CAST(src % 997 AS VARCHAR) || '.example.com/' || CAST(src AS VARCHAR)) % 5 > 0),

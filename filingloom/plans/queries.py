@@ -212,6 +212,22 @@ def json_documents(s, d):
     return files.documents(s, root, wrapped=True, together=True).select("ticker", "ord", "title", "url", "metadata.company")
 
 
+def report_store(s, d):
+    """A file for each part written to its company's folder, and the folders read again."""
+    root = scratch(s, "reports")
+    rows = view(s, d, "v_files").select(F.concat("ticker", F.lit(" - Company "), "ticker").alias("folder"), F.concat(_c("ord").cast("string"), F.lit(" "), "file_name").alias("file_name"), _c("file_name").cast("binary").alias("content"), F.concat(F.lit('{"ticker":"'), "ticker", F.lit('"}')).alias("metadata"))
+    files.write_reports(rows, root)
+    return files.report_folder(s, root, content=True).select("ticker", "company_name", "file_name", "metadata", "document_type", "extracted_year", "extracted_quarter", _c("content").cast("string").alias("content"))
+
+
+def page_store(s, d):
+    """The pages written to a store in two writes, and read again."""
+    root = scratch(s, "pages")
+    for k in range(2):
+        files.write_pages(_pages(s, d).select("page_id", "url", "html").where(F.pmod(F.xxhash64("page_id"), F.lit(2)) == k), root)
+    return files.stored_pages(s, root).select("page_id", "url", F.sha2("html", 256).alias("html_sha256"))
+
+
 def page_type(s, d):
     grouped = view(s, d, "v_links").groupBy("page_id").agg(F.min("text").alias("h"), F.count_if(_c("url").contains(".pdf")).alias("docs"), F.count_if(_c("category") == "internal").alias("internal"))
     return grouped.select("page_id", I.page_type(F.lit("Home"), F.array("h"), _c("docs"), F.lit(0), _c("internal")).alias("page_type"))
@@ -568,7 +584,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         latest_doc_per_type, latest_quarterly_report, classify_documents, document_features, classify_filenames, extract_year_strict, extract_year_extended, extract_quarter, extract_date_text, file_extension, generate_filename, filename_from_url, sanitize_company, financial_metrics,
         normalize_url_doc, normalize_url_crawl, domain_info, direct_file_filter, valid_ir_url, valid_ir_domain, substring_join, keyword_filter_docs, keyword_filter_links, keyword_filter_paragraphs_top20, keyword_filter_images_top10, keyword_filter_headings, keyword_filter_tables,
-        ir_link_score, ir_link_score_ext, ir_doc_score, table_company_links, link_priority, refined_intent, intent_keywords, intent_targets, intent_strategy, intent_sections, json_documents, page_type, page_anchors, page_titles, page_headings, page_links_parsed, page_paragraphs, page_content, page_tables,
+        ir_link_score, ir_link_score_ext, ir_doc_score, table_company_links, link_priority, refined_intent, intent_keywords, intent_targets, intent_strategy, intent_sections, json_documents, report_store, page_store, page_type, page_anchors, page_titles, page_headings, page_links_parsed, page_paragraphs, page_content, page_tables,
         page_documents, page_images, page_metadata, content_summary, section_discovery, website_score, best_website_and_ir, ir_candidates, resolve_ir, review_split, enrich_companies, evaluate_link_value, search_link_score, href_forms, company_info_direct, global_url_dedup, stream_latest,
         distinct_companies, skip_existing_anti, ticker_semi, metadata_broadcast, sample_documents, per_group_sample, batch_slices, batch_last_wins, regroup_by_ticker, extraction_summary, download_stats_rollup, type_breakdown, depth_distribution, pdf_summary, resolution_summary,
         crawl_summary, result_buckets, threshold_children, crawl_bfs_depth, crawl_rate_limited_batch, crawl_admission, crawl_frontier_exact, many_crawls, stream_crawl, path_search, llm_filter_stub_docs, llm_filter_stub_links, llm_summary_stub, scorer_store, visit_calendar, visited_filter, tumbling_events, sessions_events, ranked_links_global,

@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import documents as D
-from ..functions import urls as U
-from . import json_ranges
+from . import json_ranges, stores
 
 METADATA = "struct<ticker:string,company_name:string,cnbc_url:string,company_website:string,extraction_method:string,timestamp:string>"
 COMPANY = f"ticker string, company_name string, investor_relations_url string, cnbc_url string, company_website string, url string, type string, title string, metadata {METADATA}"
@@ -53,35 +52,30 @@ def documents(spark: SparkSession, path: str, tickers: list[str] | None = None,
     return rows if tickers is None else rows.where(F.col("ticker").isin(*tickers))
 
 
-def report_folder(spark: SparkSession, path: str) -> DataFrame:
-    """The PDF files below `<ticker> - <company>` folders, with the folder's metadata file and what the names say."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.pdf").option("recursiveFileLookup", "true").load(path).select("path", "length")
-    folder, name = F.element_at(F.split("path", "/"), -2), F.element_at(F.split("path", "/"), -1)
-    clean = U.unquoted(folder)
-    files = files.select(F.col("path").alias("file_path"), U.unquoted(name).alias("file_name"), (F.col("length") / (1024 * 1024)).alias("file_size_mb"), clean.alias("folder"))
-    folders = [r[0] for r in files.select(F.regexp_replace("file_path", "/[^/]*$", "").alias("f")).distinct().collect()]
-    notes = _notes(spark, folders)
-    whole = files.join(F.broadcast(notes), F.regexp_replace("file_path", "/[^/]*$", "") == F.col("at"), "left")
-    company = F.trim(F.regexp_extract("folder", "^.*? - (.*)$", 1))
-    return whole.select("file_path", "file_name", "file_size_mb", F.trim(F.split("folder", " - ")[0]).alias("ticker"), F.when(company == "", F.col("folder")).otherwise(company).alias("company_name"), "metadata",
-                        D.file_name_type(F.col("file_name")).alias("document_type"), D.file_year(F.col("file_name")).alias("extracted_year"), D.file_quarter(F.col("file_name")).alias("extracted_quarter"))
-
-
-def _notes(spark: SparkSession, folders: list[str], name: str = "_metadata.json") -> DataFrame:
-    """The metadata file of each folder: at, metadata. Spark's readers pass over names that begin with `_`, so these files, one
-    a company, are read through the file system itself."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    rows = []
-    for folder in folders:
-        file = jvm.org.apache.hadoop.fs.Path(folder, name)
-        fs = file.getFileSystem(conf)
-        if fs.exists(file):
-            stream = fs.open(file)
-            try:
-                rows.append((folder, bytes(jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode("utf-8", "replace")))
-            finally:
-                stream.close()
-    return spark.createDataFrame(rows, "at string, metadata string")
+def report_folder(spark: SparkSession, path: str, content: bool = False) -> DataFrame:
+    """The PDF files below `<ticker> - <company>` folders, listed and read in tasks, with the folder's metadata file and what
+    the names say; content: with the files themselves."""
+    found = stores.registered(spark).read.format("reports").option("path", path).option("content", str(content).lower()).load()
+    company, name = F.trim(F.regexp_extract("folder", "^.*? - (.*)$", 1)), F.col("file_name")
+    return found.select("file_path", "file_name", (F.col("size") / (1024 * 1024)).alias("file_size_mb"), "ticker", F.when(company == "", F.col("folder")).otherwise(company).alias("company_name"), "metadata",
+                        D.file_name_type(name).alias("document_type"), D.file_year(name).alias("extracted_year"), D.file_quarter(name).alias("extracted_quarter"), *(["content"] if content else []))
+
+
+def write_reports(df: DataFrame, path: str, mode: str = "append") -> None:
+    """df (folder, file_name, content, metadata) as folders of files; all of them appear, or none."""
+    stores.registered(df.sparkSession)
+    df.select("folder", "file_name", "content", "metadata").repartition("folder").write.format("reports").option("path", path).mode(mode).save()
+
+
+def write_pages(df: DataFrame, path: str, mode: str = "append") -> None:
+    """df as one more write of a page store; it counts as a whole or not at all."""
+    stores.registered(df.sparkSession)
+    df.write.format("pages").option("path", path).mode(mode).save()
+
+
+def stored_pages(spark: SparkSession, path: str) -> DataFrame:
+    """The pages of a store."""
+    return stores.registered(spark).read.format("pages").option("path", path).load()
 
 
 def crawl_state(spark: SparkSession, path: str) -> DataFrame:
