@@ -74,12 +74,14 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]], default: str = "a
     """pages with host, path, rule and verdict; rules: (verdict, host, path). most: rules whose index is broadcast."""
     host, path = host_and_path(F.col("url"))
     pages = pages.drop("rule", "verdict").withColumns({"host": host, "path": path})
-    address = pages.where("host <> ''").select("host", "path").withColumn("tokens", tokens(F.col("host"), F.col("path")))
+    address = pages.where("host <> ''").select("host", "path").distinct().withColumn("tokens", tokens(F.col("host"), F.col("path")))
     index = C.cut(rule_index(rule_table(pages.sparkSession, rules), address))
     index = F.broadcast(index) if len(rules) <= most else index
     fetched = address.select("host", "path", F.explode("tokens").alias("token")).join(index, "token")
     fits = fetched.where(F.regexp_like(F.concat("host", F.lit(_END), "path"), F.col("pattern")))
-    best = fits.groupBy("host", "path").agg(F.min("rank").alias("__fl_rank"))
+    best = fits.groupBy("host", "path").agg(F.min("rank").alias("__fl_rank")).withColumn("__fl_salt", F.lit(0).cast("long"))
+    # rows without host fit nothing, and meet nowhere
+    salt = F.when(F.col("host") == "", C.row_key(pages.select(*pages.columns))).otherwise(0)
     chosen = index.select(F.col("rank").alias("__fl_rank"), "rule", "verdict")
-    judged = pages.join(best, ["host", "path"], "left").join(F.broadcast(chosen) if len(rules) <= most else chosen, "__fl_rank", "left")
+    judged = pages.withColumn("__fl_salt", salt).join(best, ["host", "path", "__fl_salt"], "left").join(F.broadcast(chosen) if len(rules) <= most else chosen, "__fl_rank", "left")
     return judged.withColumn("verdict", F.coalesce("verdict", F.lit(default))).select(*pages.columns, "rule", "verdict")
