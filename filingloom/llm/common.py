@@ -278,8 +278,9 @@ class Shape(NamedTuple):
     fans: tuple[int, ...]
 
 
-def shape(total_bytes: int, least: int, block_bytes: int = 8 << 20, body_bytes: int = 8 << 10, task_bytes: int = 64 << 20, range_bytes: int = 64 << 20, most_fan: int = 1024) -> Shape:
-    parts = max(least, -(-int(total_bytes) // task_bytes))
+def shape(total_bytes: int, least: int, block_bytes: int = 8 << 20, body_bytes: int = 8 << 10, task_bytes: int = 64 << 20, range_bytes: int = 64 << 20, most_fan: int = 1024, most_parts: int = 20_000) -> Shape:
+    # both sides of an exchange have them, so there can't be ever more; a task beyond that goes through more blocks, one at a time
+    parts = max(least, min(most_parts, -(-int(total_bytes) // task_bytes)))
     blocks = max(2 * parts, -(-int(total_bytes) // block_bytes))
     ranges = max(1, min(3 * parts, int(total_bytes) // (blocks * body_bytes)))
     fans, have = [], ranges

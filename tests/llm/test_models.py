@@ -82,6 +82,7 @@ def test_ranges_stay_small():
         own = common.shape(size, 8)
         ranges = own.ranges * math.prod(own.fans)
         assert size / ranges <= 64 << 20 and size / own.blocks <= 8 << 20 and own.ranges <= 1024 and all(2 <= f <= 1024 for f in own.fans)
+        assert own.parts <= 20_000
         asked, wide = own.blocks, own.ranges
         for fan in own.fans:  # a cell: one range of `fan` lists
             assert fan * size / asked / wide <= 16 << 20
