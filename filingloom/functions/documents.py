@@ -11,10 +11,6 @@ from . import rules as R
 from . import urls
 from .text import first_class, joined, squeezed, with_class
 
-_HEX_NAME = r"(?i)[a-f0-9]{8}-[a-f0-9]{4}-[a-f0-9]{4}-[a-f0-9]{4}-[a-f0-9]{12}"
-_HEX_WORD = r"(?i)\b[a-f0-9]{8,}\b"
-
-
 def _other_type(url: Column) -> Column:
     return F.when(url.contains(".pdf"), "PDF Document").otherwise("Financial Document")
 
@@ -44,18 +40,15 @@ def date_text(text: Column) -> Column:
 
 
 def _cleaned(text: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(text, _HEX_NAME, ""), _HEX_WORD, "")
+    return F.regexp_replace(F.regexp_replace(text, "(?i)" + R.HEX_NAME, ""), "(?i)" + R.HEX_WORD, "")
 
 
 def _fiscal(clean: Column, as_of: int) -> Column:
-    digits = F.regexp_extract(clean, r"(?i)fy\s*(\d{2,4})", 1)
+    digits = F.regexp_extract(clean, "(?i)" + R.FISCAL_YEAR, 1)
     year = F.when(F.length(digits) == 2, digits.try_cast("int") + 2000).when(F.length(digits) == 4, digits.try_cast("int"))
     return F.when(year.between(2020, as_of + 2), year)
 
 
-_YEAR = r"20[12]\d"
-
-
 def _around(clean: Column, at: Column) -> Column:
     start = F.greatest(at - 10, F.lit(1))
     return F.substr(clean, start, at + 14 - start)
@@ -72,14 +65,14 @@ def year(text: Column, as_of: int) -> Column:
     """The first 201x or 202x outside hexadecimal names if it is from 2015 to as_of and not amid hexadecimal letters,
     else a fiscal year from 2020 to as_of + 2."""
     clean = _cleaned(text)
-    at = F.regexp_instr(clean, F.lit(_YEAR))
+    at = F.regexp_instr(clean, F.lit(R.FULL_YEAR))
     return _year(clean, at, _around(clean, at), as_of)
 
 
 def with_year(df: DataFrame, name: str, text: Column, as_of: int) -> DataFrame:
     """df with year() as a column, in steps: each is computed once, as generated code."""
     clean, at, around = (F.col(c) for c in ("__clean", "__at", "__around"))
-    df = df.withColumn("__clean", _cleaned(text)).withColumn("__at", F.regexp_instr(clean, F.lit(_YEAR))).withColumn("__around", _around(clean, at))
+    df = df.withColumn("__clean", _cleaned(text)).withColumn("__at", F.regexp_instr(clean, F.lit(R.FULL_YEAR))).withColumn("__around", _around(clean, at))
     return df.withColumn(name, _year(clean, at, around, as_of)).drop("__clean", "__at", "__around")
 
 
@@ -87,7 +80,7 @@ def year_extended(text: Column, as_of: int, guarded: bool = True) -> Column:
     """`year`, then a year between slashes, between separators, in a filing number, and a short year. Not guarded: the
     first two without the clean-up and the check of letters around, from 2020 on."""
     clean = _cleaned(text) if guarded else text
-    first = year(text, as_of) if guarded else F.coalesce(_within(_digits(clean, r"(20[12]\d)"), as_of), _fiscal(text, as_of))
+    first = year(text, as_of) if guarded else F.coalesce(_within(_digits(clean, f"({R.FULL_YEAR})"), as_of), _fiscal(text, as_of))
     return F.coalesce(first, _later_year(clean, as_of))
 
 
@@ -107,13 +100,14 @@ def _digits(text: Column, pattern: str) -> Column:
 
 def _later_year(clean: Column, as_of: int) -> Column:
     """The forms that come after a full and a fiscal year."""
-    short = F.coalesce(_digits(clean, r"(?i)(?:[1-4]q|q[1-4])\s*(\d{2})(?!\d)"), _digits(clean, r"(?<!\d)(\d{2})\s*$"))
-    found = (_digits(clean, r"/(20\d{2})/"), _digits(clean, r"[-_](20\d{2})[.\-_]"), _digits(clean, r"\d{10}-(\d{2})-\d{6}") + 2000, F.when(short.between(15, 30), short + 2000))
+    slashes, separators, filing, quarter_first, last = (_digits(clean, p) for p in R.LATER_YEARS)
+    short = F.coalesce(quarter_first, last)
+    found = (slashes, separators, filing + 2000, F.when(short.between(15, 30), short + 2000))
     return F.coalesce(*(_within(x, as_of) for x in found))
 
 
 def quarter(text: Column) -> Column:
-    return F.regexp_extract(text, r"(?i)[q\-]([1-4])(?:\s|q|$)", 1).try_cast("int")
+    return F.regexp_extract(text, "(?i)" + R.QUARTER, 1).try_cast("int")
 
 
 def file_year(name: Column) -> Column:
@@ -169,7 +163,12 @@ def profit(text: Column) -> Column:
 
 
 def bracketed_ticker(text: Column) -> Column:
-    return F.nullif(F.regexp_extract(text, r"\(([A-Z]{1,5})\)", 1), F.lit(""))
+    return F.nullif(F.regexp_extract(text, R.BRACKETED_TICKER, 1), F.lit(""))
+
+
+def without_ticker(text: Column) -> Column:
+    """A company's name without a ticker in brackets."""
+    return F.trim(F.regexp_replace(text, R.BRACKETED_TICKER, ""))
 
 
 def result_bucket(kind: Column) -> Column:

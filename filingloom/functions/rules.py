@@ -99,3 +99,10 @@ DATE_PATTERNS = [r"Q([1-4])\s*20([12]\d)", r"20([12]\d)\s*Q([1-4])", r"FY\s*(\d{
 AMOUNT = r"[\s:]*\$?([\d,]+(?:\.[\d]+)?)\s*(?:million|billion|m|b)?"
 REVENUE_NAMES = ["revenue", "total revenue", "net revenue"]
 PROFIT_NAMES = ["net income", "profit", "earnings"]
+HEX_NAME = r"[a-f0-9]{8}-[a-f0-9]{4}-[a-f0-9]{4}-[a-f0-9]{4}-[a-f0-9]{12}"
+HEX_WORD = r"\b[a-f0-9]{8,}\b"
+FULL_YEAR = r"20[12]\d"
+FISCAL_YEAR = r"fy\s*(\d{2,4})"
+LATER_YEARS = [r"/(20\d{2})/", r"[-_](20\d{2})[.\-_]", r"\d{10}-(\d{2})-\d{6}", r"(?i)(?:[1-4]q|q[1-4])\s*(\d{2})(?!\d)", r"(?<!\d)(\d{2})\s*$"]
+QUARTER = r"[q\-]([1-4])(?:\s|q|$)"
+BRACKETED_TICKER = r"\(([A-Z]{1,5})\)"

@@ -252,6 +252,18 @@ def parsed(pages: DataFrame, *kinds: str) -> DataFrame:
     return kept.mapInArrow(run, T.StructType([*(f for f in kept.schema if f.name != "html"), *types]))
 
 
+def rendered(pages: DataFrame) -> DataFrame:
+    """pages (html and others) with text: what the whole page says, a line for each run of text."""
+
+    def run(batches):
+        for b in batches:
+            texts = [None if h is None else re.sub(r"\n{3,}", "\n\n", tree(h).text("\n")) for h in b.column("html").to_pylist()]
+            yield pa.record_batch({n: b.column(n) for n in b.schema.names} | {"text": pa.array(texts, pa.string())})
+
+    given = pages.drop("text")
+    return given.mapInArrow(run, T.StructType([*given.schema, T.StructField("text", T.StringType())]))
+
+
 def exploded(df: DataFrame, kind: str, *keys: str) -> DataFrame:
     """A row for each record of a kind, with its position."""
     out = df.select(*keys, F.posexplode(kind).alias("ord", "_r"))

@@ -348,11 +348,12 @@ def href_forms(s, d):
 def company_info_direct(s, d):
     text = F.concat("company_name", F.lit(" ("), F.upper(F.substring("ticker", 1, 4)), F.lit(")"))
     rows = view(s, d, "v_company").select("ticker", text.alias("text"))
-    return rows.select("ticker", D.bracketed_ticker(_c("text")).alias("found"), F.trim(F.regexp_replace("text", r"\([A-Z]{1,5}\)", "")).alias("name"))
+    return rows.select("ticker", D.bracketed_ticker(_c("text")).alias("found"), D.without_ticker(_c("text")).alias("name"))
 
 
 def global_url_dedup(s, d):
-    return ranking.owner_of_address(view(s, d, "v_docs")).select("ticker", "ord", U.without_query(_c("url")).alias("address"))
+    docs = view(s, d, "v_docs").select("ticker", "company_ord", "page_ord", "ord", "url")  # whole rows travel
+    return ranking.owner_of_address(docs).select("ticker", "ord", U.without_query(_c("url")).alias("address"))
 
 
 def stream_latest(s, d):

@@ -39,3 +39,8 @@ def test_empty(spark):
 def test_index_rows(spark):
     df = spark.createDataFrame([(1, "https://site.com/", PAGE)], "page_id int, url string, html string")
     assert [r["ticker"] for r in html.index_rows(df, "https://site.com").collect()] == ["AB"]
+
+
+def test_rendered(spark):
+    rows = spark.createDataFrame([("u", "<title>T</title><script>no</script><p>a <b>b</b></p>c"), ("v", None)], "url string, html string")
+    assert {r["url"]: r["text"] for r in html.rendered(rows).collect()} == {"u": "T\na\nb\nc", "v": None}
