@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -87,6 +86,8 @@ def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers  # vocabulary files; nothing else here needs them
+
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     ids = bpe.encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), path, public_tokenizers.PATTERN)
     return bpe.decode(ids, path).select("doc_id", F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
