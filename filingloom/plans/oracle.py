@@ -270,7 +270,7 @@ ORACLE: dict[str, str] = {
     "crawl_admission": _with(f"""{_QUEUE}, ch AS (SELECT regexp_replace(url, '[0-9]/', '/', 'g') AS url, seq % 13 AS page_ord, seq AS ord FROM q), n AS (SELECT *, row_number() OVER (PARTITION BY url ORDER BY page_ord, ord) AS k FROM ch WHERE url NOT IN (SELECT url FROM seen) AND url NOT IN (SELECT url FROM q WHERE seq % 3 = 0))
         SELECT url, page_ord, ord FROM n WHERE k = 1 ORDER BY page_ord, ord LIMIT 400""", "v_links"),
     "scorer_store": _with(f"SELECT ord, round({_hits('lower(title)', WORDS)} / {len(WORDS)}.0, 4) AS relevance_score FROM v_docs", "v_docs"),
-    "visit_calendar": _with(f"h AS (SELECT ord, {_HOST.format(u='url')} AS host FROM v_links) SELECT ord, host, 1.5 * (row_number() OVER (PARTITION BY host ORDER BY ord) - 1) AS slot FROM h", "v_links"),
+    "visit_calendar": _with(f"h AS (SELECT ord, {_HOST.format(u='url')} AS host FROM v_links) SELECT ord, host, CAST(1.5 * (row_number() OVER (PARTITION BY host ORDER BY ord) - 1) AS DOUBLE) AS slot FROM h", "v_links"),
     "visited_filter": _with("SELECT page_id, ord, url FROM v_links WHERE ord % 4 > 0 AND url NOT IN (SELECT url FROM v_links WHERE ord % 4 = 0)", "v_links"),
     "report_store": _with(f"SELECT ticker, 'Company ' || ticker AS company_name, ord || ' ' || file_name AS file_name, '{{\"ticker\":\"' || ticker || '\"}}' AS metadata, document_type, extracted_year, extracted_quarter, file_name AS content FROM "
         f"(SELECT v_files.*, {_FILE_TYPE} AS document_type, CASE WHEN contains(file_name, '2023') THEN 2023 END AS extracted_year, nullif(TRY_CAST(regexp_extract(ord || ' ' || file_name, '[Qq]([1-4])', 1) AS INTEGER), 0) AS extracted_quarter FROM v_files)", "v_files"),

@@ -70,15 +70,15 @@ def test_a_round_writes_what_it_changes(spark, tmp_path):
     own.seed(spark.createDataFrame([("x", "https://h.example.com/0")], "crawl string, url string"))
     own.log.fan = 50
     written, before = [], 0
-    for _ in range(12):
+    for _ in range(8):
         own.step()
         total = Files(spark, str(tmp_path)).size(str(tmp_path / "log"))
         written.append(total - before)
         before = total
     assert max(written[2:]) < 1.2 * min(written[2:]), written
-    assert own.visited().count() == 12
+    assert own.visited().count() == 8
     longest = max(own.paths().collect(), key=lambda r: len(r["path"]))
-    assert longest["path"] == [f"https://h.example.com/{k}" for k in range(12)]
+    assert longest["path"] == [f"https://h.example.com/{k}" for k in range(8)]
 
 
 def test_log(spark, tmp_path):
