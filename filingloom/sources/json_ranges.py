@@ -10,6 +10,7 @@ was read in; the pieces of a record are put together by that number.
 `depth` is that of the container whose objects are wanted: 1 for the objects of a list, 2 for those of the lists of an
 object, and so on. Objects count that stand in a list; other values don't. Each comes with its number in the file, the keys
 that lead to it (one a level, empty for a list's), and its text. What is broadcast has a row a range or a run of records.
+A record is put together in one row with what stands between it and the record before; text after the last record is left.
 """
 
 from __future__ import annotations
@@ -102,11 +103,13 @@ def objects(spark: SparkSession, path: str, depth: int = 1, together: bool = Fal
     """file, ord (from 0, over the objects of the file), first (the ord at which the last of the keys began), keys (array of
     the quoted keys of the levels above, the outermost first; a list's values and the whole text have empty ones), value."""
     state = _states(spark, path, depth, together)
-    ended = saved(_before(state.groupBy("file", "at").agg(F.count_if("ends").alias("ended")), "ended"))
+    sums = state.groupBy("file", "at").agg(F.count_if("ends").alias("ended"))
+    ended = saved(_before(sums.withColumn("records", F.sum("ended").over(Window.partitionBy("file"))), "ended"))
     own = Window.partitionBy("file", "at").orderBy("k").rowsBetween(Window.unboundedPreceding, -1)
     numbered = state.join(F.broadcast(ended), ["file", "at"]).withColumn("record", F.col("ended_before") + F.coalesce(F.count_if("ends").over(own), F.lit(0)))
+    numbered = numbered.where(F.col("record") < F.col("records"))  # what follows the last record, however long, belongs to none
     parts = F.array_sort(F.collect_list(F.struct("at", "k", "value", "level")))
-    whole = numbered.groupBy("file", "record").agg(parts.alias("p"), F.max("ends").alias("ends")).where("ends")
+    whole = numbered.groupBy("file", "record").agg(parts.alias("p"))
     joined = whole.select("file", "record", F.concat(F.array_join(F.transform("p", lambda x: x["value"]), "}"), F.lit("}")).alias("text"), F.get("p", F.lit(0))["level"].cast("int").alias("level"))
 
     def located(batches) -> Iterator[pa.RecordBatch]:
