@@ -56,7 +56,8 @@ def _before(sums: DataFrame, *names: str) -> DataFrame:
 
 
 def _states(spark: SparkSession, path: str, depth: int, together: bool) -> DataFrame:
-    """The pieces with level (the depth at their start) and ends (whether the piece ends a record)."""
+    """The pieces, each with the `}` that it ends in, level (the depth at their start) and ends (whether the piece ends a
+    record)."""
     read = pieces(spark, path, together)
     sums = read.groupBy("file", "at").agg(F.sum("quotes").alias("quotes"), F.max("k").alias("last"))
     # what is left of a part after its last `}` has none at its end
@@ -73,7 +74,8 @@ def _states(spark: SparkSession, path: str, depth: int, together: bool) -> DataF
 
     depths = saved(_before(turned(read.drop("value")).groupBy("file", "at").agg(F.sum("turn").alias("turn")), "turn"))
     state = turned(read).join(F.broadcast(depths), ["file", "at"]).withColumn("after", F.col("turn_before") + F.sum("turn").over(upto))
-    return state.select("file", "at", "k", "value", (F.col("after") - F.col("turn")).alias("level"), (F.col("closes") & (F.col("after") == depth)).alias("ends"))
+    text = F.concat("value", F.when(F.col("k").eqNullSafe(F.col("last")), "").otherwise("}"))
+    return state.select("file", "at", "k", text.alias("value"), (F.col("after") - F.col("turn")).alias("level"), (F.col("closes") & (F.col("after") == depth)).alias("ends"))
 
 
 def _opening(text: str, level: int, depth: int) -> tuple[int, list[str | None], bool]:
@@ -110,7 +112,7 @@ def objects(spark: SparkSession, path: str, depth: int = 1, together: bool = Fal
     numbered = numbered.where(F.col("record") < F.col("records"))  # what follows the last record, however long, belongs to none
     parts = F.array_sort(F.collect_list(F.struct("at", "k", "value", "level")))
     whole = numbered.groupBy("file", "record").agg(parts.alias("p"))
-    joined = whole.select("file", "record", F.concat(F.array_join(F.transform("p", lambda x: x["value"]), "}"), F.lit("}")).alias("text"), F.get("p", F.lit(0))["level"].cast("int").alias("level"))
+    joined = whole.select("file", "record", F.array_join(F.transform("p", lambda x: x["value"]), "").alias("text"), F.get("p", F.lit(0))["level"].cast("int").alias("level"))
 
     def located(batches) -> Iterator[pa.RecordBatch]:
         for b in batches:

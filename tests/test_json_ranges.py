@@ -62,3 +62,15 @@ def test_parts_make_one_text(spark, tmp_path, ranges):
     assert sorted((r["ticker"], r["ord"], r["title"]) for r in got) == sorted((k, i, x["title"]) for k, v in back["all_documents"].items() for i, x in enumerate(v))
     files.write_document_map(docs.where("false"), latest.where("false"), str(tmp_path / "none"))
     assert json.loads("".join(p.read_text() for p in sorted((tmp_path / "none").glob("part-*")))) == {"all_documents": {}, "latest_quarterly_reports": {}}
+
+
+def test_a_part_may_end_anywhere(spark, tmp_path):
+    docs = {f"T{t}": [{"title": f"t{t} {k}", "url": "u"} for k in range(3)] for t in range(2)}
+    lines = ['{"all_documents": {', *(x for t, v in docs.items() for x in (("" if t == "T0" else ",") + f'"{t}": [', *("," * (k > 0) + json.dumps(d) for k, d in enumerate(v)), "]")), "}}"]
+    for cut in (3, 5):  # after a document, and before the end of a list
+        root = tmp_path / str(cut)
+        root.mkdir()
+        for n, part in enumerate((lines[:cut], lines[cut:])):
+            (root / f"part-{n}").write_text("".join(x + "\n" for x in part))
+        got = files.documents(spark, str(root), wrapped=True, together=True).collect()
+        assert sorted((r["ticker"], r["ord"], r["title"]) for r in got) == sorted((t, k, d["title"]) for t, v in docs.items() for k, d in enumerate(v)), cut
