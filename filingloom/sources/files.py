@@ -52,11 +52,14 @@ def documents(spark: SparkSession, path: str, tickers: list[str] | None = None,
     return rows if tickers is None else rows.where(F.col("ticker").isin(*tickers))
 
 
-def report_folder(spark: SparkSession, path: str, content: bool = False) -> DataFrame:
+def report_folder(spark: SparkSession, path: str, content: bool = False, numbered: bool = False) -> DataFrame:
     """The PDF files below `<ticker> - <company>` folders, listed and read in tasks, with the folder's metadata file and what
-    the names say; content: with the files themselves."""
+    the names say; content: with the files themselves. numbered: names begin with a number and a blank, which tell files
+    apart and say nothing of year or quarter."""
     found = stores.registered(spark).read.format("reports").option("path", path).option("content", str(content).lower()).load()
     company, name = F.trim(F.regexp_extract("folder", "^.*? - (.*)$", 1)), F.col("file_name")
+    if numbered:
+        name = F.regexp_replace(name, r"^\d+ ", "")
     return found.select("file_path", "file_name", (F.col("size") / (1024 * 1024)).alias("file_size_mb"), "ticker", F.when(company == "", F.col("folder")).otherwise(company).alias("company_name"), "metadata",
                         D.file_name_type(name).alias("document_type"), D.file_year(name).alias("extracted_year"), D.file_quarter(name).alias("extracted_quarter"), *(["content"] if content else []))
 

@@ -86,3 +86,11 @@ def test_aborted_reports_leave_nothing(spark, tmp_path):
     while time.monotonic() < until and list((tmp_path / "r").rglob("*.pdf")):
         time.sleep(0.5)
     assert not list((tmp_path / "r").rglob("*.*")) and not [p for p in (tmp_path / "r").iterdir() if not p.name.startswith("_")]
+
+
+def test_a_number_before_the_name_says_no_year(spark, tmp_path):
+    rows = [("A - x", f"{n} {name}", bytearray(b"x"), "{}") for n, name in ((2000, "other__Q2.pdf"), (12081, "10-q_2023_Q3.pdf"))]
+    root = str(tmp_path / "r")
+    files.write_reports(spark.createDataFrame(rows, "folder string, file_name string, content binary, metadata string"), root)
+    got = files.report_folder(spark, root, numbered=True).collect()
+    assert sorted((r["file_name"], r["document_type"], r["extracted_year"], r["extracted_quarter"]) for r in got) == [("12081 10-q_2023_Q3.pdf", "10-Q Quarterly Report", 2023, 3), ("2000 other__Q2.pdf", "Other PDF Document", None, 2)]
