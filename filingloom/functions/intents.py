@@ -43,13 +43,13 @@ def content_words(text: Column, most: int = 10) -> Column:
 def actions(intent: Column) -> Column:
     low = F.lower(intent)
     found = F.filter(F.array(*(F.when(any_in(low, words), name) for name, words in R.ACTION_WORDS)), lambda x: x.isNotNull())
-    return F.when(F.size(found) == 0, F.array(F.lit("find"))).otherwise(found)
+    return let(found, lambda x: F.when(F.size(x) == 0, F.array(F.lit("find"))).otherwise(x))
 
 
 def targets(intent: Column) -> Column:
     low = F.lower(intent)
     found = F.filter(F.array(*(F.when(low.rlike(p), name) for name, p in R.TARGET_PATTERNS)), lambda x: x.isNotNull())
-    return F.when(F.size(found) == 0, F.array(F.lit("content"))).otherwise(found)
+    return let(found, lambda x: F.when(F.size(x) == 0, F.array(F.lit("content"))).otherwise(x))
 
 
 def domain(intent: Column) -> Column:
@@ -65,7 +65,10 @@ def is_complex(intent: Column) -> Column:
 
 def strategy_types(intent: Column) -> Column:
     """Content types that the rules aim at."""
-    a, t = actions(intent), targets(intent)
+    return let(F.struct(actions(intent).alias("a"), targets(intent).alias("t")), lambda x: _types(x["a"], x["t"]))
+
+
+def _types(a: Column, t: Column) -> Column:
     return F.filter(
         F.array(*(F.when(F.array_contains(t, name) | (F.array_contains(a, verb) if verb else F.lit(False)), name) for name, verb in (("documents", "download"), ("links", "find"), ("tables", None), ("content", "extract")))), lambda x: x.isNotNull()
     )
@@ -73,8 +76,13 @@ def strategy_types(intent: Column) -> Column:
 
 def strategy(intent: Column, has_documents: Column, has_tables: Column, internal_links: Column) -> Column:
     """The rules' strategy: expanded intent, steps in order, next actions."""
-    types, words = strategy_types(intent), F.slice(content_words(intent), 1, 5)
-    listed = F.array_join(words, ", ")
+    read = F.struct(actions(intent).alias("a"), targets(intent).alias("t"), content_words(intent).alias("words"))
+    known = let(read, lambda x: F.struct(x["a"].alias("a"), x["t"].alias("t"), x["words"].alias("words"), _types(x["a"], x["t"]).alias("types"), F.array_join(F.slice(x["words"], 1, 5), ", ").alias("listed")))
+    return let(known, lambda x: _strategy(x, has_documents, has_tables, internal_links))
+
+
+def _strategy(known: Column, has_documents: Column, has_tables: Column, internal_links: Column) -> Column:
+    types, listed = known["types"], known["listed"]
     steps = {
         "documents": F.when(has_documents, F.concat(F.lit("filter_documents: Document URL or text contains keywords: "), listed)).otherwise(F.concat(F.lit("search_links_for_documents: Find links that might lead to documents (containing: "), listed, F.lit(")"))),
         "links": F.concat(F.lit("filter_links: Link URL or text contains keywords: "), listed),
@@ -88,8 +96,8 @@ def strategy(intent: Column, has_documents: Column, has_tables: Column, internal
             F.when(has_documents, "Download and analyze documents"), F.when(internal_links > 0, "Follow internal links for more content"),
             F.when(~has_documents & ~has_tables, "Navigate to linked pages to find target content"),
         ), lambda x: x.isNotNull())
-    whole = F.concat(F.lit("Action: "), F.array_join(actions(intent), ", "), F.lit(". Targets: "), F.array_join(targets(intent), ", "), F.lit(". Focus on: "), listed)
-    return F.struct(whole.alias("expanded_intent"), content_words(intent).alias("keywords"), types.alias("target_content_types"), numbered.alias("filtering_steps"), nexts.alias("next_actions"))
+    whole = F.concat(F.lit("Action: "), F.array_join(known["a"], ", "), F.lit(". Targets: "), F.array_join(known["t"], ", "), F.lit(". Focus on: "), listed)
+    return F.struct(whole.alias("expanded_intent"), known["words"].alias("keywords"), types.alias("target_content_types"), numbered.alias("filtering_steps"), nexts.alias("next_actions"))
 
 
 SECTIONS = ("EXPANDED_INTENT", "KEYWORDS", "TARGET_CONTENT_TYPES", "FILTERING_STEPS", "RELEVANCE_CRITERIA", "NEXT_ACTIONS")
