@@ -73,11 +73,29 @@ def merged(pages: DataFrame) -> DataFrame:
     return pages.groupBy("page").applyInArrow(run, _PAGES)
 
 
-def marked(df: DataFrame, hash_: Column, filter_: DataFrame, pages: int, name: str = "maybe") -> DataFrame:
-    """df with whether the filter (page, bits) may know the row's hash."""
+def body_of(filter_: DataFrame, pages: int) -> np.ndarray:
+    """The filter (page, bits) as one array of pages * PAGE bytes."""
     body = np.zeros(pages * PAGE, np.uint8)
-    for r in filter_.toLocalIterator():  # pages * PAGE bytes
+    for r in filter_.toLocalIterator():
         body[r["page"] * PAGE : (r["page"] + 1) * PAGE] = np.frombuffer(r["bits"], np.uint8)
+    return body
+
+
+def known(body: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """The places in h (unsigned) of hashes that the filter may know, as `_places` has them; a bit is only looked at for
+    those that the bits before let through."""
+    block, g = (h >> np.uint64(32)) & np.uint64(len(body) // BLOCK - 1), h * np.uint64(0x9E3779B97F4A7C15)
+    at, base = np.arange(len(h)), (block * np.uint64(BLOCK)).astype(np.int64)
+    for k in range(_BITS):
+        bit = ((g >> np.uint64(7 * k)) & np.uint64(511)).astype(np.int64)
+        kept = np.flatnonzero((body[base + (bit >> 3)] >> (bit & 7).astype(np.uint8)) & 1)
+        at, base, g = at[kept], base[kept], g[kept]
+    return at
+
+
+def marked(df: DataFrame, hash_: Column, filter_: DataFrame, pages: int, name: str = "maybe") -> DataFrame:
+    """df with whether the filter (page, bits) may know the row's hash."""
+    body = body_of(filter_, pages)
     shared = df.sparkSession.sparkContext.broadcast(body)
     columns, given = df.columns, df.withColumn("__h", hash_)
 

@@ -33,3 +33,14 @@ def test_a_small_index_moves_no_text(spark):
     texts, patterns = spark.createDataFrame([(1, "abc")], "id long, text string"), spark.createDataFrame([("bc",)], "pattern string")
     plan = substrings.matches(texts, ["id"], "text", patterns)._jdf.queryExecution().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "Python" not in plan
+
+
+def test_many_patterns_fetch_no_more_than_stands_in_a_text(spark, monkeypatch):
+    monkeypatch.setattr(substrings, "CHARACTERS", 50)
+    long = "x" * 70 + "é😀"
+    texts = [(k, f"/{k}/doc_{k % 7}.") for k in range(300)] + [(400, long + "y"), (401, None), (402, "")]
+    patterns = [f"/{k}/" for k in range(2000)] + ["_3.", "é", "x" * 64, "x" * 65, long, "y" * 70]
+    df = substrings.matches(spark.createDataFrame(texts, "id long, text string"), ["id"], "text", spark.createDataFrame([(p,) for p in patterns], "pattern string"), most=10)
+    assert sorted((r["id"], r["pattern"]) for r in df.collect()) == sorted((i, p) for i, t in texts if t for p in set(patterns) if p in t)
+    few = substrings.matches(spark.createDataFrame(texts, "id long, text string"), ["id"], "text", spark.createDataFrame([(p,) for p in patterns[:2002]], "pattern string"), most=10)
+    assert "__gram" not in few._jdf.queryExecution().toString()  # no grams are made or moved
