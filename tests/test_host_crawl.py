@@ -48,3 +48,14 @@ def test_best_lane_first(spark, tmp_path):
     query.stop()
     seen = sorted(H.table(spark, root, "visits").collect(), key=lambda r: r["at"])
     assert [r["url"][-1] for r in seen] == ["1", "3", "2", "0", "4"]
+
+
+def test_a_batch_opens_the_drawers_of_its_visits(spark, tmp_path):
+    rows = spark.range(2000).selectExpr("concat('https://h.example.com/', id) url", "id")
+    kept = H.filed(rows, str(tmp_path / "links"))
+    own = kept.where("url = 'https://h.example.com/7'").first()
+    some = kept.where(f"drawer in ({own['drawer']})")
+    assert len(some.inputFiles()) >= 1 and sorted(r["id"] for r in kept.collect()) == list(range(2000))
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and 7 in {r["id"] for r in some.collect()} and some.count() < 100
+    assert H.filed(rows.where("false"), str(tmp_path / "links")).count() == 2000  # kept once
