@@ -19,19 +19,18 @@ import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 
 from ..functions import urls
 from ..sources.stage import Files, saved
-from .crawl import CrawlConfig, children_by_score
+from .crawl import CrawlConfig, children_by_score, drawer, filed
 
 REQUEST = "crawl string, url string, depth int, parent string, priority double"
 VISIT = "host string, crawl string, url string, depth int, parent string, priority double, at long"
-#: Lanes a unit of priority, and drawers that pages, links and files are filed in.
-LANES, DRAWERS = 100, 256
+#: Lanes a unit of priority.
+LANES = 100
 
 
 class Host(StatefulProcessor):
@@ -95,19 +94,6 @@ def request(seeds: DataFrame, root: str) -> None:
     first.write.mode("append").parquet(f"{root}/requests/seeds")
 
 
-def _drawer(url: Column) -> Column:
-    return F.pmod(F.xxhash64(url), F.lit(DRAWERS)).cast("int")
-
-
-def filed(df: DataFrame, path: str) -> DataFrame:
-    """df (url and others) as it is kept below path, a folder for each drawer of addresses; kept once."""
-    spark = df.sparkSession
-    if "_SUCCESS" not in Files(spark, path).names(path):
-        df.withColumn("drawer", _drawer(F.col("url"))).repartition(DRAWERS, "drawer").write.mode("overwrite").partitionBy("drawer").parquet(path)
-    schema = T.StructType([*df.schema, T.StructField("drawer", T.IntegerType())])
-    return spark.read.schema(schema).parquet(path)
-
-
 def follow(root: str, pages: DataFrame, links: DataFrame, files: DataFrame, config: CrawlConfig) -> Callable[[DataFrame, int], None]:
     """What a batch of visits leads to: its visits, files and new requests, each in the batch's own folder. Pages, links
     and files are filed by address, and a batch opens the drawers of its visits."""
@@ -116,7 +102,7 @@ def follow(root: str, pages: DataFrame, links: DataFrame, files: DataFrame, conf
 
     def run(batch: DataFrame, number: int) -> None:
         batch = saved(batch)
-        opened = [r[0] for r in batch.select(_drawer(F.col("url"))).distinct().collect()]  # DRAWERS rows at most
+        opened = [r[0] for r in batch.select(drawer(F.col("url"))).distinct().collect()]  # as many rows as there are drawers at most
         there, links, files = (df.where(F.col("drawer").isin(opened)).drop("drawer") for df in (all_there, all_links, all_files))
         got = batch.join(there.withColumn("success", F.lit(True)), "url", "left").withColumn("success", F.coalesce("success", F.lit(False)))
         got.select("crawl", "url", "depth", "parent", "host", "at", "success").write.mode("overwrite").parquet(f"{root}/visits/batch={number}")

@@ -82,6 +82,23 @@ def test_frontier_takes_all_edges(spark, tmp_path):
     assert sorted((r["url"], r["found_on_page"], r["depth"]) for r in got) == results and max(r["depth"] for r in got) == 4
 
 
+def test_tables_are_read_once(spark):
+    from pyspark.sql import functions as F
+
+    pages, links, files = graph(2)
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def seen(priority):
+        read.add(1)
+        return priority
+
+    rows = spark.createDataFrame(links, "url string, ord int, child_url string, priority double").withColumn("priority", seen("priority"))
+    crawl = C.Crawl(spark, spark.createDataFrame([(p,) for p in pages], "url string"), rows, spark.createDataFrame(files, "url string, ord int, file_url string, type string, title string"), C.CrawlConfig(batch=3, max_documents=8))
+    crawl.seed(links[0][0]).run()
+    assert crawl.rounds > 3 and read.value == len(links)
+
+
 def test_config_text():
     c = C.CrawlConfig(max_depth=7)
     assert C.CrawlConfig.from_json(c.to_json()) == c
