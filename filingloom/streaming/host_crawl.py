@@ -135,7 +135,8 @@ def table(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 
 def until_quiet(query: StreamingQuery, seconds: float, batches: int = 3, most: float = 3600.0) -> None:
-    """Wait until for `seconds` (more than the delay) and some batches no request has come and no timer has been set or met."""
+    """Wait until for `seconds` (more than the delay) and some batches no request has come and no timer has been set or met.
+    A stream without timers has no batches when nothing comes: it is quiet when it has taken in all that is there."""
     since, quiet, last, until = time.monotonic(), 0, -1, time.monotonic() + most
     while quiet < batches or time.monotonic() - since < seconds:
         if e := query.exception():
@@ -143,6 +144,8 @@ def until_quiet(query: StreamingQuery, seconds: float, batches: int = 3, most: f
         if time.monotonic() > until:
             raise TimeoutError(f"requests still wait after {most} seconds")
         p = query.lastProgress
+        if p is not None and not any("numRegisteredTimers" in s["customMetrics"] for s in p["stateOperators"]):
+            return query.processAllAvailable()
         if p is not None and p["batchId"] != last:
             last, quiet = p["batchId"], quiet + 1
             timers = (s["customMetrics"].get(f"num{what}Timers", 0) for s in p["stateOperators"] for what in ("Registered", "Deleted"))

@@ -1,8 +1,9 @@
 """First owners of addresses, and the latest document of each type, kept up to date by a stream of documents.
 
-The stream is keyed by address. An address's state is the order (company, page, link) of the owner so far; a document goes on
-only if it is the first of its address, or comes earlier in that order than the owner so far. The state of an address that
-nothing has come for in `keep` expires; a document that comes after that goes on once more, and the sink sorts it out.
+The stream is keyed by address. An address's state is the owner so far and the batches (by time) that it and the last
+document came in; a document goes on only if it is the first of its address, or comes earlier in the order (company, page,
+link) than the owner so far. State is of a period of `keep`, after which it expires; a document that comes after that goes on
+once more, and the sink sorts it out. It is an aggregate of built-in functions: no Python runs for an address.
 
 The sink keeps two tables in a log. Owners: of an address the document with the least order counts, so a document that
 comes twice, or late, changes nothing. Latest: the rows of the groups (company and type) that a batch touches, by the owner
@@ -13,13 +14,11 @@ tables are those of the batch operators.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
+from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import urls
 from ..operators import ranking
@@ -29,39 +28,19 @@ from ..sources.stage import saved
 ORDER = ("company_ord", "page_ord", "ord")
 DOCUMENT = "ticker string, document_type string, ord long, company_ord long, page_ord long, title string, url string, relevance_score double, extracted_year int, extracted_quarter int"
 GROUP = ("ticker", "document_type")
+#: How far the clock of a driver that takes the stream over may be behind.
+_LATE = "1 day"
 TABLES = {"owners": f"address string, {DOCUMENT}", "latest": f"version long, there boolean, {DOCUMENT}"}
 
 
-class Owner(StatefulProcessor):
-    """The order of an address's owner so far."""
-
-    def __init__(self, columns: list[str], keep: int) -> None:
-        self.columns, self.keep = columns, keep
-
-    def init(self, handle) -> None:
-        self.first = handle.getValueState("first", "company_ord long, page_ord long, ord long", ttlDurationMs=self.keep)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        best, own = None, self.first.get() if self.first.exists() else None
-        for part in rows:
-            part = part.sort_values(list(ORDER)).head(1)
-            order = tuple(int(x) for x in part[list(ORDER)].iloc[0])
-            if best is None or order < best[0]:
-                best = order, part
-        if best is not None and (own is None or best[0] < tuple(own)):
-            self.first.update(best[0])
-            yield best[1][self.columns]
-
-    def close(self) -> None:
-        pass
-
-
 def first_owners(documents: DataFrame, keep: str = "30 days") -> DataFrame:
     """A stream of documents (DOCUMENT) to a stream of owners: address, then the document."""
     files = documents.where(urls.is_direct_file(F.col("url"))).withColumn("address", urls.without_query(F.col("url")))
-    schema = T.StructType.fromDDL(TABLES["owners"])
-    keyed = files.select(*schema.names).groupBy("address")
-    return keyed.transformWithStateInPandas(statefulProcessor=Owner(schema.names, int(pd.Timedelta(keep).total_seconds() * 1000)), outputStructType=schema, outputMode="Update", timeMode="ProcessingTime")
+    names = [c.strip().split()[0] for c in TABLES["owners"].split(",")]
+    came = files.select(*names, F.current_timestamp().alias("_at")).withWatermark("_at", _LATE)
+    owner = F.min_by(F.struct(*names, "_at"), F.struct(*ORDER, "_at"))
+    state = came.groupBy("address", F.window("_at", keep).alias("_period")).agg(owner.alias("x"), F.max("_at").alias("_last"))
+    return state.where(F.col("x._at") == F.col("_last")).select(*(f"x.{c}" for c in names))
 
 
 class Sink:
@@ -98,8 +77,7 @@ class Sink:
 
 def start(documents: DataFrame, folder: str, keep: str = "30 days", every: str = "0 seconds") -> StreamingQuery:
     """The stream of documents into the tables of a folder that driver and executors share. Keyed state needs the RocksDB
-    store, which is set for the session. State that expires has batches go on without documents: host_crawl.until_quiet()
-    tells when all are in."""
+    store, which is set for the session. host_crawl.until_quiet() tells when all are in."""
     spark = documents.sparkSession
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     writer = first_owners(documents, keep).writeStream.outputMode("update").foreachBatch(_into(folder))
