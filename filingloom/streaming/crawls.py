@@ -7,7 +7,7 @@ by crawl: a group holds at most a batch of its queue, or the links of a batch of
 What a round writes is what it changes: the items at the front with their fate, the files found, the items admitted, and a
 line of counts for each crawl that goes on. An item's fate is the tombstone in the queue, the entry among the visited and the
 time its host was asked, all in one row. So a round's bytes follow the batch, not the visited; every `fold_every` rounds the
-queue is written without what has left it. Items know their parent's number only; paths() puts navigation paths together.
+queue is written without what has left it. No join is by broadcast, so what the driver gets is counts. Items know their parent's number only; paths() puts navigation paths together.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..functions import urls
 from ..sources.log import Log
-from ..sources.stage import saved, scratch
+from ..sources.stage import merged, saved, scratch
 from .crawl import CrawlConfig, children_by_score
 
 TABLES = {
@@ -40,7 +40,7 @@ def fates(queue: DataFrame, visited: DataFrame, asked: DataFrame, now: float, co
     front = queue.withColumn("_k", F.row_number().over(own)).where(F.col("_k") <= config.batch).withColumn("host", urls.host(F.col("url")))
     best = F.min("priority").over(Window.partitionBy("crawl"))
     front = front.withColumn("_best", best).where(F.col("_best") <= -config.priority_threshold)
-    marked = front.join(visited.select("crawl", "url").withColumn("_seen", F.lit(True)), ["crawl", "url"], "left").join(asked, ["crawl", "host"], "left")
+    marked = front.join(merged(visited.select("crawl", "url").withColumn("_seen", F.lit(True))), ["crawl", "url"], "left").join(merged(asked), ["crawl", "host"], "left")
     live = F.col("_seen").isNull()
     again = F.count_if(live).over(Window.partitionBy("crawl", "host").orderBy(*_ORDER).rowsBetween(Window.unboundedPreceding, -1)) > 0
     soon = F.coalesce(F.lit(now) - F.col("last") < config.rate_limit_delay, F.lit(False))
@@ -51,10 +51,10 @@ def fates(queue: DataFrame, visited: DataFrame, asked: DataFrame, now: float, co
 def admitted(children: DataFrame, queue: DataFrame, visited: DataFrame, room: DataFrame) -> DataFrame:
     """The children (crawl, url, page_ord, ord, others) that are new to their crawl, each address once, in order, as far as
     room (crawl, room, next) goes; seq counts on from next."""
-    new = children.join(visited.select("crawl", "url"), ["crawl", "url"], "left_anti").join(queue.select("crawl", "url"), ["crawl", "url"], "left_anti")
+    new = children.join(merged(visited.select("crawl", "url")), ["crawl", "url"], "left_anti").join(merged(queue.select("crawl", "url")), ["crawl", "url"], "left_anti")
     once = new.groupBy("crawl", "url").agg(F.min_by(F.struct(*new.columns), F.struct("page_ord", "ord")).alias("x")).select("x.*")
     rank = F.row_number().over(Window.partitionBy("crawl").orderBy("page_ord", "ord"))
-    return once.join(room, "crawl").withColumn("_k", rank).where(F.col("_k") <= F.col("room")).withColumn("seq", F.col("next") + F.col("_k") - 1)
+    return once.join(merged(room), "crawl").withColumn("_k", rank).where(F.col("_k") <= F.col("room")).withColumn("seq", F.col("next") + F.col("_k") - 1)
 
 
 class Crawls:
@@ -88,7 +88,7 @@ class Crawls:
 
     def queue(self) -> DataFrame:
         """The items that wait."""
-        return self.log.read("queue").join(self.log.read("front").where(F.col("fate") != WAIT).select("crawl", "seq"), ["crawl", "seq"], "left_anti")
+        return self.log.read("queue").join(merged(self.log.read("front").where(F.col("fate") != WAIT).select("crawl", "seq")), ["crawl", "seq"], "left_anti")
 
     def visited(self) -> DataFrame:
         return self.log.read("front").where(F.col("fate") == VISIT)
@@ -104,9 +104,9 @@ class Crawls:
     def step(self) -> None:
         c, log = self.config, self.log
         tally = saved(self.tally())
-        queue = self.queue().join(tally.where(F.col("files") < c.max_documents).select("crawl"), "crawl", "left_semi")
+        queue = self.queue().join(merged(tally.where(F.col("files") < c.max_documents).select("crawl")), "crawl", "left_semi")
         asked = self.visited().where(F.col("clock") > self.clock - c.rate_limit_delay).groupBy("crawl", "host").agg(F.max("clock").alias("last"))
-        marked = fates(queue, self.visited(), asked, self.clock, c).join(self.pages, "url", "left")
+        marked = fates(queue, self.visited(), asked, self.clock, c).join(merged(self.pages), "url", "left")
         order = F.row_number().over(Window.partitionBy("crawl", "fate").orderBy(*_ORDER))
         front = log.add("front", marked.withColumns({"success": F.coalesce("success", F.lit(False)), "page_ord": order, "clock": F.lit(self.clock)}))
         self.rounds, self.clock = self.rounds + 1, self.clock + 1.0
@@ -118,17 +118,17 @@ class Crawls:
     def _visit(self, front: DataFrame, tally: DataFrame) -> None:
         c, log = self.config, self.log
         ok = front.where((F.col("fate") == VISIT) & F.col("success")).withColumnRenamed("url", "page")
-        found = log.add("files", ok.join(self.files.withColumnRenamed("url", "page"), "page").withColumnsRenamed({"page": "found_on_page", "file_url": "url"}))
-        links = ok.withColumnRenamed("page", "url").join(self.links, "url")
+        found = log.add("files", ok.join(merged(self.files.withColumnRenamed("url", "page")), "page").withColumnsRenamed({"page": "found_on_page", "file_url": "url"}))
+        links = ok.withColumnRenamed("page", "url").join(merged(self.links), "url")
         deeper = children_by_score(links, self.goal, c).select("crawl", F.col("child_url").alias("url"), (-F.col("priority")).alias("priority"), (F.col("depth") + 1).alias("depth"), F.col("seq").alias("parent"), "page_ord", "ord")
         gone = front.where(F.col("fate") != WAIT).groupBy("crawl").agg(F.count("*").alias("gone"), F.count_if((F.col("fate") == VISIT) & F.col("success")).alias("went"), F.max(F.when((F.col("fate") == VISIT) & F.col("success"), F.col("depth"))).alias("depth"))
-        counts = saved(tally.join(front.select("crawl").distinct(), "crawl", "left_semi").join(gone, "crawl", "left").join(found.groupBy("crawl").agg(F.count("*").alias("found")), "crawl", "left"))
+        counts = saved(tally.join(merged(front.select("crawl").distinct()), "crawl", "left_semi").join(merged(gone), "crawl", "left").join(merged(found.groupBy("crawl").agg(F.count("*").alias("found"))), "crawl", "left"))
         left = F.col("queued") - F.coalesce("gone", F.lit(0))
         room = counts.select("crawl", (F.lit(c.max_queue_size) - left).alias("room"), "next")
         new = log.add("queue", admitted(deeper, self.queue(), self.visited(), room))
         added = new.groupBy("crawl").agg(F.count("*").alias("added"))
         some = lambda name: F.coalesce(name, F.lit(0))
-        log.add("tally", counts.join(added, "crawl", "left").select("crawl", (left + some("added")).alias("queued"), (F.col("next") + some("added")).alias("next"), (F.col("files") + some("found")).alias("files"),
+        log.add("tally", counts.join(merged(added), "crawl", "left").select("crawl", (left + some("added")).alias("queued"), (F.col("next") + some("added")).alias("next"), (F.col("files") + some("found")).alias("files"),
                                                                     (F.col("pages") + some("went")).alias("pages"), F.greatest("deepest", "depth").alias("deepest"), F.lit(self.rounds).alias("round")))
         if self.rounds % self.fold_every == 0:
             log.fold("queue", self.queue())
@@ -154,7 +154,7 @@ def ancestry(nodes: DataFrame, depth: int, *keys: str) -> DataFrame:
     whole = saved(nodes.select(*keys, "seq", F.col("parent").alias("up"), F.array("url").alias("path")))
     for _ in range(math.ceil(math.log2(depth + 1))):
         above = whole.select(*keys, F.col("seq").alias("up"), F.col("up").alias("_up"), F.col("path").alias("_path"), F.lit(True).alias("_there"))
-        far = whole.where(F.col("up").isNotNull()).join(above, [*keys, "up"], "left").select(*keys, "seq", F.col("_up").alias("up"), F.concat(F.coalesce("_path", F.array().cast("array<string>")), "path").alias("path"))
+        far = whole.where(F.col("up").isNotNull()).join(merged(above), [*keys, "up"], "left").select(*keys, "seq", F.col("_up").alias("up"), F.concat(F.coalesce("_path", F.array().cast("array<string>")), "path").alias("path"))
         whole = saved(whole.where(F.col("up").isNull()).unionByName(far))
     return whole.select(*keys, "seq", "path")
 

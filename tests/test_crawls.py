@@ -135,3 +135,18 @@ def test_query(spark, tmp_path):
     for part in {a for _, _, a, _, _ in rows if a * 20 <= max(x[2] for x in rows)}:
         results, _ = plain(pages, edges, [(u, 0, u + ".pdf") for u in pages], C.CrawlConfig(max_documents=30, max_depth=3), address(part))
         assert sorted(got.get(str(part), [])) == results
+
+
+def test_no_join_is_by_broadcast(spark, capsys):
+    """The driver gets no table, however small the tables of a test are."""
+    queue = spark.createDataFrame([("a", 0, -1.0, "https://x.com/1", 0, None)], crawls.TABLES["queue"])
+    visited = spark.createDataFrame([("a", "https://x.com/2")], "crawl string, url string")
+    asked = spark.createDataFrame([("a", "x.com", 0.0)], "crawl string, host string, last double")
+    room = spark.createDataFrame([("a", 5, 1)], "crawl string, room long, next long")
+    children = queue.select("crawl", "url", "priority", "depth", "parent").selectExpr("*", "1 as page_ord", "0 as ord")
+    nodes = queue.select("crawl", "seq", "parent", "url")
+    for df in (crawls.fates(queue, visited, asked, 0.0, C.CrawlConfig()), crawls.admitted(children, queue, visited, room)):
+        df.explain()
+        plan = capsys.readouterr().out
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert crawls.ancestry(nodes, 1, "crawl").count() == 1
