@@ -15,12 +15,16 @@ one: what a task works with is bounded, beside the text, file and tensor themsel
 
 Defined cases: `pack` of a null text is that of the empty text, one block of zeros. `tensors` and `facts` of a null, empty
 or damaged file have nulls and an error text. Rows are judged one by one, so repeats and null ids stay as they are; columns
-are kept, but for those of the result's names.
+are kept, but for those of the result's names. Most files are small, so what a numpy call costs is met once for many of
+them: `facts` transforms the images of several files as one array, whose blocks don't bear on one another.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
+import itertools
+import re
 import zlib
 
 from collections.abc import Iterator
@@ -34,7 +38,9 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 #: Where the zigzag order visits an 8 x 8 block.
 ZIGZAG = np.array(sorted(range(64), key=lambda i: (i // 8 + i % 8, i // 8 if (i // 8 + i % 8) % 2 else i % 8)))
+_FROM_ZIGZAG = np.argsort(ZIGZAG)
 _COSINE = np.array([[np.cos((2 * x + 1) * u * np.pi / 16) * (np.sqrt(1 / 8) if u == 0 else 0.5) for x in range(8)] for u in range(8)], np.float32)
+_MARKER = re.compile(rb"\xff[^\x00]")
 #: Bytes of a payload that one image holds; a longer payload is a file of several images.
 TILE = 1 << 20
 #: Spectral bands of the AC scans, of luma and of chroma.
@@ -84,6 +90,7 @@ class _Table:
             code <<= 1
         self.write = {s: lc for lc, s in self.codes.items()}
         self.longest = max((n for n, _ in self.codes), default=1)
+        self.by_symbol = np.array([self.write.get(x, (0, 0)) for x in range(max(symbols, default=0) + 1)], np.int64)
         self.look: list[tuple[int, int] | None] | None = None
 
     def looked_up(self) -> list[tuple[int, int] | None]:
@@ -104,6 +111,12 @@ class _Table:
         raise Damaged("no such code")
 
 
+@functools.lru_cache(maxsize=64)
+def _table(counts: bytes, symbols: bytes) -> _Table:
+    """Files tend to hold the same few tables."""
+    return _Table(list(counts), list(symbols))
+
+
 def table_for(symbols: list[int]) -> _Table:
     """Codes for the symbols, the most common first; one symbol gets one bit. No code is all ones."""
     counts, length, left = [0] * 16, 1, len(symbols)
@@ -113,13 +126,17 @@ def table_for(symbols: list[int]) -> _Table:
     else:
         for i in range(left):
             counts[i] = 1
-    return _Table(counts, list(symbols))
+    return _table(bytes(counts), bytes(symbols))
 
 
 def _extend(v, size):
     return np.where(v < (1 << np.maximum(size, 1) - 1), v - (1 << size) + 1, v)
 
 
+#: The value in a byte that is one bit of code and seven of value.
+_SEVEN = _extend(np.arange(256, dtype=np.int32) & 127, 7).astype(np.int32)
+
+
 # --- reading ---------------------------------------------------------------------------------------------------------
 
 
@@ -158,9 +175,8 @@ def _image(data: bytes, at: int) -> tuple[tuple[int, int], list[dict], int]:
                 body = body[65 + 64 * wide :]
         elif kind == 0xC4:
             while body:
-                counts = list(body[1:17])
-                n = sum(counts)
-                (ac if body[0] >> 4 else dc)[body[0] & 15] = _Table(counts, list(body[17 : 17 + n]))
+                n = sum(body[1:17])
+                (ac if body[0] >> 4 else dc)[body[0] & 15] = _table(body[1:17], body[17 : 17 + n])
                 body = body[17 + n :]
         elif kind == 0xC2:
             size = int.from_bytes(body[1:3], "big"), int.from_bytes(body[3:5], "big")
@@ -198,56 +214,60 @@ def _scan(data: bytes, at: int, head: bytes, parts, mcus, dc, ac, restart) -> in
     by_id = {p["id"]: p for p in parts}
     chosen = [(by_id[head[1 + 2 * i]], head[2 + 2 * i] >> 4, head[2 + 2 * i] & 15) for i in range(n)]
     lo, hi, high, low = head[1 + 2 * n], head[2 + 2 * n], head[3 + 2 * n] >> 4, head[3 + 2 * n] & 15
-    pieces, end = [], at
+    pieces = []
     while True:  # up to the next marker, cut at restarts
-        next_ = data.find(b"\xff", end)
-        if next_ < 0 or next_ + 1 >= len(data):
+        found = _MARKER.search(data, at)
+        if found is None:
             raise Damaged("no marker after a scan")
-        kind = data[next_ + 1]
-        end = next_ + 2
-        if kind == 0:
-            continue
-        pieces.append(data[at:next_])
-        if 0xD0 <= kind <= 0xD7:
-            at = end
-            continue
-        end = next_
-        break
+        end = found.start()
+        pieces.append(data[at:end])
+        if not 0xD0 <= data[end + 1] <= 0xD7:
+            break
+        at = end + 2
     if n > 1:
-        places = [(p, t, v * p["c"].shape[1] + h) for p, t, _ in chosen for v in range(p["v"]) for h in range(p["h"])]
         total = mcus[0] * mcus[1]
+        number = _blocks if total <= 1 << 12 else _blocks.__wrapped__  # only small arrays are held
+        blocks = [number(mcus, p["v"], p["h"]) for p, _, _ in chosen]
     else:
-        p, t, _ = chosen[0]
+        p, _, t = chosen[0]
         rows, columns = p["own"]
-        places, total = [(p, t, 0)], rows * columns
+        total = rows * columns
+        whole = p["c"].shape[1] == columns
     step = restart or total
     for i, piece in enumerate(pieces):
         a, b = i * step, min(total, (i + 1) * step)
         if a >= b:
             break
-        bits, k = _Bits(piece), np.arange(a, b)
+        bits = _Bits(piece)
         if lo == 0:
-            if n > 1:
-                index = [(k // mcus[1] * p["v"]) * p["c"].shape[1] + k % mcus[1] * p["h"] + first for p, _, first in places]
+            if n == 1:
+                k = np.arange(a, b)
+                index = [(k // columns * p["c"].shape[1] + k % columns)[:, None]]
             else:
-                index = [k // columns * p["c"].shape[1] + k % columns]
-            _dc(bits, [(p, None if high else dc[t], f) for p, t, f in places], index, high, low)
+                index = [x[a:b] for x in blocks]
+            _dc(bits, [(q, None if high else dc[x]) for q, x, _ in chosen], index, high, low)
         else:
-            whole = p["c"].shape[1] == columns
+            k = None if whole else np.arange(a, b)
             grid = p["c"].reshape(-1, 64)[a:b] if whole else p["c"][k // columns, k % columns]
-            (_ac_refine if high else _ac_first)(bits, grid, ac[chosen[0][2]], lo, hi, low)
+            (_ac_refine if high else _ac_first)(bits, grid, ac[t], lo, hi, low)
             if not whole:
                 p["c"][k // columns, k % columns] = grid
     return end
 
 
+@functools.lru_cache(maxsize=64)
+def _blocks(mcus: tuple[int, int], v: int, h: int) -> np.ndarray:
+    """For every unit of an image, the numbers of a component's blocks in it."""
+    k = np.arange(mcus[0] * mcus[1])[:, None]
+    down, across = np.divmod(np.arange(v * h), h)
+    return (k // mcus[1] * v + down) * (mcus[1] * h) + k % mcus[1] * h + across
+
+
 def _differences(bits: _Bits, tables: list[_Table], n: int) -> list[int]:
     """n coded differences, the tables taken in turn."""
     raw, at, out = bits.raw + bytes(8), bits.at, []
     looks = [(t.looked_up(), 48 - t.longest, (1 << t.longest) - 1) for t in tables]
-    turns = len(looks)
-    for i in range(n):
-        look, shift, mask = looks[i % turns]
+    for look, shift, mask in itertools.islice(itertools.cycle(looks), n):
         word, skip = int.from_bytes(raw[at >> 3 : (at >> 3) + 6], "big"), at & 7
         found = look[word >> (shift - skip) & mask]
         if found is None:
@@ -256,32 +276,34 @@ def _differences(bits: _Bits, tables: list[_Table], n: int) -> list[int]:
         v = word >> (48 - skip - length - size) & ((1 << size) - 1)
         out.append(v if not size or v >> (size - 1) else v - (1 << size) + 1)
         at += length + size
-        if at > bits.n:
-            raise Damaged("a scan ends early")
+    if at > bits.n:
+        raise Damaged("a scan ends early")
     bits.at = at
     return out
 
 
-def _dc(bits: _Bits, places: list[tuple[dict, _Table | None, int]], index: list[np.ndarray], high: int, low: int) -> None:
-    """places: component and table of each block of a unit; index: for each of them its block's number in every unit."""
-    n, turns = len(index[0]), len(places)
+def _dc(bits: _Bits, chosen: list[tuple[dict, _Table | None]], index: list[np.ndarray], high: int, low: int) -> None:
+    """chosen: components and their tables; index: for each of them its blocks' numbers in every unit."""
+    n, turns = len(index[0]), [x.shape[1] for x in index]
     if high:
-        got = bits.array(n * turns).astype(np.int32).reshape(n, turns) << low
+        got = bits.array(n * sum(turns)).astype(np.int32).reshape(n, -1) << low
     else:
-        got = np.array(_differences(bits, [t for _, t, _ in places], n * turns), np.int64).reshape(n, turns)
-        for part in {id(p) for p, _, _ in places}:
-            own = [k for k, (p, _, _) in enumerate(places) if id(p) == part]
-            got[:, own] = np.cumsum(got[:, own].ravel()).reshape(n, -1)
-        got <<= low
-    for k, (p, _, _) in enumerate(places):
+        got = np.array(_differences(bits, [t for (_, t), k in zip(chosen, turns, strict=True) for _ in range(k)], n * sum(turns)), np.int64).reshape(n, -1)
+    at = 0
+    for (p, _), blocks in zip(chosen, index, strict=True):
+        own = got[:, at : at + blocks.shape[1]]
+        at += blocks.shape[1]
         flat = p["c"].reshape(-1, 64)
-        flat[index[k], 0] = flat[index[k], 0] | got[:, k] if high else got[:, k]
+        flat[blocks, 0] = flat[blocks, 0] | own if high else np.cumsum(own.ravel()).reshape(own.shape) << low
 
 
 def _ac_first(bits: _Bits, grid: np.ndarray, table: _Table, lo: int, hi: int, low: int) -> None:
     n = hi - lo + 1
     if table.counts[0] == 1 and len(table.symbols) == 1 and table.symbols[0] >> 4 == 0 and table.symbols[0] & 15:  # equal steps
         size = table.symbols[0] & 15
+        if size == 7 and not bits.at and len(grid) * n <= len(bits.raw):  # steps of a byte
+            grid[:, lo : hi + 1] = (_SEVEN << low)[np.frombuffer(bits.raw, np.uint8, len(grid) * n)].reshape(len(grid), n)
+            return
         steps = bits.array(len(grid) * n * (1 + size)).reshape(-1, 1 + size)[:, 1:]
         grid[:, lo : hi + 1] = (_extend(steps @ (1 << np.arange(size)[::-1]), size) << low).reshape(len(grid), n)
         return
@@ -314,8 +336,9 @@ def _ac_refine(bits: _Bits, grid: np.ndarray, table: _Table, lo: int, hi: int, l
     def correct(cells: np.ndarray) -> np.ndarray:
         """The cells, those not zero moved away from zero by their bits."""
         if cells.all():
-            move = bits.array(len(cells)).astype(np.int32) * (one * ((np.abs(cells) & one) == 0))
-            return cells + np.where(cells > 0, move, -move)
+            move = (bits.array(len(cells)).astype(np.int32) << low) & ~np.abs(cells)
+            sign = cells >> 31
+            return cells + ((move ^ sign) - sign)
         some = np.flatnonzero(cells)
         if len(some):
             value = cells[some]
@@ -331,6 +354,10 @@ def _ac_refine(bits: _Bits, grid: np.ndarray, table: _Table, lo: int, hi: int, l
             zeros, size = symbol >> 4, symbol & 15
             if not size and zeros < 15:
                 run = (1 << zeros) + (bits.take(zeros) if zeros else 0)
+                if k == lo:
+                    grid[i : i + run, lo : hi + 1] = correct(grid[i : i + run, lo : hi + 1].ravel()).reshape(-1, hi - lo + 1)
+                    i += run - 1
+                    break
                 block[k : hi + 1] = correct(block[k : hi + 1].copy())
                 if run > 1:
                     grid[i + 1 : i + run, lo : hi + 1] = correct(grid[i + 1 : i + run, lo : hi + 1].ravel()).reshape(-1, hi - lo + 1)
@@ -353,22 +380,40 @@ def _ac_refine(bits: _Bits, grid: np.ndarray, table: _Table, lo: int, hi: int, l
 
 def rgb(size: tuple[int, int], parts: list[dict]) -> np.ndarray:
     """The full-resolution tensor: height, width, 3."""
-    hm, vm = max(p["h"] for p in parts), max(p["v"] for p in parts)
-    planes = []
-    for p in parts:
-        block = np.zeros((*p["c"].shape[:2], 64), np.float32)
-        block[..., ZIGZAG] = p["c"] * p["quant"]
-        block = _COSINE.T @ block.reshape(-1, 8, 8) @ _COSINE
-        rows, columns = p["c"].shape[:2]
-        plane = block.reshape(rows, columns, 8, 8).swapaxes(1, 2).reshape(rows * 8, columns * 8) + 128
-        planes.append(plane.repeat(vm // p["v"], 0).repeat(hm // p["h"], 1)[: size[0], : size[1]])
-    if len(planes) == 1:
-        out = np.stack(planes * 3, -1)
-    else:
-        y, cb, cr = (np.clip(np.rint(x), 0, 255) for x in planes)
-        cb, cr = cb - 128, cr - 128
-        out = np.stack([y + 1.402 * cr, y - 0.344136 * cb - 0.714136 * cr, y + 1.772 * cb], -1)
-    return np.clip(np.rint(out), 0, 255).astype(np.uint8)
+    return rgbs([(size, parts)])[0]
+
+
+def rgbs(found: list[tuple[tuple[int, int], list[dict]]]) -> list[np.ndarray]:
+    """The tensors of several images, whose blocks and pixels are transformed together."""
+    block = np.concatenate([p["c"].reshape(-1, 64) * p["quant"] for _, parts in found for p in parts])
+    block = block[:, _FROM_ZIGZAG].astype(np.float32)
+    block = _COSINE.T @ block.reshape(-1, 8, 8) @ _COSINE
+    block += 128
+    np.clip(np.rint(block, out=block), 0, 255, out=block)
+    at, planes = 0, ([], [], [])
+    for size, parts in found:
+        hm, vm = max(p["h"] for p in parts), max(p["v"] for p in parts)
+        own = []
+        for p in parts:
+            rows, columns = p["c"].shape[:2]
+            plane = block[at : at + rows * columns].reshape(rows, columns, 8, 8).swapaxes(1, 2).reshape(rows * 8, columns * 8)
+            at += rows * columns
+            if vm > p["v"] or hm > p["h"]:
+                plane = plane.repeat(vm // p["v"], 0).repeat(hm // p["h"], 1)
+            own.append(plane[: size[0], : size[1]].ravel())
+        y, cb, cr = own if len(own) > 1 else (own[0], *[np.full(size[0] * size[1], 128, np.float32)] * 2)
+        for plane, pixels in zip(planes, (y, cb, cr), strict=True):
+            plane.append(pixels)
+    y, cb, cr = map(np.concatenate, planes)
+    cb -= 128
+    cr -= 128
+    out = np.empty((len(y), 3), np.float32)
+    np.add(y, 1.402 * cr, out=out[:, 0])
+    np.subtract(y - 0.344136 * cb, 0.714136 * cr, out=out[:, 1])
+    np.add(y, 1.772 * cb, out=out[:, 2])
+    out = np.clip(np.rint(out, out=out), 0, 255, out=out).astype(np.uint8)
+    ends = np.cumsum([h * w for (h, w), _ in found]).tolist()
+    return [out[end - h * w : end].reshape(h, w, 3) for ((h, w), _), end in zip(found, ends, strict=True)]
 
 
 def decode(data: bytes) -> np.ndarray:
@@ -391,8 +436,8 @@ class _Writer:
         self.put(code, length)
 
     def bytes(self) -> bytes:
-        bits = np.concatenate([*self.bits, np.zeros(0, np.uint8)])
-        bits = np.concatenate([bits, np.ones(-len(bits) % 8, np.uint8)])
+        n = sum(map(len, self.bits))
+        bits = np.concatenate([*self.bits, np.ones(-n % 8, np.uint8)])
         return np.packbits(bits).tobytes().replace(b"\xff", b"\xff\x00")
 
 
@@ -400,8 +445,16 @@ def _marker(kind: int, body: bytes) -> bytes:
     return bytes([0xFF, kind]) + (len(body) + 2).to_bytes(2, "big") + body
 
 
+@functools.lru_cache(maxsize=256)
+def _head(components: tuple[int, ...], table: _Table, ac: int, lo: int, hi: int, high: int, low: int) -> bytes:
+    """What stands before a scan: its table, and what it holds."""
+    codes = _marker(0xC4, bytes([16 * ac]) + bytes(table.counts) + bytes(table.symbols))
+    body = bytes([len(components)]) + b"".join(bytes([c + 1, 0]) for c in components) + bytes([lo, hi, high << 4 | low])
+    return codes + _marker(0xDA, body)
+
+
 def _size(v: np.ndarray) -> np.ndarray:
-    return np.frexp(np.abs(v).astype(np.float64))[1]
+    return np.frexp(v.astype(np.float64))[1]
 
 
 def encode(size: tuple[int, int], parts: list[dict]) -> bytes:
@@ -412,11 +465,8 @@ def encode(size: tuple[int, int], parts: list[dict]) -> bytes:
     frame = b"".join(bytes([i + 1, p["h"] << 4 | p["v"], i]) for i, p in enumerate(parts))
     out.append(_marker(0xC2, bytes([8]) + size[0].to_bytes(2, "big") + size[1].to_bytes(2, "big") + bytes([len(parts)]) + frame))
 
-    def scan(components, table, ac, lo, hi, high, low, writer):
-        if table is not None:
-            out.append(_marker(0xC4, bytes([16 * ac]) + bytes(table.counts) + bytes(table.symbols)))
-        body = bytes([len(components)]) + b"".join(bytes([c + 1, 0]) for c in components) + bytes([lo, hi, high << 4 | low])
-        out.append(_marker(0xDA, body) + writer.bytes())
+    def scan(components, table, ac, lo, hi, high, low, stream):
+        out.append(_head(components, table, ac, lo, hi, high, low) + stream)
 
     hm, vm = max(p["h"] for p in parts), max(p["v"] for p in parts)
     own = [_own(size, p, hm, vm) for p in parts]
@@ -425,46 +475,54 @@ def encode(size: tuple[int, int], parts: list[dict]) -> bytes:
         rows, columns = p["c"].shape[:2] if len(parts) > 1 else own[0]
         v, h = (p["v"], p["h"]) if len(parts) > 1 else (1, 1)
         dc = p["c"][:rows, :columns, 0].reshape(rows // v, v, columns // h, h).swapaxes(1, 2).reshape(-1, v * h)
-        steps.append(np.diff(dc.ravel(), prepend=0).reshape(dc.shape))
-    step = np.hstack(steps).ravel()
+        own_steps = dc.flatten()
+        own_steps[1:] -= dc.ravel()[:-1]
+        steps.append(own_steps.reshape(dc.shape))
+    step = np.concatenate(steps, 1).ravel()
     sizes = _size(step)
-    table = table_for(np.unique(sizes).tolist())
+    table = table_for(np.flatnonzero(np.bincount(sizes)).tolist())
     writer = _Writer()
     writer.bits.append(_codes(step, sizes, table))
-    scan(list(range(len(parts))), table, 0, 0, 0, 0, 0, writer)
+    scan(tuple(range(len(parts))), table, 0, 0, 0, 0, 0, writer.bytes())
     for i, p in enumerate(parts):
         for lo, hi in CHROMA_BANDS if i else BANDS:
             grid = p["c"][: own[i][0], : own[i][1]].reshape(-1, 64)[:, lo : hi + 1]
-            first = np.sign(grid) * (np.abs(grid) >> 1)
-            writer, table = _band_first(first)
-            scan([i], table, 1, lo, hi, 0, 1, writer)
-            writer, table = _band_rest(grid, first)
-            scan([i], table, 1, lo, hi, 1, 0, writer)
+            size = np.abs(grid)
+            half = size >> 1
+            stream, table = _band_first(half, grid < 0)
+            scan((i,), table, 1, lo, hi, 0, 1, stream)
+            stream, table = _band_rest(grid, half, (size & 1).astype(np.uint8))
+            scan((i,), table, 1, lo, hi, 1, 0, stream)
     return b"".join(out) + b"\xff\xd9"
 
 
 def _codes(values: np.ndarray, sizes: np.ndarray, table: _Table) -> np.ndarray:
     """The bits of each value's code and of the value."""
     low = np.where(values < 0, values + (1 << sizes) - 1, values)
-    length = np.array([table.write.get(s, (0, 0)) for s in range(int(sizes.max(initial=0)) + 1)])[sizes]
+    length = table.by_symbol[sizes]
     n = length[:, 0] + sizes
-    whole = (length[:, 1].astype(np.int64) << sizes) | low
-    shift = np.repeat(np.cumsum(n), n) - np.arange(n.sum()) - 1
+    whole = (length[:, 1] << sizes) | low
+    ends = np.cumsum(n)
+    shift = np.repeat(ends, n) - np.arange(1, 1 + (int(ends[-1]) if len(ends) else 0))
     return ((np.repeat(whole, n) >> shift) & 1).astype(np.uint8)
 
 
-def _band_first(first: np.ndarray) -> tuple[_Writer, _Table]:
-    writer, sizes = _Writer(), _size(first)
-    if sizes.size and sizes.min() == sizes.max() > 0:
-        size = int(sizes.flat[0])
-        low = np.where(first < 0, first + (1 << size) - 1, first).ravel()
-        bits = np.zeros((len(low), 1 + size), np.uint8)
+def _band_first(half: np.ndarray, below: np.ndarray) -> tuple[bytes, _Table]:
+    """half: the coefficients without sign and lowest bit; below: those under zero."""
+    writer = _Writer()
+    size = int(half.max(initial=0)).bit_length()
+    if half.size and size and int(half.min()).bit_length() == size:
+        low = half ^ (below * np.int32((1 << size) - 1))
+        if size == 7:  # with its code, a zero, a value is a byte
+            return low.astype(np.uint8).tobytes(), table_for([size])
+        bits = np.zeros((low.size, 1 + size), np.uint8)
         for k in range(size):
-            bits[:, 1 + k] = low >> (size - 1 - k) & 1
+            bits[:, 1 + k] = low.ravel() >> (size - 1 - k) & 1
         writer.bits.append(bits.ravel())
-        return writer, table_for([size])
+        return writer.bytes(), table_for([size])
+    first = np.where(below, -half, half)
     stream: list[tuple[int, int, int]] = []
-    for block, own in zip(first.tolist(), sizes.tolist(), strict=True):
+    for block, own in zip(first.tolist(), _size(first).tolist(), strict=True):
         zeros = 0
         for v, s in zip(block, own, strict=True):
             if not s:
@@ -480,22 +538,22 @@ def _band_first(first: np.ndarray) -> tuple[_Writer, _Table]:
         writer.code(table, symbol)
         if n:
             writer.put(v, n)
-    return writer, table
+    return writer.bytes(), table
 
 
-def _band_rest(grid: np.ndarray, first: np.ndarray) -> tuple[_Writer, _Table]:
-    writer, bit = _Writer(), (np.abs(grid) & 1).astype(np.uint8)
-    if (first != 0).all():  # only bits to add: runs of blocks without new coefficients
+def _band_rest(grid: np.ndarray, first: np.ndarray, bit: np.ndarray) -> tuple[bytes, _Table]:
+    """first: what the earlier scan holds, not zero where it has a value; bit: the lowest bits."""
+    writer = _Writer()
+    if first.all():  # only bits to add: runs of blocks without new coefficients
         table = table_for(sorted({_run(n)[0] << 4 for n in _runs(len(grid))}))
         at = 0
         for n in _runs(len(grid)):
             size, rest = _run(n)
-            writer.code(table, size << 4)
-            if size:
-                writer.put(rest, size)
+            length, code = table.write[size << 4]
+            writer.put(code << size | rest, length + size)
             writer.bits.append(bit[at : at + n].ravel())
             at += n
-        return writer, table
+        return writer.bytes(), table
     stream: list[tuple[int, list[int]]] = []
     for values, old, bits in zip(grid.tolist(), first.tolist(), bit.tolist(), strict=True):
         new = [k for k, (v, o) in enumerate(zip(values, old, strict=True)) if v and not o]
@@ -519,7 +577,7 @@ def _band_rest(grid: np.ndarray, first: np.ndarray) -> tuple[_Writer, _Table]:
     for symbol, more in stream:
         writer.code(table, symbol)
         writer.bits.append(np.array(more, np.uint8))
-    return writer, table
+    return writer.bytes(), table
 
 
 def _runs(n: int) -> list[int]:
@@ -538,6 +596,10 @@ def payload(text: bytes) -> bytes:
     return text + bytes(-len(text) % 64 or (0 if text else 64))
 
 
+#: The coefficient of a byte: -255 to -128 and 128 to 255, eight bits each.
+_EIGHT = np.array([x - 255 if x < 128 else x for x in range(256)], np.int32)
+
+
 def pack(data: bytes, most: int = TILE, widest: int = 255) -> bytes:
     """A file whose coefficients are the bytes; their number is a multiple of 64. Four blocks of luma to one of each
     chroma; after as many full rows as `most` bytes make, another image of the same width begins."""
@@ -550,10 +612,10 @@ def _packed(data: bytes, across: int) -> bytes:
     down = max(1, -(-len(data) // (384 * across)))
     blocks = np.zeros((6 * across * down, 64), np.uint8)
     blocks.reshape(-1)[: len(data)] = np.frombuffer(data, np.uint8)
-    c = blocks.astype(np.int32)
-    c = np.where(c < 128, c - 255, c)  # -255 to -128 and 128 to 255: eight bits each
+    c = _EIGHT[blocks]
     c[:, 0] = (blocks[:, 0].astype(np.int32) - 128) * 4
-    luma, cb, cr = np.split(c, [4 * across * down, 5 * across * down])
+    n = across * down
+    luma, cb, cr = c[: 4 * n], c[4 * n : 5 * n], c[5 * n :]
     parts = [{"h": 2, "v": 2, "c": luma.reshape(2 * down, 2 * across, 64)}, *({"h": 1, "v": 1, "c": x.reshape(down, across, 64)} for x in (cb, cr))]
     for p in parts:
         p["quant"] = np.ones(64, np.int32)
@@ -563,9 +625,9 @@ def _packed(data: bytes, across: int) -> bytes:
 def unpack(parts: list[dict], n: int) -> bytes:
     """The first n bytes that the coefficients hold."""
     c = np.concatenate([p["c"].reshape(-1, 64) for p in parts])
-    out = np.where(c < 0, c + 255, c)
+    out = c.astype(np.uint8) - (c < 0)  # 255 is 1 less than 256
     out[:, 0] = c[:, 0] // 4 + 128
-    return out.astype(np.uint8).tobytes()[:n]
+    return out.tobytes()[:n]
 
 
 def _runs_of(sizes: list[int], rows: int, most: int = 2 * TILE) -> Iterator[tuple[int, int]]:
@@ -634,27 +696,76 @@ def tensors(media: DataFrame, column: str = "media") -> DataFrame:
 _FACTS = {"payload_bytes": T.LongType(), "payload_sha256": T.StringType(), "tail_crc32": T.LongType(), "media_bytes": T.LongType(), "media_sha256": T.StringType(), "feature": T.StringType()}
 
 
+#: Bytes of coefficients' payload that are transformed together.
+TOGETHER = 1 << 17
+
+
+class _Reading:
+    """A file's facts, as far as its images have been seen."""
+
+    def __init__(self, data: bytes | None, n: int | None) -> None:
+        self.data, self.left = data, max(64, -(-(n or 0) // 64) * 64)
+        self.digest, self.done, self.tail, self.tensor, self.sums, self.error = hashlib.sha256(), 0, b"", [], np.zeros(3, np.int64), None
+
+    def fails(self, e: Exception) -> None:
+        self.error, self.tensor = self.error or f"{type(e).__name__}: {e}", []
+
+    def add(self, parts: list[dict], t: np.ndarray) -> None:
+        if self.error:
+            return
+        if self.tensor and t.shape[1] != self.tensor[0].shape[1]:
+            self.fails(Damaged("images of several widths"))
+            return
+        back = unpack(parts, self.left - self.done)
+        self.digest.update(back)
+        self.done, self.tail = self.done + len(back), back[-64:] or self.tail
+        self.sums += t.reshape(len(t), -1).sum(0, dtype=np.uint32).reshape(-1, 3).sum(0, dtype=np.int64)
+        self.tensor.append(t)
+
+    def row(self) -> tuple:
+        size, own = (None, None) if self.data is None else (len(self.data), hashlib.sha256(self.data).hexdigest())
+        if self.error:
+            return None, None, None, size, own, None, None, None, None, self.error
+        high, width, raw = sum(map(len, self.tensor)), self.tensor[0].shape[1], b"".join(t.tobytes() for t in self.tensor)
+        feature = f"{high}x{width}:{'/'.join(map(str, self.sums.tolist()))}:{zlib.crc32(raw):08x}"
+        return self.done, self.digest.hexdigest(), zlib.crc32(self.tail), size, own, feature, high, width, raw, None
+
+
 def _fact(data: bytes | None, n: int | None) -> tuple:
     """A file's facts, its tensor, and what is wrong with it; image by image."""
-    digest, left, tail, tensor, sums, width = hashlib.sha256(), max(64, -(-(n or 0) // 64) * 64), b"", [], np.zeros(3, np.int64), None
-    size, own = (None, None) if data is None else (len(data), hashlib.sha256(data).hexdigest())
-    done = 0
-    try:
-        for shape, parts in images(data or b""):
-            back = unpack(parts, left - done)
-            digest.update(back)
-            done, tail = done + len(back), back[-64:] or tail
-            t = rgb(shape, parts)
-            if shape[1] != (width := width or shape[1]):
-                raise Damaged("images of several widths")
-            sums += t.reshape(-1, 3).sum(0, dtype=np.int64)
-            tensor.append(t)
-        t = tensor[0] if len(tensor) == 1 else np.concatenate(tensor)
-        raw = t.tobytes()
-        feature = f"{t.shape[0]}x{width}:{'/'.join(map(str, sums.tolist()))}:{zlib.crc32(raw):08x}"
-        return done, digest.hexdigest(), zlib.crc32(tail), size, own, feature, t.shape[0], width, raw, None
-    except _UNREAD as e:
-        return None, None, None, size, own, None, None, None, None, f"{type(e).__name__}: {e}"
+    return _facts([(data, n)])[0]
+
+
+def _facts(files: list[tuple[bytes | None, int | None]]) -> list[tuple]:
+    """The same for several files. Images wait until they are enough to be transformed together."""
+    found, waiting, held = [_Reading(data, n) for data, n in files], [], 0
+
+    def transform(some: list[tuple]) -> None:
+        try:
+            made = rgbs([(size, parts) for _, size, parts in some])
+        except _UNREAD as e:
+            if len(some) == 1:
+                some[0][0].fails(e)
+            else:  # one of them is at fault
+                for x in some:
+                    transform([x])
+            return
+        for (file, _, parts), t in zip(some, made, strict=True):
+            file.add(parts, t)
+
+    for file in found:
+        try:
+            for size, parts in images(file.data or b""):
+                waiting.append((file, size, parts))
+                held += sum(p["c"].size for p in parts)
+                if held >= TOGETHER:
+                    transform(waiting)
+                    waiting, held = [], 0
+        except _UNREAD as e:
+            file.fails(e)
+    if waiting:
+        transform(waiting)
+    return [file.row() for file in found]
 
 
 def facts(media: DataFrame) -> DataFrame:
@@ -668,7 +779,7 @@ def facts(media: DataFrame) -> DataFrame:
         for b in batches:
             for i, j in _runs_of(_lengths(b.column("media")), 64):
                 whole = b.slice(i, j - i)
-                rows = [_fact(x.as_py(), n) for x, n in zip(whole.column("media"), whole.column("n_bytes").to_pylist(), strict=True)]
+                rows = _facts(list(zip(whole.column("media").to_pylist(), whole.column("n_bytes").to_pylist(), strict=True)))
                 yield pa.record_batch({n: whole.column(n) for n in names} | _columns(rows, added))
 
     return media.mapInArrow(run, T.StructType([*kept, *_fields(added)]))

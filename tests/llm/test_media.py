@@ -1,5 +1,6 @@
 """Progressive JPEG: exact round trips, general streams, odd rows."""
 
+import cProfile
 import hashlib
 import zlib
 
@@ -110,3 +111,50 @@ def test_facts_of_bad_files(spark):
     got = {r["id"]: r for r in media.facts(spark.createDataFrame(rows, "id long, media binary, n_bytes long, rgb string")).collect()}
     assert all((got[i]["payload_sha256"] is None) == (got[i]["error"] is not None) == (i in (2, 3, 4, 5)) for i in got)
     assert got[1]["rgb"] == got[6]["rgb"] and len(got[1]["rgb"]) == 3 * got[1]["height"] * got[1]["width"] and got[2]["media_bytes"] is None and got[3]["media_bytes"] == 0
+
+
+def _texts(n):
+    rng = np.random.default_rng(n)
+    return [rng.integers(0, 256, int(k), dtype=np.uint8).tobytes() for k in rng.integers(0, 4000, n)]
+
+
+def test_files_are_read_together(monkeypatch):
+    """Small files share the transform, and what is found of one doesn't depend on those beside it."""
+    texts = _texts(200)
+    files = [(media.pack(media.payload(x)), len(x)) for x in texts]
+    two = media.payload(bytes(range(256)) * 20)
+    rows = [*files, (media.pack(two, 768, widest=2), len(two)), (None, 3), (b"", 0), (files[0][0][:-40], 9), (files[1][0] + files[199][0], 9), files[0]]
+    calls, plain_rgbs = [], media.rgbs
+    monkeypatch.setattr(media, "rgbs", lambda found: calls.append(len(found)) or plain_rgbs(found))
+    together = media._facts(rows)
+    assert sum(calls) >= 200 and len(calls) <= 10
+    monkeypatch.setattr(media, "TOGETHER", 1)
+    assert together == [media._fact(*row) for row in rows] and together[0] == together[-1]
+    assert [r[-1] is not None for r in together[200:]] == [False, True, True, True, True, False]
+
+
+def test_frames_that_cannot_be_shown():
+    """A frame of two components, in the midst of good files, is the only one that fails."""
+    good = media.pack(media.payload(b"some text"))
+    part = {"h": 1, "v": 1, "quant": np.ones(64, np.int32), "c": np.zeros((1, 1, 64), np.int32)}
+    bad = media.encode((8, 8), [part, {**part, "c": part["c"].copy()}])
+    got = media._facts([(good, 9), (bad, 9), (good, 9)])
+    assert got[0] == got[2] == media._fact(good, 9) and got[0][-1] is None and got[1][-1] and got[1][1] is None
+
+
+def test_calls_for_a_file():
+    """What a small file costs, counted in calls, which no machine's speed changes."""
+    texts = _texts(64)
+    profile = cProfile.Profile()
+    profile.enable()
+    files = [(media.pack(media.payload(x)), len(x)) for x in texts]
+    got = media._facts(files)
+    profile.disable()
+    assert sum(x.callcount for x in profile.getstats()) < 1000 * len(texts)
+    assert [r[1] for r in got] == [hashlib.sha256(media.payload(x)).hexdigest() for x in texts]
+
+
+def test_bytes_stay():
+    """The stored bytes and the tensor, as they were before files were read together."""
+    row = media._fact(media.pack(media.payload(bytes(i * i % 251 for i in range(3000)))), 3000)
+    assert (row[4], row[5]) == ("1c46cee96b35b2ab572968ce36f067ec67d4e91311f1e800107a12348476b9b2", "16x128:247464/270498/233529:ef2c2479")
