@@ -1,9 +1,10 @@
 """A crawl as a stream, keyed by host, so that no task holds a crawl and no host is asked by two tasks.
 
 Requests (crawl, url, depth, parent, priority) arrive in a folder. The state of a host is the addresses that it has been
-asked for, its waiting requests and the time from which it may be asked again. A timer of the host lets one request out,
-the best that waits, and sets the next timer `delay` seconds later. What is let out is visited in the batch's writer: the
-page is looked up, its files are written, and its links are new requests in the folder, where the stream finds them.
+asked for, its waiting requests and the time from which it may be asked again. A host that may be asked lets one request
+out, the best that waits, and sets a timer for the next `delay` seconds later; without a delay it lets out all at once. What
+is let out is visited in the batch's writer: the page is looked up, its files are written, and its links are new requests in
+the folder, where the stream finds them. So without a delay a crawl takes as many batches as it is deep.
 
 Waiting requests stand in lanes, one for each hundredth of priority: a lane has a head and a tail, so that letting one out
 reads one request, however many wait. Within a lane the first to arrive is the first out.
@@ -29,8 +30,8 @@ from .crawl import CrawlConfig, children_by_score, drawer, filed
 
 REQUEST = "crawl string, url string, depth int, parent string, priority double"
 VISIT = "host string, crawl string, url string, depth int, parent string, priority double, at long"
-#: Lanes a unit of priority.
-LANES = 100
+#: Lanes a unit of priority; rows that a host lets out in one frame.
+LANES, OUT = 100, 10_000
 
 
 class Host(StatefulProcessor):
@@ -57,26 +58,43 @@ class Host(StatefulProcessor):
                 self.waiting.updateValue((lane, tail), (r.crawl, r.url, int(r.depth), r.parent, float(r.priority)))
                 self.lanes.updateValue((lane,), (head, tail + 1))
         if self.lanes.exists() and not any(True for _ in self.handle.listTimers()):
-            free = self.free.get()[0] if self.free.exists() else 0
-            self.handle.registerTimer(max(free, timerValues.getCurrentProcessingTimeInMs()))
+            free, now = self.free.get()[0] if self.free.exists() else 0, timerValues.getCurrentProcessingTimeInMs()
+            if free > now:
+                self.handle.registerTimer(free)
+            else:
+                yield from self._let_out(key, now)
         yield pd.DataFrame()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        now = timerValues.getCurrentProcessingTimeInMs()
-        lane = min((k[0] for k in self.lanes.keys()), default=None)
-        if lane is None:
-            return
-        head, tail = self.lanes.getValue((lane,))
-        item = self.waiting.getValue((lane, head))
-        self.waiting.removeKey((lane, head))
-        if head + 1 < tail:
-            self.lanes.updateValue((lane,), (head + 1, tail))
-        else:
-            self.lanes.removeKey((lane,))
+        yield from self._let_out(key, timerValues.getCurrentProcessingTimeInMs())
+
+    def _let_out(self, key, now: int) -> Iterator[pd.DataFrame]:
+        """The best that waits, or without a delay all that wait, the best first."""
+        out = []
+        for lane in sorted(k[0] for k in self.lanes.keys()):
+            head, tail = self.lanes.getValue((lane,))
+            end = tail if self.delay == 0 else head + 1
+            for place in range(head, end):
+                out.append((key[0], *self.waiting.getValue((lane, place)), now))
+                self.waiting.removeKey((lane, place))
+                if len(out) == OUT:
+                    yield self._frame(out)
+                    out = []
+            if end < tail:
+                self.lanes.updateValue((lane,), (end, tail))
+            else:
+                self.lanes.removeKey((lane,))
+            if self.delay > 0:
+                break
         self.free.update((now + self.delay,))
         if self.lanes.exists():
             self.handle.registerTimer(now + self.delay)
-        yield pd.DataFrame([(key[0], *item, now)], columns=["host", "crawl", "url", "depth", "parent", "priority", "at"])
+        if out:
+            yield self._frame(out)
+
+    @staticmethod
+    def _frame(out: list[tuple]) -> pd.DataFrame:
+        return pd.DataFrame(out, columns=["host", "crawl", "url", "depth", "parent", "priority", "at"])
 
     def close(self) -> None:
         pass
@@ -96,9 +114,11 @@ def request(seeds: DataFrame, root: str) -> None:
 
 def follow(root: str, pages: DataFrame, links: DataFrame, files: DataFrame, config: CrawlConfig) -> Callable[[DataFrame, int], None]:
     """What a batch of visits leads to: its visits, files and new requests, each in the batch's own folder. Pages, links
-    and files are filed by address, and a batch opens the drawers of its visits."""
+    and files are filed by address, and a batch opens the drawers of its visits. Links below the threshold are never
+    followed, as no page has a goal score here, and aren't filed."""
     goal = pages.sparkSession.createDataFrame([], "url string, goal double")
-    all_there, all_links, all_files = (filed(df, f"{root}/graph/{name}") for name, df in (("pages", pages.select("url").distinct()), ("links", links), ("files", files)))
+    followed = links.where(F.col("priority") >= config.priority_threshold).select("url", "child_url", "priority")
+    all_there, all_links, all_files = (filed(df, f"{root}/graph/{name}") for name, df in (("pages", pages.select("url").distinct()), ("links", followed), ("files", files)))
 
     def run(batch: DataFrame, number: int) -> None:
         batch = saved(batch)
@@ -118,13 +138,21 @@ def follow(root: str, pages: DataFrame, links: DataFrame, files: DataFrame, conf
     return run
 
 
-def start(spark: SparkSession, root: str, pages: DataFrame, links: DataFrame, files: DataFrame, config: CrawlConfig = CrawlConfig(), every: str = "1 second") -> StreamingQuery:  # noqa: B008
+def start(spark: SparkSession, root: str, pages: DataFrame, links: DataFrame, files: DataFrame, config: CrawlConfig = CrawlConfig(), every: str = "1 second", tasks: int | None = None) -> StreamingQuery:  # noqa: B008
     """The stream over the requests below root, which is on a file system that driver and executors share. pages, links and
-    files as `Crawl` has them. Keyed state needs the RocksDB store, which is set for the session."""
+    files as `Crawl` has them. Keyed state needs the RocksDB store, which is set for the session. tasks: those that share the
+    hosts, fixed by the first start from a checkpoint folder; each opens its state in each batch, however few rows come, so
+    without a number there are no more of them than cores."""
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     requests = spark.readStream.schema(REQUEST).option("recursiveFileLookup", "true").parquet(f"{root}/requests")
     writer = visits(requests, config.rate_limit_delay).writeStream.outputMode("append").foreachBatch(follow(root, pages, links, files, config))
-    return writer.option("checkpointLocation", f"{root}/checkpoint").trigger(processingTime=every).start()
+    writer = writer.option("checkpointLocation", f"{root}/checkpoint").trigger(processingTime=every)
+    given = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", tasks or min(int(given), spark.sparkContext.defaultParallelism))
+    try:
+        return writer.start()  # the stream has its own copy of the settings
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", given)
 
 
 def table(spark: SparkSession, root: str, name: str) -> DataFrame:

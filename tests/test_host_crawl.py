@@ -50,6 +50,21 @@ def test_best_lane_first(spark, tmp_path):
     assert [r["url"][-1] for r in seen] == ["1", "3", "2", "0", "4"]
 
 
+def test_without_a_delay_as_many_batches_as_it_is_deep(spark, tmp_path):
+    root, urls = str(tmp_path / "crawl"), [f"https://h.example.com/{k}" for k in range(60)]
+    pages = spark.createDataFrame([(u,) for u in urls[:40]], "url string")
+    links = spark.createDataFrame([(urls[0], k, u, 0.4 if k > 50 else 0.5 + k / 200) for k, u in enumerate(urls)], LINKS)
+    H.request(spark.createDataFrame([("a", urls[0]), ("b", urls[0])], "crawl string, url string"), root)
+    query = H.start(spark, root, pages, links, spark.createDataFrame([], FILES), C.CrawlConfig(rate_limit_delay=0.0), every="0 seconds", tasks=2)
+    H.until_quiet(query, 1.0, most=120)
+    states = {p["stateOperators"][0]["numShufflePartitions"] for p in query.recentProgress}
+    query.stop()
+    seen = H.table(spark, root, "visits").collect()
+    assert sorted((r["crawl"], r["url"], r["success"]) for r in seen) == sorted((c, u, u in urls[:40]) for c in "ab" for u in urls[:51])
+    assert len({r["at"] for r in seen}) == 2  # the seeds, and all their links
+    assert states == {2} and spark.conf.get("spark.sql.shuffle.partitions") == "4"
+
+
 def test_a_batch_opens_the_drawers_of_its_visits(spark, tmp_path):
     rows = spark.range(2000).selectExpr("concat('https://h.example.com/', id) url", "id")
     kept = H.filed(rows, str(tmp_path / "links"))
