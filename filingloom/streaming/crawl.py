@@ -58,10 +58,11 @@ def drawer(url: Column) -> Column:
 
 
 def filed(df: DataFrame, path: str) -> DataFrame:
-    """df (url and others) as it is kept below path, a folder for each drawer of addresses; kept once."""
+    """df (url and others) as it is kept below path, a folder for each drawer of addresses, in it by address, so that an
+    address is stored and read once for all its rows; kept once."""
     spark = df.sparkSession
     if "_SUCCESS" not in Files(spark, path).names(path):
-        df.withColumn("drawer", drawer(F.col("url"))).repartition(DRAWERS, "drawer").write.mode("overwrite").partitionBy("drawer").parquet(path)
+        df.withColumn("drawer", drawer(F.col("url"))).repartition(DRAWERS, "drawer").sortWithinPartitions("drawer", "url").write.mode("overwrite").partitionBy("drawer").parquet(path)
     schema = T.StructType([*df.schema, T.StructField("drawer", T.IntegerType())])
     return spark.read.schema(schema).parquet(path)
 

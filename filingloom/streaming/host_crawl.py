@@ -2,7 +2,7 @@
 
 Requests (crawl, url, depth, parent, priority) arrive in a folder. The state of a host is the addresses that it has been
 asked for, its waiting requests and the time from which it may be asked again. A host that may be asked lets one request
-out, the best that waits, and sets a timer for the next `delay` seconds later; without a delay it lets out all at once. What
+out, the best that waits, and sets a timer for the next `delay` seconds later; without a delay requests don't wait. What
 is let out is visited in the batch's writer: the page is looked up, its files are written, and its links are new requests in
 the folder, where the stream finds them. So without a delay a crawl takes as many batches as it is deep.
 
@@ -30,8 +30,8 @@ from .crawl import CrawlConfig, children_by_score, drawer, filed
 
 REQUEST = "crawl string, url string, depth int, parent string, priority double"
 VISIT = "host string, crawl string, url string, depth int, parent string, priority double, at long"
-#: Lanes a unit of priority; rows that a host lets out in one frame.
-LANES, OUT = 100, 10_000
+#: Lanes a unit of priority.
+LANES = 100
 
 
 class Host(StatefulProcessor):
@@ -48,53 +48,52 @@ class Host(StatefulProcessor):
         self.free = handle.getValueState("free", "at long")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        now = timerValues.getCurrentProcessingTimeInMs()
         for part in rows:
+            out = []
             for r in part.itertuples(index=False):
                 if self.known.containsKey((r.crawl, r.url)):
                     continue
                 self.known.updateValue((r.crawl, r.url), (int(r.depth),))
-                lane = round(r.priority * LANES)
+                item, lane = (r.crawl, r.url, int(r.depth), r.parent, float(r.priority)), round(r.priority * LANES)
+                if self.delay == 0:
+                    out.append((lane, item))
+                    continue
                 head, tail = self.lanes.getValue((lane,)) if self.lanes.containsKey((lane,)) else (0, 0)
-                self.waiting.updateValue((lane, tail), (r.crawl, r.url, int(r.depth), r.parent, float(r.priority)))
+                self.waiting.updateValue((lane, tail), item)
                 self.lanes.updateValue((lane,), (head, tail + 1))
+            if out:
+                yield self._visits(key, [item for _, item in sorted(out, key=lambda x: x[0])], now)
         if self.lanes.exists() and not any(True for _ in self.handle.listTimers()):
-            free, now = self.free.get()[0] if self.free.exists() else 0, timerValues.getCurrentProcessingTimeInMs()
+            free = self.free.get()[0] if self.free.exists() else 0
             if free > now:
                 self.handle.registerTimer(free)
             else:
-                yield from self._let_out(key, now)
+                yield self._let_out(key, now)
         yield pd.DataFrame()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        yield from self._let_out(key, timerValues.getCurrentProcessingTimeInMs())
-
-    def _let_out(self, key, now: int) -> Iterator[pd.DataFrame]:
-        """The best that waits, or without a delay all that wait, the best first."""
-        out = []
-        for lane in sorted(k[0] for k in self.lanes.keys()):
-            head, tail = self.lanes.getValue((lane,))
-            end = tail if self.delay == 0 else head + 1
-            for place in range(head, end):
-                out.append((key[0], *self.waiting.getValue((lane, place)), now))
-                self.waiting.removeKey((lane, place))
-                if len(out) == OUT:
-                    yield self._frame(out)
-                    out = []
-            if end < tail:
-                self.lanes.updateValue((lane,), (end, tail))
-            else:
-                self.lanes.removeKey((lane,))
-            if self.delay > 0:
-                break
+        if self.lanes.exists():
+            yield self._let_out(key, timerValues.getCurrentProcessingTimeInMs())
+
+    def _let_out(self, key, now: int) -> pd.DataFrame:
+        """The best that waits; the host is free again after the delay."""
+        lane = min(k[0] for k in self.lanes.keys())
+        head, tail = self.lanes.getValue((lane,))
+        item = self.waiting.getValue((lane, head))
+        self.waiting.removeKey((lane, head))
+        if head + 1 < tail:
+            self.lanes.updateValue((lane,), (head + 1, tail))
+        else:
+            self.lanes.removeKey((lane,))
         self.free.update((now + self.delay,))
         if self.lanes.exists():
             self.handle.registerTimer(now + self.delay)
-        if out:
-            yield self._frame(out)
+        return self._visits(key, [item], now)
 
     @staticmethod
-    def _frame(out: list[tuple]) -> pd.DataFrame:
-        return pd.DataFrame(out, columns=["host", "crawl", "url", "depth", "parent", "priority", "at"])
+    def _visits(key, items: list[tuple], now: int) -> pd.DataFrame:
+        return pd.DataFrame([(key[0], *x, now) for x in items], columns=["host", "crawl", "url", "depth", "parent", "priority", "at"])
 
     def close(self) -> None:
         pass
@@ -123,12 +122,12 @@ def follow(root: str, pages: DataFrame, links: DataFrame, files: DataFrame, conf
     def run(batch: DataFrame, number: int) -> None:
         batch = saved(batch)
         opened = [r[0] for r in batch.select(drawer(F.col("url"))).distinct().collect()]  # as many rows as there are drawers at most
+        if not opened:
+            return
         there, links, files = (df.where(F.col("drawer").isin(opened)).drop("drawer") for df in (all_there, all_links, all_files))
         got = batch.join(there.withColumn("success", F.lit(True)), "url", "left").withColumn("success", F.coalesce("success", F.lit(False)))
         got.select("crawl", "url", "depth", "parent", "host", "at", "success").write.mode("overwrite").parquet(f"{root}/visits/batch={number}")
         went = batch.sparkSession.read.parquet(f"{root}/visits/batch={number}")
-        if went.isEmpty():
-            return
         ok = went.where("success")
         ok.withColumnRenamed("url", "found_on_page").join(files.withColumnRenamed("url", "found_on_page"), "found_on_page").select("crawl", F.col("file_url").alias("url"), "type", "title", "found_on_page", "depth").write.mode("overwrite").parquet(f"{root}/files/batch={number}")
         deeper = children_by_score(ok.join(links, "url"), goal, config)
